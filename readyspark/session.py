@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
