@@ -290,3 +290,72 @@ ORACLE = {
     "rule_suite_raw": rule_suite_raw_sql(),
     "rule_suite_prepared": rule_suite_prepared_sql(),
 }
+
+
+# ------------------------------------------------------------------ profiling
+
+_GENDERED = f"""{CLEAN},
+gendered AS (SELECT *, {_GENDER} AS gender FROM (
+  SELECT *, lower({strip("coalesce(personal_status, 'none')")}) AS t FROM clean))"""
+
+
+def _quartile_sql(table, group, col):
+    return (f"SELECT {group}, {r6(f'quantile_cont({col}, 0.25)')} AS q1, {r6(f'quantile_cont({col}, 0.5)')} AS median, "
+            f"{r6(f'quantile_cont({col}, 0.75)')} AS q3 FROM {table} WHERE {col} IS NOT NULL GROUP BY {group}")
+
+
+def _hist_sql(table, group, col, bins):
+    return f"""
+rng AS (SELECT {group}, CASE WHEN min({col}) = max({col}) THEN min({col}) - 0.5 ELSE min({col}) END AS lo,
+               CASE WHEN min({col}) = max({col}) THEN max({col}) + 0.5 ELSE max({col}) END AS hi
+        FROM {table} WHERE {col} IS NOT NULL GROUP BY {group}),
+b AS (SELECT t.{group}, CAST(least(floor((CAST(t.{col} AS DOUBLE) - r.lo) * {bins} / (r.hi - r.lo)), {bins - 1}) AS INTEGER) AS bin,
+             r.lo, r.hi
+      FROM {table} t JOIN rng r ON t.{group} IS NOT DISTINCT FROM r.{group} WHERE t.{col} IS NOT NULL)
+SELECT {group}, bin, lo + bin * ((hi - lo) / {bins}) AS lower, lo + (bin + 1) * ((hi - lo) / {bins}) AS upper,
+       count(*) AS n FROM b GROUP BY {group}, bin, lo, hi"""
+
+
+def _box_sql(table, group, col):
+    g = group or "'all'"
+    gsel = f"f.gk AS {group}, " if group else ""
+    return f"""
+q AS (SELECT {g} AS gk, quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS median,
+              quantile_cont({col}, 0.75) AS q3 FROM {table} WHERE {col} IS NOT NULL GROUP BY {g}),
+f AS (SELECT *, q1 - (q3 - q1) * 1.5 AS lf, q3 + (q3 - q1) * 1.5 AS uf FROM q)
+SELECT {gsel}{r6('f.q1')} AS q1, {r6('f.median')} AS median, {r6('f.q3')} AS q3,
+       {r6(f'min(t.{col}) FILTER (WHERE t.{col} >= f.lf AND t.{col} <= f.uf)')} AS whisker_low,
+       {r6(f'max(t.{col}) FILTER (WHERE t.{col} >= f.lf AND t.{col} <= f.uf)')} AS whisker_high,
+       count(*) FILTER (WHERE NOT (t.{col} >= f.lf AND t.{col} <= f.uf)) AS outliers, count(*) AS n
+FROM {table} t JOIN f ON {g.replace(group or "#", "t." + (group or ""))} IS NOT DISTINCT FROM f.gk
+WHERE t.{col} IS NOT NULL
+GROUP BY f.gk, f.q1, f.median, f.q3"""
+
+
+_EMP_POS = f"list_position({lst(P.EMPLOYMENT_ORDER)}, employment)"
+
+ORACLE.update({
+    "value_counts": with_(CLEAN, "SELECT purpose, count(*) AS n FROM clean WHERE purpose IS NOT NULL GROUP BY purpose"),
+    "crosstab_share": with_(_GENDERED + ",\ncells AS (SELECT gender, class, count(*) AS n FROM gendered "
+                            "WHERE gender IS NOT NULL AND class IS NOT NULL GROUP BY gender, class)",
+                            f"SELECT gender, class, n, {r6('n / sum(n) OVER (PARTITION BY gender) * 100.0')} AS share FROM cells"),
+    "ordered_crosstab": with_(CLEAN + f",\ncells AS (SELECT employment, CAST({_EMP_POS} AS BIGINT) AS position, class, "
+                              f"count(*) AS n FROM clean WHERE {_EMP_POS} IS NOT NULL AND class IS NOT NULL "
+                              "GROUP BY employment, position, class)",
+                              f"SELECT employment, position, class, n, {r6('n / sum(n) OVER (PARTITION BY employment)')} AS share FROM cells"),
+    "group_describe": with_(CLEAN, f"SELECT class, count(credit_amount) AS count, {r6('avg(credit_amount)')} AS mean, "
+                                   f"{r6('stddev_samp(credit_amount)')} AS std, {r6('min(credit_amount)')} AS min, "
+                                   f"{r6('max(credit_amount)')} AS max, {r6('quantile_cont(credit_amount, 0.5)')} AS median "
+                                   "FROM clean WHERE credit_amount IS NOT NULL GROUP BY class"),
+    "group_quartiles": with_(CLEAN, _quartile_sql("clean", "class", "credit_amount")),
+    "histogram": with_(CLEAN + "," + _hist_sql("clean", "class", "age", 20).split("\nSELECT")[0],
+                       "SELECT" + _hist_sql("clean", "class", "age", 20).split("\nSELECT")[1]),
+    "box_stats": with_(CLEAN + "," + _box_sql("clean", "class", "credit_amount").split("\nSELECT")[0],
+                       "SELECT" + _box_sql("clean", "class", "credit_amount").split("\nSELECT")[1]),
+    "box_stats_overall": with_(CLEAN + "," + _box_sql("clean", None, "duration").split("\nSELECT")[0],
+                               "SELECT" + _box_sql("clean", None, "duration").split("\nSELECT")[1]),
+    "sorted_classes": with_(CLEAN, "SELECT DISTINCT class FROM clean WHERE class IS NOT NULL"),
+    "event_quartiles": _quartile_sql("events", "event_type", "value"),
+    "event_histogram": with_(_hist_sql("events", "event_type", "value", 30).split("\nSELECT")[0],
+                             "SELECT" + _hist_sql("events", "event_type", "value", 30).split("\nSELECT")[1]),
+})

@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 from readyspark import presets as P
 from readyspark.operators import clean as C
 from readyspark.operators import features as FE
+from readyspark.operators import profile as PR
 from readyspark.operators import rules as R
 from readyspark.session import configure
 from readyspark.sources.applications import applications, dirty_applications
+from readyspark.sources.tables import read_table
 
 
 def finish(df: DataFrame, cols=None) -> DataFrame:
@@ -97,6 +99,58 @@ def q_shape_summary(spark, sf_dir):
     return shape_summary(_dirty(spark, sf_dir), P.TARGET)
 
 
+# ---------------------------------------------------------------- profiling
+
+def _clean_with_gender(spark, sf_dir):
+    return cleaned(spark, sf_dir).withColumn("gender", FE.gender_from_status())
+
+
+def q_value_counts(spark, sf_dir):
+    return PR.value_counts(cleaned(spark, sf_dir), "purpose")
+
+
+def q_crosstab_share(spark, sf_dir):
+    return finish(PR.crosstab_share(_clean_with_gender(spark, sf_dir), "gender", P.TARGET, percent=True))
+
+
+def q_ordered_crosstab(spark, sf_dir):
+    return finish(PR.ordered_crosstab(cleaned(spark, sf_dir), "employment", P.EMPLOYMENT_ORDER, P.TARGET))
+
+
+def q_group_describe(spark, sf_dir):
+    return finish(PR.group_describe(cleaned(spark, sf_dir), P.TARGET, "credit_amount"))
+
+
+def q_group_quartiles(spark, sf_dir):
+    return finish(PR.group_quartiles(cleaned(spark, sf_dir), P.TARGET, "credit_amount"))
+
+
+def q_histogram(spark, sf_dir):
+    return PR.histogram(cleaned(spark, sf_dir), P.TARGET, "age", 20)
+
+
+def q_box_stats(spark, sf_dir):
+    return finish(PR.box_stats(cleaned(spark, sf_dir), "credit_amount", P.TARGET))
+
+
+def q_box_stats_overall(spark, sf_dir):
+    return finish(PR.box_stats(cleaned(spark, sf_dir), "duration"))
+
+
+def q_sorted_classes(spark, sf_dir):
+    return PR.sorted_classes(cleaned(spark, sf_dir), P.TARGET)
+
+
+def q_event_quartiles(spark, sf_dir):
+    ev = read_table(configure(spark), sf_dir, "events")
+    return finish(PR.group_quartiles(ev, "event_type", "value"))
+
+
+def q_event_histogram(spark, sf_dir):
+    ev = read_table(configure(spark), sf_dir, "events")
+    return PR.histogram(ev, "event_type", "value", 30)
+
+
 QUERIES = {
     "clean_applications": q_clean_applications,
     "clean_reason_counts": q_clean_reason_counts,
@@ -107,6 +161,17 @@ QUERIES = {
     "rule_suite_raw": q_rule_suite_raw,
     "rule_suite_prepared": q_rule_suite_prepared,
     "shape_summary": q_shape_summary,
+    "value_counts": q_value_counts,
+    "crosstab_share": q_crosstab_share,
+    "ordered_crosstab": q_ordered_crosstab,
+    "group_describe": q_group_describe,
+    "group_quartiles": q_group_quartiles,
+    "histogram": q_histogram,
+    "box_stats": q_box_stats,
+    "box_stats_overall": q_box_stats_overall,
+    "sorted_classes": q_sorted_classes,
+    "event_quartiles": q_event_quartiles,
+    "event_histogram": q_event_histogram,
 }
 
 
