@@ -154,6 +154,8 @@ def rounded(cols, doubles) -> str:
 # ------------------------------------------------------------------ rule rows
 
 def _row(gate, metric, subject, value, threshold, comparison, passed, cases="NULL", violations="NULL"):
+    if comparison == "NULL" and passed is None:
+        passed = "true"
     return (f"SELECT {q(gate)} AS gate, {q(metric)} AS metric, CAST({subject} AS VARCHAR) AS subject, "
             f"CAST({value} AS DOUBLE) AS value, CAST({threshold} AS DOUBLE) AS threshold, CAST({comparison} AS VARCHAR) AS comparison, "
             f"coalesce({passed}, false) AS passed, CAST({cases} AS BIGINT) AS cases, "
@@ -359,3 +361,233 @@ ORACLE.update({
     "event_histogram": with_(_hist_sql("events", "event_type", "value", 30).split("\nSELECT")[0],
                              "SELECT" + _hist_sql("events", "event_type", "value", 30).split("\nSELECT")[1]),
 })
+
+
+# ------------------------------------------------------------------ split, metrics, gates
+
+from readyspark.operators.score import CREDIT_SCORECARD  # noqa: E402
+
+
+def md5_hash(*parts) -> str:
+    text = " || '|' || ".join(parts)
+    return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)"
+
+
+SPLIT = f"""{PREPARED},
+hashed AS (SELECT *, {md5_hash("CAST(app_id AS VARCHAR)", q(str(P.SEED)))} AS h FROM prepared),
+cnt AS (SELECT class, count(*) AS nc FROM hashed GROUP BY class),
+tot AS (SELECT sum(nc) AS n, CAST(ceil(CAST({P.TEST_SIZE} AS DOUBLE) * sum(nc)) AS BIGINT) AS nt FROM cnt),
+raw AS (SELECT c.class, CAST(t.nt * c.nc AS DOUBLE) / t.n AS r, t.nt FROM cnt c, tot t),
+fl AS (SELECT *, floor(r) AS f FROM raw),
+rk AS (SELECT *, row_number() OVER (ORDER BY r - f DESC, class) AS rr, nt - sum(f) OVER () AS lft FROM fl),
+quota AS (SELECT class, CAST(f + CASE WHEN rr <= lft THEN 1 ELSE 0 END AS BIGINT) AS qn FROM rk),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY h, app_id) - 1 AS rnk FROM hashed),
+split AS (SELECT r.* EXCLUDE (rnk, h), CASE WHEN r.rnk < qu.qn THEN 'test' ELSE 'train' END AS split
+          FROM ranked r JOIN quota qu ON r.class = qu.class),
+test AS (SELECT * EXCLUDE (split) FROM split WHERE split = 'test'),
+train AS (SELECT * EXCLUDE (split) FROM split WHERE split = 'train')"""
+
+
+def scorecard_sql(card=CREDIT_SCORECARD, cols=None) -> str:
+    cols = cols or {}
+    c = lambda name: cols.get(name, name)
+    expr = f"CAST({card.intercept!r} AS DOUBLE)"
+    for t in card.terms:
+        if t.equals is None:
+            expr = f"({expr} + CAST({t.weight!r} AS DOUBLE) * CAST({c(t.column)} AS DOUBLE))"
+        else:
+            expr = (f"({expr} + CASE WHEN coalesce({c(t.column)} = {q(t.equals)}, false) "
+                    f"THEN CAST({t.weight!r} AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)")
+    return f"least(CAST(1.0 AS DOUBLE), greatest(CAST(0.0 AS DOUBLE), {expr}))"
+
+
+SCORED = f"""{SPLIT},
+scored AS (SELECT *, {scorecard_sql()} AS p_bad FROM test),
+scored2 AS (SELECT *, CAST(p_bad >= {CREDIT_SCORECARD.cutoff} AS INTEGER) AS prediction FROM scored)"""
+
+
+def zdiv(a, b) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), CAST(0.0 AS DOUBLE))"
+
+
+_CONF = ("count(*) FILTER (WHERE class = 0 AND prediction = 0) AS tn, "
+         "count(*) FILTER (WHERE class = 0 AND prediction = 1) AS fp, "
+         "count(*) FILTER (WHERE class = 1 AND prediction = 0) AS fn, "
+         "count(*) FILTER (WHERE class = 1 AND prediction = 1) AS tp, count(*) AS samples")
+
+_MCC = ("CASE WHEN sqrt(CAST(tp + fp AS DOUBLE) * CAST(tp + fn AS DOUBLE) * CAST(tn + fp AS DOUBLE) * CAST(tn + fn AS DOUBLE)) > 0 "
+        "THEN (CAST(tp AS DOUBLE) * CAST(tn AS DOUBLE) - CAST(fp AS DOUBLE) * CAST(fn AS DOUBLE)) / "
+        "sqrt(CAST(tp + fp AS DOUBLE) * CAST(tp + fn AS DOUBLE) * CAST(tn + fp AS DOUBLE) * CAST(tn + fn AS DOUBLE)) "
+        "ELSE CAST(0.0 AS DOUBLE) END")
+
+_RATES = {
+    "accuracy": zdiv("tp + tn", "tn + fp + fn + tp"),
+    "precision": zdiv("tp", "tp + fp"),
+    "recall": zdiv("tp", "tp + fn"),
+    "f1": zdiv("2 * tp", "2 * tp + fp + fn"),
+    "mcc": _MCC,
+}
+
+METRICS_CTE = f"""{SCORED},
+conf AS (SELECT {_CONF} FROM scored2),
+ps AS (SELECT p_bad AS s, count(*) FILTER (WHERE class = 1) AS pos, count(*) FILTER (WHERE class = 0) AS neg
+       FROM scored2 GROUP BY p_bad),
+psr AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bef FROM ps),
+auc AS (SELECT CAST(sum(pos * (2 * bef + neg)) AS DOUBLE) / NULLIF(CAST(2 * sum(pos) * sum(neg) AS DOUBLE), 0) AS roc_auc FROM psr),
+metrics AS (
+  {" UNION ALL ".join(f"SELECT {q(m)} AS metric, {e} AS value FROM conf" for m, e in _RATES.items())}
+  UNION ALL SELECT 'roc_auc' AS metric, roc_auc AS value FROM auc),
+trc AS (SELECT class, count(*) AS ntr FROM train GROUP BY class),
+tec AS (SELECT class, count(*) AS nte FROM test GROUP BY class),
+both_ AS (SELECT coalesce(a.class, b.class) AS class, a.ntr, b.nte FROM trc a FULL JOIN tec b ON a.class = b.class),
+baseline AS (SELECT class AS majority_class, {zdiv("coalesce(nte, 0)", "tot")} AS baseline_accuracy FROM (
+   SELECT *, row_number() OVER (ORDER BY ntr DESC NULLS LAST, class) AS r, sum(coalesce(nte, 0)) OVER () AS tot FROM both_)
+   WHERE r = 1)"""
+
+_GR = f"""rates AS (SELECT sex, samples, tn, fp, fn, tp, {zdiv("fp", "fp + tn")} AS false_positive_rate,
+      {zdiv("fn", "fn + tp")} AS false_negative_rate, {zdiv("tp", "tp + fn")} AS true_positive_rate
+   FROM (SELECT sex, {_CONF} FROM scored2 GROUP BY sex))"""
+
+_FAIR_ROWS = f"""gap AS (SELECT
+    abs(max(false_positive_rate) FILTER (WHERE sex = 'male') - max(false_positive_rate) FILTER (WHERE sex = 'female')) AS fpr_d,
+    abs(max(false_negative_rate) FILTER (WHERE sex = 'male') - max(false_negative_rate) FILTER (WHERE sex = 'female')) AS fnr_d
+    FROM rates),
+fairness AS (
+  {" UNION ALL ".join(_row("fairness", m, "sex", m, "NULL", "NULL", "true", "samples") + " FROM rates"
+                      for m in ("false_positive_rate", "false_negative_rate", "true_positive_rate"))}
+  UNION ALL {_row("fairness", "fpr_difference", "NULL", "fpr_d", "NULL", "NULL", None)} FROM gap
+  UNION ALL {_row("fairness", "fnr_difference", "NULL", "fnr_d", "NULL", "NULL", None)} FROM gap
+  UNION ALL {_row("fairness", "separation_difference", "NULL", "(fpr_d + fnr_d) / 2", P.FAIRNESS_THRESHOLD, "'<='",
+                  f"(fpr_d + fnr_d) / 2 <= {P.FAIRNESS_THRESHOLD}")} FROM gap)"""
+
+_PERF = f"""limits AS ({" UNION ALL ".join(f"SELECT {q(m)} AS metric, CAST({t!r} AS DOUBLE) AS threshold"
+                                          for m, t in P.PERFORMANCE_THRESHOLDS.items())}
+   UNION ALL SELECT 'accuracy' AS metric, baseline_accuracy AS threshold FROM baseline),
+performance AS (SELECT 'performance' AS gate, m.metric, CAST(NULL AS VARCHAR) AS subject, m.value, l.threshold,
+   '>' AS comparison, coalesce(m.value > l.threshold, false) AS passed, CAST(NULL AS BIGINT) AS cases,
+   CAST(NULL AS BIGINT) AS violations FROM metrics m LEFT JOIN limits l ON m.metric = l.metric)"""
+
+
+def _u(name):
+    return f"CAST({md5_hash('CAST(app_id AS VARCHAR)', q(name), q(str(P.SEED)))} AS DOUBLE) / CAST(4294967296.0 AS DOUBLE)"
+
+
+_LOW, _SPAN = P.PERTURB_LOW, P.PERTURB_HIGH - P.PERTURB_LOW
+_PD = f"greatest(round_even(duration * (CAST({_LOW!r} AS DOUBLE) + CAST({_SPAN!r} AS DOUBLE) * {_u('duration')}), 0), CAST(0.0 AS DOUBLE))"
+_PA = f"greatest(credit_amount * (CAST({_LOW!r} AS DOUBLE) + CAST({_SPAN!r} AS DOUBLE) * {_u('credit_amount')}), CAST(0.0 AS DOUBLE))"
+_CHK = "CASE checking_status " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in P.CHECKING_IMPROVEMENT.items()) + " ELSE checking_status END"
+_SAV = "CASE savings_status " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in P.SAVINGS_DETERIORATION.items()) + " ELSE savings_status END"
+
+
+def _pay(a, d):
+    return f"CASE WHEN ({d}) = 0 THEN NULL ELSE ({a}) / ({d}) END"
+
+
+VARIANTS = f"""{METRICS_CTE},
+v_pert AS (SELECT * REPLACE ({_PD} AS duration, {_PA} AS credit_amount) FROM test),
+v_pert2 AS (SELECT * REPLACE (greatest({_pay("credit_amount", "duration")}, CAST(0.0 AS DOUBLE)) AS monthly_payment) FROM v_pert),
+v_infl AS (SELECT * REPLACE (credit_amount * CAST({P.INFLATION_FACTOR!r} AS DOUBLE) AS credit_amount) FROM test),
+v_infl2 AS (SELECT * REPLACE ({_pay("credit_amount", "duration")} AS monthly_payment) FROM v_infl),
+v_dur AS (SELECT * REPLACE (duration + {P.DURATION_INCREASE_MONTHS} AS duration) FROM test),
+v_dur2 AS (SELECT * REPLACE ({_pay("credit_amount", "duration")} AS monthly_payment) FROM v_dur),
+v_chk AS (SELECT *, coalesce(checking_status IN {inlist(P.CHECKING_MOVABLE)}, false) AS mask FROM test),
+v_chk2 AS (SELECT * REPLACE ({_CHK} AS checking_status) FROM v_chk),
+v_sav AS (SELECT *, coalesce(savings_status IN {inlist(P.SAVINGS_MOVABLE)}, false) AS mask FROM test),
+v_sav2 AS (SELECT * REPLACE ({_SAV} AS savings_status) FROM v_sav),
+vs AS (
+  SELECT 'perturbation' AS variant, true AS mask, app_id, class, {scorecard_sql()} AS p_bad FROM v_pert2
+  UNION ALL SELECT 'inflation', true, app_id, class, {scorecard_sql()} FROM v_infl2
+  UNION ALL SELECT 'duration_increase', true, app_id, class, {scorecard_sql()} FROM v_dur2
+  UNION ALL SELECT 'checking_status_improvement', mask, app_id, class, {scorecard_sql()} FROM v_chk2
+  UNION ALL SELECT 'savings_status_deterioration', mask, app_id, class, {scorecard_sql()} FROM v_sav2),
+vsp AS (SELECT v.*, CAST(v.p_bad >= {CREDIT_SCORECARD.cutoff} AS INTEGER) AS prediction, b.p_bad AS p_base,
+        b.prediction AS pred_base FROM vs v JOIN scored2 b ON v.app_id = b.app_id),
+f1p AS (SELECT
+   {", ".join(f"count(*) FILTER (WHERE variant = '{vv}' AND class = 1 AND {pc} = 1) AS tp_{n}, "
+              f"count(*) FILTER (WHERE variant = '{vv}' AND class = 0 AND {pc} = 1) AS fp_{n}, "
+              f"count(*) FILTER (WHERE variant = '{vv}' AND class = 1 AND {pc} = 0) AS fn_{n}"
+              for n, vv, pc in (("clean", "perturbation", "pred_base"), ("perturbation", "perturbation", "prediction"),
+                                ("inflation", "inflation", "prediction")))}
+   FROM vsp),
+f1v AS (SELECT {", ".join(f"{zdiv(f'2 * tp_{n}', f'2 * tp_{n} + fp_{n} + fn_{n}')} AS f1_{n}"
+                          for n in ("clean", "perturbation", "inflation"))} FROM f1p),
+rob AS (SELECT *, f1_perturbation / NULLIF(f1_clean, 0) AS r_p, f1_inflation / NULLIF(f1_clean, 0) AS r_i FROM f1v),
+robustness AS (
+  {" UNION ALL ".join(_row("robustness", m, "NULL", e, "NULL", "NULL", None) + " FROM rob"
+                      for m, e in (("f1_clean", "f1_clean"), ("f1_perturbation", "f1_perturbation"),
+                                   ("f1_inflation", "f1_inflation"), ("robustness_perturbation", "r_p"),
+                                   ("robustness_inflation", "r_i")))}
+  UNION ALL {_row("robustness", "mean_robustness_score", "NULL", "(r_p + r_i) / 2", P.ROBUSTNESS_THRESHOLD, "'>='",
+                  f"(r_p + r_i) / 2 >= {P.ROBUSTNESS_THRESHOLD}")} FROM rob),
+mm AS (SELECT variant, count(*) FILTER (WHERE mask) AS cases,
+          count(*) FILTER (WHERE mask AND ((variant IN ('duration_increase', 'savings_status_deterioration') AND p_bad < p_base)
+                                          OR (variant = 'checking_status_improvement' AND p_bad > p_base))) AS viol
+       FROM vsp WHERE variant NOT IN ('perturbation', 'inflation') GROUP BY variant),
+metamorphic AS (SELECT 'metamorphic' AS gate, 'violation_rate' AS metric, variant AS subject,
+   {zdiv("viol", "cases")} AS value, CAST({P.MAX_VIOLATION_RATE} AS DOUBLE) AS threshold, '<=' AS comparison,
+   coalesce({zdiv("viol", "cases")} <= {P.MAX_VIOLATION_RATE}, false) AS passed, CAST(cases AS BIGINT) AS cases,
+   CAST(viol AS BIGINT) AS violations FROM mm)"""
+
+_VAR_OUT = {
+    "perturbed_rows": ("v_pert2", "app_id, duration, credit_amount, monthly_payment"),
+    "inflated_rows": ("v_infl2", "app_id, credit_amount, monthly_payment"),
+    "duration_shift": ("v_dur2", "app_id, duration, monthly_payment"),
+    "checking_shift": ("v_chk2", "app_id, checking_status, mask"),
+    "savings_shift": ("v_sav2", "app_id, savings_status, mask"),
+}
+
+ORACLE.update({
+    "exact_split": with_(SPLIT, "SELECT app_id, class, split FROM split"),
+    "split_summary": with_(SPLIT, "SELECT split, class, count(*) AS n FROM split GROUP BY split, class"),
+    "stratified_folds": with_(SPLIT, f"""SELECT app_id, class, CAST((row_number() OVER (PARTITION BY class ORDER BY
+        {md5_hash("CAST(app_id AS VARCHAR)", "'fold'", q(str(P.SEED)))}, app_id) - 1) % {P.N_FOLDS} AS INTEGER) AS fold FROM train"""),
+    "majority_baseline": with_(METRICS_CTE, "SELECT majority_class, baseline_accuracy FROM baseline"),
+    "class_weights": with_(SPLIT, """SELECT class, n_c, CAST(sum(n_c) OVER () AS DOUBLE) / (count(*) OVER () * n_c) AS weight
+        FROM (SELECT class, count(*) AS n_c FROM train GROUP BY class)"""),
+    "confusion": with_(SCORED, f"SELECT {_CONF} FROM scored2"),
+    "classification_metrics": with_(METRICS_CTE, "SELECT metric, value FROM metrics"),
+    "roc_auc": with_(METRICS_CTE, "SELECT roc_auc FROM auc"),
+    "group_rates": with_(METRICS_CTE + ",\n" + _GR, "SELECT * FROM rates"),
+    "separation_gap": with_(METRICS_CTE + ",\n" + _GR + ",\n" + _FAIR_ROWS, "SELECT * FROM fairness"),
+    "performance_gate": with_(METRICS_CTE + ",\n" + _PERF, "SELECT * FROM performance"),
+    "scorecard_scoring": with_(PREPARED + f",\ns AS (SELECT app_id, {scorecard_sql()} AS p_bad FROM prepared)",
+        f"""SELECT app_id, p_bad, CAST(p_bad >= {CREDIT_SCORECARD.cutoff} AS INTEGER) AS prediction,
+        CASE WHEN p_bad >= {CREDIT_SCORECARD.cutoff} THEN 'bad' ELSE 'good' END AS prediction_label,
+        1.0 - p_bad AS probability_good, p_bad AS probability_bad FROM s"""),
+    **{name: with_(VARIANTS, f"SELECT {cols} FROM {t}") for name, (t, cols) in _VAR_OUT.items()},
+    "robustness_gate": with_(VARIANTS, "SELECT * FROM robustness"),
+    "metamorphic_gate": with_(VARIANTS, "SELECT * FROM metamorphic"),
+})
+
+
+_MODEL_GATES = with_(VARIANTS + ",\n" + _GR + ",\n" + _FAIR_ROWS + ",\n" + _PERF,
+                     "SELECT * FROM performance UNION ALL SELECT * FROM fairness "
+                     "UNION ALL SELECT * FROM robustness UNION ALL SELECT * FROM metamorphic")
+GATE_REPORT = (f"SELECT * FROM ({rule_suite_raw_sql()}) UNION ALL SELECT * FROM ({rule_suite_prepared_sql()}) "
+               f"UNION ALL SELECT * FROM ({_MODEL_GATES})")
+
+ORACLE.update({
+    "gate_report": GATE_REPORT,
+    "gate_overview": f"SELECT gate, bool_and(passed) AS gate_passed, count(*) AS checks FROM ({GATE_REPORT}) GROUP BY gate",
+    "readiness_verdict": (f"SELECT coalesce(bool_and(passed), false) AS production_ready, "
+                          f"count(*) FILTER (WHERE NOT passed) AS failed_checks FROM ({GATE_REPORT})"),
+    "document_group_rates": f"""WITH j AS (SELECT d.doc_id, d.lang, d.n_chars, l.quality,
+        CAST(d.n_chars >= 2000 AS INTEGER) AS prediction FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+      c AS (SELECT lang, count(*) FILTER (WHERE quality = 0 AND prediction = 0) AS tn,
+        count(*) FILTER (WHERE quality = 0 AND prediction = 1) AS fp,
+        count(*) FILTER (WHERE quality = 1 AND prediction = 0) AS fn,
+        count(*) FILTER (WHERE quality = 1 AND prediction = 1) AS tp, count(*) AS samples FROM j GROUP BY lang)
+      SELECT lang, samples, tn, fp, fn, tp, {zdiv("fp", "fp + tn")} AS false_positive_rate,
+        {zdiv("fn", "fn + tp")} AS false_negative_rate, {zdiv("tp", "tp + fn")} AS true_positive_rate FROM c""",
+    "document_class_balance": rule_rows_sql(
+        "j", "document_labels",
+        [("row_count", "'table'", "n", "1", "'>='", "n >= 1", "n", "NULL"),
+         ("in_set", "'quality'", "(CAST(sv0 AS DOUBLE) / NULLIF(sc0, 0))", "0.0", "'<='",
+          "coalesce((CAST(sv0 AS DOUBLE) / NULLIF(sc0, 0)) <= 0.0, sc0 = 0)", "sc0", "sv0"),
+         ("min_class_share", "'quality'", "s", P.MIN_CLASS_SHARE, "'>='",
+          f"coalesce(s >= {P.MIN_CLASS_SHARE}, s IS NULL) AND coalesce(nk, 0) >= 1", "total", "NULL")],
+        ["count(*) FILTER (WHERE quality IS NOT NULL) AS sc0",
+         "count(*) FILTER (WHERE quality IS NOT NULL AND NOT coalesce(quality IN (0, 1), false)) AS sv0"],
+        "quality",
+        "j AS (SELECT d.doc_id, d.lang, d.n_chars, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"),
+})

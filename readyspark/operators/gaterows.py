@@ -53,6 +53,8 @@ class GateRow:
         threshold = _lit(self.threshold, "double")
         if self.passed is None and self.comparison is not None:
             passed = compare(value, self.comparison, threshold)
+        elif self.passed is None:
+            passed = F.lit(True)  # an informational row is not a check
         else:
             passed = _lit(self.passed, "boolean")
         return F.struct(

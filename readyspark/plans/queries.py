@@ -178,3 +178,209 @@ QUERIES = {
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum slice: raw rule rows and prepared rule rows of one run."""
     return q_rule_suite_raw(spark, sf_dir).unionByName(q_rule_suite_prepared(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- split, metrics, gates
+
+from readyspark.operators import gates as G  # noqa: E402
+from readyspark.operators import metrics as M  # noqa: E402
+from readyspark.operators import split as S  # noqa: E402
+from readyspark.operators import variants as V  # noqa: E402
+from readyspark.operators.score import CREDIT_SCORECARD, label_text, score  # noqa: E402
+
+KEY = "app_id"
+
+
+def split_table(spark, sf_dir):
+    return S.stratified_split(prepared(spark, sf_dir), P.TARGET, KEY, P.TEST_SIZE, P.SEED)
+
+
+def test_rows(spark, sf_dir):
+    return split_table(spark, sf_dir).where(F.col("split") == "test").drop("split")
+
+
+def train_rows(spark, sf_dir):
+    return split_table(spark, sf_dir).where(F.col("split") == "train").drop("split")
+
+
+def scored_test(spark, sf_dir):
+    return score(test_rows(spark, sf_dir), CREDIT_SCORECARD)
+
+
+def q_exact_split(spark, sf_dir):
+    return split_table(spark, sf_dir).select(KEY, P.TARGET, "split")
+
+
+def q_split_summary(spark, sf_dir):
+    return (split_table(spark, sf_dir).groupBy("split", P.TARGET).agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_stratified_folds(spark, sf_dir):
+    tr = train_rows(spark, sf_dir)
+    return S.stratified_folds(tr, P.TARGET, KEY, P.N_FOLDS, P.SEED).select(KEY, P.TARGET, "fold")
+
+
+def q_majority_baseline(spark, sf_dir):
+    st = split_table(spark, sf_dir)
+    return M.majority_baseline(st.where(F.col("split") == "train"), st.where(F.col("split") == "test"), P.TARGET)
+
+
+def q_class_weights(spark, sf_dir):
+    return M.class_weights(train_rows(spark, sf_dir), P.TARGET)
+
+
+def q_confusion(spark, sf_dir):
+    return M.confusion(scored_test(spark, sf_dir), P.TARGET, "prediction")
+
+
+def q_classification_metrics(spark, sf_dir):
+    return M.classification_metrics(scored_test(spark, sf_dir), P.TARGET, "prediction", "p_bad")
+
+
+def q_roc_auc(spark, sf_dir):
+    return M.roc_auc(scored_test(spark, sf_dir), P.TARGET, "p_bad")
+
+
+def q_group_rates(spark, sf_dir):
+    return G.group_rates(scored_test(spark, sf_dir), P.SENSITIVE, P.TARGET, "prediction")
+
+
+def q_separation_gap(spark, sf_dir):
+    return G.fairness_gate(scored_test(spark, sf_dir), P.SENSITIVE, P.TARGET, "prediction")
+
+
+def _performance(spark, sf_dir):
+    st = split_table(spark, sf_dir)
+    sc = score(st.where(F.col("split") == "test"), CREDIT_SCORECARD)
+    metrics = M.classification_metrics(sc, P.TARGET, "prediction", "p_bad")
+    base = M.majority_baseline(st.where(F.col("split") == "train"), st.where(F.col("split") == "test"), P.TARGET)
+    return G.performance_gate(metrics, base)
+
+
+def q_performance_gate(spark, sf_dir):
+    return _performance(spark, sf_dir)
+
+
+def q_scorecard_scoring(spark, sf_dir):
+    sc = label_text(score(prepared(spark, sf_dir).drop(P.TARGET), CREDIT_SCORECARD))
+    return sc.select(KEY, "p_bad", "prediction", "prediction_label", "probability_good", "probability_bad")
+
+
+def _variant_rows(spark, sf_dir, changes, mask=None):
+    t = test_rows(spark, sf_dir)
+    cols = [KEY] + [c for c in changes]
+    if mask is not None:  # the mask reads the values before the move
+        t = t.withColumn("mask", mask)
+        cols.append("mask")
+    return V.apply_variant(t, changes).select(*cols)
+
+
+def q_perturbed_rows(spark, sf_dir):
+    return _variant_rows(spark, sf_dir, V.perturbation(KEY))
+
+
+def q_inflated_rows(spark, sf_dir):
+    return _variant_rows(spark, sf_dir, V.inflation())
+
+
+def q_duration_shift(spark, sf_dir):
+    return _variant_rows(spark, sf_dir, V.duration_increase())
+
+
+def q_checking_shift(spark, sf_dir):
+    ch, mask = V.category_move("checking_status", P.CHECKING_IMPROVEMENT, P.CHECKING_MOVABLE)
+    return _variant_rows(spark, sf_dir, ch, mask)
+
+
+def q_savings_shift(spark, sf_dir):
+    ch, mask = V.category_move("savings_status", P.SAVINGS_DETERIORATION, P.SAVINGS_MOVABLE)
+    return _variant_rows(spark, sf_dir, ch, mask)
+
+
+def _variant_scores(spark, sf_dir):
+    variants = V.robustness_variants(KEY) + V.metamorphic_variants()
+    return V.score_variants(test_rows(spark, sf_dir), CREDIT_SCORECARD, variants, keep=[KEY, P.TARGET])
+
+
+def _directions():
+    return {v.name: v.direction for v in V.metamorphic_variants()}
+
+
+def q_robustness_gate(spark, sf_dir):
+    return G.robustness_gate(_variant_scores(spark, sf_dir), P.TARGET)
+
+
+def q_metamorphic_gate(spark, sf_dir):
+    return G.metamorphic_gate(_variant_scores(spark, sf_dir), _directions())
+
+
+def gate_rows(spark, sf_dir):
+    vs = _variant_scores(spark, sf_dir)
+    return G.report([
+        q_rule_suite_raw(spark, sf_dir),
+        q_rule_suite_prepared(spark, sf_dir),
+        _performance(spark, sf_dir),
+        G.fairness_gate(scored_test(spark, sf_dir), P.SENSITIVE, P.TARGET, "prediction"),
+        G.robustness_gate(vs, P.TARGET),
+        G.metamorphic_gate(vs, _directions()),
+    ])
+
+
+def q_gate_report(spark, sf_dir):
+    return gate_rows(spark, sf_dir)
+
+
+def q_gate_overview(spark, sf_dir):
+    return G.overview(gate_rows(spark, sf_dir))
+
+
+def q_readiness_verdict(spark, sf_dir):
+    return G.verdict(gate_rows(spark, sf_dir))
+
+
+def _doc_scored(spark, sf_dir):
+    """documents with labels: quality as the label, a length rule as the
+    prediction, language as the group."""
+    spark = configure(spark)
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    j = d.join(lab, "doc_id")
+    return j.withColumn("prediction", (F.col("n_chars") >= 2000).cast("int"))
+
+
+def q_document_group_rates(spark, sf_dir):
+    return G.group_rates(_doc_scored(spark, sf_dir), "lang", "quality", "prediction")
+
+
+def q_document_class_balance(spark, sf_dir):
+    j = _doc_scored(spark, sf_dir)
+    return R.evaluate_rules(j, [R.RowCount(min_value=1), R.InSet("quality", (0, 1)),
+                                R.MinClassShare("quality", P.MIN_CLASS_SHARE)], "document_labels")
+
+
+QUERIES.update({
+    "exact_split": q_exact_split,
+    "split_summary": q_split_summary,
+    "stratified_folds": q_stratified_folds,
+    "majority_baseline": q_majority_baseline,
+    "class_weights": q_class_weights,
+    "confusion": q_confusion,
+    "classification_metrics": q_classification_metrics,
+    "roc_auc": q_roc_auc,
+    "group_rates": q_group_rates,
+    "separation_gap": q_separation_gap,
+    "performance_gate": q_performance_gate,
+    "scorecard_scoring": q_scorecard_scoring,
+    "perturbed_rows": q_perturbed_rows,
+    "inflated_rows": q_inflated_rows,
+    "duration_shift": q_duration_shift,
+    "checking_shift": q_checking_shift,
+    "savings_shift": q_savings_shift,
+    "robustness_gate": q_robustness_gate,
+    "metamorphic_gate": q_metamorphic_gate,
+    "gate_report": q_gate_report,
+    "gate_overview": q_gate_overview,
+    "readiness_verdict": q_readiness_verdict,
+    "document_group_rates": q_document_group_rates,
+    "document_class_balance": q_document_class_balance,
+})
