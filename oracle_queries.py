@@ -591,3 +591,20 @@ ORACLE.update({
         "quality",
         "j AS (SELECT d.doc_id, d.lang, d.n_chars, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"),
 })
+
+
+def _onehot_sql():
+    cats = {c: sorted(P.AGE_LABELS if c == "age_group" else P.ALLOWED_CATEGORIES[c]) for c in P.NOMINAL_FEATURES}
+    cols = ["app_id"] + [f"CAST(coalesce({c} = {q(v)}, false) AS INTEGER) AS {c}__{i}"
+                         for c, vals in cats.items() for i, v in enumerate(vals)]
+    return with_(SPLIT, f"SELECT {', '.join(cols)} FROM test")
+
+
+ORACLE.update({
+    "ordinal_encoding": with_(PREPARED, ", ".join([
+        "SELECT app_id",
+        f"CAST(coalesce(list_position({lst(P.EMPLOYMENT_ORDER)}, employment), 0) - 1 AS DOUBLE) AS employment_code",
+        f"CAST(coalesce(list_position({lst(P.JOB_ORDER)}, job), 0) - 1 AS DOUBLE) AS job_code"]) + " FROM prepared"),
+    "onehot_wide": _onehot_sql(),
+    "class_balance": rule_rows_sql("prepared", "class_balance", [_SHARE_ROW], [], "class", PREPARED),
+})

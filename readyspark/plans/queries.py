@@ -384,3 +384,73 @@ QUERIES.update({
     "document_group_rates": q_document_group_rates,
     "document_class_balance": q_document_class_balance,
 })
+
+
+# ---------------------------------------------------------------- learning, streaming
+
+from readyspark.operators import learn as L  # noqa: E402
+
+# small forest for the registered queries; the full search space is in presets
+QUERY_FOREST = {"n_estimators": 20, "max_depth": 5, "min_samples_leaf": 1,
+                "max_features": "sqrt", "bootstrap": True}
+
+
+def q_ordinal_encoding(spark, sf_dir):
+    enc = L.ordinal_codes(prepared(spark, sf_dir))
+    return enc.select(KEY, "employment_code", "job_code")
+
+
+def q_onehot_wide(spark, sf_dir):
+    st = split_table(spark, sf_dir)
+    cats = L.onehot_categories(st.where(F.col("split") == "train"), P.NOMINAL_FEATURES)
+    return L.onehot_wide(st.where(F.col("split") == "test"), cats, KEY)
+
+
+def q_class_balance(spark, sf_dir):
+    return R.evaluate_rules(prepared(spark, sf_dir), [R.MinClassShare(P.TARGET, P.MIN_CLASS_SHARE)],
+                            "class_balance")
+
+
+def q_forest_scores(spark, sf_dir):
+    st = split_table(spark, sf_dir)
+    train = st.where(F.col("split") == "train").drop("split", P.SENSITIVE)
+    model = L.fit_forest(train, P.TARGET, QUERY_FOREST, exclude=[KEY])
+    return score(st.where(F.col("split") == "test").drop("split"), model).select(KEY, P.TARGET, "p_bad", "prediction")
+
+
+def q_search_results(spark, sf_dir):
+    tr = train_rows(spark, sf_dir)
+    folds = S.stratified_folds(tr, P.TARGET, KEY, 2, P.SEED).drop(P.SENSITIVE)
+    cands = [dict(c, n_estimators=10, max_depth=min(c["max_depth"] or 5, 5))
+             for c in L.sample_candidates(P.PARAM_SPACE, 2, P.SEED)]
+    return L.search(folds, P.TARGET, "fold", cands, exclude=[KEY], parallelism=2)
+
+
+def q_stream_scores(spark, sf_dir):
+    """X2 over the applications: the test rows are landed as Parquet files in
+    the shared checkpoint folder, drained by the streaming scorer, read back."""
+    import os
+    import uuid
+
+    from readyspark.session import ensure_checkpoint_dir
+    from readyspark.streaming.scoring import run_stream_scoring
+    spark = configure(spark)
+    base = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    src = os.path.join(base, "in")
+    rows = _dirty(spark, sf_dir).drop(P.TARGET)
+    rows.write.parquet(src)
+    numeric = [c for c in P.NUMERIC_COLUMNS]
+    paths = run_stream_scoring(spark, src, rows.schema, CREDIT_SCORECARD, os.path.join(base, "out"),
+                               os.path.join(base, "ckpt"), required=numeric + list(P.ALLOWED_CATEGORIES),
+                               numeric=numeric, keep=[KEY])
+    return spark.read.parquet(paths["scored"])
+
+
+QUERIES.update({
+    "ordinal_encoding": q_ordinal_encoding,
+    "onehot_wide": q_onehot_wide,
+    "class_balance": q_class_balance,
+    "forest_scores": q_forest_scores,
+    "search_results": q_search_results,
+    "stream_scores": q_stream_scores,
+})
