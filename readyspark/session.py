@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # call-site capture costs several JVM round trips per Column call while a
+    # plan is being built; error messages still name the failing expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
