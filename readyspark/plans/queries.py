@@ -315,15 +315,11 @@ def q_metamorphic_gate(spark, sf_dir):
 
 
 def gate_rows(spark, sf_dir):
-    vs = _variant_scores(spark, sf_dir)
-    return G.report([
-        q_rule_suite_raw(spark, sf_dir),
-        q_rule_suite_prepared(spark, sf_dir),
-        _performance(spark, sf_dir),
-        G.fairness_gate(scored_test(spark, sf_dir), P.SENSITIVE, P.TARGET, "prediction"),
-        G.robustness_gate(vs, P.TARGET),
-        G.metamorphic_gate(vs, _directions()),
-    ])
+    """W1 + W3 with the scorecard: the prepared and split table is built once
+    (checkpointed) and every gate reads it."""
+    from readyspark.plans.flows import prepare, readiness
+    prep = prepare(_dirty(spark, sf_dir), KEY, raise_on_failure=False)
+    return readiness(prep, KEY, params={}, scorer=CREDIT_SCORECARD)["gate_rows"]
 
 
 def q_gate_report(spark, sf_dir):

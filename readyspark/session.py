@@ -19,6 +19,11 @@ RUNTIME_CONF = {
 
 DEFAULT_CONF = {
     **RUNTIME_CONF,
+    # AQE merges small shuffle partitions; the per-row work after the first
+    # shuffles (trimming, parsing, scoring) is CPU-bound, so keep partitions
+    # from being merged below this size (a lower bound only: large inputs
+    # still get large partitions)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
