@@ -608,3 +608,38 @@ ORACLE.update({
     "onehot_wide": _onehot_sql(),
     "class_balance": rule_rows_sql("prepared", "class_balance", [_SHARE_ROW], [], "class", PREPARED),
 })
+
+
+# ------------------------------------------------------------------ shape summary, stream scoring
+
+_SPARK_TYPE = ("CASE {t} WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+               "WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' ELSE lower({t}) END")
+
+
+def _shape_sql():
+    cols = " UNION ALL ".join(
+        f"SELECT 'column' AS kind, {q(c)} AS name, {_SPARK_TYPE.format(t=f'typeof(any_value({c}))')} AS type, "
+        f"count(*) AS rows FROM dirty" for c in APP_COLS)
+    target = ("SELECT 'target_value' AS kind, CAST(class AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS type, "
+              "count(*) AS rows FROM dirty WHERE class IS NOT NULL GROUP BY class")
+    return with_(DIRTY, f"{cols} UNION ALL {target}")
+
+
+def _stream_sql():
+    doubles = [c for c in P.NUMERIC_COLUMNS if c != "duration"]
+    required = list(P.NUMERIC_COLUMNS) + list(P.ALLOWED_CATEGORIES)
+    ok = [f"{c} IS NOT NULL" + (f" AND NOT isnan({c})" if c in doubles else "") for c in required]
+    ok.append(f"({_num('duration', True)}) IS NOT NULL")
+    feats = {
+        "duration": "CAST(duration AS DOUBLE)",
+        "high_risk_financial_status": FEATURE_EXPRS["high_risk_financial_status"],
+    }
+    p = scorecard_sql(cols=feats)
+    cut = CREDIT_SCORECARD.cutoff
+    return with_(DIRTY + f",\nv AS (SELECT * FROM dirty WHERE {' AND '.join(ok)}),\ns AS (SELECT app_id, {p} AS p_bad FROM v)",
+                 f"SELECT app_id, p_bad, CAST(p_bad >= {cut} AS INTEGER) AS prediction, "
+                 f"CASE WHEN p_bad >= {cut} THEN 'bad' ELSE 'good' END AS prediction_label, "
+                 "1.0 - p_bad AS probability_good, p_bad AS probability_bad FROM s")
+
+
+ORACLE.update({"shape_summary": _shape_sql(), "stream_scores": _stream_sql()})

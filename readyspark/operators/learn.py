@@ -22,6 +22,7 @@ from readyspark import presets as P
 from readyspark.operators.features import numeric_columns
 from readyspark.operators.metrics import METRICS, confusion, rate_columns, roc_auc, with_class_weights
 from readyspark.operators.score import score
+from readyspark.session import cut_lineage
 
 # Spark refuses trees deeper than 30; "no limit" maps to the deepest allowed
 MAX_DEPTH_UNLIMITED = 30
@@ -155,6 +156,9 @@ def search(train: DataFrame, label: str, fold_col: str, candidates: Sequence[Map
     preds = parts[0]
     for p in parts[1:]:
         preds = preds.unionByName(p)
+    # predictions of all fits feed two aggregates; write them once so neither
+    # a second pass nor a lost executor re-runs any model
+    preds = cut_lineage(preds)
     conf = confusion(preds, label, "prediction", ["candidate", "fold"])
     rates = rate_columns()
     per_fold = conf.select("candidate", "fold", *[rates[m].alias(m) for m in METRICS if m != "roc_auc"])

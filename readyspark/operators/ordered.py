@@ -27,11 +27,14 @@ from readyspark.session import cut_lineage
 BROADCAST_ROWS = 200_000
 # target rows per bucket: one bucket of one group is what a window task sorts
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 16_384
+# hash buckets are top bits of a 32-bit hash: up to 2^20 of them
+MAX_HASH_BUCKETS = 1 << 20
+# value buckets come from one sketch holding their edges: keep that array modest
+MAX_VALUE_BUCKETS = 16_384
 
 
-def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return int(max(1, min(MAX_BUCKETS, math.ceil(rows / max(1, rows_per_bucket)))))
+def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, cap: int = MAX_HASH_BUCKETS) -> int:
+    return int(max(1, min(cap, math.ceil(rows / max(1, rows_per_bucket)))))
 
 
 def hash_bucket(h: Column, n_buckets: int) -> Column:
@@ -44,9 +47,11 @@ def value_buckets(df: DataFrame, value_col: str, n_buckets: int, out: str = "_bu
                   accuracy: int = 10_000) -> DataFrame:
     """Add a bucket that is monotone in ``value_col``; edges come from one
     mergeable approximate-quantile sketch (bounded memory, one small result)."""
+    n_buckets = min(n_buckets, MAX_VALUE_BUCKETS)
     if n_buckets <= 1:
         return df.withColumn(out, F.lit(0.0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
+    accuracy = max(accuracy, 4 * n_buckets)  # rank error well below one bucket
     edges = df.agg(F.percentile_approx(F.col(value_col).cast("double"), probs, accuracy).alias("e")).first()["e"]
     edges = sorted({float(e) for e in (edges or []) if e is not None and not math.isnan(e)})
     if not edges:

@@ -66,7 +66,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only a local-mode session without the setting (tests, a laptop) gets a
     fresh folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session: the server side owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()

@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from tests.conftest import SF0001
 from tests.oracle_compare import compare, duck
 
-ROWS_ONLY = {"shape_summary", "forest_scores", "search_results", "stream_scores"}
+ROWS_ONLY = {"forest_scores", "search_results"}
 
 
 def test_entry_runs(spark):
