@@ -141,6 +141,8 @@ def search(train: DataFrame, label: str, fold_col: str, candidates: Sequence[Map
     (ties: earlier candidate first). Fits run through a small thread pool;
     each fit is itself a distributed Spark job.
     """
+    # every fit reads the training rows again: read them from one written copy
+    train = cut_lineage(train)
     folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
     jobs = [(i, c, f) for i, c in enumerate(candidates) for f in folds]
 
