@@ -643,3 +643,19 @@ def _stream_sql():
 
 
 ORACLE.update({"shape_summary": _shape_sql(), "stream_scores": _stream_sql()})
+
+
+def _ordered_crosstabs_sql():
+    from readyspark.plans.queries import ORDERED_PROFILES
+    parts = []
+    for feature, order in ORDERED_PROFILES:
+        pos = f"list_position({lst([float(v) for v in order] if not isinstance(order[0], str) else order)}, {feature})"
+        cat = f"CAST({feature} AS VARCHAR)" if isinstance(order[0], str) else f"CAST(CAST({feature} AS BIGINT) AS VARCHAR)"
+        parts.append(f"""SELECT {q(feature)} AS feature, {cat} AS category, CAST({pos} AS BIGINT) AS position, class,
+            count(*) AS n FROM clean WHERE {pos} IS NOT NULL AND class IS NOT NULL GROUP BY ALL""")
+    cells = " UNION ALL ".join(parts)
+    return with_(CLEAN + f",\ncells AS ({cells})",
+                 f"SELECT feature, category, position, class, n, {r6('n / sum(n) OVER (PARTITION BY feature, category)')} AS share FROM cells")
+
+
+ORACLE["ordered_crosstabs"] = _ordered_crosstabs_sql()

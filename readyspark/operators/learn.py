@@ -39,11 +39,21 @@ def ordinal_codes(df: DataFrame, ordinal: Mapping[str, Sequence[str]] = P.ORDINA
     return df.withColumns({f"{c}_code": F.expr(ordinal_expr(c, order)) for c, order in ordinal.items()})
 
 
-def onehot_categories(train: DataFrame, columns: Sequence[str]) -> dict:
+MAX_CATEGORIES = 10_000
+
+
+def onehot_categories(train: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict:
     """Fitted categories per column: the sorted distinct non-null training
-    values (one small row set per column)."""
-    return {c: sorted(r[0] for r in train.where(F.col(c).isNotNull()).select(c).distinct().collect())
-            for c in columns}
+    values. Only a bounded list reaches the driver: a column with more than
+    ``max_categories`` values is refused rather than collected."""
+    out = {}
+    for c in columns:
+        vals = [r[0] for r in train.where(F.col(c).isNotNull()).select(c).distinct()
+                .limit(max_categories + 1).collect()]
+        if len(vals) > max_categories:
+            raise ValueError(f"{c} has more than {max_categories} categories; not a one-hot column")
+        out[c] = sorted(vals)
+    return out
 
 
 def onehot_wide(df: DataFrame, categories: Mapping[str, Sequence[str]], key: str) -> DataFrame:

@@ -47,14 +47,36 @@ def crosstab_wide(df: DataFrame, row: str, col: str, values: Sequence) -> DataFr
     return wide.select(row, *[(F.col(f"`{v}`") / total).alias(str(v)) for v in values])
 
 
+def ordered_crosstabs(df: DataFrame, orders: Sequence[tuple[str, Sequence]], col: str) -> DataFrame:
+    """A3 for several declared-order features in one pass.
+
+    Every row is exploded into one (feature, category, position) entry per
+    feature, values outside a feature's order are dropped, and a single
+    partial aggregate counts all cells; shares come from a window over the
+    small cell table. Output: feature, category (text), position (1-based), col, n, share.
+    """
+    entries = []
+    for feature, order in orders:
+        kept, position = ordered_category(feature, order)
+        text = kept if isinstance(order[0], str) else kept.cast("bigint")
+        entries.append(F.struct(F.lit(feature).alias("feature"), text.cast("string").alias("category"),
+                                position.alias("position")))
+    exploded = df.select(F.col(col), F.explode(F.array(*entries)).alias("_e")).select("_e.*", col)
+    cells = (exploded.where(F.col("position").isNotNull() & F.col(col).isNotNull())
+                     .groupBy("feature", "category", "position", col).agg(F.count(F.lit(1)).alias("n")))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("feature", "category"))
+    return cells.withColumn("share", share)
+
+
 def ordered_crosstab(df: DataFrame, row: str, order: Sequence, col: str) -> DataFrame:
-    """A3: cross table of a declared-order category; values outside the order
+    """A3: cross table of one declared-order category; values outside the order
     are dropped, ``position`` (1-based) gives the row order."""
     kept, position = ordered_category(row, order)
     coerced = df.select(kept.alias(row), position.alias("position"), F.col(col))
-    out = crosstab_share(coerced.where(F.col(row).isNotNull()), row, col)
-    positions = coerced.select(row, "position").where(F.col(row).isNotNull()).distinct()
-    return out.join(F.broadcast(positions), on=row).orderBy("position", col)
+    cells = (coerced.where(F.col(row).isNotNull() & F.col(col).isNotNull())
+                    .groupBy(row, "position", col).agg(F.count(F.lit(1)).alias("n")))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy(row))
+    return cells.withColumn("share", share).orderBy("position", col)
 
 
 def group_describe(df: DataFrame, group: str, column: str) -> DataFrame:

@@ -51,11 +51,11 @@ def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True) -> Prepared
 
 
 def experiment(prep: Prepared, key: str, n_iter: int = P.SEARCH_ITERATIONS, k: int = P.N_FOLDS,
-               parallelism: int = 4) -> tuple[DataFrame, dict]:
+               parallelism: int = 4, space=P.PARAM_SPACE) -> tuple[DataFrame, dict]:
     """W1 then the cross-validated search; returns results and best parameters."""
     folds = S.stratified_folds(prep.train, P.TARGET, key, k, P.SEED)
     train = folds.drop(P.SENSITIVE)  # the sensitive column never reaches the learner
-    cands = L.sample_candidates(P.PARAM_SPACE, n_iter, P.SEED)
+    cands = L.sample_candidates(space, n_iter, P.SEED)
     results = L.search(train, P.TARGET, "fold", cands, exclude=[key], parallelism=parallelism)
     results = cut_lineage(results)
     return results, L.best_candidate(results, cands)

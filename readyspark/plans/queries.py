@@ -117,6 +117,16 @@ def q_ordered_crosstab(spark, sf_dir):
     return finish(PR.ordered_crosstab(cleaned(spark, sf_dir), "employment", P.EMPLOYMENT_ORDER, P.TARGET))
 
 
+ORDERED_PROFILES = [("employment", P.EMPLOYMENT_ORDER), ("checking_status", P.CHECKING_ORDER),
+                    ("savings_status", P.SAVINGS_ORDER), ("job", P.JOB_ORDER),
+                    ("installment_commitment", P.INSTALLMENT_ORDER)]
+
+
+def q_ordered_crosstabs(spark, sf_dir):
+    """A3 for all five declared orders, as one long table from one aggregate."""
+    return finish(PR.ordered_crosstabs(cleaned(spark, sf_dir), ORDERED_PROFILES, P.TARGET))
+
+
 def q_group_describe(spark, sf_dir):
     return finish(PR.group_describe(cleaned(spark, sf_dir), P.TARGET, "credit_amount"))
 
@@ -164,6 +174,7 @@ QUERIES = {
     "value_counts": q_value_counts,
     "crosstab_share": q_crosstab_share,
     "ordered_crosstab": q_ordered_crosstab,
+    "ordered_crosstabs": q_ordered_crosstabs,
     "group_describe": q_group_describe,
     "group_quartiles": q_group_quartiles,
     "histogram": q_histogram,
