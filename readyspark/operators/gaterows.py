@@ -21,6 +21,22 @@ GATE_SCHEMA = ("gate string, metric string, subject string, value double, thresh
                "comparison string, passed boolean, cases long, violations long")
 
 
+class E(str):
+    """A SQL expression (as opposed to a plain text literal) in a GateRow field."""
+
+
+def _sql_lit(v: Any, dtype: str) -> str:
+    if isinstance(v, E):
+        return f"CAST(({v}) AS {dtype})"
+    if v is None:
+        return f"CAST(NULL AS {dtype})"
+    if isinstance(v, bool):
+        return f"CAST({'true' if v else 'false'} AS {dtype})"
+    if isinstance(v, (int, float)):
+        return f"CAST({float(v)!r} AS {dtype})" if dtype == "double" else f"CAST({v!r} AS {dtype})"
+    return "CAST('" + str(v).replace("\\", "\\\\").replace("'", "\\'") + f"' AS {dtype})"
+
+
 def _lit(v: Any, dtype: str) -> Column:
     if isinstance(v, Column):
         return v.cast(dtype)
@@ -70,8 +86,33 @@ class GateRow:
         )
 
 
+    def is_sql(self) -> bool:
+        return not any(isinstance(v, Column) for v in
+                       (self.value, self.threshold, self.passed, self.subject, self.cases, self.violations))
+
+    def sql(self) -> str:
+        value = _sql_lit(self.value, "double")
+        threshold = _sql_lit(self.threshold, "double")
+        if self.passed is None and self.comparison is not None:
+            passed = f"({value} {'=' if self.comparison == '==' else self.comparison} {threshold})"
+        elif self.passed is None:
+            passed = "true"
+        else:
+            passed = _sql_lit(self.passed, "boolean")
+        fields = [("gate", _sql_lit(self.gate, "string")), ("metric", _sql_lit(self.metric, "string")),
+                  ("subject", _sql_lit(self.subject, "string")), ("value", value), ("threshold", threshold),
+                  ("comparison", _sql_lit(self.comparison, "string")),
+                  ("passed", f"coalesce({passed}, false)"), ("cases", _sql_lit(self.cases, "bigint")),
+                  ("violations", _sql_lit(self.violations, "bigint"))]
+        return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields) + ")"
+
+
 def rows_from(one_row: DataFrame, rows: list[GateRow]) -> DataFrame:
-    """Unpivot GateRow specs evaluated on a one-row DataFrame into gate rows."""
+    """Unpivot GateRow specs evaluated on a one-row DataFrame into gate rows.
+    Rows given as SQL are built as one expression (one parse, not one JVM call
+    per field)."""
+    if all(r.is_sql() for r in rows):
+        return one_row.selectExpr(f"inline(array({', '.join(r.sql() for r in rows)}))").select(*GATE_COLUMNS)
     return one_row.select(F.inline(F.array(*[r.struct() for r in rows]))).select(*GATE_COLUMNS)
 
 

@@ -63,8 +63,10 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "p_bad",
                    .groupBy(*group_cols, s.alias("_s"))
                    .agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg")))
     per_score = cut_lineage(per_score)  # feeds the sketch, the offsets and the sum
-    per_score = value_buckets(per_score, "_s", bucket_count(per_score.count(), rows_per_bucket))
-    ranked = running_sum(per_score, group_cols, "_bucket", ["_s"], weight=F.col("_neg"))
+    n_buckets = bucket_count(per_score.count(), rows_per_bucket)
+    per_score = value_buckets(per_score, "_s", n_buckets)
+    ranked = running_sum(per_score, group_cols, "_bucket", ["_s"], weight=F.col("_neg"),
+                         single_bucket=n_buckets == 1)
     twice = F.col("_pos") * (2 * F.col("_before") + F.col("_neg"))
     agg = [F.sum(twice).alias("_num2"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n")]
     out = ranked.groupBy(*group_cols).agg(*agg) if group_cols else ranked.agg(*agg)

@@ -64,15 +64,22 @@ def value_buckets(df: DataFrame, value_col: str, n_buckets: int, out: str = "_bu
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], bucket_col: str, order_cols: Sequence,
                 weight: Column | None = None, out_before: str = "_before",
-                out_through: str = "_through") -> DataFrame:
+                out_through: str = "_through", single_bucket: bool = False) -> DataFrame:
     """Exact running sum of ``weight`` (default 1) within ``group_cols`` in
     ``order_cols`` order; ``bucket_col`` must be non-decreasing along that order.
 
     Adds ``_before`` (sum over earlier rows) and ``_through`` (including this row).
+    ``single_bucket``: the caller sized the data to one bucket per group (at most
+    ``ROWS_PER_BUCKET`` rows), so every offset is 0 and the offsets job is skipped.
     """
     group_cols = list(group_cols)
     w = weight if weight is not None else F.lit(1)
     data = df.withColumn("_w", w.cast("long"))
+    if single_bucket:
+        within = (Window.partitionBy(*group_cols).orderBy(*order_cols)
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return (data.withColumn(out_through, F.sum("_w").over(within))
+                    .withColumn(out_before, F.col(out_through) - F.col("_w")).drop("_w"))
     totals = data.groupBy(*group_cols, bucket_col).agg(F.sum("_w").alias("_bt"))
     prior = Window.partitionBy(*group_cols).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group_cols, bucket_col,
@@ -116,9 +123,9 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, pr
     # the value table feeds several small jobs (size, sketch, offsets, ranks):
     # write it once to the shared checkpoint folder instead of recomputing it
     vals = cut_lineage(vals)
-    n_distinct = vals.count()
-    vals = value_buckets(vals, "_v", bucket_count(n_distinct, rows_per_bucket))
-    ranked = running_sum(vals, group_cols, "_bucket", ["_v"], weight=F.col("_cnt"))
+    n_buckets = bucket_count(vals.count(), rows_per_bucket)
+    vals = value_buckets(vals, "_v", n_buckets)
+    ranked = running_sum(vals, group_cols, "_bucket", ["_v"], weight=F.col("_cnt"), single_bucket=n_buckets == 1)
     sizes = vals.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"))
     pos = (F.col("_n") - 1) * F.col("p")
     targets = (sizes.select(*group_cols, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))

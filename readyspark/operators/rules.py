@@ -14,13 +14,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from readyspark import presets as P
-from readyspark.functions.exprs import is_nullish
-from readyspark.operators.gaterows import GateRow, rows_from
+from readyspark.operators.gaterows import E, GateRow, rows_from
 
 TABLE = "table"
 
@@ -80,20 +79,38 @@ class MinClassShare:
 class _Plan:
     gate: str
     types: dict
-    counters: dict = field(default_factory=dict)
+    counters: dict = field(default_factory=dict)  # name -> SQL aggregate
     rows: list = field(default_factory=list)
     share_column: str | None = None
 
-    def counter(self, name: str, expr: Column) -> Column:
-        self.counters[name] = expr
-        return F.coalesce(F.col(name), F.lit(0))
+    def counter(self, name: str, sql: str) -> str:
+        self.counters[name] = sql
+        return f"coalesce(`{name}`, 0)"
 
 
-def _set_membership(c: Column, dtype: T.DataType, values: Sequence[Any]) -> Column:
+def _q(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _lit_sql(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def _nullish_sql(column: str, dtype: T.DataType) -> str:
+    c = _q(column)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return f"({c} IS NULL OR isnan({c}))"
+    return f"({c} IS NULL)"
+
+
+def _membership_sql(column: str, dtype: T.DataType, values: Sequence[Any]) -> str:
+    c = _q(column)
     if isinstance(dtype, T.NumericType) and all(
             isinstance(v, (int, float)) and not isinstance(v, bool) for v in values):
-        return c.isin(list(values))
-    return c.cast("string").isin([str(v) for v in values])
+        return f"{c} IN ({', '.join(repr(v) for v in values)})"
+    return f"CAST({c} AS STRING) IN ({', '.join(_lit_sql(str(v)) for v in values)})"
 
 
 def _missing(plan: _Plan, metric: str, column: str, threshold=None, comparison=None):
@@ -103,14 +120,14 @@ def _missing(plan: _Plan, metric: str, column: str, threshold=None, comparison=N
 
 def _compile(plan: _Plan, i: int, rule) -> None:
     g, types = plan.gate, plan.types
-    n = F.coalesce(F.col("_n"), F.lit(0))
+    n = "coalesce(`_n`, 0)"
     if isinstance(rule, NonEmpty):
-        plan.rows.append(GateRow(g, "non_empty", n, 0, ">", subject=TABLE, cases=n))
+        plan.rows.append(GateRow(g, "non_empty", E(n), 0, ">", subject=TABLE, cases=E(n)))
     elif isinstance(rule, RowCount):
         if rule.min_value is not None:
-            plan.rows.append(GateRow(g, "row_count", n, rule.min_value, ">=", subject=TABLE, cases=n))
+            plan.rows.append(GateRow(g, "row_count", E(n), rule.min_value, ">=", subject=TABLE, cases=E(n)))
         if rule.max_value is not None:
-            plan.rows.append(GateRow(g, "row_count", n, rule.max_value, "<=", subject=TABLE, cases=n))
+            plan.rows.append(GateRow(g, "row_count", E(n), rule.max_value, "<=", subject=TABLE, cases=E(n)))
     elif isinstance(rule, ColumnExists):
         present = rule.column in types
         plan.rows.append(GateRow(g, "column_exists", 1.0 if present else 0.0, 1.0, "==",
@@ -122,45 +139,45 @@ def _compile(plan: _Plan, i: int, rule) -> None:
     elif isinstance(rule, NotNull):
         if rule.column not in types:
             return _missing(plan, "not_null", rule.column, rule.mostly, ">=")
-        filled = plan.counter(f"_c{i}", F.count_if(~is_nullish(rule.column, types[rule.column])))
-        share = F.try_divide(filled.cast("double"), n.cast("double"))
-        plan.rows.append(GateRow(g, "not_null", share, rule.mostly, ">=",
-                                 passed=F.coalesce(share >= F.lit(rule.mostly), n == 0),
-                                 subject=rule.column, cases=n, violations=n - filled))
+        filled = plan.counter(f"_c{i}", f"count_if(NOT {_nullish_sql(rule.column, types[rule.column])})")
+        share = f"try_divide(CAST({filled} AS DOUBLE), CAST({n} AS DOUBLE))"
+        plan.rows.append(GateRow(g, "not_null", E(share), rule.mostly, ">=",
+                                 passed=E(f"coalesce({share} >= {float(rule.mostly)!r}, {n} = 0)"),
+                                 subject=rule.column, cases=E(n), violations=E(f"{n} - {filled}")))
     elif isinstance(rule, (InSet, Between)):
         metric = "in_set" if isinstance(rule, InSet) else "between"
         if rule.column not in types:
             return _missing(plan, metric, rule.column, 1.0 - rule.mostly, "<=")
-        c = F.col(rule.column)
+        c = _q(rule.column)
         if isinstance(rule, InSet):
-            ok = _set_membership(c, types[rule.column], rule.values)
+            ok = _membership_sql(rule.column, types[rule.column], rule.values)
         else:
             conds = []
             if rule.min_value is not None:
-                conds.append(c > rule.min_value if rule.strict_min else c >= rule.min_value)
+                conds.append(f"{c} {'>' if rule.strict_min else '>='} {rule.min_value!r}")
             if rule.max_value is not None:
-                conds.append(c < rule.max_value if rule.strict_max else c <= rule.max_value)
-            ok = conds[0] if len(conds) == 1 else (conds[0] & conds[1]) if conds else F.lit(True)
-        present = ~is_nullish(rule.column, types[rule.column])
-        cases = plan.counter(f"_c{i}", F.count_if(present))
-        bad = plan.counter(f"_v{i}", F.count_if(present & ~F.coalesce(ok, F.lit(False))))
-        share = F.try_divide(bad.cast("double"), cases.cast("double"))
+                conds.append(f"{c} {'<' if rule.strict_max else '<='} {rule.max_value!r}")
+            ok = " AND ".join(conds) if conds else "true"
+        present = f"NOT {_nullish_sql(rule.column, types[rule.column])}"
+        cases = plan.counter(f"_c{i}", f"count_if({present})")
+        bad = plan.counter(f"_v{i}", f"count_if({present} AND NOT coalesce({ok}, false))")
+        share = f"try_divide(CAST({bad} AS DOUBLE), CAST({cases} AS DOUBLE))"
         limit = 1.0 - rule.mostly
-        plan.rows.append(GateRow(g, metric, share, limit, "<=",
-                                 passed=F.coalesce(share <= F.lit(limit), cases == 0),
-                                 subject=rule.column, cases=cases, violations=bad))
+        plan.rows.append(GateRow(g, metric, E(share), limit, "<=",
+                                 passed=E(f"coalesce({share} <= {limit!r}, {cases} = 0)"),
+                                 subject=rule.column, cases=E(cases), violations=E(bad)))
     elif isinstance(rule, MinClassShare):
         if rule.column not in types:
             return _missing(plan, "min_class_share", rule.column, rule.min_share, ">=")
         if plan.share_column not in (None, rule.column):
             raise ValueError("one suite can hold class-share rules on one column only")
         plan.share_column = rule.column
-        share = F.try_divide(F.col("_cls_min").cast("double"), F.col("_cls_total").cast("double"))
+        share = "try_divide(CAST(`_cls_min` AS DOUBLE), CAST(`_cls_total` AS DOUBLE))"
         # a missing share (no non-null class) passes, as the credit gates do
-        passed = (F.coalesce(share >= F.lit(rule.min_share), share.isNull())
-                  & (F.coalesce(F.col("_cls_k"), F.lit(0)) >= rule.min_classes))
-        plan.rows.append(GateRow(g, "min_class_share", share, rule.min_share, ">=", passed=passed,
-                                 subject=rule.column, cases=F.col("_cls_total")))
+        passed = (f"coalesce({share} >= {float(rule.min_share)!r}, {share} IS NULL) "
+                  f"AND coalesce(`_cls_k`, 0) >= {int(rule.min_classes)}")
+        plan.rows.append(GateRow(g, "min_class_share", E(share), rule.min_share, ">=", passed=E(passed),
+                                 subject=rule.column, cases=E("`_cls_total`")))
     else:
         raise TypeError(f"unknown rule {rule!r}")
 
@@ -168,16 +185,16 @@ def _compile(plan: _Plan, i: int, rule) -> None:
 def evaluate_rules(df: DataFrame, rules: Sequence, gate: str) -> DataFrame:
     """All rules of a suite from one fused aggregate, as gate rows."""
     plan = _Plan(gate, {f.name: f.dataType for f in df.schema.fields})
-    plan.counters["_n"] = F.count(F.lit(1))
+    plan.counters["_n"] = "count(1)"
     for i, rule in enumerate(rules):
         _compile(plan, i, rule)
     names = list(plan.counters)
+    aggs = [F.expr(f"{sql} AS `{k}`") for k, sql in plan.counters.items()]
     if plan.share_column is None:
-        one = df.agg(*[e.alias(k) for k, e in plan.counters.items()])
+        one = df.agg(*aggs)
     else:
         cls = F.col("_cls")
-        per_class = df.groupBy(F.col(plan.share_column).alias("_cls")).agg(
-            *[e.alias(k) for k, e in plan.counters.items()])
+        per_class = df.groupBy(F.col(plan.share_column).alias("_cls")).agg(*aggs)
         one = per_class.agg(
             *[F.sum(k).alias(k) for k in names],
             F.sum(F.when(cls.isNotNull(), F.col("_n"))).alias("_cls_total"),

@@ -55,7 +55,7 @@ def class_rank(df: DataFrame, label: str, key: str, salt: str, seed: int, max_cl
     ranked = df.withColumn("_h", h)
     n_buckets = bucket_count(max_class, rows_per_bucket)
     ranked = ranked.withColumn("_hb", hash_bucket(F.col("_h"), n_buckets))
-    ranked = running_sum(ranked, [label], "_hb", ["_h", key])
+    ranked = running_sum(ranked, [label], "_hb", ["_h", key], single_bucket=n_buckets == 1)
     return ranked.withColumn("_rank", F.col("_before")).drop("_before", "_through", "_hb")
 
 
