@@ -39,8 +39,9 @@ def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True) -> Prepared
     raw_rules = R.evaluate_rules(raw, R.raw_suite(raw.columns), "data_validation")
     if raise_on_failure:
         R.assert_rules(raw, R.raw_suite(raw.columns), "data_validation")
-    prepared = FE.encode_target(FE.feature_engineering(C.clean(raw)))
-    prepared = cut_lineage(prepared)
+    # written once: the strict target check, the rules and the split all read it
+    featured = cut_lineage(FE.feature_engineering(C.clean(raw)))
+    prepared = FE.encode_target(featured)
     prepared_rules = R.evaluate_rules(prepared, R.prepared_suite(), "data_post_processing")
     if raise_on_failure:
         R.assert_rules(prepared, R.prepared_suite(), "data_post_processing")
