@@ -84,3 +84,33 @@ def readiness(prep: Prepared, key: str, params: dict, scorer=None) -> dict:
         G.metamorphic_gate(vs, directions),
     ])
     return {"model": model, "scored": scored, "gate_rows": rows, "verdict": G.verdict(rows)}
+
+
+def run_readiness(raw: DataFrame, key: str, params: dict, out_dir: str, run_id: str,
+                  scorer=None) -> dict:
+    """The whole readiness run with its sinks: W1, W3, the JSON report (S5),
+    the metric history (S6) and publish-if-ready (S7).
+
+    ``out_dir`` is a shared folder: ``report/``, ``history/``, ``staging/`` and
+    ``published/`` (plus ``published_model/``) are written under it. Raises
+    when a gate fails; the report and the history are written first.
+    """
+    import os
+
+    from readyspark.sources import sinks
+
+    prep = prepare(raw, key, raise_on_failure=False)
+    out = readiness(prep, key, params, scorer)
+    rows = cut_lineage(out["gate_rows"])  # read by the report, the history and the audit
+    sinks.write_report(rows, os.path.join(out_dir, "report"))
+    history = rows.where(F.col("value").isNotNull()).select(
+        F.concat_ws(".", "gate", "metric", F.coalesce("subject", F.lit(""))).alias("metric"), "value")
+    sinks.append_metrics(history, os.path.join(out_dir, "history"), run_id)
+    params_rows = raw.sparkSession.createDataFrame([(str(k), float(v)) for k, v in params.items()
+                                                    if isinstance(v, (int, float)) and not isinstance(v, bool)],
+                                                   "metric string, value double")
+    sinks.append_metrics(params_rows, os.path.join(out_dir, "history"), run_id, kind="param")
+    model = None if scorer is not None else out["model"]
+    published = sinks.publish_if_ready(out["scored"], rows, os.path.join(out_dir, "staging"),
+                                       os.path.join(out_dir, "published"), model)
+    return {"gate_rows": rows, **published}

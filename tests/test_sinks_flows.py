@@ -61,3 +61,14 @@ def test_flows_prepare_experiment_readiness(spark):
     assert gates == {"data_validation", "data_post_processing", "performance", "fairness", "robustness",
                      "metamorphic"}
     assert P.SENSITIVE in prep.test.columns
+
+
+def test_run_readiness_writes_report_and_history_then_refuses(spark):
+    base = tempfile.mkdtemp(prefix="run-")
+    with pytest.raises(ValueError, match="not published"):
+        flows.run_readiness(Q._dirty(spark, SF0001), "app_id", {"n_estimators": 5}, base, "run-1",
+                            scorer=CREDIT_SCORECARD)
+    assert spark.read.json(os.path.join(base, "report")).count() > 0
+    hist = spark.read.parquet(os.path.join(base, "history"))
+    assert hist.where("kind = 'metric'").count() > 0 and hist.where("kind = 'param'").count() == 1
+    assert not os.path.exists(os.path.join(base, "published"))
