@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -87,6 +88,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and continue from that table.
+
+    Like ``checkpoint()`` this cuts the lineage (a lost executor never sends the
+    work back to the raw scans), but the copy is columnar and compressed, and
+    later reads prune columns and push filters into it.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        return df.checkpoint(eager=True)
+    path = base.rstrip("/") + "/tables/" + uuid.uuid4().hex
+    df.write.parquet(path)
+    return spark.read.parquet(path)
