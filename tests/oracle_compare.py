@@ -36,9 +36,14 @@ def _norm(v):
     return str(v)
 
 
+SPARK_OF_DUCK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "FLOAT": "float", "SMALLINT": "smallint", "TINYINT": "tinyint"}
+
+
 def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> dict:
     con = con or duck(sf_dir)
     sdf = fn(spark, sf_dir)
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
     s_cols = sorted(sdf.columns)
     s_rows = sorted(tuple(_norm(r[c]) for c in s_cols) for r in sdf.collect())
     rel = con.execute(sql)
@@ -51,8 +56,13 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> dict:
         out["ok"] = False
         out["why"] = "columns differ"
         return out
+    d_types = {d[0]: SPARK_OF_DUCK.get(str(d[1]).upper(), str(d[1]).lower()) for d in rel.description}
+    type_diff = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
     d_rows = sorted(tuple(_norm(r[idx[c]]) for c in s_cols) for r in d_data)
-    out["ok"] = s_rows == d_rows
+    out["ok"] = s_rows == d_rows and not type_diff
+    if type_diff:
+        out["why"] = {"types": type_diff}
+        return out
     if not out["ok"]:
         sa, da = set(s_rows), set(d_rows)
         out["why"] = {"only_spark": sorted(sa - da)[:3], "only_oracle": sorted(da - sa)[:3]}
