@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from readyspark.session import cut_lineage
 
-# rows of the small offsets table up to which it is broadcast
-BROADCAST_ROWS = 200_000
+# rows of an offsets/targets table up to which it is broadcast; such a row is a
+# few keys and one long (tens of bytes), so the bound is tens of megabytes
+BROADCAST_ROWS = 1_000_000
 # target rows per bucket: one bucket of one group is what a window task sorts
 ROWS_PER_BUCKET = 2_000_000
 # hash buckets are top bits of a 32-bit hash: up to 2^20 of them
