@@ -75,6 +75,9 @@ def score(df: DataFrame, scorer, p_col: str = "p_bad", pred_col: str = "predicti
     from pyspark.ml.functions import vector_to_array
     before = set(df.columns)
     out = scorer.transform(df)
+    if "probability" not in out.columns:
+        # the metamorphic and AUC checks need P(bad); fail here, not deep in a gate
+        raise ValueError("the scorer gives no class probabilities ('probability' column missing)")
     out = out.withColumn(p_col, vector_to_array("probability")[1]) \
              .withColumn("_pred", F.col("prediction").cast("int"))
     added = [c for c in out.columns if c not in before and c not in (p_col, "_pred")]
