@@ -99,8 +99,14 @@ def lookup(c, mapping: Mapping, keep_unknown: bool = True) -> Column:
 
 
 def pick(index, values: Sequence) -> Column:
-    """``values[index]`` for a 0-based integer column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (col_of(index) + 1).cast("int"))
+    """``values[index]`` for a 0-based integer column; null for a null index.
+
+    The explicit ``when`` matters: ``element_at`` over a literal array is typed
+    non-nullable, so without it the optimizer would fold null checks on the
+    result to false even where the index is null.
+    """
+    idx = (col_of(index) + 1).cast("int")
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in values]), idx))
 
 
 def hash32(*parts) -> Column:

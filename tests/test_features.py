@@ -52,3 +52,13 @@ def test_target_encoding(spark):
     for bad in ["invalid", None]:
         with pytest.raises(ValueError, match="invalid" if bad else "None"):
             encode_target(spark.createDataFrame([("good",), (bad,)], "class string"))
+
+
+def test_pick_keeps_null_index_null(spark):
+    from pyspark.sql import functions as F
+
+    from readyspark.functions.exprs import pick
+    df = spark.createDataFrame([(0,), (None,)], "i int")
+    out = df.select(pick("i", ["a", "b"]).alias("v"))
+    assert [r[0] for r in out.collect()] == ["a", None]
+    assert out.agg(F.count_if(F.col("v").isNull())).first()[0] == 1
