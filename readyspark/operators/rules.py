@@ -203,14 +203,18 @@ def evaluate_rules(df: DataFrame, rules: Sequence, gate: str) -> DataFrame:
     return rows_from(one, plan.rows)
 
 
-def assert_rules(df: DataFrame, rules: Sequence, gate: str) -> DataFrame:
-    """E9 with the stop: raise one error listing every failed rule, else return
-    ``df`` unchanged. Only the (small) gate rows reach the driver."""
-    rows = evaluate_rules(df, rules, gate)
-    failed = rows.where(~F.col("passed")).collect()
+def raise_on_failed(rows: DataFrame, gate: str) -> None:
+    """Raise one error listing every failed rule of evaluated gate rows."""
+    failed = rows.where(~F.col("passed")).collect()  # only failed gate rows reach the driver
     if failed:
         lines = [f"- {r['metric']} failed for {r['subject']} (value {r['value']})" for r in failed]
         raise ValueError(f"{gate} failed:\n" + "\n".join(lines))
+
+
+def assert_rules(df: DataFrame, rules: Sequence, gate: str) -> DataFrame:
+    """E9 with the stop: raise one error listing every failed rule, else return
+    ``df`` unchanged."""
+    raise_on_failed(evaluate_rules(df, rules, gate), gate)
     return df
 
 
