@@ -106,24 +106,39 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, on=cond, how=how).drop(*[f"_r_{k}" for k in keys])
 
 
+def value_table(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """Rows counted per (group, value): group columns, ``_v`` (double) and
+    ``_cnt``. Null and NaN values are left out.
+
+    The count is a partial aggregate, so repeated values leave each task as one
+    row. The table feeds several small jobs (size, sketch, offsets, ranks, and
+    the per-group statistics of the profiling operators), so it is written once
+    to the shared checkpoint folder: the input is read and shuffled only once.
+    """
+    v = F.col(value_col).cast("double")
+    vals = (df.where(v.isNotNull() & ~F.isnan(v))
+              .groupBy(*group_cols, v.alias("_v")).agg(F.count(F.lit(1)).alias("_cnt")))
+    return cut_lineage(vals)
+
+
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float],
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Exact quantiles with linear interpolation (x_lo + (x_hi - x_lo) * frac at
     position (n - 1) * p), per group, for data of any size and skew.
-
-    Values are first counted per (group, value), so repeated values cost one
-    row. Ranks come from :func:`running_sum`; the few wanted ranks per group
-    form a small table that is broadcast (after a size check) and matched by
-    rank range, so the big side is never shuffled by group.
     Output: group columns, ``p`` and ``value``.
     """
+    return counted_quantiles(value_table(df, group_cols, value_col), group_cols, probs, rows_per_bucket)
+
+
+def counted_quantiles(vals: DataFrame, group_cols: Sequence[str], probs: Sequence[float],
+                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """:func:`exact_quantiles` over a :func:`value_table`.
+
+    Ranks come from :func:`running_sum`; the few wanted ranks per group form a
+    small table that is broadcast (after a size check) and matched by rank
+    range, so the big side is never shuffled by group.
+    """
     group_cols = list(group_cols)
-    v = F.col(value_col).cast("double")
-    vals = (df.where(v.isNotNull() & ~F.isnan(v))
-              .groupBy(*group_cols, v.alias("_v")).agg(F.count(F.lit(1)).alias("_cnt")))
-    # the value table feeds several small jobs (size, sketch, offsets, ranks):
-    # write it once to the shared checkpoint folder instead of recomputing it
-    vals = cut_lineage(vals)
     n_buckets = bucket_count(vals.count(), rows_per_bucket)
     vals = value_buckets(vals, "_v", n_buckets)
     ranked = running_sum(vals, group_cols, "_bucket", ["_v"], weight=F.col("_cnt"), single_bucket=n_buckets == 1)

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readyspark.operators.features import ordered_category
-from readyspark.operators.ordered import exact_quantiles, null_safe_join
+from readyspark.operators.ordered import (BROADCAST_ROWS, counted_quantiles, exact_quantiles,
+                                          null_safe_join, value_table)
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -113,21 +114,20 @@ def histogram(df: DataFrame, group: str, column: str, bins: int) -> DataFrame:
     """Equal-width histogram per group over the group's own [min, max];
     the last bin is closed. A constant group gets the range [v - 0.5, v + 0.5].
 
-    Min/max per group is a table of one row per group joined back; AQE turns
-    that join into a broadcast at run time when the measured table is small,
-    and keeps a shuffle join otherwise. Counting per (group, bin) is a partial
-    aggregate.
+    The input is read once, into the (group, value, count) table; min/max per
+    group and the bin counts are aggregates over that table, so no input row is
+    joined back or shuffled by group. The min/max table (one row per group) is
+    broadcast after a size check.
     """
-    v = F.col(column).cast("double")
-    base = df.where(v.isNotNull()).select(F.col(group), v.alias("_v"))
-    rng = base.groupBy(group).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+    vals = value_table(df, [group], column)
+    rng = vals.groupBy(group).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
     rng = rng.select(group,
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
-    joined = null_safe_join(base, rng, [group])
+    joined = null_safe_join(vals, rng, [group], broadcast=rng.count() <= BROADCAST_ROWS)
     idx = F.floor((F.col("_v") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
     binned = joined.withColumn("bin", F.least(idx, F.lit(bins - 1)).cast("int"))
-    counts = binned.groupBy(group, "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
+    counts = binned.groupBy(group, "bin", "_lo", "_hi").agg(F.sum("_cnt").alias("n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     return counts.select(group, "bin",
                          (F.col("_lo") + F.col("bin") * width).alias("lower"),
@@ -137,27 +137,28 @@ def histogram(df: DataFrame, group: str, column: str, bins: int) -> DataFrame:
 def box_stats(df: DataFrame, column: str, group: str | None = None, whis: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the last value inside 1.5 IQR, outlier count.
 
-    Quartiles come from :func:`exact_quantiles`; fences are joined back per
-    group (small table) and one more partial aggregate finds the whiskers.
+    Quartiles, whiskers and counts all come from the (group, value, count)
+    table, so the input is read once. Fences (one row per group) are joined to
+    that table, broadcast after a size check, and one partial aggregate finds
+    the whiskers.
     """
     groups = [group] if group else ["_all"]
-    v = F.col(column).cast("double")
-    base = df.where(v.isNotNull()).select(F.col(group) if group else F.lit("all").alias("_all"), v.alias("_v"))
-    q = exact_quantiles(base, groups, "_v", QUARTILES)
+    base = df.select(F.col(group) if group else F.lit("all").alias("_all"), F.col(column).alias("_x"))
+    vals = value_table(base, groups, "_x")
+    q = counted_quantiles(vals, groups, QUARTILES)
     quart = q.groupBy(*groups).agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
         F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     quart = quart.withColumns({"_lf": F.col("q1") - iqr * whis, "_uf": F.col("q3") + iqr * whis})
-    # one row per group: broadcast when there is no grouping (one row), else AQE decides
-    joined = null_safe_join(base, quart, groups, broadcast=not group)
+    joined = null_safe_join(vals, quart, groups, broadcast=not group or quart.count() <= BROADCAST_ROWS)
     inside = (F.col("_v") >= F.col("_lf")) & (F.col("_v") <= F.col("_uf"))
     out = joined.groupBy(*groups, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
-        F.count(F.lit(1)).alias("n"))
+        F.coalesce(F.sum(F.when(~inside, F.col("_cnt"))), F.lit(0)).alias("outliers"),
+        F.sum("_cnt").alias("n"))
     return out if group else out.drop("_all")
 
 
