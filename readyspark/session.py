@@ -16,6 +16,11 @@ RUNTIME_CONF = {
     # the cleaning plans carry many aliased predicates over wide rows; inferring
     # constraints over them grows combinatorially in the optimizer, not at run time
     "spark.sql.constraintPropagation.enabled": "false",
+    # the fused cleaning and rule predicates generate one very large method per
+    # stage; the JVM never JIT-compiles a method above 8,000 bytes of bytecode,
+    # so such a stage would run interpreted (measured: about 2x slower). Above
+    # this size Spark keeps per-expression codegen, which splits the code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 DEFAULT_CONF = {
