@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readyspark.operators.ordered import bucket_count, running_sum, value_buckets, ROWS_PER_BUCKET
+from readyspark.operators.split import MAX_CLASSES
 from readyspark.session import cut_lineage
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "mcc"]
@@ -116,7 +117,9 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Attach the balanced weight to every row. The weight table has one row per
     class; it reaches the rows as a literal map, so the big side is not shuffled."""
-    rows = class_weights(df, label).collect()
+    rows = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes; not a class label")
     items = []
     for r in rows:
         items.extend([F.lit(r[label]), F.lit(float(r["weight"]))])

@@ -21,9 +21,17 @@ from readyspark.operators.ordered import bucket_count, hash_bucket, running_sum,
 from readyspark.session import cut_lineage
 
 
-def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class: one small aggregate, one row per class to the driver."""
-    return {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
+# classes whose quotas or weights may reach the driver; a label column with more
+# distinct values is not a class label, and is refused rather than collected
+MAX_CLASSES = 10_000
+
+
+def class_counts(df: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> dict:
+    """Rows per class: one small aggregate, at most ``max_classes`` rows to the driver."""
+    rows = df.groupBy(label).agg(F.count(F.lit(1))).limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{label} has more than {max_classes} classes; not a class label")
+    return {r[0]: r[1] for r in rows}
 
 
 def largest_remainder(counts: dict, total_take: int) -> dict:

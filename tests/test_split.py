@@ -1,8 +1,10 @@
 """Exact stratified split and folds (FIXTURES F6), repartition invariance."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from readyspark.operators.split import largest_remainder, stratified_folds, stratified_split
+import readyspark.operators.metrics as M
+from readyspark.operators.split import class_counts, largest_remainder, stratified_folds, stratified_split
 
 
 def f6(spark, parts=None):
@@ -46,3 +48,16 @@ def test_folds_balanced_and_stable(spark):
     assert all(per[(f, 0)] == 14 and per[(f, 1)] == 6 for f in range(5))
     b = stratified_folds(f6(spark, 7), "class", "app_id", 5, 42, rows_per_bucket=4)
     assert sorted(map(tuple, a.select("app_id", "fold").collect())) == sorted(map(tuple, b.select("app_id", "fold").collect()))
+
+
+def test_label_with_too_many_classes_is_refused(spark):
+    df = f6(spark)
+    assert class_counts(df, "class", max_classes=2) == {0: 70, 1: 30}
+    with pytest.raises(ValueError, match="more than 50 classes"):
+        class_counts(df, "app_id", max_classes=50)
+    saved, M.MAX_CLASSES = M.MAX_CLASSES, 50
+    try:
+        with pytest.raises(ValueError, match="more than 50 classes"):
+            M.with_class_weights(df, "app_id")
+    finally:
+        M.MAX_CLASSES = saved
