@@ -81,13 +81,25 @@ def ordered_crosstab(df: DataFrame, row: str, order: Sequence, col: str) -> Data
 
 
 def group_describe(df: DataFrame, group: str, column: str) -> DataFrame:
-    """A4: count, mean, median, sample std, min, max per group (nulls ignored)."""
-    v = F.col(column)
-    stats = (df.where(v.isNotNull()).groupBy(group)
-               .agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-                    F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max")))
-    med = exact_quantiles(df, [group], column, [0.5]).select(group, F.col("value").alias("median"))
-    return null_safe_join(stats, med, [group], how="left")
+    """A4: count, mean, median, sample std, min, max per group (nulls ignored).
+
+    Everything comes from the (group, value, count) table, so the input is read
+    once. The sample standard deviation takes two passes over that table (the
+    group mean first, then the count-weighted squared deviations), which keeps
+    it as stable as a streaming variance.
+    """
+    vals = value_table(df, [group], column)
+    n, wv = F.sum("_cnt"), F.sum(F.col("_cnt") * F.col("_v"))
+    first = vals.groupBy(group).agg(n.alias("count"), (wv / n).alias("mean"),
+                                    F.min("_v").alias("min"), F.max("_v").alias("max"))
+    means = first.select(group, "mean")
+    dev = null_safe_join(vals, means, [group], broadcast=means.count() <= BROADCAST_ROWS)
+    ss = dev.groupBy(group).agg(F.sum(F.col("_cnt") * (F.col("_v") - F.col("mean")) ** 2).alias("_ss"))
+    med = counted_quantiles(vals, [group], [0.5]).select(group, F.col("value").alias("median"))
+    stats = null_safe_join(first, ss, [group], how="left")
+    std = F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double")))
+    out = null_safe_join(stats, med, [group], how="left")
+    return out.select(group, "count", "mean", std.alias("std"), "min", "max", "median")
 
 
 def group_quartiles(df: DataFrame, group: str, column: str, exact: bool = True,

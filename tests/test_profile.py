@@ -65,3 +65,15 @@ def test_describe(spark):
     vals = np.array([v for k, v in rows if k == "a"])
     assert d["a"]["count"] == len(vals) and abs(d["a"]["median"] - np.median(vals)) < 1e-9
     assert abs(d["a"]["std"] - vals.std(ddof=1)) < 1e-9
+
+
+def test_describe_repeats_single_value_and_null_group(spark):
+    rows = [("a", 2.0)] * 5 + [("a", 7.0)] * 3 + [("a", None), ("b", 4.0), (None, 1.0), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    d = {r["g"]: r for r in PR.group_describe(df, "g", "v").collect()}
+    a = np.array([2.0] * 5 + [7.0] * 3)
+    assert d["a"]["count"] == 8 and abs(d["a"]["mean"] - a.mean()) < 1e-12
+    assert abs(d["a"]["std"] - a.std(ddof=1)) < 1e-12 and d["a"]["median"] == 2.0
+    assert (d["a"]["min"], d["a"]["max"]) == (2.0, 7.0)
+    assert d["b"]["count"] == 1 and d["b"]["std"] is None and d["b"]["median"] == 4.0
+    assert d[None]["count"] == 2 and d[None]["mean"] == 2.0 and d[None]["median"] == 2.0
