@@ -63,6 +63,11 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "p_bad",
     per_score = (df.where(s.isNotNull() & ~F.isnan(s))
                    .groupBy(*group_cols, s.alias("_s"))
                    .agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg")))
+    return _auc_of_counts(per_score, group_cols, rows_per_bucket)
+
+
+def _auc_of_counts(per_score: DataFrame, group_cols: list, rows_per_bucket: int) -> DataFrame:
+    """AUC from one row per (group, distinct score) with ``_pos`` and ``_neg``."""
     per_score = cut_lineage(per_score)  # feeds the sketch, the offsets and the sum
     n_buckets = bucket_count(per_score.count(), rows_per_bucket)
     per_score = value_buckets(per_score, "_s", n_buckets)
@@ -76,18 +81,46 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "p_bad",
     return out.select(*group_cols, auc.alias("roc_auc"))
 
 
+def score_counts(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                 score: str = "p_bad") -> DataFrame:
+    """Scored rows counted per (score, prediction): positives ``_pos``,
+    negatives ``_neg`` and all rows ``_all``. A partial aggregate; every metric
+    of M8 is a sum over this table, so the scored rows are read once."""
+    y = F.col(label)
+    return (df.groupBy(F.col(score).cast("double").alias("_s"), F.col(prediction).alias("_p"))
+              .agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"),
+                   F.count(F.lit(1)).alias("_all")))
+
+
 def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                            score: str | None = "p_bad") -> DataFrame:
-    """M8: the six metrics as long rows (metric, value). Confusion counts and
-    AUC are two aggregates; their rows are unioned, never joined."""
-    conf = confusion(df, label, prediction)
+    """M8: the six metrics as long rows (metric, value).
+
+    With a score, the scored rows are counted once per (score, prediction)
+    (:func:`score_counts`, written to the shared checkpoint folder); the
+    confusion counts and the per-score table of the AUC are both sums over
+    that table, so the scored input (and the split behind it) is evaluated
+    once. Metric rows are unioned, never joined.
+    """
     rates = rate_columns()
-    rows = conf.select(F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), rates[m].alias("value")) for m in METRICS if m != "roc_auc"])))
     if score is None:
+        conf = confusion(df, label, prediction)
         auc = conf.select(F.lit("roc_auc").alias("metric"), F.lit(None).cast("double").alias("value"))
     else:
-        auc = roc_auc(df, label, score).select(F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
+        counts = cut_lineage(score_counts(df, label, prediction, score))
+        p, zero = F.col("_p"), F.lit(0).cast("long")
+        conf = counts.agg(F.coalesce(F.sum(F.when(p == 0, F.col("_neg"))), zero).alias("tn"),
+                          F.coalesce(F.sum(F.when(p == 1, F.col("_neg"))), zero).alias("fp"),
+                          F.coalesce(F.sum(F.when(p == 0, F.col("_pos"))), zero).alias("fn"),
+                          F.coalesce(F.sum(F.when(p == 1, F.col("_pos"))), zero).alias("tp"),
+                          F.coalesce(F.sum("_all"), zero).alias("samples"))
+        s = F.col("_s")
+        per_score = (counts.where(s.isNotNull() & ~F.isnan(s)).groupBy("_s")
+                           .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")))
+        auc = _auc_of_counts(per_score, [], ROWS_PER_BUCKET).select(
+            F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
+    rows = conf.select(F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), rates[m].alias("value")) for m in METRICS if m != "roc_auc"])))
     return rows.unionByName(auc)
 
 
