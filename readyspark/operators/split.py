@@ -4,20 +4,22 @@ A row's place is decided by a hash of its own key and the seed, never by a
 partition-dependent random stream, so the result is the same on 1 or 1,000
 partitions and after any task retry. Per-class test quotas follow the
 largest-remainder rule, so class shares in train and test equal the overall
-shares as closely as integers allow. The rank of a row inside its class comes
-from the bucketed running count (see ``ordered``), so no class, however
-large, is ever sorted in one task.
+shares as closely as integers allow. Rows carry a hash bucket that is monotone
+in their order; bucket totals give each bucket's offset inside its class, so
+no class, however large, is ever sorted in one task. The split only ranks the
+rows of each class's cutoff bucket; the folds rank every row (see ``ordered``).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readyspark.functions.exprs import hash32
-from readyspark.operators.ordered import bucket_count, hash_bucket, running_sum, ROWS_PER_BUCKET
+from readyspark.operators.ordered import (BROADCAST_ROWS, ROWS_PER_BUCKET, bucket_count, hash_bucket,
+                                          null_safe_join, running_sum)
 from readyspark.session import cut_lineage
 
 
@@ -73,18 +75,41 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     """Add ``split`` = 'test' for exactly ceil(test_size * n) rows, chosen
     per class by quota, else 'train'. Row count is kept.
 
-    The input feeds three jobs (class counts, bucket offsets, the split), so
-    by default it is written once to the shared checkpoint folder first.
+    A row is test when its rank inside its class, in (hash(key, seed), key)
+    order, is below the class quota. Rows carry a hash bucket that is monotone
+    in that order, and bucket totals give each bucket's offset in its class
+    (a small table: classes x buckets rows, broadcast after a row count). A
+    bucket that ends at or below the quota is test, one that starts at or
+    above it is train: decided in a map-only projection. Only the rows of the
+    one bucket per class that straddles the quota are ranked by a window, so
+    the split shuffles at most one bucket per class, never the table.
+
+    The input feeds the class counts, the bucket totals and the two branches,
+    so by default it is written once to the shared checkpoint folder first.
     """
     if checkpoint:
         df = cut_lineage(df)
     counts = {k: v for k, v in class_counts(df, label).items() if k is not None}
     n_test = math.ceil(test_size * sum(counts.values()))
     quotas = largest_remainder(counts, n_test)
-    ranked = class_rank(df, label, key, "", seed, max(counts.values(), default=1), rows_per_bucket)
+    n_buckets = bucket_count(max(counts.values(), default=1), rows_per_bucket)
     quota = F.coalesce(F.try_element_at(_quota_map(quotas), F.col(label)), F.lit(0)) if quotas else F.lit(0)
-    return (ranked.withColumn(out, F.when(F.col("_rank") < quota, "test").otherwise("train"))
-                  .drop("_rank", "_h"))
+    data = df.withColumn("_h", hash32(key, seed))
+    data = data.withColumn("_hb", hash_bucket(F.col("_h"), n_buckets))
+    totals = data.groupBy(label, "_hb").agg(F.count(F.lit(1)).alias("_bt"))
+    prior = Window.partitionBy(label).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(label, "_hb", "_bt", F.coalesce(F.sum("_bt").over(prior), F.lit(0)).alias("_off"))
+    placed = null_safe_join(data, offsets, [label, "_hb"], broadcast=offsets.count() <= BROADCAST_ROWS)
+    placed = placed.withColumn("_q", quota)
+    straddles = (F.col("_off") < F.col("_q")) & (F.col("_off") + F.col("_bt") > F.col("_q"))
+    decided = (placed.where(~straddles)
+                     .withColumn(out, F.when(F.col("_off") + F.col("_bt") <= F.col("_q"), "test").otherwise("train")))
+    within = Window.partitionBy(label, "_hb").orderBy("_h", key)
+    rank = F.col("_off") + F.row_number().over(within) - 1
+    ranked = (placed.where(straddles)
+                    .withColumn(out, F.when(rank < F.col("_q"), "test").otherwise("train")))
+    helpers = ["_h", "_hb", "_bt", "_off", "_q"]
+    return decided.drop(*helpers).unionByName(ranked.drop(*helpers))
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42,
