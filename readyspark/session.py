@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -40,15 +41,46 @@ DEFAULT_CONF = {
 }
 
 
+# target bytes of one shuffle partition after AQE's merging, and of one scan split
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Partition sizing for a data volume: the bytes of the largest shuffle of
+    the run (for the credit flow, the application rows before the duplicate
+    removal).
+
+    AQE merges shuffle partitions but never splits them (apart from skewed
+    join partitions), so the initial number must fit the largest shuffle:
+    ceil(bytes / partition_bytes), at least 200. Smaller shuffles of the same
+    run are merged back to about ``partition_bytes``; scans split files at the
+    same size, so a task's input fits executor memory with room to sort.
+    """
+    n = max(200, math.ceil(largest_shuffle_bytes / partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "readyspark",
                   shuffle_partitions: int | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
+                  conf: dict[str, str] | None = None,
+                  largest_shuffle_bytes: int | None = None) -> SparkSession:
+    """Session with the package's settings. ``largest_shuffle_bytes`` sizes
+    partitions for the data (:func:`scale_conf`); ``shuffle_partitions`` and
+    ``conf`` given by the caller win over it."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if largest_shuffle_bytes:
+        settings.update(scale_conf(largest_shuffle_bytes))
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        settings.pop("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
