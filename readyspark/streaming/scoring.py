@@ -22,10 +22,18 @@ from readyspark.operators.features import calculate_features, drop_columns
 from readyspark.operators.score import label_text, score
 
 
+# files per micro-batch: ``availableNow`` still drains everything, but in
+# batches of this many files, so a backfill of a large folder is many bounded
+# batches (a failure repeats one batch, not the whole backfill)
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def scoring_stream(spark: SparkSession, source_dir: str, schema: StructType, scorer,
-                   required: list[str], numeric: list[str]) -> DataFrame:
+                   required: list[str], numeric: list[str],
+                   max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """The streaming DataFrame: contract check, features, score."""
-    src = spark.readStream.schema(schema).parquet(source_dir)
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+                .parquet(source_dir))
     checked = contract_split(src, required, numeric)
     featured = calculate_features(checked.withColumns(
         {c: F.col(c).cast("double") for c in numeric if c in schema.fieldNames()}))
@@ -37,10 +45,11 @@ def scoring_stream(spark: SparkSession, source_dir: str, schema: StructType, sco
 
 def run_stream_scoring(spark: SparkSession, source_dir: str, schema: StructType, scorer, out_dir: str,
                        checkpoint_dir: str, required: list[str], numeric: list[str],
-                       keep: list[str]) -> dict:
+                       keep: list[str], max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> dict:
     """Drain the source once (availableNow) into ``out_dir/scored`` and
     ``out_dir/rejected``; returns the sink paths."""
-    scored, rejected = scoring_stream(spark, source_dir, schema, scorer, required, numeric)
+    scored, rejected = scoring_stream(spark, source_dir, schema, scorer, required, numeric,
+                                      max_files_per_trigger)
     scored_path, rejected_path = os.path.join(out_dir, "scored"), os.path.join(out_dir, "rejected")
     q1 = (scored.select(*keep, "p_bad", "prediction", "prediction_label", "probability_good", "probability_bad")
                 .writeStream.format("parquet").option("path", scored_path)

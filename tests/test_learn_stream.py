@@ -65,10 +65,13 @@ def test_stream_scoring_matches_batch(spark):
         .withColumn("personal_status", F.lit("male single")).withColumn("foreign_worker", F.lit("yes")) \
         .withColumn("own_telephone", F.lit("no")).drop("monthly_payment", "age_group",
                                                         "has_additional_security", "high_risk_financial_status", "sex")
-    rows.write.parquet(src)
+    rows.repartition(4).write.parquet(src)
+    # one file per micro-batch: the backfill drains in several bounded batches
     paths = run_stream_scoring(spark, src, rows.schema, CREDIT_SCORECARD, os.path.join(base, "out"),
                                os.path.join(base, "ckpt"), required=["duration", "credit_amount"],
-                               numeric=["duration", "credit_amount"], keep=["app_id"])
+                               numeric=["duration", "credit_amount"], keep=["app_id"], max_files_per_trigger=1)
     streamed = spark.read.parquet(paths["scored"]).select("app_id", "p_bad").orderBy("app_id").collect()
     batch = score(Q.prepared(spark, SF0001), CREDIT_SCORECARD).select("app_id", "p_bad").orderBy("app_id").collect()
     assert streamed == batch
+    batches = [f for f in os.listdir(os.path.join(base, "ckpt", "scored", "commits")) if f.isdigit()]
+    assert len(batches) >= 4
