@@ -65,13 +65,16 @@ def value_buckets(df: DataFrame, value_col: str, n_buckets: int, out: str = "_bu
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], bucket_col: str, order_cols: Sequence,
                 weight: Column | None = None, out_before: str = "_before",
-                out_through: str = "_through", single_bucket: bool = False) -> DataFrame:
+                out_through: str = "_through", single_bucket: bool = False,
+                offsets_rows: int | None = None) -> DataFrame:
     """Exact running sum of ``weight`` (default 1) within ``group_cols`` in
     ``order_cols`` order; ``bucket_col`` must be non-decreasing along that order.
 
     Adds ``_before`` (sum over earlier rows) and ``_through`` (including this row).
     ``single_bucket``: the caller sized the data to one bucket per group (at most
     ``ROWS_PER_BUCKET`` rows), so every offset is 0 and the offsets job is skipped.
+    ``offsets_rows``: a bound on groups x buckets the caller knows; without it
+    the offsets table is counted before it may be broadcast.
     """
     group_cols = list(group_cols)
     w = weight if weight is not None else F.lit(1)
@@ -85,7 +88,8 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], bucket_col: str, order
     prior = Window.partitionBy(*group_cols).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group_cols, bucket_col,
                             F.coalesce(F.sum("_bt").over(prior), F.lit(0)).alias("_off"))
-    small = offsets.count() <= BROADCAST_ROWS  # groups x buckets rows
+    rows = offsets_rows if offsets_rows is not None else offsets.count()  # groups x buckets rows
+    small = rows <= BROADCAST_ROWS
     keys = group_cols + [bucket_col]
     joined = null_safe_join(data, offsets, keys, broadcast=small)
     within = (Window.partitionBy(*keys).orderBy(*order_cols)
@@ -139,7 +143,8 @@ def counted_quantiles(vals: DataFrame, group_cols: Sequence[str], probs: Sequenc
     range, so the big side is never shuffled by group.
     """
     group_cols = list(group_cols)
-    n_buckets = bucket_count(vals.count(), rows_per_bucket)
+    n_vals = vals.count()
+    n_buckets = bucket_count(n_vals, rows_per_bucket)
     vals = value_buckets(vals, "_v", n_buckets)
     ranked = running_sum(vals, group_cols, "_bucket", ["_v"], weight=F.col("_cnt"), single_bucket=n_buckets == 1)
     sizes = vals.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"))
@@ -152,7 +157,10 @@ def counted_quantiles(vals: DataFrame, group_cols: Sequence[str], probs: Sequenc
                                               F.struct(F.lit("hi").alias("k"), F.col("_hi").alias("r")))).alias("t"))
                     .select(*group_cols, "p", "_frac", F.col("t.k").alias("_k"), F.col("t.r").alias("_r")))
     t = targets.select(*[F.col(c).alias(f"_t_{c}") for c in group_cols], "p", "_frac", "_k", "_r")
-    if t.count() <= BROADCAST_ROWS:  # groups x probabilities x 2 rows
+    # groups x probabilities x 2 rows; there are no more groups than value rows,
+    # so the count job is needed only when that bound is too large
+    bound = n_vals * len(probs) * 2
+    if bound <= BROADCAST_ROWS or t.count() <= BROADCAST_ROWS:
         t = F.broadcast(t)
     cond = [ranked[c].eqNullSafe(t[f"_t_{c}"]) for c in group_cols]
     cond += [t["_r"] >= ranked["_before"], t["_r"] < ranked["_through"]]

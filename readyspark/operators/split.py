@@ -59,13 +59,15 @@ def _quota_map(quotas: dict):
 
 
 def class_rank(df: DataFrame, label: str, key: str, salt: str, seed: int, max_class: int,
-               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+               rows_per_bucket: int = ROWS_PER_BUCKET, n_classes: int | None = None) -> DataFrame:
     """0-based rank of each row inside its class, by (hash(key, salt, seed), key)."""
     h = hash32(key, F.lit(salt), seed) if salt else hash32(key, seed)
     ranked = df.withColumn("_h", h)
     n_buckets = bucket_count(max_class, rows_per_bucket)
     ranked = ranked.withColumn("_hb", hash_bucket(F.col("_h"), n_buckets))
-    ranked = running_sum(ranked, [label], "_hb", ["_h", key], single_bucket=n_buckets == 1)
+    bound = (n_classes + 1) * n_buckets if n_classes is not None else None
+    ranked = running_sum(ranked, [label], "_hb", ["_h", key], single_bucket=n_buckets == 1,
+                         offsets_rows=bound)
     return ranked.withColumn("_rank", F.col("_before")).drop("_before", "_through", "_hb")
 
 
@@ -99,7 +101,9 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     totals = data.groupBy(label, "_hb").agg(F.count(F.lit(1)).alias("_bt"))
     prior = Window.partitionBy(label).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(label, "_hb", "_bt", F.coalesce(F.sum("_bt").over(prior), F.lit(0)).alias("_off"))
-    placed = null_safe_join(data, offsets, [label, "_hb"], broadcast=offsets.count() <= BROADCAST_ROWS)
+    # at most one row per (class or null, bucket): a bound known without a job
+    small = (len(counts) + 1) * n_buckets <= BROADCAST_ROWS
+    placed = null_safe_join(data, offsets, [label, "_hb"], broadcast=small)
     placed = placed.withColumn("_q", quota)
     straddles = (F.col("_off") < F.col("_q")) & (F.col("_off") + F.col("_bt") > F.col("_q"))
     decided = (placed.where(~straddles)
@@ -117,5 +121,6 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
     """Fold number 0..k-1, dealt round-robin along each class's hash order,
     so every fold holds floor or ceil of n_c / k rows of each class."""
     counts = class_counts(df, label)
-    ranked = class_rank(df, label, key, "fold", seed, max(counts.values(), default=1), rows_per_bucket)
+    ranked = class_rank(df, label, key, "fold", seed, max(counts.values(), default=1), rows_per_bucket,
+                        n_classes=len(counts))
     return ranked.withColumn(out, F.pmod(F.col("_rank"), F.lit(k)).cast("int")).drop("_rank", "_h")
