@@ -97,6 +97,11 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     n_buckets = bucket_count(max(counts.values(), default=1), rows_per_bucket)
     quota = F.coalesce(F.try_element_at(_quota_map(quotas), F.col(label)), F.lit(0)) if quotas else F.lit(0)
     data = df.withColumn("_h", hash32(key, seed))
+    if n_buckets == 1:
+        # every class fits one window task (at most rows_per_bucket rows), and its
+        # only bucket straddles the quota: rank each class directly
+        rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key)) - 1
+        return data.withColumn(out, F.when(rank < quota, "test").otherwise("train")).drop("_h")
     data = data.withColumn("_hb", hash_bucket(F.col("_h"), n_buckets))
     totals = data.groupBy(label, "_hb").agg(F.count(F.lit(1)).alias("_bt"))
     prior = Window.partitionBy(label).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
