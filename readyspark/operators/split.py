@@ -80,7 +80,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     A row is test when its rank inside its class, in (hash(key, seed), key)
     order, is below the class quota. Rows carry a hash bucket that is monotone
     in that order, and bucket totals give each bucket's offset in its class
-    (a small table: classes x buckets rows, broadcast after a row count). A
+    (a small table: at most (classes + 1) x buckets rows, broadcast when that
+    bound is small, else joined by shuffle). A
     bucket that ends at or below the quota is test, one that starts at or
     above it is train: decided in a map-only projection. Only the rows of the
     one bucket per class that straddles the quota are ranked by a window, so
@@ -91,10 +92,11 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     """
     if checkpoint:
         df = cut_lineage(df)
-    counts = {k: v for k, v in class_counts(df, label).items() if k is not None}
+    groups = class_counts(df, label)  # null labels too: they form a window group
+    counts = {k: v for k, v in groups.items() if k is not None}
     n_test = math.ceil(test_size * sum(counts.values()))
     quotas = largest_remainder(counts, n_test)
-    n_buckets = bucket_count(max(counts.values(), default=1), rows_per_bucket)
+    n_buckets = bucket_count(max(groups.values(), default=1), rows_per_bucket)
     quota = F.coalesce(F.try_element_at(_quota_map(quotas), F.col(label)), F.lit(0)) if quotas else F.lit(0)
     data = df.withColumn("_h", hash32(key, seed))
     if n_buckets == 1:

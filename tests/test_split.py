@@ -61,3 +61,13 @@ def test_label_with_too_many_classes_is_refused(spark):
             M.with_class_weights(df, "app_id")
     finally:
         M.MAX_CLASSES = saved
+
+
+def test_null_labels_are_train_and_size_the_buckets(spark):
+    rows = [(i, 0 if i < 10 else 1 if i < 20 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, "app_id long, class int")
+    out = stratified_split(df, "class", "app_id", 0.2, 42, rows_per_bucket=20)
+    got = {(r["split"], r["class"]): r["n"] for r in out.groupBy("split", "class").count().withColumnRenamed("count", "n").collect()}
+    assert got == {("test", 0): 2, ("test", 1): 2, ("train", 0): 8, ("train", 1): 8, ("train", None): 100}
+    ref = stratified_split(df, "class", "app_id", 0.2, 42).where("split = 'test'").select("app_id")
+    assert sorted(ref.collect()) == sorted(out.where("split = 'test'").select("app_id").collect())
