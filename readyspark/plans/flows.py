@@ -34,8 +34,16 @@ class Prepared:
     test: DataFrame
 
 
-def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True) -> Prepared:
-    """Raw rules, cleaning, features, target encoding, prepared rules, split."""
+def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True, write_raw: bool = False) -> Prepared:
+    """Raw rules, cleaning, features, target encoding, prepared rules, split.
+
+    The raw rules and the cleaning both read ``raw``. ``write_raw`` writes it
+    once to the shared checkpoint folder first: worth it when ``raw`` is
+    derived by joins and aggregates (they then run once), not when it is a
+    plain table scan.
+    """
+    if write_raw:
+        raw = cut_lineage(raw)
     # a few dozen rows from one aggregate: kept as a written table so the check
     # below and the final report do not scan the raw table again
     raw_rules = cut_lineage(R.evaluate_rules(raw, R.raw_suite(raw.columns), "data_validation"))

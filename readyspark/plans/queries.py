@@ -336,7 +336,8 @@ def gate_rows(spark, sf_dir):
     """W1 + W3 with the scorecard: the prepared and split table is built once
     (checkpointed) and every gate reads it."""
     from readyspark.plans.flows import prepare, readiness
-    prep = prepare(_dirty(spark, sf_dir), KEY, raise_on_failure=False)
+    # the raw applications are derived by an aggregate and two joins: written once
+    prep = prepare(_dirty(spark, sf_dir), KEY, raise_on_failure=False, write_raw=True)
     return readiness(prep, KEY, params={}, scorer=CREDIT_SCORECARD)["gate_rows"]
 
 

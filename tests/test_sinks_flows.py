@@ -72,3 +72,11 @@ def test_run_readiness_writes_report_and_history_then_refuses(spark):
     hist = spark.read.parquet(os.path.join(base, "history"))
     assert hist.where("kind = 'metric'").count() > 0 and hist.where("kind = 'param'").count() == 1
     assert not os.path.exists(os.path.join(base, "published"))
+
+
+def test_written_raw_gives_the_same_gate_rows(spark):
+    def rows(write_raw):
+        prep = flows.prepare(Q._dirty(spark, SF0001), Q.KEY, raise_on_failure=False, write_raw=write_raw)
+        out = flows.readiness(prep, Q.KEY, params={}, scorer=CREDIT_SCORECARD)["gate_rows"]
+        return sorted(tuple(r) for r in out.select("gate", "metric", "subject", "value", "passed").collect())
+    assert rows(True) == rows(False)
