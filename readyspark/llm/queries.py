@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readyspark.llm import token_counts, token_store
+from readyspark.llm import near_dup, token_counts, token_store
 from readyspark.llm.common import table
+from readyspark.llm.oracle import ORACLE
 
 
 def tokenizer_path(name: str) -> str:
@@ -25,8 +26,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.similar_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
     "op8_token_counts": op8_token_counts,
+    "op10_near_duplicates": op10_near_duplicates,
 }
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
