@@ -30,6 +30,66 @@ SELECT r.doc_id, any_value(n) AS n_shingles, min(other) AS component_id, r.doc_i
 FROM reached r JOIN sizes USING (doc_id) GROUP BY r.doc_id
 """
 
+BENCH_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+DECONTAMINATION = f"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWERED}, '{BENCH_WORDS}') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS m, unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ')
+    FOR i IN range(1, len(w) - least(len(w), 10) + 2)]) AS win
+  FROM items WHERE len(w) > 0),
+docs AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{BENCH_WORDS}') AS w FROM documents),
+runs AS (
+  SELECT doc_id, m, unnest(range(1, len(w) - m + 2)) AS pos,
+         unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS win
+  FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m),
+hits AS (SELECT doc_id, pos, r.m, item FROM runs r JOIN windows USING (win, m)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(pos, pos + m)) AS p FROM hits) GROUP BY ALL),
+found AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY ALL)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+# the same plain rule settings as the operator's
+LINE_QUALITY = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (SELECT r, unnest(range(1, len(w) - 1)) AS pos,
+         unnest([[w[i], w[i + 1], w[i + 2]] FOR i IN range(1, len(w) - 1)]) AS win FROM docs WHERE len(w) >= 3),
+twice AS (SELECT r, pos FROM (SELECT r, pos, count(*) OVER (PARTITION BY r, win) AS c FROM wins) WHERE c > 1),
+repeats AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([pos, pos + 1, pos + 2]) AS p FROM twice) GROUP BY r),
+lines AS (SELECT r, unnest(string_split(t, chr(10))) AS l FROM docs),
+counted AS (
+  SELECT r, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
+         len(regexp_extract_all(l, '[#*$%&|<>]')) AS symbols, len(regexp_extract_all(l, '[!?]')) AS bangs,
+         len(regexp_extract_all(l, '[|»›•·]')) AS seps,
+         length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS chars FROM lines),
+judged AS (
+  SELECT *, n > 0 AND ((n >= 12 AND NOT regexp_matches(l, '[.!?,;:…。！？、，；：؟،।]'))
+    OR 100 * symbols > 50 * n OR (100 * bangs > 50 * n AND n >= 3)
+    OR (seps >= 3 AND 100 * seps >= 25 * n)
+    OR (n <= 40 AND regexp_matches(l, '(?i)(all rights reserved|copyright \d|\(c\) \d|©|licensed under|released under the|terms of (use|service)|privacy policy|cookie policy|use of cookies|accept (all )?cookies|enable javascript|sign in|log in|subscribe (to|now)|share this|click here|read more)'))) AS bad
+  FROM counted),
+per AS (SELECT r, coalesce(sum(chars) FILTER (bad), 0) AS lost, count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS dups
+        FROM judged GROUP BY r),
+base AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(dups, 0) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words, coalesce(lost, 0) AS lost_chars
+  FROM docs LEFT JOIN per USING (r) LEFT JOIN repeats USING (r))
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_chars <= 50 * word_chars AS kept,
+       lost_chars::BIGINT AS lost_chars
+FROM base
+"""
+
 ORACLE: dict[str, str] = {
+    "op7_decontamination": DECONTAMINATION,
+    "op9_line_quality": LINE_QUALITY,
     "op10_near_duplicates": NEAR_DUPLICATES,
 }

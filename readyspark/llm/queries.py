@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readyspark.llm import near_dup, token_counts, token_store
+from readyspark.llm import decontaminate, line_quality, near_dup, token_counts, token_store
 from readyspark.llm.common import table
 from readyspark.llm.oracle import ORACLE
 
@@ -22,17 +22,28 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(token_store.read_store(spark, path))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.contamination(docs, benchmark))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(table(spark, sf_dir, "documents")).drop("cleaned")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.similar_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
+    "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
+    "op9_line_quality": op9_line_quality,
     "op10_near_duplicates": op10_near_duplicates,
 }
 __all__ = ["ORACLE", "QUERIES"]
