@@ -20,9 +20,10 @@ library whole.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 
 from readyspark.llm.common import list_array, shared_path, small_batches, strings
 
-CACHE_WORDS = 500_000  # pieces whose ids a worker remembers
+CACHE_WORDS = 700_000  # pieces whose ids a worker remembers
+MARKS = ".,;:!?#$%&*|"
+ALNUM = frozenset(string.ascii_letters + string.digits + "ßàáâäæçèéêëìíîïñòóôöùúûüœ")
 EMIT_IDS = 1_000_000   # ids of one Arrow batch on the way to the writer
 
 WRITER = {
@@ -66,6 +69,7 @@ class ByteLevelEncoder:
         self.cuts = (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
                      and spec["normalizer"] is None and spec["post_processor"] is None)
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         done = self.model.encode_batch_fast(texts, add_special_tokens=False)
@@ -75,17 +79,35 @@ class ByteLevelEncoder:
         pieces = self._pieces(text)
         if pieces is None:
             return self.whole([text])[0]
-        known = self.known
-        new = [p for p in set(pieces) if p not in known]
+        new = set(pieces).difference(self.known)
         if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(pieces))
-            # a piece stands for itself and the blank before it, but for the
-            # first of a text and those that begin with their line break
-            known.update(zip(new, self.whole([p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p
-                                              for p in new])))
-        return b"".join(map(known.__getitem__, pieces))
+            if len(self.known) + 2 * len(new) > CACHE_WORDS:
+                # what was met first is what is met often
+                self.known = dict(islice(self.known.items(), CACHE_WORDS // 2))
+                new = set(pieces).difference(self.known)
+                if len(self.marks) > CACHE_WORDS:
+                    self.marks = {}
+            self._learn(new)
+        return b"".join(map(self.known.__getitem__, pieces))
+
+    def _learn(self, new: set[str]) -> None:
+        """Encode pieces. A pre-token of letters or digits ends at a mark, so a
+        piece that ends in marks is its stem and its marks; stems recur."""
+        stems = {}
+        for p in new:
+            stem = p.rstrip(MARKS)
+            if stem is not p and stem and (stem[-1] in ALNUM):
+                stems[p] = stem
+        first = ((new - stems.keys()) | set(stems.values())).difference(self.known)
+        marks = {p[len(s):] for p, s in stems.items()}.difference(self.marks)
+        texts = list(first) + list(marks)
+        # a piece stands for itself and the blank before it, but for the first
+        # of a text and those that begin with their line break
+        ids = self.whole([p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p for p in first] + list(marks))
+        self.known.update(zip(texts[:len(first)], ids))
+        self.marks.update(zip(texts[len(first):], ids[len(first):]))
+        for p, s in stems.items():
+            self.known[p] = self.known[s] + self.marks[p[len(s):]]
 
     def _pieces(self, text: str) -> list[str] | None:
         """The text cut before blanks and line breaks, the first piece marked
