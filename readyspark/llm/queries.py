@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from readyspark.llm import decontaminate, line_quality, near_dup, token_counts, token_store
-from readyspark.llm.common import table
+from readyspark.llm import (chat, decontaminate, html_extract, line_quality, mixing, near_dup, passages, token_counts,
+                             token_store, toxicity)
+from readyspark.llm.common import crc32_of, table
 from readyspark.llm.oracle import ORACLE
 
 
@@ -17,11 +19,40 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc32_of(F.col("doc_id")) % 3 == 1).alias("held_out"), "score", "predicted",
+                         F.size("offending").alias("n_offending"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.write_store(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return token_store.digest(token_store.read_store(spark, path))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))],
+                                   "conv_id long, turn long, role string, text string")
+    path = chat.write_examples(given.unionByName(marked))
+    return chat.digest(spark.read.parquet(path))
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html_extract.extract(pages, html_extract.learn(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, benchmark))
@@ -40,7 +71,12 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_store": op2_token_store,
+    "op3_mixing": op3_mixing,
+    "op4_chat": op4_chat,
+    "op5_html": op5_html,
+    "op6_passages": op6_passages,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
     "op9_line_quality": op9_line_quality,
