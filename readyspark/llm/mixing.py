@@ -29,6 +29,16 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def key_of(id_col: str, text_col: str) -> Column:
+    """What is hashed for a row: its id, or the md5 of its text without one."""
+    return F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(text_col, F.lit(""))))
+
+
+def mix_key(key: Column, copy: Column, seed: int) -> Column:
+    """A copy's place in the shuffled order, in [0, 1)."""
+    return uniform(key, F.lit(str(seed)), F.lit("order"), copy.cast("string"))
+
+
 def rates(docs: DataFrame, weights: Mapping[str, float] | None = None, power: float = 0.5,
           target_chars: float | None = None, source_col: str = "source", text_col: str = "text") -> DataFrame:
     """One row per source: ``src``, ``n_docs``, ``n_chars``, ``share`` (its target)
@@ -77,8 +87,7 @@ def repetitions(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", source_
     table = written(table.withColumn("_cdf", _distribution(F.col("_mean"))).drop("_mean"), "rates")
     if table.count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    key = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(text_col, F.lit(""))))
-    keyed = docs.withColumn("_key", key).join(table, docs[source_col].eqNullSafe(table["src"])).drop("src")
+    keyed = docs.withColumn("_key", key_of(id_col, text_col)).join(table, docs[source_col].eqNullSafe(table["src"])).drop("src")
 
     def draw(j: Column) -> Column:
         u = uniform(F.col("_key"), F.lit(str(seed)), F.lit("times"), j.cast("string"))
@@ -101,6 +110,5 @@ def mix(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", source_col: str
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     drawn = repetitions(docs, seed, id_col, source_col, text_col, **how)
     copies = drawn.where("_times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    order = uniform(F.col("_key"), F.lit(str(seed)), F.lit("order"), F.col("copy").cast("string"))
-    dealt = copies.withColumn("mix_key", order).drop("_key", "_times")
+    dealt = copies.withColumn("mix_key", mix_key(F.col("_key"), F.col("copy"), seed)).drop("_key", "_times")
     return dealt.repartitionById(n, F.floor(F.col("mix_key") * n).cast("int")).sortWithinPartitions("mix_key", id_col)

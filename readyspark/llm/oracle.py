@@ -88,7 +88,30 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM base
 """
 
+MIXING = """
+WITH sizes AS (
+  SELECT source AS src, coalesce(sum(length(text)), 0)::DOUBLE AS c FROM documents GROUP BY source),
+weighted AS (SELECT src, c, CASE WHEN c > 0 THEN pow(c, 0.5) ELSE 0.0 END AS w FROM sizes),
+rates AS (
+  SELECT src, CASE WHEN c > 0 THEN (SELECT sum(c) FROM weighted) * (w / (SELECT sum(w) FROM weighted)) / c
+              ELSE 1.0 END AS rate FROM weighted),
+draws AS (SELECT src, greatest(ceil(rate / 32), 1)::INT AS m, rate / greatest(ceil(rate / 32), 1) AS mean FROM rates),
+steps AS (
+  SELECT src, m, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS p FROM draws, range(0, 161) AS t(k)),
+cdf AS (SELECT src, m, k, sum(p) OVER (PARTITION BY src ORDER BY k) AS c FROM steps),
+keyed AS (SELECT d.*, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS key, row_number() OVER () AS r FROM documents d),
+tried AS (
+  SELECT r, k.key, c, ('0x' || substr(md5(k.key || '|42|times|' || j), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM keyed k JOIN cdf ON k.source IS NOT DISTINCT FROM cdf.src, range(1, m + 1) AS t(j)),
+counted AS (SELECT r, count(*) FILTER (c <= u) AS times FROM tried GROUP BY r),
+copies AS (SELECT k.*, unnest(range(1, times + 1))::INT AS copy FROM keyed k JOIN counted USING (r))
+SELECT doc_id, text, lang, source, n_chars, copy,
+       ('0x' || substr(md5(key || '|42|order|' || copy), 1, 13))::BIGINT / 4503599627370496.0 AS mix_key
+FROM copies
+"""
+
 ORACLE: dict[str, str] = {
+    "op3_mixing": MIXING,
     "op7_decontamination": DECONTAMINATION,
     "op9_line_quality": LINE_QUALITY,
     "op10_near_duplicates": NEAR_DUPLICATES,

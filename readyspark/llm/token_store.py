@@ -1,7 +1,7 @@
 """Token ids as Parquet list columns (operator 2).
 
-File format: one Parquet table of the columns ``part`` int, ``doc_id``,
-``local_start`` long, ``n_tokens`` int, ``ids`` array<int>, in ascending doc_id
+File format: one Parquet table of the columns ``part`` int, ``doc_id``, ``copy``
+int (a repeated row's number), ``local_start`` long, ``n_tokens`` int, ``ids`` array<int>, in ascending doc_id
 order over the files, and beside it an index table with one row per part
 (first and last id, documents, tokens, and ``part_start``, the ids before it).
 The numbers before the list are delta-encoded (version 2 data pages), the ids
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import list_array, shared_path, small_batches, strings
+from readyspark.llm.common import list_array, shared_path, small_batches
 
 CACHE_WORDS = 700_000  # pieces whose ids a worker remembers
 MARKS = ".,;:!?#$%&*|"
@@ -45,6 +45,7 @@ WRITER = {
     "parquet.writer.version": "v2",              # delta encoding where no dictionary pays
     "parquet.enable.dictionary": "true",
     "parquet.enable.dictionary#doc_id": "false",
+    "parquet.enable.dictionary#copy": "false",
     "parquet.enable.dictionary#local_start": "false",
     "parquet.enable.dictionary#n_tokens": "false",
     "parquet.dictionary.page.size": str(1 << 20),
@@ -132,53 +133,55 @@ def encoder(path: str) -> ByteLevelEncoder:
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id",
-                text_col: str = "text", end_id: int = 0, extra: list[str] = ()) -> str:
+                text_col: str = "text", end_id: int = 0) -> str:
     """Write the token store of ``docs``; returns its folder (``tokens``, ``index``).
 
     Null and empty texts hold the end id alone. Null ids come first. Repeated
-    rows are kept, next to each other; rows of one id are ordered by text.
-    ``extra`` names further columns to keep beside the ids; all others are
-    ignored. Texts are range-partitioned by id once, before encoding (text is
-    smaller than ids); a task streams its partition, so memory is bounded by a
-    batch.
+    rows are kept, next to each other and numbered by ``copy``; rows of one id are
+    ordered by text. Other columns are ignored, whatever their names. Texts are
+    range-partitioned by id once, before encoding (text is smaller than ids); a
+    task streams its partition, so memory is bounded by a batch.
     """
     spark = docs.sparkSession
     small_batches(spark)
     path = path or shared_path(spark, "tokens")
-    extra = list(extra)
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       *[F.col(c).alias(f"x_{c}") for c in extra])
+    read = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     ordered = read.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
 
-        def batch(b: pa.RecordBatch, rows: list[bytes]) -> pa.RecordBatch:
+        def batch(b: pa.RecordBatch, rows: list[bytes], copies: list[int]) -> pa.RecordBatch:
             nonlocal start
             lengths = [len(r) // 4 for r in rows]
             starts = list(accumulate(lengths, initial=start))
             start = starts.pop()
             ids = np.frombuffer(b"".join(rows), "<u4").astype(np.int32)
             return pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(rows), pa.int32()), b.column(0), pa.array(starts, pa.int64()),
-                 pa.array(lengths, pa.int32()), *b.columns[2:], list_array(ids, lengths, pa.int32())],
-                names=["part", "doc_id", "local_start", "n_tokens", *b.schema.names[2:], "ids"])
+                [pa.array([part] * len(rows), pa.int32()), b.column(0), pa.array(copies, pa.int32()),
+                 pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), list_array(ids, lengths, pa.int32())],
+                names=["part", "doc_id", "copy", "local_start", "n_tokens", "ids"])
 
+        before, copy, row = None, 0, b""
         for b in batches:
-            rows, held, since = [], 0, 0
-            for text in strings(b.column(1)):
-                rows.append((enc.encode(text) if text else b"") + end)
-                held += len(rows[-1]) // 4
+            rows, copies, held, since = [], [], 0, 0
+            for pair in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if pair == before:
+                    copy += 1
+                else:
+                    before, copy, row = pair, 1, (enc.encode(pair[1]) if pair[1] else b"") + end
+                rows.append(row)
+                copies.append(copy)
+                held += len(row) // 4
                 if held >= EMIT_IDS:
-                    yield batch(b.slice(since, len(rows)), rows)
-                    since, rows, held = since + len(rows), [], 0
+                    yield batch(b.slice(since, len(rows)), rows, copies)
+                    since, rows, copies, held = since + len(rows), [], [], 0
             if rows:
-                yield batch(b.slice(since, len(rows)), rows)
+                yield batch(b.slice(since, len(rows)), rows, copies)
 
-    kinds = {f.name: f.dataType.simpleString() for f in read.schema.fields}
-    schema = (f"part int, doc_id {kinds['doc_id']}, local_start long, n_tokens int, "
-              + "".join(f"`x_{c}` {kinds[f'x_{c}']}, " for c in extra) + "ids array<int>")
+    kind = read.schema["doc_id"].dataType.simpleString()
+    schema = f"part int, doc_id {kind}, copy int, local_start long, n_tokens int, ids array<int>"
     ordered.mapInArrow(encode, schema).write.options(**WRITER).parquet(f"{path}/tokens")
     # lengths only: no page of ids is read. One row per part, so the window's
     # single task holds as many rows as the store has files
@@ -189,7 +192,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str | None = None, i
     for r in sorted(parts.collect(), key=lambda r: r["part"]):
         rows.append((*r, starts))
         starts += r["n_tokens"]
-    index = spark.createDataFrame(rows, f"part int, first_id {kinds['doc_id']}, last_id {kinds['doc_id']}, "
+    index = spark.createDataFrame(rows, f"part int, first_id {kind}, last_id {kind}, "
                                         "n_docs long, n_tokens long, part_start long")
     index.coalesce(1).write.parquet(f"{path}/index")
     return path
@@ -204,24 +207,19 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return joined.withColumn("start", F.col("part_start") + F.col("local_start")).drop("part_start", "local_start")
 
 
-def digest(stored: DataFrame, extra: list[str] = ()) -> DataFrame:
-    """``doc_id``, ``start``, ``n_tokens`` and the crc32 of each document's ids."""
+def digest(stored: DataFrame) -> DataFrame:
+    """``doc_id``, ``copy``, ``start``, ``n_tokens`` and the crc32 of each row's ids."""
     small_batches(stored.sparkSession)
-    extra = list(extra)
-    read = stored.select("doc_id", "start", *[f"x_{c}" for c in extra], "ids")
+    read = stored.select("doc_id", "copy", "start", "ids")
 
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(b.num_columns - 1)
+            ids = b.column(3)
             offsets = ids.offsets.to_numpy()
             values = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
             sums = [zlib.crc32(values[a:z]) for a, z in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(np.diff(offsets), pa.int64()), pa.array(sums, pa.int64())],
-                names=[*b.schema.names[:-1], "n_tokens", "ids_crc32"])
-
-    kinds = {f.name: f.dataType.simpleString() for f in read.schema.fields}
-    schema = (f"doc_id {kinds['doc_id']}, start long, " + "".join(f"`x_{c}` {kinds[f'x_{c}']}, " for c in extra)
-              + "n_tokens long, ids_crc32 long")
-    return read.mapInArrow(crc, schema).select("doc_id", "start", "n_tokens", "ids_crc32",
-                                               *[F.col(f"x_{c}").alias(c) for c in extra])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.diff(offsets), pa.int64()), pa.array(sums, pa.int64())],
+                                             names=["doc_id", "copy", "start", "n_tokens", "ids_crc32"])
+
+    kind = read.schema["doc_id"].dataType.simpleString()
+    return read.mapInArrow(crc, f"doc_id {kind}, copy int, start long, n_tokens long, ids_crc32 long")

@@ -1,21 +1,24 @@
 """Toxicity by multiple-instance learning (operator 1).
 
 A document is a bag of sentences, and only the bag is labelled. A sentence's
-probability is a logistic function of its distinct words; a document's is their
+probability is a logistic function of its distinct words, each by itself and by
+its beginnings (so inflected forms share weight); a document's is their
 noisy-or, 1 - product(1 - p): toxic if any sentence is. Training pushes the
 document's likelihood back through the noisy-or, so the weight settles on the
 sentences that explain the label, and the same sentence probabilities then
 locate the offending sentences.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents of
-each label, those of least id hash, whole texts, in one task. Its words (in at
-least ``MIN_DOCS`` sampled documents) go to every task. A sentence's probability
+each label, those of least id hash, whole texts, in one task. Its features are those
+in at least ``MIN_DOCS`` sampled documents that toxic documents have clearly more
+often (``MIN_CHI2``); the few that keep a weight go to every task. A sentence's probability
 below ``FLOOR`` counts as none in the scores: otherwise the many harmless
 sentences of a very long document would add up.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,8 +31,11 @@ from pyspark.sql import functions as F
 from readyspark.llm.common import crc32_of, small_batches, strings, written
 
 SAMPLE = 3000      # documents of each label that the fit reads at most
-MIN_DOCS = 4
-TURNS = 200
+MIN_DOCS = 3
+MIN_CHI2 = 6.0
+PREFIXES = (4, 5, 6, 7, 8)  # beginnings of a word that are features, in characters
+WORDS = 300_000    # word weights that a worker remembers
+TURNS = 300
 RATE = 0.5
 L1 = 2e-4
 FLOOR = 0.1
@@ -56,16 +62,41 @@ def instances(text: str) -> Iterator[tuple[int, int, list[str]]]:
             yield m.start() + spans[at][0], m.start() + spans[upto][1], words[at:at + RUN_WORDS]
 
 
+def features(word: str) -> list[str]:
+    """The word and its proper beginnings, marked by a trailing hyphen."""
+    return [word] + [word[:k] + "-" for k in PREFIXES if k < len(word)]
+
+
+def telling(bags: list[tuple[int, str]]) -> list[str]:
+    """Features that toxic bags hold clearly more often, by the chi-square test."""
+    seen = (Counter(), Counter())
+    n = Counter(label for label, _ in bags)
+    for label, text in bags:
+        seen[label].update({f for w in {w for _, _, ws in instances(text) for w in ws} for f in features(w)})
+    out = []
+    for f, a in seen[1].items():
+        c = seen[0][f]
+        if a + c < MIN_DOCS or a * n[0] <= c * n[1]:
+            continue
+        b, d = n[1] - a, n[0] - c
+        chi2 = len(bags) * (a * d - b * c) ** 2 / max(1, (a + b) * (c + d) * (a + c) * (b + d))
+        if chi2 >= MIN_CHI2:
+            out.append(f)
+    return sorted(out)
+
+
 def fit(bags: list[tuple[int, str]]) -> dict[str, float]:
-    """Word weights and the bias of labelled bags (label, text)."""
-    seen = Counter(w for _, text in bags for w in {w for _, _, ws in instances(text) for w in ws})
-    place = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n >= MIN_DOCS))}
+    """Feature weights and the bias of labelled bags (label 0 or 1, text)."""
+    place = {f: k for k, f in enumerate(telling(bags))}
     word, inst, bag, n = [], [], [], 0
+    known: dict[str, list[int]] = {}
     for k, (_, text) in enumerate(bags):
         for _, _, ws in instances(text):
-            known = {place[w] for w in ws if w in place}
-            word.extend(known)
-            inst.extend([n] * len(known))
+            for w in set(ws):
+                if w not in known:
+                    known[w] = [place[f] for f in features(w) if f in place]
+                word.extend(known[w])
+                inst.extend([n] * len(known[w]))
             bag.append(k)
             n += 1
     word, inst, bag = np.array(word, np.int64), np.array(inst, np.int64), np.array(bag, np.int64)
@@ -100,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     small_batches(docs.sparkSession)
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
                    .where(crc32_of(F.col(id_col)) % 3 != 1)
-                   .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")))
+                   .groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col).cast("int") > 0).cast("int")).alias("label")))
     # of each label the ids of least hash that have a document: ids only, no texts
     at_hand = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
     chosen = [at_hand.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(sample) for y in (0, 1)]
@@ -120,19 +151,30 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return {r["word"]: r["weight"] for r in model.collect()}
 
 
-def bag_score(text: str, model: dict[str, float], bias: float) -> tuple[float, list[tuple[int, int, float]]]:
-    """Noisy-or score of a text and its offending sentences."""
-    clean, found, get = 1.0, [], model.get
-    for start, stop, words in instances(text):
-        z = bias + sum(get(w, 0.0) for w in set(words))
-        if z < -2.2:  # below FLOOR
-            continue
-        p = 1 / (1 + np.exp(-min(z, 50.0)))
-        if p > FLOOR:
-            clean *= 1 - (p - FLOOR) / (1 - FLOOR)
-        if p >= OFFENDING:
-            found.append((start, stop, float(p)))
-    return 1.0 - float(clean), found
+class Scorer:
+    """Noisy-or scores of whole texts and their offending sentences."""
+
+    def __init__(self, model: dict[str, float]):
+        self.model, self.bias = model, model[BIAS]
+        self.known: dict[str, float] = {}
+
+    def weight(self, word: str) -> float:
+        if word not in self.known:
+            if len(self.known) >= WORDS:
+                self.known = {}
+            self.known[word] = sum(self.model.get(f, 0.0) for f in features(word))
+        return self.known[word]
+
+    def __call__(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
+        clean, found, weight = 1.0, [], self.weight
+        for start, stop, words in instances(text):
+            z = self.bias + sum(map(weight, set(words)))
+            p = 1 / (1 + math.exp(-max(-50.0, min(z, 50.0))))
+            if p > FLOOR:
+                clean *= 1 - (p - FLOOR) / (1 - FLOOR)
+            if p >= OFFENDING:
+                found.append((start, stop, p))
+        return 1.0 - clean, found
 
 
 def score(docs: DataFrame, model: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
@@ -147,9 +189,9 @@ def score(docs: DataFrame, model: dict[str, float], id_col: str = "doc_id", text
     span = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("p", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = {w: x for w, x in model.items() if w != BIAS}
+        scorer = Scorer(model)
         for b in batches:
-            got = [bag_score(t, weights, model[BIAS]) for t in strings(b.column(1))]
+            got = [scorer(t) for t in strings(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([s for s, _ in got], pa.float64()),
                  pa.array([[{"start": a, "stop": z, "p": p} for a, z, p in f] for _, f in got], pa.list_(span))],
@@ -170,9 +212,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = {w: x for w, x in model.items() if w != BIAS}
+        scorer = Scorer(model)
         for b in batches:
-            keep = [bag_score(t, weights, model[BIAS])[0] < THRESHOLD for t in strings(b.column(at))]
+            keep = [scorer(t)[0] < THRESHOLD for t in strings(b.column(at))]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
