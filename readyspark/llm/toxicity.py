@@ -142,13 +142,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         bags = []
         for b in batches:
             bags += zip(b.column(0).to_pylist(), strings(b.column(1)))
-        model = fit(bags) if bags else {BIAS: -50.0}
+        model = fit(bags)
         yield pa.RecordBatch.from_arrays([pa.array(list(model), pa.string()), pa.array(list(model.values()), pa.float64())],
                                          names=["word", "weight"])
 
     one = texts.select("label", "text", "id").repartition(1).sortWithinPartitions("id", "text").select("label", "text")
     model = written(one.mapInArrow(run, "word string, weight double"), "toxicity-model")
-    return {r["word"]: r["weight"] for r in model.collect()}
+    return {BIAS: -50.0} | {r["word"]: r["weight"] for r in model.collect()}
 
 
 class Scorer:
