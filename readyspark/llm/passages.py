@@ -33,6 +33,8 @@ KMER = 8
 WINDOW = 12
 GAP_COST = 0.25      # words of score that a word of gap costs, on either side
 LARGE_GAP = 8        # words; where a chain of low similarity is cut
+GIVE_UP = 6          # score below the best at which an end is given up
+REACH = 256          # words of an end that are compared at once
 TOUCH = 5            # words between spans that are joined
 PART_WORDS = 12      # aligned words of a chain that counts towards a passage
 MIN_WORDS = 50
@@ -132,6 +134,24 @@ def edits(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
+def reach(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    """How far two runs go on alike, word by word: words and words that differ.
+    A word that differs costs two; the end is given up ``GIVE_UP`` below the best."""
+    best = now = wrong = 0
+    out = (0, 0)
+    for k, same in enumerate((a[:REACH] == b[:REACH]).tolist()):
+        now += 1 if same else -2
+        wrong += not same
+        if now > best:
+            best, out = now, (k + 1, wrong)
+        if now < best - GIVE_UP:
+            return out
+    if out[0] == REACH:
+        more = reach(a[REACH:], b[REACH:])
+        return out[0] + more[0], out[1] + more[1]
+    return out
+
+
 def align(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """Aligned stretches (start, stop, owner's start, owner's stop, edits) of a
     chain on the word hashes of the text and its owner."""
@@ -139,9 +159,8 @@ def align(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> li
     for x, y, k in chain:
         xe, ye = x + k, y + k
         if not parts:
-            while x and y and a[x - 1] == b[y - 1]:
-                x, y = x - 1, y - 1
-            parts.append([x, xe, y, ye, 0, 0])
+            k, wrong = reach(a[max(0, x - y):x][::-1], b[max(0, y - x):y][::-1])
+            parts.append([x - k, xe, y - k, ye, wrong, 0])
             continue
         last = parts[-1]
         while last[1] < x and last[3] < y and a[last[1]] == b[last[3]]:
@@ -151,12 +170,13 @@ def align(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> li
         gap = max(x - last[1], y - last[3])
         parts.append([x, xe, y, ye, 0, gap])
     xe, ye = parts[-1][1], parts[-1][3]
-    while xe < len(a) and ye < len(b) and a[xe] == b[ye]:
-        xe, ye = xe + 1, ye + 1
-    parts[-1][1], parts[-1][3] = xe, ye
+    n = min(len(a) - xe, len(b) - ye)
+    k, wrong = reach(a[xe:xe + n], b[ye:ye + n])
+    parts[-1][1], parts[-1][3] = xe + k, ye + k
+    parts[-1][4] += wrong
 
     def joined(run: list[list[int]]) -> tuple[int, int, int, int, int]:
-        wrong = 0
+        wrong = sum(p[4] for p in run)
         for p, q in zip(run, run[1:]):
             n, m = q[0] - p[1], q[2] - p[3]
             wrong += max(n, m) if min(n, m) == 0 or n * m > 40_000 else edits(a[p[1]:q[0]], b[p[3]:q[2]])
