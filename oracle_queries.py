@@ -314,8 +314,10 @@ rng AS (SELECT {group}, CASE WHEN min({col}) = max({col}) THEN min({col}) - 0.5
 b AS (SELECT t.{group}, CAST(least(floor((CAST(t.{col} AS DOUBLE) - r.lo) * {bins} / (r.hi - r.lo)), {bins - 1}) AS INTEGER) AS bin,
              r.lo, r.hi
       FROM {table} t JOIN rng r ON t.{group} IS NOT DISTINCT FROM r.{group} WHERE t.{col} IS NOT NULL)
-SELECT {group}, bin, lo + bin * ((hi - lo) / {bins}) AS lower, lo + (bin + 1) * ((hi - lo) / {bins}) AS upper,
-       count(*) AS n FROM b GROUP BY {group}, bin, lo, hi"""
+SELECT r.{group}, i::INTEGER AS bin, r.lo + i * ((r.hi - r.lo) / {bins}) AS lower,
+       r.lo + (i + 1) * ((r.hi - r.lo) / {bins}) AS upper, count(b.bin) AS n
+FROM rng r CROSS JOIN range({bins}) AS t(i) LEFT JOIN b ON b.{group} IS NOT DISTINCT FROM r.{group} AND b.bin = i
+GROUP BY r.{group}, i, r.lo, r.hi"""
 
 
 def _box_sql(table, group, col):
@@ -340,11 +342,18 @@ ORACLE.update({
     "value_counts": with_(CLEAN, "SELECT purpose, count(*) AS n FROM clean WHERE purpose IS NOT NULL GROUP BY purpose"),
     "crosstab_share": with_(_GENDERED + ",\ncells AS (SELECT gender, class, count(*) AS n FROM gendered "
                             "WHERE gender IS NOT NULL AND class IS NOT NULL GROUP BY gender, class)",
-                            f"SELECT gender, class, n, {r6('n / sum(n) OVER (PARTITION BY gender) * 100.0')} AS share FROM cells"),
+                            "SELECT g.gender, c.class, coalesce(n, 0) AS n, "
+                            + r6("coalesce(n, 0) / sum(n) OVER (PARTITION BY g.gender) * 100.0") + " AS share "
+                            "FROM (SELECT DISTINCT gender FROM cells) g CROSS JOIN (SELECT DISTINCT class FROM cells) c "
+                            "LEFT JOIN cells ON cells.gender = g.gender AND cells.class = c.class"),
     "ordered_crosstab": with_(CLEAN + f",\ncells AS (SELECT employment, CAST({_EMP_POS} AS BIGINT) AS position, class, "
                               f"count(*) AS n FROM clean WHERE {_EMP_POS} IS NOT NULL AND class IS NOT NULL "
                               "GROUP BY employment, position, class)",
-                              f"SELECT employment, position, class, n, {r6('n / sum(n) OVER (PARTITION BY employment)')} AS share FROM cells"),
+                              f"SELECT o.v AS employment, o.p AS position, c.class, coalesce(n, 0) AS n, "
+                              + r6("coalesce(coalesce(n, 0) / nullif(sum(n) OVER (PARTITION BY o.v), 0), 0.0)") + " AS share FROM "
+                              f"(SELECT unnest({lst(P.EMPLOYMENT_ORDER)}) AS v, unnest(range(1, {len(P.EMPLOYMENT_ORDER) + 1})) AS p) o "
+                              "CROSS JOIN (SELECT DISTINCT class FROM cells) c "
+                              "LEFT JOIN cells ON cells.employment = o.v AND cells.class = c.class"),
     "group_describe": with_(CLEAN, f"SELECT class, count(credit_amount) AS count, {r6('avg(credit_amount)')} AS mean, "
                                    f"{r6('stddev_samp(credit_amount)')} AS std, {r6('min(credit_amount)')} AS min, "
                                    f"{r6('max(credit_amount)')} AS max, {r6('quantile_cont(credit_amount, 0.5)')} AS median "
@@ -654,8 +663,13 @@ def _ordered_crosstabs_sql():
         parts.append(f"""SELECT {q(feature)} AS feature, {cat} AS category, CAST({pos} AS BIGINT) AS position, class,
             count(*) AS n FROM clean WHERE {pos} IS NOT NULL AND class IS NOT NULL GROUP BY ALL""")
     cells = " UNION ALL ".join(parts)
-    return with_(CLEAN + f",\ncells AS ({cells})",
-                 f"SELECT feature, category, position, class, n, {r6('n / sum(n) OVER (PARTITION BY feature, category)')} AS share FROM cells")
+    declared = ", ".join(f"({q(f)}, {q(v if isinstance(v, str) else str(int(v)))}, {i})"
+                         for f, order in ORDERED_PROFILES for i, v in enumerate(order, 1))
+    share = r6("coalesce(coalesce(n, 0) / nullif(sum(n) OVER (PARTITION BY o.feature, o.category), 0), 0.0)")
+    return with_(CLEAN + f",\ncells AS ({cells}),\no(feature, category, position) AS (VALUES {declared})",
+                 f"SELECT o.feature, o.category, o.position::BIGINT AS position, c.class, coalesce(n, 0) AS n, {share} AS share "
+                 "FROM o CROSS JOIN (SELECT DISTINCT class FROM cells) c "
+                 "LEFT JOIN cells ON cells.feature = o.feature AND cells.category = o.category AND cells.class = c.class")
 
 
 ORACLE["ordered_crosstabs"] = _ordered_crosstabs_sql()

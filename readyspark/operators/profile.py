@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from readyspark.operators.features import ordered_category
 from readyspark.operators.ordered import (BROADCAST_ROWS, counted_quantiles, exact_quantiles,
                                           null_safe_join, value_table)
+from readyspark.session import cut_lineage
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -28,16 +29,21 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def crosstab_share(df: DataFrame, row: str, col: str, percent: bool = False) -> DataFrame:
-    """A2: row-normalised cross table in long form (row, col, n, share).
+    """A2: row-normalised cross table in long form (row, col, n, share), a row
+    for every pair of an occurring row and an occurring column, 0 where they
+    never meet.
 
-    Counts per cell are a partial aggregate; row totals come from a window
-    over that small cell table (cells = distinct rows x distinct columns).
+    Counts per cell are a partial aggregate; everything after works on that
+    small cell table (cells = distinct rows x distinct columns).
     """
     cells = (df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
                .groupBy(row, col).agg(F.count(F.lit(1)).alias("n")))
-    total = F.sum("n").over(Window.partitionBy(row))
-    share = F.col("n") / total * (100.0 if percent else 1.0)
-    return cells.withColumn("share", share)
+    per_row = cells.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(col, "n"))).alias("_cells"),
+                                     F.collect_set(col).alias("_cols"), F.sum("n").alias("_total"))
+    every = F.array_distinct(F.flatten(F.collect_list("_cols").over(Window.partitionBy())))
+    full = per_row.withColumn("_every", every).select(row, "_cells", "_total", F.explode("_every").alias(col))
+    n = F.coalesce(F.try_element_at("_cells", F.col(col)), F.lit(0)).cast("long")
+    return full.select(row, col, n.alias("n"), (n / F.col("_total") * (100.0 if percent else 1.0)).alias("share"))
 
 
 def crosstab_wide(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
@@ -45,61 +51,72 @@ def crosstab_wide(df: DataFrame, row: str, col: str, values: Sequence) -> DataFr
     wide = (df.where(F.col(row).isNotNull()).groupBy(row)
               .pivot(col, list(values)).agg(F.count(F.lit(1))).na.fill(0))
     total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
-    return wide.select(row, *[(F.col(f"`{v}`") / total).alias(str(v)) for v in values])
+    return wide.select(row, *[F.coalesce(F.try_divide(F.col(f"`{v}`").cast("double"), total.cast("double")),
+                                         F.lit(0.0)).alias(str(v)) for v in values])
+
+
+def _ordered_cells(cells: DataFrame, declared: Sequence[tuple], col: str) -> DataFrame:
+    """Counts (feature, position, col, n) as a full table: every declared
+    category meets every occurring value of ``col``; an empty category has
+    counts and shares of 0."""
+    entries = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(c).alias("category"),
+                                 F.lit(i).cast("bigint").alias("position")) for f, c, i in declared])
+    key = lambda f, p: F.concat_ws(":", p.cast("string"), f)
+    per_col = cells.groupBy(col).agg(F.map_from_entries(F.collect_list(F.struct(
+        key(F.col("feature"), F.col("position")).alias("k"), "n"))).alias("_cells"))
+    full = per_col.select(col, "_cells", F.explode(entries).alias("_e")).select("_e.*", col, "_cells")
+    n = F.coalesce(F.try_element_at("_cells", key(F.col("feature"), F.col("position"))), F.lit(0)).cast("long")
+    full = full.select("feature", "category", "position", col, n.alias("n"))
+    total = F.sum("n").over(Window.partitionBy("feature", "position"))
+    return full.withColumn("share", F.coalesce(F.try_divide(F.col("n").cast("double"), total.cast("double")), F.lit(0.0)))
 
 
 def ordered_crosstabs(df: DataFrame, orders: Sequence[tuple[str, Sequence]], col: str) -> DataFrame:
     """A3 for several declared-order features in one pass.
 
-    Every row is exploded into one (feature, category, position) entry per
-    feature, values outside a feature's order are dropped, and a single
-    partial aggregate counts all cells; shares come from a window over the
-    small cell table. Output: feature, category (text), position (1-based), col, n, share.
+    Every row is exploded into one (feature, position) entry per feature, values
+    outside a feature's order are dropped, and a single partial aggregate counts
+    all cells; missing cells and shares are filled in on the small cell table.
+    Output: feature, category (text), position (1-based), col, n, share.
     """
-    entries = []
-    for feature, order in orders:
-        kept, position = ordered_category(feature, order)
-        text = kept if isinstance(order[0], str) else kept.cast("bigint")
-        entries.append(F.struct(F.lit(feature).alias("feature"), text.cast("string").alias("category"),
-                                position.alias("position")))
+    entries = [F.struct(F.lit(feature).alias("feature"), ordered_category(feature, order)[1].alias("position"))
+               for feature, order in orders]
     exploded = df.select(F.col(col), F.explode(F.array(*entries)).alias("_e")).select("_e.*", col)
     cells = (exploded.where(F.col("position").isNotNull() & F.col(col).isNotNull())
-                     .groupBy("feature", "category", "position", col).agg(F.count(F.lit(1)).alias("n")))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("feature", "category"))
-    return cells.withColumn("share", share)
+                     .groupBy("feature", "position", col).agg(F.count(F.lit(1)).alias("n")))
+    declared = [(f, v if isinstance(v, str) else str(int(v)), i) for f, order in orders for i, v in enumerate(order, 1)]
+    return _ordered_cells(cells, declared, col)
 
 
 def ordered_crosstab(df: DataFrame, row: str, order: Sequence, col: str) -> DataFrame:
     """A3: cross table of one declared-order category; values outside the order
     are dropped, ``position`` (1-based) gives the row order."""
-    kept, position = ordered_category(row, order)
-    coerced = df.select(kept.alias(row), position.alias("position"), F.col(col))
-    cells = (coerced.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-                    .groupBy(row, "position", col).agg(F.count(F.lit(1)).alias("n")))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy(row))
-    return cells.withColumn("share", share).orderBy("position", col)
+    _, position = ordered_category(row, order)
+    coerced = df.select(F.lit(row).alias("feature"), position.alias("position"), F.col(col))
+    cells = (coerced.where(F.col("position").isNotNull() & F.col(col).isNotNull())
+                    .groupBy("feature", "position", col).agg(F.count(F.lit(1)).alias("n")))
+    full = _ordered_cells(cells, [(row, v, i) for i, v in enumerate(order, 1)], col)
+    return full.select(F.col("category").alias(row), "position", col, "n", "share").orderBy("position", col)
+
+
+def _numbers(df: DataFrame, group: str, column: str) -> DataFrame:
+    v = F.col(column).cast("double")
+    return df.select(F.col(group), v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
 def group_describe(df: DataFrame, group: str, column: str) -> DataFrame:
     """A4: count, mean, median, sample std, min, max per group (nulls ignored).
 
-    Everything comes from the (group, value, count) table, so the input is read
-    once. The sample standard deviation takes two passes over that table (the
-    group mean first, then the count-weighted squared deviations), which keeps
-    it as stable as a streaming variance.
+    All but the median are one map-side-combined aggregate (the deviation by
+    mergeable central moments), which shuffles a row per group and task; only
+    the median needs the counted value table.
     """
-    vals = value_table(df, [group], column)
-    n, wv = F.sum("_cnt"), F.sum(F.col("_cnt") * F.col("_v"))
-    first = vals.groupBy(group).agg(n.alias("count"), (wv / n).alias("mean"),
-                                    F.min("_v").alias("min"), F.max("_v").alias("max"))
-    means = first.select(group, "mean")
-    dev = null_safe_join(vals, means, [group], broadcast=means.count() <= BROADCAST_ROWS)
-    ss = dev.groupBy(group).agg(F.sum(F.col("_cnt") * (F.col("_v") - F.col("mean")) ** 2).alias("_ss"))
-    med = counted_quantiles(vals, [group], [0.5]).select(group, F.col("value").alias("median"))
-    stats = null_safe_join(first, ss, [group], how="left")
-    std = F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double")))
-    out = null_safe_join(stats, med, [group], how="left")
-    return out.select(group, "count", "mean", std.alias("std"), "min", "max", "median")
+    moments = _numbers(df, group, column).groupBy(group).agg(
+        F.count("_v").alias("count"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"))
+    med = exact_quantiles(df, [group], column, [0.5]).select(group, F.col("value").alias("median"))
+    out = null_safe_join(moments, med, [group], how="left")
+    return out.select(group, "count", "mean", "std", "min", "max", "median")
 
 
 def group_quartiles(df: DataFrame, group: str, column: str, exact: bool = True,
@@ -123,27 +140,28 @@ def group_quartiles(df: DataFrame, group: str, column: str, exact: bool = True,
 
 
 def histogram(df: DataFrame, group: str, column: str, bins: int) -> DataFrame:
-    """Equal-width histogram per group over the group's own [min, max];
-    the last bin is closed. A constant group gets the range [v - 0.5, v + 0.5].
+    """Equal-width histogram per group over the group's own [min, max], all
+    ``bins`` bins, empty ones with 0; the last bin is closed. A constant group
+    gets the range [v - 0.5, v + 0.5].
 
-    The input is read once, into the (group, value, count) table; min/max per
-    group and the bin counts are aggregates over that table, so no input row is
-    joined back or shuffled by group. The min/max table (one row per group) is
-    broadcast after a size check.
+    Two map-side-combined passes: minimum and maximum (a row per group, written,
+    and broadcast after a count), then the bin counts; a task shuffles at most
+    groups x bins rows, however many values there are.
     """
-    vals = value_table(df, [group], column)
+    vals = _numbers(df, group, column)
     rng = vals.groupBy(group).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
-    rng = rng.select(group,
-                     F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
-                     F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
+    same = F.col("_mn") == F.col("_mx")
+    rng = cut_lineage(rng.select(group, F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
+                                 F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi")))
     joined = null_safe_join(vals, rng, [group], broadcast=rng.count() <= BROADCAST_ROWS)
     idx = F.floor((F.col("_v") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
-    binned = joined.withColumn("bin", F.least(idx, F.lit(bins - 1)).cast("int"))
-    counts = binned.groupBy(group, "bin", "_lo", "_hi").agg(F.sum("_cnt").alias("n"))
+    counts = (joined.withColumn("bin", F.least(idx, F.lit(bins - 1)).cast("int"))
+                    .groupBy(group, "bin").agg(F.count(F.lit(1)).alias("n")))
+    every = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    return counts.select(group, "bin",
-                         (F.col("_lo") + F.col("bin") * width).alias("lower"),
-                         (F.col("_lo") + (F.col("bin") + 1) * width).alias("upper"), "n")
+    return null_safe_join(every, counts, [group, "bin"], how="left").select(
+        group, "bin", (F.col("_lo") + F.col("bin") * width).alias("lower"),
+        (F.col("_lo") + (F.col("bin") + 1) * width).alias("upper"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def box_stats(df: DataFrame, column: str, group: str | None = None, whis: float = 1.5) -> DataFrame:

@@ -47,16 +47,23 @@ def test_histogram_matches_numpy(spark):
     got = {(r["g"], r["bin"]): r["n"] for r in PR.histogram(df, "g", "v", 20).collect()}
     for g in ("a", "b"):
         counts, _ = np.histogram([v for k, v in rows if k == g], bins=20)
-        assert [got.get((g, i), 0) for i in range(20)] == list(counts)
+        assert [got[(g, i)] for i in range(20)] == list(counts)
+    odd = spark.createDataFrame([("c", 2.0), ("c", 2.0), (None, 1.0), (None, 3.0), ("e", None)], "g string, v double")
+    bins = {(r["g"], r["bin"]): r["n"] for r in PR.histogram(odd, "g", "v", 4).collect()}
+    assert bins == {("c", 0): 0, ("c", 1): 0, ("c", 2): 2, ("c", 3): 0,
+                    (None, 0): 1, (None, 1): 0, (None, 2): 0, (None, 3): 1}
 
 
 def test_value_counts_and_crosstab(spark):
     df = spark.createDataFrame([("x", 1), ("x", 0), ("y", 1), (None, 1)], "a string, c int")
     assert [(r["a"], r["n"]) for r in PR.value_counts(df, "a").collect()] == [("x", 2), ("y", 1)]
     share = {(r["a"], r["c"]): r["share"] for r in PR.crosstab_share(df, "a", "c").collect()}
-    assert share == {("x", 0): 0.5, ("x", 1): 0.5, ("y", 1): 1.0}
-    order = PR.ordered_crosstab(df, "a", ["y", "x"], "c").collect()
-    assert [r["a"] for r in order] == ["y", "x", "x"]
+    assert share == {("x", 0): 0.5, ("x", 1): 0.5, ("y", 0): 0.0, ("y", 1): 1.0}
+    order = PR.ordered_crosstab(df, "a", ["y", "empty", "x"], "c").collect()
+    assert [(r["a"], r["c"], r["n"], r["share"]) for r in order] == [
+        ("y", 0, 0, 0.0), ("y", 1, 1, 1.0), ("empty", 0, 0, 0.0), ("empty", 1, 0, 0.0), ("x", 0, 1, 0.5), ("x", 1, 1, 0.5)]
+    wide = {r["a"]: (r["0"], r["1"]) for r in PR.crosstab_wide(df, "a", "c", [0, 1]).collect()}
+    assert wide == {"x": (0.5, 0.5), "y": (0.0, 1.0)}
 
 
 def test_describe(spark):
