@@ -23,8 +23,10 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# the ASCII whitespace set (space, tab, newline, carriage return, form feed, vertical tab)
-WHITESPACE = " \t\n\r\f\x0b"
+# every character that Python's str.strip removes: ASCII white space and separators, next line,
+# no-break space and the Unicode spaces (fixed values)
+WHITESPACE = (" \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+              + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip(c) -> Column:
@@ -75,8 +77,8 @@ def any_of(conds: Iterable[Column]) -> Column:
 
 
 def right_closed_bins(c, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Label of the bin (edges[i], edges[i+1]] holding c; null outside all bins."""
-    c = col_of(c)
+    """Label of the bin (edges[i], edges[i+1]] holding c; null outside all bins, and for NaN."""
+    c = nan_to_null(c)
     if len(edges) != len(labels) + 1:
         raise ValueError("need one more edge than labels")
     expr = None

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from readyspark import presets as P
 from readyspark.functions.exprs import all_of, any_of, is_nullish, lenient_double, strip
+from readyspark.operators.ordered import BROADCAST_ROWS
 
-# sets larger than this are matched with a broadcast semi join instead of isin
+# sets larger than this are matched with a join against a table of their values instead of isin
 ISIN_LIMIT = 1000
 
 
@@ -59,19 +60,25 @@ def domain_condition(allowed: Mapping[str, Sequence]):
                   for c, v in allowed.items() if len(v) <= ISIN_LIMIT)
 
 
+def _rule_table(spark, values: Sequence, name: str) -> DataFrame:
+    """The distinct values of a large set as a column ``name``; broadcast up to a
+    known number of values, else left to the join's own choice."""
+    rule = spark.createDataFrame([(v,) for v in set(values)], [name])
+    return F.broadcast(rule) if len(values) <= BROADCAST_ROWS else rule
+
+
 def domain_filter(df: DataFrame, allowed: Mapping[str, Sequence]) -> DataFrame:
     """Keep rows whose value lies in the column's allowed set.
 
     Small sets become one ``isin`` conjunction. A set above ``ISIN_LIMIT``
-    values is a table of known, driver-side size, so it is broadcast and
-    matched with a left-semi join: no shuffle of the big side.
+    values is a table, matched by a left-semi join on a name of its own, so
+    columns and their order stay the same at any size.
     """
     out = df.where(domain_condition(allowed))
-    spark = df.sparkSession
-    for c, values in allowed.items():
+    for i, (c, values) in enumerate(allowed.items()):
         if len(values) > ISIN_LIMIT:
-            rule = spark.createDataFrame([(v,) for v in values], [c]).distinct()
-            out = out.join(F.broadcast(rule), on=c, how="left_semi")
+            rule = _rule_table(df.sparkSession, values, f"_rule_{i}")
+            out = out.join(rule, out[c] == rule[f"_rule_{i}"], "left_semi")
     return out
 
 
@@ -123,8 +130,17 @@ def clean_reason_counts(df: DataFrame,
     range_bad = ~all_of(F.coalesce(num[c] >= F.lit(v), F.lit(False)) if c in num
                         else F.coalesce(F.col(c) >= F.lit(v), F.lit(False))
                         for c, v in minimums.items())
-    domain_bad = ~all_of(F.coalesce(strip(F.col(c).cast("string")).isin(list(v)), F.lit(False))
-                         for c, v in allowed.items())
+    # large sets as in domain_filter: an outer join marks the rows that match
+    inside = []
+    for i, (c, v) in enumerate(allowed.items()):
+        text = strip(F.col(c).cast("string"))
+        if len(v) > ISIN_LIMIT:
+            rule = _rule_table(df.sparkSession, v, f"_rule_{i}")
+            grouped = grouped.join(rule, text == rule[f"_rule_{i}"], "left")
+            inside.append(F.col(f"_rule_{i}").isNotNull())
+        else:
+            inside.append(F.coalesce(text.isin(list(v)), F.lit(False)))
+    domain_bad = ~all_of(inside)
     target_bad = ~F.coalesce(F.col(target).isin(list(target_values)), F.lit(False))
     flagged = grouped.select(
         "_copies",

@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readyspark.operators.ordered import bucket_count, running_sum, value_buckets, ROWS_PER_BUCKET
-from readyspark.operators.split import MAX_CLASSES
+from readyspark.operators.ordered import (BROADCAST_ROWS, ROWS_PER_BUCKET, bucket_count, null_safe_join,
+                                          running_sum, value_buckets)
 from readyspark.session import cut_lineage
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "mcc"]
@@ -73,11 +73,14 @@ def _auc_of_counts(per_score: DataFrame, group_cols: list, rows_per_bucket: int)
     per_score = value_buckets(per_score, "_s", n_buckets)
     ranked = running_sum(per_score, group_cols, "_bucket", ["_s"], weight=F.col("_neg"),
                          single_bucket=n_buckets == 1)
-    twice = F.col("_pos") * (2 * F.col("_before") + F.col("_neg"))
+    # products of two counts pass a long near 2e9 rows of each class: 38 digits hold
+    # them exactly, so the sum is still independent of its order
+    wide = lambda c: c.cast("decimal(19,0)")
+    twice = (wide(F.col("_pos")) * (wide(F.col("_before")) + wide(F.col("_before") + F.col("_neg")))).cast("decimal(38,0)")
     agg = [F.sum(twice).alias("_num2"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n")]
     out = ranked.groupBy(*group_cols).agg(*agg) if group_cols else ranked.agg(*agg)
     auc = F.try_divide(F.col("_num2").cast("double"),
-                       (2 * F.col("_p") * F.col("_n")).cast("double"))
+                       F.lit(2.0) * F.col("_p").cast("double") * F.col("_n").cast("double"))
     return out.select(*group_cols, auc.alias("roc_auc"))
 
 
@@ -149,11 +152,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Attach the balanced weight to every row. The weight table has one row per
-    class; it reaches the rows as a literal map, so the big side is not shuffled."""
-    rows = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes; not a class label")
-    items = []
-    for r in rows:
-        items.extend([F.lit(r[label]), F.lit(float(r["weight"]))])
-    return df.withColumn(out, F.try_element_at(F.create_map(*items), F.col(label)))
+    class and is joined by class: broadcast when its counted rows allow it, else
+    by shuffle, so any number of classes works."""
+    weights = cut_lineage(class_weights(df, label).select(label, F.col("weight").alias(out)))
+    return null_safe_join(df, weights, [label], "left", broadcast=weights.count() <= BROADCAST_ROWS)

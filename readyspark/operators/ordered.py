@@ -27,7 +27,7 @@ from readyspark.session import cut_lineage
 # few keys and one long (tens of bytes), so the bound is tens of megabytes
 BROADCAST_ROWS = 1_000_000
 # target rows per bucket: one bucket of one group is what a window task sorts
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 200_000
 # hash buckets are top bits of a 32-bit hash: up to 2^20 of them
 MAX_HASH_BUCKETS = 1 << 20
 # value buckets come from one sketch holding their edges: keep that array modest
@@ -48,7 +48,8 @@ def value_buckets(df: DataFrame, value_col: str, n_buckets: int, out: str = "_bu
                   accuracy: int = 10_000) -> DataFrame:
     """Add a bucket that is monotone in ``value_col``; edges come from one
     mergeable approximate-quantile sketch (bounded memory, one small result)."""
-    n_buckets = min(n_buckets, MAX_VALUE_BUCKETS)
+    if n_buckets > MAX_VALUE_BUCKETS:
+        return _two_level_buckets(df, value_col, n_buckets, out, accuracy)
     if n_buckets <= 1:
         return df.withColumn(out, F.lit(0.0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -63,6 +64,21 @@ def value_buckets(df: DataFrame, value_col: str, n_buckets: int, out: str = "_bu
     return b.transform(df.withColumn(tmp, F.col(value_col).cast("double"))).drop(tmp)
 
 
+def _two_level_buckets(df: DataFrame, value_col: str, n_buckets: int, out: str, accuracy: int) -> DataFrame:
+    """Value buckets beyond what one sketch may hold: each of ``MAX_VALUE_BUCKETS``
+    ranges has a sketch of its own, so a bucket keeps its size at any data size.
+    The edges table has one row per range, at most ``MAX_VALUE_BUCKETS``."""
+    inner = math.ceil(n_buckets / MAX_VALUE_BUCKETS)
+    outer = value_buckets(df, value_col, MAX_VALUE_BUCKETS, "_range", accuracy)
+    v = F.col(value_col).cast("double")
+    probs = [i / inner for i in range(1, inner)]
+    edges = cut_lineage(outer.groupBy(F.col("_range").alias("_edge_range")).agg(
+        F.array_distinct(F.percentile_approx(v, probs, max(accuracy, 4 * inner))).alias("_edges")))
+    joined = outer.join(F.broadcast(edges), F.col("_range") == F.col("_edge_range"), "left")
+    place = F.coalesce(F.size(F.filter("_edges", lambda e: e <= v)), F.lit(0))
+    return joined.withColumn(out, F.col("_range") * F.lit(float(inner)) + place).drop("_range", "_edge_range", "_edges")
+
+
 def running_sum(df: DataFrame, group_cols: Sequence[str], bucket_col: str, order_cols: Sequence,
                 weight: Column | None = None, out_before: str = "_before",
                 out_through: str = "_through", single_bucket: bool = False,

@@ -81,7 +81,7 @@ class _Plan:
     types: dict
     counters: dict = field(default_factory=dict)  # name -> SQL aggregate
     rows: list = field(default_factory=list)
-    share_column: str | None = None
+    share_columns: list[str] = field(default_factory=list)
 
     def counter(self, name: str, sql: str) -> str:
         self.counters[name] = sql
@@ -163,21 +163,23 @@ def _compile(plan: _Plan, i: int, rule) -> None:
         bad = plan.counter(f"_v{i}", f"count_if({present} AND NOT coalesce({ok}, false))")
         share = f"try_divide(CAST({bad} AS DOUBLE), CAST({cases} AS DOUBLE))"
         limit = 1.0 - rule.mostly
+        # decided on the good share: 1.0 - mostly is not exact, 9 of 10 is
+        good = f"try_divide(CAST({cases} - {bad} AS DOUBLE), CAST({cases} AS DOUBLE))"
         plan.rows.append(GateRow(g, metric, E(share), limit, "<=",
-                                 passed=E(f"coalesce({share} <= {limit!r}, {cases} = 0)"),
+                                 passed=E(f"coalesce({good} >= {float(rule.mostly)!r}, {cases} = 0)"),
                                  subject=rule.column, cases=E(cases), violations=E(bad)))
     elif isinstance(rule, MinClassShare):
         if rule.column not in types:
             return _missing(plan, "min_class_share", rule.column, rule.min_share, ">=")
-        if plan.share_column not in (None, rule.column):
-            raise ValueError("one suite can hold class-share rules on one column only")
-        plan.share_column = rule.column
-        share = "try_divide(CAST(`_cls_min` AS DOUBLE), CAST(`_cls_total` AS DOUBLE))"
+        if rule.column not in plan.share_columns:
+            plan.share_columns.append(rule.column)
+        k = plan.share_columns.index(rule.column)
+        share = f"try_divide(CAST(`_cls_min{k}` AS DOUBLE), CAST(`_cls_total{k}` AS DOUBLE))"
         # a missing share (no non-null class) passes, as the credit gates do
         passed = (f"coalesce({share} >= {float(rule.min_share)!r}, {share} IS NULL) "
-                  f"AND coalesce(`_cls_k`, 0) >= {int(rule.min_classes)}")
+                  f"AND coalesce(`_cls_k{k}`, 0) >= {int(rule.min_classes)}")
         plan.rows.append(GateRow(g, "min_class_share", E(share), rule.min_share, ">=", passed=E(passed),
-                                 subject=rule.column, cases=E("`_cls_total`")))
+                                 subject=rule.column, cases=E(f"`_cls_total{k}`")))
     else:
         raise TypeError(f"unknown rule {rule!r}")
 
@@ -190,16 +192,24 @@ def evaluate_rules(df: DataFrame, rules: Sequence, gate: str) -> DataFrame:
         _compile(plan, i, rule)
     names = list(plan.counters)
     aggs = [F.expr(f"{sql} AS `{k}`") for k, sql in plan.counters.items()]
-    if plan.share_column is None:
+    columns = plan.share_columns
+    if not columns:
         one = df.agg(*aggs)
     else:
-        cls = F.col("_cls")
-        per_class = df.groupBy(F.col(plan.share_column).alias("_cls")).agg(*aggs)
-        one = per_class.agg(
-            *[F.sum(k).alias(k) for k in names],
-            F.sum(F.when(cls.isNotNull(), F.col("_n"))).alias("_cls_total"),
-            F.min(F.when(cls.isNotNull(), F.col("_n"))).alias("_cls_min"),
-            F.count(cls).alias("_cls_k"))
+        # a row counts once per class column, under that column's class; the other
+        # counters are taken from the first column's groups alone
+        if len(columns) == 1:
+            spread, keys = df, [F.lit(0).alias("_ci"), F.col(columns[0]).alias("_cls")]
+        else:
+            classes = [F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("c")) for i, c in enumerate(columns)]
+            spread = df.withColumn("_pair", F.explode(F.array(*classes)))
+            keys = [F.col("_pair.i").alias("_ci"), F.col("_pair.c").alias("_cls")]
+        per_class = spread.groupBy(*keys).agg(*aggs)
+        mine = lambda i: (F.col("_ci") == i) & F.col("_cls").isNotNull()
+        shares = [x for i in range(len(columns)) for x in (
+            F.sum(F.when(mine(i), F.col("_n"))).alias(f"_cls_total{i}"),
+            F.min(F.when(mine(i), F.col("_n"))).alias(f"_cls_min{i}"), F.count_if(mine(i)).alias(f"_cls_k{i}"))]
+        one = per_class.agg(*[F.sum(F.when(F.col("_ci") == 0, F.col(k))).alias(k) for k in names], *shares)
     return rows_from(one, plan.rows)
 
 

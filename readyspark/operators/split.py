@@ -12,7 +12,7 @@ rows of each class's cutoff bucket; the folds rank every row (see ``ordered``).
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,39 +23,27 @@ from readyspark.operators.ordered import (BROADCAST_ROWS, ROWS_PER_BUCKET, bucke
 from readyspark.session import cut_lineage
 
 
-# classes whose quotas or weights may reach the driver; a label column with more
-# distinct values is not a class label, and is refused rather than collected
-MAX_CLASSES = 10_000
+def class_counts(df: DataFrame, label: str) -> DataFrame:
+    """Rows per class, null included: a small table, written once."""
+    return cut_lineage(df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n")))
 
 
-def class_counts(df: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> dict:
-    """Rows per class: one small aggregate, at most ``max_classes`` rows to the driver."""
-    rows = df.groupBy(label).agg(F.count(F.lit(1))).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"{label} has more than {max_classes} classes; not a class label")
-    return {r[0]: r[1] for r in rows}
-
-
-def largest_remainder(counts: dict, total_take: int) -> dict:
-    """Integer quotas proportional to counts, summing to ``total_take``;
-    remainders are handed out largest first, ties by class order."""
-    n = sum(counts.values())
-    if n == 0:
-        return {k: 0 for k in counts}
-    raw = {k: total_take * c / n for k, c in counts.items()}
-    quota = {k: math.floor(v) for k, v in raw.items()}
-    left = total_take - sum(quota.values())
-    order = sorted(counts, key=lambda k: (-(raw[k] - quota[k]), k))
-    for k in order[:left]:
-        quota[k] += 1
-    return quota
-
-
-def _quota_map(quotas: dict):
-    items = []
-    for k, v in quotas.items():
-        items.extend([F.lit(k), F.lit(int(v))])
-    return F.create_map(*items)
+def quotas(counts: DataFrame, test_size: float) -> DataFrame:
+    """``_class`` and ``_q``: integer quotas proportional to the class counts that
+    sum to ceil(test_size * n); remainders are handed out largest first, ties by
+    class order. The null class gets 0. Exact integer arithmetic; the windows
+    run over one row per class."""
+    every = Window.partitionBy()
+    live = counts.where(F.col("_class").isNotNull())
+    n = F.sum("_n").over(every)
+    live = live.withColumns({"_all": n, "_take": F.ceil(F.lit(float(test_size)) * n)})
+    part, total = "cast(_take as decimal(19,0)) * cast(_n as decimal(19,0))", "cast(_all as decimal(19,0))"
+    live = live.withColumns({"_whole": F.expr(f"cast(({part}) div {total} as bigint)"), "_rem": F.expr(f"({part}) % {total}")})
+    left = F.col("_take") - F.sum("_whole").over(every)
+    rank = F.row_number().over(Window.orderBy(F.desc("_rem"), "_class"))
+    live = live.withColumns({"_left": left, "_rank": rank})
+    shares = live.select("_class", (F.col("_whole") + (F.col("_rank") <= F.col("_left")).cast("long")).alias("_q"))
+    return shares.unionByName(counts.where(F.col("_class").isNull()).select("_class", F.lit(0).cast("long").alias("_q")))
 
 
 def class_rank(df: DataFrame, label: str, key: str, salt: str, seed: int, max_class: int,
@@ -92,26 +80,23 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     """
     if checkpoint:
         df = cut_lineage(df)
-    groups = class_counts(df, label)  # null labels too: they form a window group
-    counts = {k: v for k, v in groups.items() if k is not None}
-    n_test = math.ceil(test_size * sum(counts.values()))
-    quotas = largest_remainder(counts, n_test)
-    n_buckets = bucket_count(max(groups.values(), default=1), rows_per_bucket)
-    quota = F.coalesce(F.try_element_at(_quota_map(quotas), F.col(label)), F.lit(0)) if quotas else F.lit(0)
-    data = df.withColumn("_h", hash32(key, seed))
+    counts = class_counts(df, label)
+    take = cut_lineage(quotas(counts, test_size))
+    size = counts.agg(F.count(F.lit(1)).alias("classes"), F.max("_n").alias("largest")).first()
+    n_buckets = bucket_count(size["largest"] or 0, rows_per_bucket)
+    few = size["classes"] * n_buckets <= BROADCAST_ROWS  # rows of the tables joined below: known without a job
+    data = df.withColumn("_h", hash32(key, seed)).withColumn("_hb", hash_bucket(F.col("_h"), n_buckets))
     if n_buckets == 1:
         # every class fits one window task (at most rows_per_bucket rows), and its
         # only bucket straddles the quota: rank each class directly
+        placed = _with_class(data, take, label, few)
         rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key)) - 1
-        return data.withColumn(out, F.when(rank < quota, "test").otherwise("train")).drop("_h")
-    data = data.withColumn("_hb", hash_bucket(F.col("_h"), n_buckets))
-    totals = data.groupBy(label, "_hb").agg(F.count(F.lit(1)).alias("_bt"))
-    prior = Window.partitionBy(label).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(label, "_hb", "_bt", F.coalesce(F.sum("_bt").over(prior), F.lit(0)).alias("_off"))
-    # at most one row per (class or null, bucket): a bound known without a job
-    small = (len(counts) + 1) * n_buckets <= BROADCAST_ROWS
-    placed = null_safe_join(data, offsets, [label, "_hb"], broadcast=small)
-    placed = placed.withColumn("_q", quota)
+        return placed.withColumn(out, F.when(rank < F.col("_q"), "test").otherwise("train")).drop("_h", "_hb", "_q")
+    totals = data.groupBy(F.col(label).alias("_class"), "_hb").agg(F.count(F.lit(1)).alias("_bt"))
+    prior = Window.partitionBy("_class").orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_off", F.coalesce(F.sum("_bt").over(prior), F.lit(0)))
+    offsets = null_safe_join(offsets, take, ["_class"], broadcast=few)
+    placed = _with_class(data, offsets, label, few, ["_hb"])
     straddles = (F.col("_off") < F.col("_q")) & (F.col("_off") + F.col("_bt") > F.col("_q"))
     decided = (placed.where(~straddles)
                      .withColumn(out, F.when(F.col("_off") + F.col("_bt") <= F.col("_q"), "test").otherwise("train")))
@@ -123,11 +108,16 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     return decided.drop(*helpers).unionByName(ranked.drop(*helpers))
 
 
+def _with_class(data: DataFrame, small: DataFrame, label: str, few: bool, keys: Sequence[str] = ()) -> DataFrame:
+    """``data`` with the columns of a per-class table, null class included."""
+    return null_safe_join(data, small.withColumnRenamed("_class", label), [label, *keys], broadcast=few)
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42,
                      rows_per_bucket: int = ROWS_PER_BUCKET, out: str = "fold") -> DataFrame:
     """Fold number 0..k-1, dealt round-robin along each class's hash order,
     so every fold holds floor or ceil of n_c / k rows of each class."""
-    counts = class_counts(df, label)
-    ranked = class_rank(df, label, key, "fold", seed, max(counts.values(), default=1), rows_per_bucket,
-                        n_classes=len(counts))
+    size = class_counts(df, label).agg(F.count(F.lit(1)).alias("classes"), F.max("_n").alias("largest")).first()
+    ranked = class_rank(df, label, key, "fold", seed, size["largest"] or 0, rows_per_bucket,
+                        n_classes=size["classes"])
     return ranked.withColumn(out, F.pmod(F.col("_rank"), F.lit(k)).cast("int")).drop("_rank", "_h")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from readyspark import presets as P
+from readyspark.functions.exprs import lenient_double
 from readyspark.operators.clean import contract_split
 from readyspark.operators.features import calculate_features, drop_columns
 from readyspark.operators.score import label_text, score
@@ -28,37 +29,55 @@ from readyspark.operators.score import label_text, score
 MAX_FILES_PER_TRIGGER = 1000
 
 
-def scoring_stream(spark: SparkSession, source_dir: str, schema: StructType, scorer,
-                   required: list[str], numeric: list[str],
-                   max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """The streaming DataFrame: contract check, features, score."""
+def checked_stream(spark: SparkSession, source_dir: str, schema: StructType, required: list[str],
+                   numeric: list[str], max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """The source with its contract verdict (``valid``, ``reasons``), columns as they came."""
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
                 .parquet(source_dir))
-    checked = contract_split(src, required, numeric)
-    featured = calculate_features(checked.withColumns(
-        {c: F.col(c).cast("double") for c in numeric if c in schema.fieldNames()}))
+    return contract_split(src, required, numeric)
+
+
+def score_valid(checked: DataFrame, scorer, numeric: list[str]) -> DataFrame:
+    """Features and score of the valid rows. Rows are filtered first and numbers
+    are read leniently, so no plan order can meet a rejected row's text."""
+    valid = checked.where(F.col("valid"))
+    featured = calculate_features(valid.withColumns(
+        {c: lenient_double(c) for c in numeric if c in checked.columns}))
     featured = drop_columns(featured, [c for c in P.DELETED_ATTRIBUTES if c in featured.columns], strict=False)
-    valid = featured.where(F.col("valid"))
-    scored = label_text(score(valid, scorer))
-    return scored, featured.where(~F.col("valid"))
+    return label_text(score(featured, scorer))
 
 
 def run_stream_scoring(spark: SparkSession, source_dir: str, schema: StructType, scorer, out_dir: str,
                        checkpoint_dir: str, required: list[str], numeric: list[str],
                        keep: list[str], max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> dict:
     """Drain the source once (availableNow) into ``out_dir/scored`` and
-    ``out_dir/rejected``; returns the sink paths."""
-    scored, rejected = scoring_stream(spark, source_dir, schema, scorer, required, numeric,
-                                      max_files_per_trigger)
+    ``out_dir/rejected``; returns the sink paths.
+
+    One query reads the source once; every micro-batch goes to both sinks.
+    Rejected rows keep their columns as they came. A batch's files are written
+    under its number and replaced when the batch is repeated after a failure, so
+    no row appears twice.
+    """
     scored_path, rejected_path = os.path.join(out_dir, "scored"), os.path.join(out_dir, "rejected")
-    q1 = (scored.select(*keep, "p_bad", "prediction", "prediction_label", "probability_good", "probability_bad")
-                .writeStream.format("parquet").option("path", scored_path)
-                .option("checkpointLocation", os.path.join(checkpoint_dir, "scored"))
-                .trigger(availableNow=True).start())
-    q2 = (rejected.select(*keep, F.array_join("reasons", ",").alias("reasons"))
-                  .writeStream.format("parquet").option("path", rejected_path)
-                  .option("checkpointLocation", os.path.join(checkpoint_dir, "rejected"))
-                  .trigger(availableNow=True).start())
-    q1.awaitTermination()
-    q2.awaitTermination()
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()  # both sinks read it: the source is scanned once
+        try:
+            scored = score_valid(batch, scorer, numeric).select(
+                *keep, "p_bad", "prediction", "prediction_label", "probability_good", "probability_bad")
+            rejected = batch.where(~F.col("valid")).select(*keep, F.array_join("reasons", ",").alias("reasons"))
+            for rows, path in ((scored, scored_path), (rejected, rejected_path)):
+                rows.write.mode("overwrite").parquet(os.path.join(path, f"batch={number}"))
+        finally:
+            batch.unpersist()
+
+    checked = checked_stream(spark, source_dir, schema, required, numeric, max_files_per_trigger)
+    query = (checked.writeStream.foreachBatch(write).trigger(availableNow=True)
+                    .option("checkpointLocation", os.path.join(checkpoint_dir, "scoring")).start())
+    query.awaitTermination()
     return {"scored": scored_path, "rejected": rejected_path}
+
+
+def read_sink(spark: SparkSession, path: str) -> DataFrame:
+    """A sink's rows without the batch number."""
+    return spark.read.parquet(path).drop("batch")

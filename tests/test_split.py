@@ -1,10 +1,9 @@
 """Exact stratified split and folds (FIXTURES F6), repartition invariance."""
 
-import pytest
 from pyspark.sql import functions as F
 
 import readyspark.operators.metrics as M
-from readyspark.operators.split import class_counts, largest_remainder, stratified_folds, stratified_split
+from readyspark.operators.split import quotas, stratified_folds, stratified_split
 
 
 def f6(spark, parts=None):
@@ -36,11 +35,6 @@ def test_same_rows_on_any_partitioning_and_bucketing(spark):
     assert sorted(r[0] for r in got.collect()) == ref
 
 
-def test_largest_remainder():
-    assert largest_remainder({"a": 70, "b": 30}, 20) == {"a": 14, "b": 6}
-    assert largest_remainder({"a": 1, "b": 1, "c": 1}, 2) == {"a": 1, "b": 1, "c": 0}
-
-
 def test_folds_balanced_and_stable(spark):
     df = f6(spark)
     a = stratified_folds(df, "class", "app_id", 5, 42)
@@ -50,17 +44,21 @@ def test_folds_balanced_and_stable(spark):
     assert sorted(map(tuple, a.select("app_id", "fold").collect())) == sorted(map(tuple, b.select("app_id", "fold").collect()))
 
 
-def test_label_with_too_many_classes_is_refused(spark):
-    df = f6(spark)
-    assert class_counts(df, "class", max_classes=2) == {0: 70, 1: 30}
-    with pytest.raises(ValueError, match="more than 50 classes"):
-        class_counts(df, "app_id", max_classes=50)
-    saved, M.MAX_CLASSES = M.MAX_CLASSES, 50
-    try:
-        with pytest.raises(ValueError, match="more than 50 classes"):
-            M.with_class_weights(df, "app_id")
-    finally:
-        M.MAX_CLASSES = saved
+def test_as_many_classes_as_rows(spark):
+    df = spark.range(12_000).withColumnRenamed("id", "app_id").withColumn("c", F.col("app_id") * 7)
+    weighted = M.with_class_weights(df, "c")
+    assert weighted.columns == ["app_id", "c", "weight"] and weighted.where("weight = 1.0").count() == 12_000
+    out = stratified_split(df, "c", "app_id", 0.2, 42)
+    assert out.columns == ["app_id", "c", "split"] and out.where("split = 'test'").count() == 2400
+
+
+def test_quotas_follow_the_largest_remainder(spark):
+    counts = spark.createDataFrame([("a", 3), ("b", 3), ("c", 4), (None, 50)], "_class string, _n long")
+    assert {r[0]: r[1] for r in quotas(counts, 0.5).collect()} == {"a": 2, "b": 1, "c": 2, None: 0}
+    even = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "_class string, _n long")
+    assert {r[0]: r[1] for r in quotas(even, 0.5).collect()} == {"a": 1, "b": 1, "c": 0}
+    big = spark.createDataFrame([(0, 6 * 10**12 + 1), (1, 4 * 10**12 + 1)], "_class int, _n long")
+    assert {r[0]: r[1] for r in quotas(big, 0.25).collect()} == {0: 1_500_000_000_001, 1: 1_000_000_000_000}
 
 
 def test_null_labels_are_train_and_size_the_buckets(spark):
