@@ -4,12 +4,13 @@ A document is its set of distinct five-word shingles; two are linked where the
 Jaccard similarity of the sets is at least the threshold. The stages:
 
 1. Sketch. One pass over the texts gives each document's set size, a 128-bit
-   sum that identifies the set, and ``SIGNATURE`` minwise tokens (the smallest
-   scrambled shingle under as many hash functions). Documents of one set form a
-   class, which goes on as its smallest id.
+   sum that identifies the set, ``SIGNATURE`` minwise tokens (the smallest
+   scrambled shingle under as many hash functions) and the ``LOW`` least hashes
+   of the set itself. Documents of one set form a class, which goes on as its
+   smallest id.
 2. Chosen paths. In each of ``trees`` independent trees a class is sent along
-   ``BRANCH`` selected minwise tokens; classes with the same token meet in a
-   node. First every node's classes are compared with its first one only, which
+   selected minwise tokens (``BRANCH`` of them on average at each level); classes
+   with the same token meet in a node. First every node's classes are compared with its first one only, which
    links nearly all copies at linear cost however large a group is. Nodes whose
    classes are then still of several components are compared exhaustively when
    they hold at most ``NODE`` classes and else branch again along further
@@ -17,18 +18,20 @@ Jaccard similarity of the sets is at least the threshold. The stages:
    is dealt twice at random into small nodes, which hang together through the
    classes' second place.
 3. Confirmation. Candidate pairs, whose signatures agree in at least
-   ``AGREE`` places, are confirmed on the full sets, computed anew for
-   candidates alone.
+   ``AGREE`` places and whose least hashes put them near the threshold, are
+   confirmed on the full sets, computed anew for candidates alone.
 4. Components. Links are contracted in a Spark loop.
 
-Recall: a pair at similarity 0.75 shares no root token of 4 trees with 2 tokens
-each with probability 0.25 ** 8 = 1.5e-5; where all its nodes branch twice, it is
-missed with probability 1e-4; its signatures agree in fewer than 13 of 32 places
-with probability 1e-5. Pairs of a component found otherwise are not looked for.
+Recall of a pair at similarity 0.75, the hardest: it shares no root token of 4
+trees with 2 tokens each with probability 0.25 ** 8 = 1.5e-5; where all its nodes
+branch once or twice, it is missed with probability 1e-3; its signatures agree in
+fewer than 13 of 32 places with probability 1e-5, and its least hashes fall below
+``NEAR`` with probability 2e-5. A pair already joined through others isn't needed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -42,10 +45,16 @@ from readyspark.llm.components import components
 
 SIGNATURE = 32   # minwise tokens of a document
 AGREE = 13       # places in which a candidate pair's signatures agree at least
+LOW = 96         # least hashes of a document's set: the whole set of a short text
+NEAR = 0.565     # similarity that they must show, four deviations below 0.75
 TREES = 4
-BRANCH = 2       # tokens along which a tree sends a document at each level
+# tokens along which a tree sends a document at each level: two at the root, then
+# one and for a third of the rows another (1 / 0.75 on average, which keeps large
+# nodes from multiplying), then two again for the few that are left
+BRANCH = (2, 4 / 3, 2)
 NODE = 256       # classes that are compared exhaustively
-LEVELS = 3
+LEVELS = len(BRANCH)
+DEALS = 2        # places of a class in the small nodes that a crowd is dealt into
 
 _MULTIPLY = mix64(np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 
@@ -62,6 +71,17 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def near(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets may be similar, by the least hashes of each: among the
+    least of their union, the share that both have estimates the similarity."""
+    both = np.union1d(a, b)
+    whole = len(a) < LOW and len(b) < LOW
+    if not whole:
+        both = both[:LOW]
+    shared = len(np.intersect1d(np.intersect1d(a, b, True), both, True))
+    return shared >= (0.74 if whole else NEAR) * len(both)
+
+
 def set_sums(found: np.ndarray) -> tuple[int, int]:
     with np.errstate(over="ignore"):
         a = found.sum(dtype=np.uint64)
@@ -70,13 +90,13 @@ def set_sums(found: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``id``, ``n`` (set size), ``k1``, ``k2`` (set identity), ``sig``; null and
-    wordless texts have n = 0 and nulls."""
+    """``id``, ``n`` (set size), ``k1``, ``k2`` (set identity), ``sig``, ``low``;
+    null and wordless texts have n = 0 and nulls."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, k1, k2, sigs = [], [], [], []
+            n, k1, k2, sigs, low = [], [], [], [], []
             for data in text_bytes(b.column(1)):
                 found = shingles(data, size)
                 sums = set_sums(found) if len(found) else (None, None)
@@ -84,14 +104,16 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
                 k1.append(sums[0])
                 k2.append(sums[1])
                 sigs.append(signature(found) if len(found) else np.empty(0, np.int32))
+                low.append((found[:LOW] >> np.uint64(32)).astype(np.uint32).tobytes())
             values = np.concatenate(sigs) if sigs else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 list_array(values, [len(s) for s in sigs], pa.int32())], names=["id", "n", "k1", "k2", "sig"])
+                 list_array(values, [len(s) for s in sigs], pa.int32()), pa.array(low, pa.binary())],
+                names=["id", "n", "k1", "k2", "sig", "low"])
 
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = read.schema["id"].dataType.simpleString()
-    return read.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, sig array<int>")
+    return read.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, sig array<int>, low binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -130,16 +152,21 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
-def tokens_of(tree, level: int):
-    """The tree's selected signature places of a level: ``BRANCH`` columns."""
-    return [F.pmod(F.xxhash64(F.lit("place"), tree) + F.lit((level * BRANCH + j) * 11), F.lit(SIGNATURE)).cast("int")
-            for j in range(BRANCH)]
-
-
 def branch(rows: DataFrame, level: int) -> DataFrame:
     """Send each row (``node``, ``tree``, ``sig``, ...) along its tree's next tokens."""
-    places = [F.struct(p.alias("p"), F.element_at("sig", p + 1).alias("t")) for p in tokens_of(F.col("tree"), level)]
-    out = rows.withColumn("_c", F.explode(F.array(*places)))
+    most = math.ceil(BRANCH[level])
+    begin = sum(math.ceil(b) for b in BRANCH[:level])
+
+    def token(j: int):
+        # the tree's own order of the signature's places; none comes twice on a path
+        place = F.pmod(F.xxhash64(F.lit("place"), "tree") + F.lit((begin + j) * 11), F.lit(SIGNATURE)).cast("int")
+        return F.struct(place.alias("p"), F.element_at("sig", place + 1).alias("t"))
+
+    # all classes of a node decide alike whether it takes its last token
+    last = F.pmod(F.xxhash64("node", F.lit("last")), F.lit(1000)) < round(1000 * (BRANCH[level] - most + 1))
+    some = F.array(*[token(j) for j in range(most - 1)])
+    taken = F.when(last, F.concat(some, F.array(token(most - 1)))).otherwise(some)
+    out = rows.withColumn("_c", F.explode(taken))
     return out.withColumn("node", F.xxhash64("node", "_c.p", "_c.t")).drop("_c")
 
 
@@ -156,13 +183,14 @@ def agreeing(rows: DataFrame) -> DataFrame:
                 return
             sig = np.array([r[5] for r in node], np.int32)
             comp, n = [r[4] for r in node], np.array([r[3] for r in node], np.int64)
+            low = [np.frombuffer(r[6], np.uint32) for r in node]
             codes = np.unique(np.array(comp), return_inverse=True)[1].ravel()
             got = []
             for i in range(len(node) - 1):
                 same = (sig[i + 1:] == sig[i]).sum(axis=1) >= AGREE
                 same &= codes[i + 1:] != codes[i]
                 same &= 100 * np.minimum(n[i + 1:], n[i]) >= 75 * np.maximum(n[i + 1:], n[i])
-                got += [(node[i], node[i + 1 + j]) for j in np.flatnonzero(same)]
+                got += [(node[i], node[i + 1 + j]) for j in np.flatnonzero(same) if near(low[i], low[i + 1 + j])]
             for at in range(0, len(got), 10_000):
                 x, y = zip(*got[at:at + 10_000])
                 yield pa.RecordBatch.from_arrays(
@@ -181,11 +209,28 @@ def agreeing(rows: DataFrame) -> DataFrame:
             yield from pairs(held)
 
     kind = rows.schema["id"].dataType.simpleString()
-    ordered = (rows.select("node", "id", "k1", "n", "comp", "sig").repartition("node")
+    ordered = (rows.select("node", "id", "k1", "n", "comp", "sig", "low").repartition("node")
                    .sortWithinPartitions("node", "id", "k1"))
     return ordered.mapInArrow(run, f"a {kind}, ka long, b {kind}, kb long").distinct()
 
 
+def likely_pairs(pairs: DataFrame, lows: DataFrame) -> DataFrame:
+    """The pairs whose least hashes put them near the threshold."""
+    la = lows.select(F.col("id").alias("a"), F.col("k1").alias("ka"), F.col("low").alias("la"))
+    lb = lows.select(F.col("id").alias("b"), F.col("k1").alias("kb"), F.col("low").alias("lb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [near(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))
+                  for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
+            keep = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in b.columns[:4]], names=["a", "ka", "b", "kb"])
+
+    joined = pairs.join(la, ["a", "ka"]).join(lb, ["b", "kb"]).select("a", "ka", "b", "kb", "la", "lb")
+    kind = joined.schema["a"].dataType.simpleString()
+    return joined.mapInArrow(run, f"a {kind}, ka long, b {kind}, kb long")
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
                    size: int = 5, trees: int = TREES) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (the smallest
@@ -200,7 +245,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("the recall of the trees is set for 75 percent and more")
     drawn = written(sketch(docs, id_col, text_col, size), "sketch")
     classes = written(drawn.where("n > 0 AND id IS NOT NULL").groupBy("n", "k1", "k2")
-                           .agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
+                           .agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")), "classes")
 
     roots = classes.select("id", "k1", "n", "sig", F.explode(F.array(*[F.lit(t) for t in range(trees)])).alias("tree"))
     roots = branch(roots.withColumn("node", F.xxhash64("tree")), 0)
@@ -224,7 +269,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sb = classes.select(F.col("id").alias("b"), F.col("k1").alias("kb"), F.col("sig").alias("sb"))
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     likely = heads.join(sa, ["a", "ka"]).join(sb, ["b", "kb"]).where(agree >= AGREE).select("a", "ka", "b", "kb")
-    links = confirmed(likely, "first")
+    lows = classes.select("id", "k1", "low")
+    links = confirmed(likely_pairs(likely, lows), "first")
 
     # nodes that still hold several components: small ones whole, large ones branch
     found = written(components(links), "components")
@@ -236,7 +282,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return rows.join(sizes, "node")
 
     rows = mixed(entries.drop("head", "size").join(found, "id", "left").withColumn("comp", comp).drop("component_id"))
-    sigs = classes.select("id", "k1", "sig")
+    sigs = classes.select("id", "k1", "sig", "low")
     rows = written(rows.join(sigs, ["id", "k1"]), "level-0")
     small, level = [rows.where(F.col("size") <= NODE)], 1
     large = rows.where(F.col("size") > NODE).drop("size")
@@ -246,7 +292,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             small.append(rows.where(F.col("size") <= NODE))
             large, level = rows.where(F.col("size") > NODE).drop("size"), level + 1
             continue
-        parts = rows.where(F.col("size") > NODE).withColumn("_j", F.explode(F.array(*[F.lit(j) for j in range(BRANCH)])))
+        parts = rows.where(F.col("size") > NODE).withColumn("_j", F.explode(F.array(*[F.lit(j) for j in range(DEALS)])))
         deal = F.pmod(F.xxhash64("k1", "id", "tree", "_j"), F.ceil(F.col("size") / F.lit(NODE // 2)))
         small.append(parts.withColumn("node", F.xxhash64("node", "_j", deal)).drop("_j"))
         break
@@ -257,7 +303,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = written(components(links), "components")
     label = classes.select("n", "k1", "k2", "id").join(found, "id", "left").select(
         "n", "k1", "k2", F.coalesce("component_id", "id").alias("component_id"))
-    full = drawn.drop("sig")
+    full = drawn.drop("sig", "low")
     linked = full.where("n > 0 AND id IS NOT NULL").join(label, ["n", "k1", "k2"])
     alone = full.where("n = 0 OR id IS NULL").withColumn("component_id", F.col("id"))
     out = linked.select("id", "n", "component_id").union(alone.select("id", "n", "component_id"))
