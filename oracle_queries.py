@@ -673,3 +673,46 @@ def _ordered_crosstabs_sql():
 
 
 ORACLE["ordered_crosstabs"] = _ordered_crosstabs_sql()
+
+
+# ------------------------------------------------------------------ sinks, alignment, learning facts
+
+def _rejected_sql():
+    """Rows that fail the contract, with the reasons of the contract query and their columns as they came."""
+    doubles = [c for c in P.NUMERIC_COLUMNS if c != "duration"]
+    required = list(P.NUMERIC_COLUMNS) + list(P.ALLOWED_CATEGORIES)
+    checks = [f"CASE WHEN {c} IS NULL" + (f" OR isnan({c})" if c in doubles else "") + f" THEN 'missing:{c}' END" for c in required]
+    checks.append(f"CASE WHEN duration IS NOT NULL AND ({_num('duration', True)}) IS NULL THEN 'non_numeric:duration' END")
+    return with_(DIRTY, "SELECT * FROM (SELECT app_id, duration, credit_amount, housing, "
+                        f"array_to_string([x FOR x IN [{', '.join(checks)}] IF x IS NOT NULL], ',') AS reasons FROM dirty) "
+                        "WHERE reasons <> ''")
+
+
+_HISTORY_PARAMS = [("n_estimators", 100.0, "100"), ("max_depth", None, "None"), ("min_samples_split", 2.0, "2"),
+                   ("min_samples_leaf", 1.0, "1"), ("max_features", None, "sqrt"), ("bootstrap", None, "True")]
+_PARAM_ROWS = " UNION ALL ".join(
+    f"SELECT 'run-1' AS run_id, 'param' AS kind, {q(n)} AS name, CAST({'NULL' if v is None else v} AS DOUBLE) AS value, {q(t)} AS text"
+    for n, v, t in _HISTORY_PARAMS)
+_NUMERIC_PREPARED = [c for c in PREP_COLS if c in list(P.NUMERIC_COLUMNS) + ["monthly_payment", "has_additional_security",
+                                                                        "high_risk_financial_status"]
+                     and c not in P.DELETED_ATTRIBUTES]
+
+ORACLE.update({
+    "stream_rejected": _rejected_sql(),
+    "parquet_round_trip": ORACLE["clean_applications"],
+    "csv_round_trip": ORACLE["clean_applications"],
+    "report_round_trip": ORACLE["rule_suite_raw"],
+    "history_round_trip": with_(METRICS_CTE, "SELECT run_id, 'metric' AS kind, metric AS name, value, CAST(NULL AS VARCHAR) AS text "
+                                f"FROM metrics CROSS JOIN (VALUES ('run-1'), ('run-2')) t(run_id) UNION ALL {_PARAM_ROWS}"),
+    "published_scores": with_(SCORED, "SELECT app_id, class, p_bad, prediction FROM scored2"),
+    "refused_publication": with_(SCORED, "SELECT app_id, true AS refused FROM scored2"),
+    "aligned_rates": ORACLE["group_rates"],
+    "crosstab_wide": with_(_GENDERED, "SELECT gender, " + ", ".join(
+        r6(f"count(*) FILTER (WHERE class = {q(v)}) / count(*) FILTER (WHERE class IN {inlist(P.TARGET_VALUES)})") + f" AS {v}"
+        for v in P.TARGET_VALUES) + " FROM gendered WHERE gender IS NOT NULL GROUP BY gender"),
+    "weighted_rows": with_(SPLIT, "SELECT app_id, class, CAST(count(*) OVER () AS DOUBLE) / (2 * count(*) OVER (PARTITION BY class)) "
+                                  "AS weight FROM split WHERE split = 'train'"),
+    "numeric_column_counts": with_(PREPARED, " UNION ALL ".join(
+        f"SELECT {q(c)} AS name, count({c}) AS filled FROM prepared" for c in _NUMERIC_PREPARED)),
+    "forest_score_facts": with_(SPLIT, "SELECT app_id, class, true AS in_range, true AS is_cut FROM test"),
+})

@@ -182,3 +182,17 @@ def contract_split(df: DataFrame, required: Sequence[str],
                                  F.lit(f"non_numeric:{c}")))
     reasons = F.filter(F.array(*checks), lambda x: x.isNotNull())
     return df.withColumn("reasons", reasons).withColumn("valid", F.size("reasons") == 0)
+
+
+def aligned(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """J1 for tables kept apart (labels, predictions, groups): an inner join on
+    ``key`` that must match one to one. Raises when a key is null or repeated on
+    either side, or has no partner; the checks are one aggregate a side and one
+    over the keys alone."""
+    counted = [t.groupBy(key).agg(F.count(F.lit(1)).alias(n)) for t, n in ((left, "_l"), (right, "_r"))]
+    both = counted[0].join(counted[1], key, "full")
+    bad = both.agg(F.count_if(F.col(key).isNull()).alias("null"), F.count_if((F.col("_l") > 1) | (F.col("_r") > 1)).alias("repeated"),
+                   F.count_if(F.col("_l").isNull() | F.col("_r").isNull()).alias("alone")).first().asDict()
+    if any(bad.values()):
+        raise ValueError(f"rows don't align on {key}: {bad}")
+    return left.join(right, key)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from readyspark import presets as P
 from readyspark.operators.gaterows import GATE_COLUMNS, GateRow, rows_from
 from readyspark.operators.metrics import METRICS, classification_metrics, confusion, rate_columns
+from readyspark.session import cut_lineage
 
 PERFORMANCE = "performance"
 FAIRNESS = "fairness"
@@ -68,9 +69,11 @@ def fairness_gate(scored: DataFrame, group: str, label: str = "label", predictio
     the gap rows. ``strict`` raises when a named group is absent."""
     rates = group_rates(scored, group, label, prediction)
     if strict and groups is not None:
-        present = {r[0] for r in rates.select(group).collect()}  # one row per group
-        if not set(groups) <= present:
-            raise ValueError(f"fairness needs groups {list(groups)}; present: {sorted(map(str, present))}")
+        found = rates.agg(*[F.coalesce(F.bool_or(F.col(group) == g), F.lit(False)).alias(f"_{i}")
+                            for i, g in enumerate(groups)]).first()  # one row, however many groups there are
+        absent = [g for i, g in enumerate(groups) if not found[i]]
+        if absent:
+            raise ValueError(f"fairness needs groups {list(groups)}; absent: {absent}")
     per_group = rates.select(F.inline(F.array(*[
         F.struct(F.lit(FAIRNESS).alias("gate"), F.lit(m).alias("metric"),
                  F.col(group).cast("string").alias("subject"), F.col(m).cast("double").alias("value"),
@@ -98,48 +101,39 @@ def performance_gate(metrics: DataFrame, baseline: DataFrame,
         F.lit(None).cast("long").alias("cases"), F.lit(None).cast("long").alias("violations"))
 
 
-def robustness_gate(variant_scores: DataFrame, label: str = "label",
-                    threshold: float = P.ROBUSTNESS_THRESHOLD) -> DataFrame:
-    """F1 of the clean, perturbed and inflated predictions (one aggregate
-    over the multi-variant table), their ratios and the mean ratio."""
-    y = F.col(label)
-    v = F.col("variant")
-
-    def f1_parts(pred, cond=None):
-        c = (lambda e: e) if cond is None else (lambda e: e & cond)
-        return (F.count_if(c((y == 1) & (pred == 1))), F.count_if(c((y == 0) & (pred == 1))),
-                F.count_if(c((y == 1) & (pred == 0))))
-
+def _robustness_counts(label: str) -> list:
+    """True and false positives and false negatives of the clean, perturbed and
+    inflated predictions, as aggregates over the multi-variant table."""
+    y, v = F.col(label), F.col("variant")
     aggs = []
     # the base prediction of every row is read from its perturbation copy
     for name, pred, cond in (("clean", F.col("pred_base"), v == "perturbation"),
                              ("perturbation", F.col("prediction"), v == "perturbation"),
                              ("inflation", F.col("prediction"), v == "inflation")):
-        tp, fp, fn = f1_parts(pred, cond)
-        aggs += [tp.alias(f"tp_{name}"), fp.alias(f"fp_{name}"), fn.alias(f"fn_{name}")]
-    one = variant_scores.agg(*aggs)
+        aggs += [F.count_if((y == 1) & (pred == 1) & cond).alias(f"tp_{name}"),
+                 F.count_if((y == 0) & (pred == 1) & cond).alias(f"fp_{name}"),
+                 F.count_if((y == 1) & (pred == 0) & cond).alias(f"fn_{name}")]
+    return aggs
+
+
+def _robustness_rows(one: DataFrame, threshold: float) -> DataFrame:
     f1 = {n: F.coalesce(F.try_divide((2 * F.col(f"tp_{n}")).cast("double"),
                                      (2 * F.col(f"tp_{n}") + F.col(f"fp_{n}") + F.col(f"fn_{n}")).cast("double")),
                         F.lit(0.0))
           for n in ("clean", "perturbation", "inflation")}
     r_p = F.try_divide(f1["perturbation"], f1["clean"])
     r_i = F.try_divide(f1["inflation"], f1["clean"])
-    mean = (r_p + r_i) / 2
     return rows_from(one, [
         GateRow(ROBUSTNESS, "f1_clean", f1["clean"]),
         GateRow(ROBUSTNESS, "f1_perturbation", f1["perturbation"]),
         GateRow(ROBUSTNESS, "f1_inflation", f1["inflation"]),
         GateRow(ROBUSTNESS, "robustness_perturbation", r_p),
         GateRow(ROBUSTNESS, "robustness_inflation", r_i),
-        GateRow(ROBUSTNESS, "mean_robustness_score", mean, threshold, ">="),
+        GateRow(ROBUSTNESS, "mean_robustness_score", (r_p + r_i) / 2, threshold, ">="),
     ])
 
 
-def metamorphic_gate(variant_scores: DataFrame, directions: Mapping[str, str],
-                     max_rate: float = P.MAX_VIOLATION_RATE, tolerance: float = 0.0) -> DataFrame:
-    """Per relation the masked cases, the violations (p_bad moved
-    against the expected direction by more than ``tolerance``) and their rate
-    (0 when there are no cases); passed when rate <= max_rate."""
+def _metamorphic_counts(directions: Mapping[str, str], tolerance: float) -> list:
     for name, d in directions.items():
         if d not in ("increase", "decrease"):
             raise ValueError(f"unknown expected direction {d!r} for {name}")
@@ -150,7 +144,10 @@ def metamorphic_gate(variant_scores: DataFrame, directions: Mapping[str, str],
         bad = (p < p0 - tolerance) if d == "increase" else (p > p0 + tolerance)
         aggs += [F.count_if((v == name) & m).alias(f"c_{name}"),
                  F.count_if((v == name) & m & bad).alias(f"v_{name}")]
-    one = variant_scores.agg(*aggs)
+    return aggs
+
+
+def _metamorphic_rows(one: DataFrame, directions: Mapping[str, str], max_rate: float) -> DataFrame:
     rows = []
     for name in directions:
         cases, viol = F.col(f"c_{name}"), F.col(f"v_{name}")
@@ -160,6 +157,32 @@ def metamorphic_gate(variant_scores: DataFrame, directions: Mapping[str, str],
     return rows_from(one, rows)
 
 
+def robustness_gate(variant_scores: DataFrame, label: str = "label",
+                    threshold: float = P.ROBUSTNESS_THRESHOLD) -> DataFrame:
+    """F1 of the clean, perturbed and inflated predictions (one aggregate
+    over the multi-variant table), their ratios and the mean ratio."""
+    return _robustness_rows(variant_scores.agg(*_robustness_counts(label)), threshold)
+
+
+def metamorphic_gate(variant_scores: DataFrame, directions: Mapping[str, str],
+                     max_rate: float = P.MAX_VIOLATION_RATE, tolerance: float = 0.0) -> DataFrame:
+    """Per relation the masked cases, the violations (p_bad moved
+    against the expected direction by more than ``tolerance``) and their rate
+    (0 when there are no cases); passed when rate <= max_rate."""
+    one = variant_scores.agg(*_metamorphic_counts(directions, tolerance))
+    return _metamorphic_rows(one, directions, max_rate)
+
+
+def variant_gates(variant_scores: DataFrame, directions: Mapping[str, str], label: str = "label",
+                  threshold: float = P.ROBUSTNESS_THRESHOLD, max_rate: float = P.MAX_VIOLATION_RATE,
+                  tolerance: float = 0.0) -> DataFrame:
+    """G4 and G6 of one multi-variant table from one aggregate: base and every
+    variant are scored once. The aggregate's row is written, so the two sets of
+    gate rows built from it don't score again."""
+    one = cut_lineage(variant_scores.agg(*_robustness_counts(label), *_metamorphic_counts(directions, tolerance)))
+    return _robustness_rows(one, threshold).unionByName(_metamorphic_rows(one, directions, max_rate))
+
+
 def report(gate_rows: Sequence[DataFrame]) -> DataFrame:
     """All gate rows in one table."""
     out = gate_rows[0]
@@ -181,5 +204,5 @@ def verdict(rows: DataFrame) -> DataFrame:
 
 
 __all__ = ["group_rates", "separation_gap", "fairness_gate", "performance_gate", "robustness_gate",
-           "metamorphic_gate", "report", "overview", "verdict", "METRICS", "classification_metrics",
+           "metamorphic_gate", "variant_gates", "report", "overview", "verdict", "METRICS", "classification_metrics",
            "rate_columns"]

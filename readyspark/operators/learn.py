@@ -9,20 +9,22 @@ from __future__ import annotations
 
 import itertools
 import random
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import (OneHotEncoder, OneHotEncoderModel, SQLTransformer, StringIndexer, StringIndexerModel,
+                                VectorAssembler)
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readyspark import presets as P
 from readyspark.operators.features import numeric_columns
 from readyspark.operators.metrics import METRICS, confusion, rate_columns, roc_auc, with_class_weights
 from readyspark.operators.score import score
-from readyspark.session import cut_lineage
+from readyspark.session import cut_lineage, run_tables
 
 # Spark refuses trees deeper than 30; "no limit" maps to the deepest allowed
 MAX_DEPTH_UNLIMITED = 30
@@ -39,31 +41,26 @@ def ordinal_codes(df: DataFrame, ordinal: Mapping[str, Sequence[str]] = P.ORDINA
     return df.withColumns({f"{c}_code": F.expr(ordinal_expr(c, order)) for c, order in ordinal.items()})
 
 
-MAX_CATEGORIES = 10_000
-
-
-def onehot_categories(train: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict:
-    """Fitted categories per column: the sorted distinct non-null training
-    values. Only a bounded list reaches the driver: a column with more than
-    ``max_categories`` values is refused rather than collected."""
-    out = {}
-    for c in columns:
-        vals = [r[0] for r in train.where(F.col(c).isNotNull()).select(c).distinct()
-                .limit(max_categories + 1).collect()]
-        if len(vals) > max_categories:
-            raise ValueError(f"{c} has more than {max_categories} categories; not a one-hot column")
-        out[c] = sorted(vals)
-    return out
-
-
-def onehot_wide(df: DataFrame, categories: Mapping[str, Sequence[str]], key: str) -> DataFrame:
+def onehot_wide(df: DataFrame, model: PipelineModel, key: str) -> DataFrame:
     """L2 in explicit columns ``<column>__<i>`` (i = position in the sorted
-    categories); an unknown or null value gives all zeros."""
-    cols = [F.col(key)]
-    for c, values in categories.items():
-        for i, v in enumerate(values):
-            cols.append(F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int").alias(f"{c}__{i}"))
-    return df.select(*cols)
+    categories), expanded from the fitted pipeline's own vectors; an unknown or
+    null value gives all zeros."""
+    from pyspark.ml.functions import vector_to_array
+    index, onehot = [next(s for s in model.stages if isinstance(s, kind))
+                     for kind in (StringIndexerModel, OneHotEncoderModel)]
+    out = onehot.transform(index.transform(df))
+    arrays = {c: vector_to_array(f"{c}__vec") for c in index.getInputCols()}
+    return out.select(key, *[F.element_at(arrays[c], i + 1).cast("int").alias(f"{c}__{i}")
+                             for c, labels in zip(index.getInputCols(), index.labelsArray) for i in range(len(labels))])
+
+
+def encoders(nominal: Sequence[str]) -> list:
+    """L2 as stages: known categories get a slot each, an unknown or null value
+    the index after them, which ``dropLast`` turns into all zeros."""
+    return [StringIndexer(inputCols=list(nominal), outputCols=[f"{c}__idx" for c in nominal],
+                          handleInvalid="keep", stringOrderType="alphabetAsc"),
+            OneHotEncoder(inputCols=[f"{c}__idx" for c in nominal], outputCols=[f"{c}__vec" for c in nominal],
+                          dropLast=True)]
 
 
 def feature_plan(df: DataFrame, exclude: Sequence[str]) -> dict:
@@ -101,11 +98,7 @@ def build_pipeline(df: DataFrame, label: str, params: Mapping, exclude: Sequence
         stages.append(SQLTransformer(statement=f"SELECT *, {ord_sql} FROM __THIS__"))
     nominal = plan["nominal"]
     if nominal:
-        stages.append(StringIndexer(inputCols=nominal, outputCols=[f"{c}__idx" for c in nominal],
-                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in nominal],
-                                    outputCols=[f"{c}__vec" for c in nominal], dropLast=True,
-                                    handleInvalid="keep"))
+        stages += encoders(nominal)
     inputs = ([f"{c}__ord" for c in plan["ordinal"]] + [f"{c}__vec" for c in nominal]
               + plan["binary"] + plan["numeric"])
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
@@ -156,35 +149,34 @@ def search(train: DataFrame, label: str, fold_col: str, candidates: Sequence[Map
     folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
     jobs = [(i, c, f) for i, c in enumerate(candidates) for f in folds]
 
+    spark = train.sparkSession
+    path = f"{run_tables(spark)}/search-{uuid.uuid4().hex}"
+
     def run(job):
         i, cand, f = job
         model = fit_forest(train.where(F.col(fold_col) != f), label, cand, list(exclude) + [fold_col], seed)
         held = train.where(F.col(fold_col) == f)
-        return score(held, model).select(F.lit(i).alias("candidate"), F.lit(f).alias("fold"),
-                                         F.col(label).cast("int").alias(label), "prediction", "p_bad")
+        # a fit's predictions are written as it ends, and its model is let go: the
+        # driver holds as many models as run at once, not one for each fit
+        scored = score(held, model).select(F.lit(i).alias("candidate"), F.lit(f).alias("fold"),
+                                           F.col(label).cast("int").alias(label), "prediction", "p_bad")
+        scored.write.parquet(f"{path}/fit-{i}-{f}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(run, jobs))
-    preds = parts[0]
-    for p in parts[1:]:
-        preds = preds.unionByName(p)
-    # predictions of all fits feed two aggregates; write them once so neither
-    # a second pass nor a lost executor re-runs any model
-    preds = cut_lineage(preds)
+        list(pool.map(run, jobs))
+    preds = spark.read.parquet(*[f"{path}/fit-{i}-{f}" for i, _, f in jobs])
     conf = confusion(preds, label, "prediction", ["candidate", "fold"])
     rates = rate_columns()
     per_fold = conf.select("candidate", "fold", *[rates[m].alias(m) for m in METRICS if m != "roc_auc"])
     aucs = roc_auc(preds, label, "p_bad", ["candidate", "fold"])
     per_fold = per_fold.join(aucs, ["candidate", "fold"], "left")
     means = per_fold.groupBy("candidate").agg(*[F.avg(m).alias(f"mean_{m}") for m in METRICS])
-    spark = train.sparkSession
     params = spark.createDataFrame(
         [(i, str(c.get("n_estimators")), str(c.get("max_depth")), str(c.get("min_samples_split")),
           str(c.get("min_samples_leaf")), str(c.get("max_features")), str(c.get("bootstrap")))
          for i, c in enumerate(candidates)],
         "candidate int, n_estimators string, max_depth string, min_samples_split string, "
         "min_samples_leaf string, max_features string, bootstrap string")
-    from pyspark.sql import Window
     out = params.join(means, "candidate")
     return out.withColumn("rank", F.row_number().over(
         Window.orderBy(F.desc_nulls_last("mean_f1"), F.asc("candidate"))))  # one row per candidate
@@ -194,3 +186,14 @@ def best_candidate(results: DataFrame, candidates: Sequence[Mapping]) -> dict:
     """The parameters of the rank-1 row (one row to the driver)."""
     i = results.where(F.col("rank") == 1).select("candidate").first()[0]
     return dict(candidates[i])
+
+
+def refit(train: DataFrame, label: str, results: DataFrame, candidates: Sequence[Mapping],
+          exclude: Sequence[str] = (), seed: int = P.SEED) -> tuple[PipelineModel, dict, DataFrame]:
+    """L6's end: the rank-1 candidate fitted on all training rows. Returns the
+    model, its parameters and its mean scores as (metric, value) rows."""
+    best = best_candidate(results, candidates)
+    top = results.where(F.col("rank") == 1)
+    scores = top.select(F.inline(F.array(*[F.struct(F.lit(f"best_cv_{m}").alias("metric"),
+                                                    F.col(f"mean_{m}").alias("value")) for m in METRICS])))
+    return fit_forest(train, label, best, exclude, seed), best, scores

@@ -63,12 +63,12 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "p_bad",
     per_score = (df.where(s.isNotNull() & ~F.isnan(s))
                    .groupBy(*group_cols, s.alias("_s"))
                    .agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg")))
-    return _auc_of_counts(per_score, group_cols, rows_per_bucket)
+    # feeds the size, the sketch, the offsets and the sum: counted once
+    return _auc_of_counts(cut_lineage(per_score), group_cols, rows_per_bucket)
 
 
 def _auc_of_counts(per_score: DataFrame, group_cols: list, rows_per_bucket: int) -> DataFrame:
     """AUC from one row per (group, distinct score) with ``_pos`` and ``_neg``."""
-    per_score = cut_lineage(per_score)  # feeds the sketch, the offsets and the sum
     n_buckets = bucket_count(per_score.count(), rows_per_bucket)
     per_score = value_buckets(per_score, "_s", n_buckets)
     ranked = running_sum(per_score, group_cols, "_bucket", ["_s"], weight=F.col("_neg"),

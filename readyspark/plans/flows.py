@@ -7,6 +7,7 @@ executor never sends the work back to the raw scan.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,6 +24,7 @@ from readyspark.operators import split as S
 from readyspark.operators import variants as V
 from readyspark.operators.score import score
 from readyspark.session import cut_lineage
+from readyspark.sources import sinks
 
 
 @dataclass
@@ -55,6 +57,8 @@ def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True, write_raw:
     prepared_rules = cut_lineage(R.evaluate_rules(prepared, R.prepared_suite(), "data_post_processing"))
     if raise_on_failure:
         R.raise_on_failed(prepared_rules, "data_post_processing")
+    # the split reads its input (a written table) several times and is read by many
+    # jobs after: written once more with the split column
     table = cut_lineage(S.stratified_split(prepared, P.TARGET, key, P.TEST_SIZE, P.SEED, checkpoint=False))
     train = table.where(F.col("split") == "train").drop("split")
     test = table.where(F.col("split") == "test").drop("split")
@@ -62,14 +66,25 @@ def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True, write_raw:
 
 
 def experiment(prep: Prepared, key: str, n_iter: int = P.SEARCH_ITERATIONS, k: int = P.N_FOLDS,
-               parallelism: int = 4, space=P.PARAM_SPACE) -> tuple[DataFrame, dict]:
-    """W1 then the cross-validated search; returns results and best parameters."""
+               parallelism: int = 4, space=P.PARAM_SPACE, out_dir: str | None = None,
+               run_id: str = "experiment") -> dict:
+    """W1 then the cross-validated search, refit included.
+
+    Returns ``results`` (a row per candidate), ``best`` (its parameters) and
+    ``model`` (the best candidate fitted on all training rows). With ``out_dir``
+    the best scores and all best parameters are appended to ``history/`` there and
+    the model is saved in ``model/``.
+    """
     folds = S.stratified_folds(prep.train, P.TARGET, key, k, P.SEED)
     train = folds.drop(P.SENSITIVE)  # the sensitive column never reaches the learner
     cands = L.sample_candidates(space, n_iter, P.SEED)
-    results = L.search(train, P.TARGET, "fold", cands, exclude=[key], parallelism=parallelism)
-    results = cut_lineage(results)
-    return results, L.best_candidate(results, cands)
+    results = cut_lineage(L.search(train, P.TARGET, "fold", cands, exclude=[key], parallelism=parallelism))
+    model, best, scores = L.refit(train.drop("fold"), P.TARGET, results, cands, exclude=[key])
+    if out_dir:
+        sinks.append_metrics(scores, os.path.join(out_dir, "history"), run_id)
+        sinks.append_params(train.sparkSession, best, os.path.join(out_dir, "history"), run_id)
+        model.write().overwrite().save(os.path.join(out_dir, "model"))
+    return {"results": results, "best": best, "model": model}
 
 
 def readiness(prep: Prepared, key: str, params: dict, scorer=None) -> dict:
@@ -90,10 +105,16 @@ def readiness(prep: Prepared, key: str, params: dict, scorer=None) -> dict:
         prep.raw_rules, prep.prepared_rules,
         G.performance_gate(metrics, baseline),
         G.fairness_gate(scored, P.SENSITIVE, P.TARGET, "prediction"),
-        G.robustness_gate(vs, P.TARGET),
-        G.metamorphic_gate(vs, directions),
+        G.variant_gates(vs, directions, P.TARGET),
     ])
-    return {"model": model, "scored": scored, "gate_rows": rows, "verdict": G.verdict(rows)}
+
+    def audit(staged: DataFrame) -> DataFrame:
+        """The gates that are decided on the scored table itself."""
+        again = M.classification_metrics(staged, P.TARGET, "prediction", "p_bad")
+        return G.report([G.performance_gate(again, baseline),
+                         G.fairness_gate(staged, P.SENSITIVE, P.TARGET, "prediction")])
+
+    return {"model": model, "scored": scored, "gate_rows": rows, "verdict": G.verdict(rows), "audit": audit}
 
 
 def run_readiness(raw: DataFrame, key: str, params: dict, out_dir: str, run_id: str,
@@ -102,13 +123,9 @@ def run_readiness(raw: DataFrame, key: str, params: dict, out_dir: str, run_id:
     the metric history (S6) and publish-if-ready (S7).
 
     ``out_dir`` is a shared folder: ``report/``, ``history/``, ``staging/`` and
-    ``published/`` (plus ``published_model/``) are written under it. Raises
+    ``published/`` (versions and their pointer) are written under it. Raises
     when a gate fails; the report and the history are written first.
     """
-    import os
-
-    from readyspark.sources import sinks
-
     prep = prepare(raw, key, raise_on_failure=False)
     out = readiness(prep, key, params, scorer)
     rows = cut_lineage(out["gate_rows"])  # read by the report, the history and the audit
@@ -116,11 +133,8 @@ def run_readiness(raw: DataFrame, key: str, params: dict, out_dir: str, run_id:
     history = rows.where(F.col("value").isNotNull()).select(
         F.concat_ws(".", "gate", "metric", F.coalesce("subject", F.lit(""))).alias("metric"), "value")
     sinks.append_metrics(history, os.path.join(out_dir, "history"), run_id)
-    params_rows = raw.sparkSession.createDataFrame([(str(k), float(v)) for k, v in params.items()
-                                                    if isinstance(v, (int, float)) and not isinstance(v, bool)],
-                                                   "metric string, value double")
-    sinks.append_metrics(params_rows, os.path.join(out_dir, "history"), run_id, kind="param")
+    sinks.append_params(raw.sparkSession, params, os.path.join(out_dir, "history"), run_id)
     model = None if scorer is not None else out["model"]
     published = sinks.publish_if_ready(out["scored"], rows, os.path.join(out_dir, "staging"),
-                                       os.path.join(out_dir, "published"), model)
+                                       os.path.join(out_dir, "published"), model, out["audit"])
     return {"gate_rows": rows, **published}

@@ -315,8 +315,7 @@ def q_savings_shift(spark, sf_dir):
     return _variant_rows(spark, sf_dir, ch, mask)
 
 
-def _variant_scores(spark, sf_dir):
-    variants = V.robustness_variants(KEY) + V.metamorphic_variants()
+def _variant_scores(spark, sf_dir, variants):
     return V.score_variants(test_rows(spark, sf_dir), CREDIT_SCORECARD, variants, keep=[KEY, P.TARGET])
 
 
@@ -325,11 +324,11 @@ def _directions():
 
 
 def q_robustness_gate(spark, sf_dir):
-    return G.robustness_gate(_variant_scores(spark, sf_dir), P.TARGET)
+    return G.robustness_gate(_variant_scores(spark, sf_dir, V.robustness_variants(KEY)), P.TARGET)
 
 
 def q_metamorphic_gate(spark, sf_dir):
-    return G.metamorphic_gate(_variant_scores(spark, sf_dir), _directions())
+    return G.metamorphic_gate(_variant_scores(spark, sf_dir, V.metamorphic_variants()), _directions())
 
 
 def gate_rows(spark, sf_dir):
@@ -405,8 +404,8 @@ QUERIES.update({
 
 from readyspark.operators import learn as L  # noqa: E402
 
-# small forest for the registered queries; the full search space is in presets
-QUERY_FOREST = {"n_estimators": 20, "max_depth": 5, "min_samples_leaf": 1,
+# a point of the search space (presets.PARAM_SPACE), for the queries that fit one forest
+QUERY_FOREST = {"n_estimators": 100, "max_depth": 10, "min_samples_split": 2, "min_samples_leaf": 1,
                 "max_features": "sqrt", "bootstrap": True}
 
 
@@ -416,9 +415,11 @@ def q_ordinal_encoding(spark, sf_dir):
 
 
 def q_onehot_wide(spark, sf_dir):
+    """L2 as the forest has it: the pipeline's own encoder stages, fitted on train."""
+    from pyspark.ml import Pipeline
     st = split_written(spark, sf_dir)
-    cats = L.onehot_categories(st.where(F.col("split") == "train"), P.NOMINAL_FEATURES)
-    return L.onehot_wide(st.where(F.col("split") == "test"), cats, KEY)
+    model = Pipeline(stages=L.encoders(P.NOMINAL_FEATURES)).fit(st.where(F.col("split") == "train"))
+    return L.onehot_wide(st.where(F.col("split") == "test"), model, KEY)
 
 
 def q_class_balance(spark, sf_dir):
@@ -433,32 +434,149 @@ def q_forest_scores(spark, sf_dir):
     return score(st.where(F.col("split") == "test").drop("split"), model).select(KEY, P.TARGET, "p_bad", "prediction")
 
 
-def q_search_results(spark, sf_dir):
-    tr = train_rows(spark, sf_dir)
-    folds = S.stratified_folds(tr, P.TARGET, KEY, 2, P.SEED).drop(P.SENSITIVE)
-    cands = [dict(c, n_estimators=10, max_depth=min(c["max_depth"] or 5, 5))
-             for c in L.sample_candidates(P.PARAM_SPACE, 2, P.SEED)]
-    return L.search(folds, P.TARGET, "fold", cands, exclude=[KEY], parallelism=2)
+def q_forest_score_facts(spark, sf_dir):
+    """What holds for the scores of any forest: a row per test row, probabilities
+    within 0..1, and a prediction that is the probability's cut at one half."""
+    p = F.col("p_bad")
+    return q_forest_scores(spark, sf_dir).select(
+        KEY, P.TARGET, ((p >= 0) & (p <= 1)).alias("in_range"),
+        ((p == 0.5) | (F.col("prediction") == (p > 0.5).cast("int"))).alias("is_cut"))
 
 
-def q_stream_scores(spark, sf_dir):
-    """X2 over the applications: the test rows are landed as Parquet files in
-    the shared checkpoint folder, drained by the streaming scorer, read back."""
+def _streamed(spark, sf_dir, keep):
+    """X2 over the applications: they are landed as Parquet files in this run's
+    folder below the shared checkpoint folder and drained by the streaming scorer."""
     import os
     import uuid
 
-    from readyspark.session import ensure_checkpoint_dir
+    from readyspark.session import run_tables
     from readyspark.streaming.scoring import run_stream_scoring
     spark = configure(spark)
-    base = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    base = os.path.join(run_tables(spark), f"stream-{uuid.uuid4().hex}")
     src = os.path.join(base, "in")
     rows = _dirty(spark, sf_dir).drop(P.TARGET)
     rows.write.parquet(src)
-    numeric = [c for c in P.NUMERIC_COLUMNS]
-    paths = run_stream_scoring(spark, src, rows.schema, CREDIT_SCORECARD, os.path.join(base, "out"),
-                               os.path.join(base, "ckpt"), required=numeric + list(P.ALLOWED_CATEGORIES),
-                               numeric=numeric, keep=[KEY])
-    return spark.read.parquet(paths["scored"])
+    numeric = list(P.NUMERIC_COLUMNS)
+    return run_stream_scoring(spark, src, rows.schema, CREDIT_SCORECARD, os.path.join(base, "out"),
+                              os.path.join(base, "ckpt"), required=numeric + list(P.ALLOWED_CATEGORIES),
+                              numeric=numeric, keep=keep)
+
+
+def q_stream_scores(spark, sf_dir):
+    from readyspark.streaming.scoring import read_sink
+    return read_sink(spark, _streamed(spark, sf_dir, [KEY])["scored"])
+
+
+def q_stream_rejected(spark, sf_dir):
+    """X2's other sink: rejected rows with their contract columns as they came."""
+    from readyspark.streaming.scoring import read_sink
+    return read_sink(spark, _streamed(spark, sf_dir, [KEY, "duration", "credit_amount", "housing"])["rejected"])
+
+
+# ---------------------------------------------------------------- sinks, alignment
+
+def _folder(spark, kind):
+    import uuid
+
+    from readyspark.session import run_tables
+    return f"{run_tables(configure(spark))}/{kind}-{uuid.uuid4().hex}"
+
+
+def q_parquet_round_trip(spark, sf_dir):
+    """The cleaned applications written by class and read back."""
+    from readyspark.sources import sinks
+    path = _folder(spark, "parquet")
+    rows = cleaned(spark, sf_dir)
+    sinks.write_parquet(rows, path, partition_by=[P.TARGET])
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """S3: the cleaned applications as CSV with a header, read back by the same schema."""
+    from readyspark.sources import sinks
+    path = _folder(spark, "csv")
+    rows = cleaned(spark, sf_dir)
+    sinks.write_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+def q_report_round_trip(spark, sf_dir):
+    """The raw rule rows as a JSON report, read back without its time stamp."""
+    from readyspark.sources import sinks
+    path = _folder(spark, "report")
+    rows = q_rule_suite_raw(spark, sf_dir)
+    sinks.write_report(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+def q_history_round_trip(spark, sf_dir):
+    """Two runs' metrics and a forest's parameters in one history table."""
+    from readyspark.sources import sinks
+    path = _folder(spark, "history")
+    metrics = cut_lineage(q_classification_metrics(spark, sf_dir))
+    for run in ("run-1", "run-2"):
+        sinks.append_metrics(metrics, path, run)
+    sinks.append_params(spark, {**QUERY_FOREST, "max_depth": None}, path, "run-1")
+    return sinks.read_history(spark, path).drop("logged_at")
+
+
+def _publish(spark, sf_dir, ready: bool):
+    """S7 on the scored test rows; the audit reads the staged rows."""
+    from readyspark.sources import sinks
+    path = _folder(spark, "publish")
+    scored = scored_test(spark, sf_dir).select(KEY, P.TARGET, "p_bad", "prediction")
+
+    def audit(staged):
+        # p_bad within 0..1, and more rows than any table has if it is to refuse
+        return R.evaluate_rules(staged, [R.Between("p_bad", 0, 1), R.RowCount(min_value=1 if ready else 10 ** 15)], "audit")
+
+    passed = spark.createDataFrame([("given", True)], "gate string, passed boolean")
+    return lambda: sinks.publish_if_ready(scored, passed, f"{path}/staging", f"{path}/published", audit=audit), path
+
+
+def q_published_scores(spark, sf_dir):
+    """S7, ready: what the pointer's version holds."""
+    from readyspark.sources import sinks
+    publish, path = _publish(spark, sf_dir, True)
+    publish()
+    return sinks.read_published(spark, f"{path}/published")
+
+
+def q_refused_publication(spark, sf_dir):
+    """S7, not ready: a row per staged row, and that no version was published."""
+    publish, path = _publish(spark, sf_dir, False)
+    try:
+        publish()
+        refused = False
+    except ValueError:
+        refused = True
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/published")
+    there = target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return spark.read.parquet(f"{path}/staging").select(KEY, F.lit(refused and not there).alias("refused"))
+
+
+def q_aligned_rates(spark, sf_dir):
+    """J1 on tables kept apart: labels and groups on one side, predictions on the other."""
+    scored = cut_lineage(scored_test(spark, sf_dir).select(KEY, P.TARGET, P.SENSITIVE, "prediction"))
+    both = C.aligned(scored.select(KEY, P.TARGET, P.SENSITIVE), scored.select(KEY, "prediction"), KEY)
+    return G.group_rates(both, P.SENSITIVE, P.TARGET, "prediction")
+
+
+def q_crosstab_wide(spark, sf_dir):
+    return finish(PR.crosstab_wide(_clean_with_gender(spark, sf_dir), "gender", P.TARGET, P.TARGET_VALUES))
+
+
+def q_weighted_rows(spark, sf_dir):
+    """M10 on rows: the balanced weight of every training row."""
+    return M.with_class_weights(train_rows(spark, sf_dir), P.TARGET).select(KEY, P.TARGET, "weight")
+
+
+def q_numeric_column_counts(spark, sf_dir):
+    """P20: the prepared table's numeric columns, with their filled rows."""
+    rows = prepared(spark, sf_dir)
+    names = FE.numeric_columns(rows, exclude=[KEY, P.TARGET])
+    one = rows.agg(*[F.count(c).alias(c) for c in names])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("filled")) for c in names])))
 
 
 QUERIES.update({
@@ -466,6 +584,17 @@ QUERIES.update({
     "onehot_wide": q_onehot_wide,
     "class_balance": q_class_balance,
     "forest_scores": q_forest_scores,
-    "search_results": q_search_results,
+    "forest_score_facts": q_forest_score_facts,
     "stream_scores": q_stream_scores,
+    "stream_rejected": q_stream_rejected,
+    "parquet_round_trip": q_parquet_round_trip,
+    "csv_round_trip": q_csv_round_trip,
+    "report_round_trip": q_report_round_trip,
+    "history_round_trip": q_history_round_trip,
+    "published_scores": q_published_scores,
+    "refused_publication": q_refused_publication,
+    "aligned_rates": q_aligned_rates,
+    "crosstab_wide": q_crosstab_wide,
+    "weighted_rows": q_weighted_rows,
+    "numeric_column_counts": q_numeric_column_counts,
 })

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -60,6 +61,8 @@ def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = PARTITION_BYTE
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        # merge up to the advisory size; the default would keep partitions small
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }
@@ -91,9 +94,12 @@ def build_session(master: str | None = None, app_name: str = "readyspark",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session created elsewhere."""
+    """Apply the runtime settings to a session created elsewhere, as far as its
+    user hasn't set them: explicit settings win."""
+    given = spark.conf.getAll
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if key not in given:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -116,7 +122,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    # local and local[..] are one process; local-cluster[..] has executors of its own
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for this cluster")
     local_dir = tempfile.mkdtemp(prefix="readyspark-ckpt-")
@@ -136,6 +143,18 @@ def cut_lineage(df):
     base = ensure_checkpoint_dir(spark)
     if not base:
         return df.checkpoint(eager=True)
-    path = base.rstrip("/") + "/tables/" + uuid.uuid4().hex
+    path = f"{run_tables(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def run_tables(spark: SparkSession) -> str:
+    """This run's folder of intermediate tables below the checkpoint folder."""
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/tables/" + spark.sparkContext.applicationId
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Delete this run's intermediate tables. Call it when no DataFrame of the run
+    is read any more: results that still depend on them fail afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_tables(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

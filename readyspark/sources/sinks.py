@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readyspark.operators.gates import verdict
@@ -29,33 +31,63 @@ def write_report(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     stamped.coalesce(1).write.mode(mode).json(path)
 
 
+HISTORY = "run_id string, kind string, name string, value double, text string, logged_at timestamp"
+
+
 def append_metrics(metrics: DataFrame, path: str, run_id: str, kind: str = "metric") -> None:
-    """Append (run_id, kind, name, value, logged_at) rows to a history table.
-    ``metrics`` needs columns ``metric`` and ``value``."""
+    """Append (run_id, kind, name, value, text, logged_at) rows to a history
+    table. ``metrics`` needs columns ``metric`` and ``value``."""
     rows = metrics.select(F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"),
                           F.col("metric").cast("string").alias("name"), F.col("value").cast("double").alias("value"),
-                          F.current_timestamp().alias("logged_at"))
+                          F.lit(None).cast("string").alias("text"), F.current_timestamp().alias("logged_at"))
     rows.write.mode("append").parquet(path)
 
 
+def append_params(spark: SparkSession, params: Mapping, path: str, run_id: str) -> None:
+    """S6 for parameters of any type: every one is a row, its text as Python
+    prints it (``None`` and booleans too) and its number where it is one."""
+    number = lambda v: float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else None
+    rows = spark.createDataFrame([(run_id, "param", str(k), number(v), str(v)) for k, v in params.items()],
+                                 "run_id string, kind string, name string, value double, text string")
+    rows.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(HISTORY).parquet(path)
+
+
 def publish_if_ready(scored: DataFrame, gate_rows: DataFrame, staging_path: str, target_path: str,
-                     model=None) -> dict:
+                     model=None, audit: Callable[[DataFrame], DataFrame] | None = None) -> dict:
     """S7 as write-audit-publish.
 
-    The scored table is written to ``staging_path`` first (so the audit and
-    the publish read the same bytes), the verdict is one small aggregate over
-    the gate rows, and only a positive verdict copies the staged data to
-    ``target_path`` (and saves the model beside it). Otherwise it raises and
-    the target is untouched.
+    The scored table is written to ``staging_path`` first. ``audit`` computes gate
+    rows from the staged table, the very bytes that are published; they and the
+    given ``gate_rows`` (checks on other inputs) must all have passed. Then the
+    staged data, and the model beside it, are written to a new version folder
+    below ``target_path`` and one pointer row naming it is appended: readers
+    (:func:`read_published`) see the old version or the new one, never a part.
+    Otherwise it raises and the target is untouched.
     """
     write_parquet(scored, staging_path)
-    v = verdict(gate_rows).first()
-    if not v["production_ready"]:
-        raise ValueError(f"not published: {v['failed_checks']} gate checks failed")
     spark = scored.sparkSession
-    spark.read.parquet(staging_path).write.mode("overwrite").parquet(target_path)
-    out = {"published": target_path, "failed_checks": 0}
+    staged = spark.read.schema(scored.schema).parquet(staging_path)
+    checks = [verdict(gate_rows).first()] + ([verdict(audit(staged)).first()] if audit else [])
+    if not all(v["production_ready"] for v in checks):
+        raise ValueError(f"not published: {sum(v['failed_checks'] for v in checks)} gate checks failed")
+    version = f"{target_path.rstrip('/')}/versions/{uuid.uuid4().hex}"
+    staged.write.parquet(f"{version}/scored")
+    out = {"published": f"{version}/scored", "failed_checks": 0}
     if model is not None:
-        model.write().overwrite().save(target_path.rstrip("/") + "_model")
-        out["model"] = target_path.rstrip("/") + "_model"
+        model.write().save(f"{version}/model")
+        out["model"] = f"{version}/model"
+    pointer = spark.createDataFrame([(version, out.get("model"))], "version string, model string")
+    pointer.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
+        f"{target_path.rstrip('/')}/pointer")
     return out
+
+
+def read_published(spark: SparkSession, target_path: str) -> DataFrame:
+    """The scored table of the latest pointer row."""
+    pointer = spark.read.parquet(f"{target_path.rstrip('/')}/pointer")
+    latest = pointer.orderBy(F.desc("published_at"), F.desc("version")).first()  # one row per publication
+    return spark.read.parquet(f"{latest['version']}/scored")

@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from tests.conftest import SF0001
 from tests.oracle_compare import compare, duck
 
-ROWS_ONLY = {"forest_scores", "search_results"}
+ROWS_ONLY = {"forest_scores"}
 
 
 def test_entry_runs(spark):
@@ -24,7 +24,9 @@ def test_every_query_has_an_oracle_or_is_rows_only():
 
 FAST = ["clean_applications", "clean_reason_counts", "rule_suite_raw", "rule_suite_prepared", "group_quartiles",
         "box_stats", "exact_split", "stratified_folds", "classification_metrics", "separation_gap",
-        "robustness_gate", "metamorphic_gate", "onehot_wide"]
+        "robustness_gate", "metamorphic_gate", "onehot_wide", "stream_rejected", "parquet_round_trip", "csv_round_trip",
+        "report_round_trip", "history_round_trip", "published_scores", "refused_publication", "aligned_rates",
+        "crosstab_wide", "weighted_rows", "numeric_column_counts"]
 
 
 @pytest.mark.parametrize("name", FAST)

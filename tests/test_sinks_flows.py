@@ -40,8 +40,17 @@ def test_publish_only_when_ready(spark):
     with pytest.raises(ValueError):
         sinks.publish_if_ready(scored, bad, os.path.join(base, "stage1"), os.path.join(base, "target1"))
     assert not os.path.exists(os.path.join(base, "target1"))
-    out = sinks.publish_if_ready(scored, good, os.path.join(base, "stage2"), os.path.join(base, "target2"))
-    assert spark.read.parquet(out["published"]).count() == 1
+    target = os.path.join(base, "target2")
+    out = sinks.publish_if_ready(scored, good, os.path.join(base, "stage2"), target)
+    assert spark.read.parquet(out["published"]).count() == 1 and sinks.read_published(spark, target).count() == 1
+    # the audit judges the staged rows themselves; a refusal leaves the old version
+    audit = lambda staged: staged.select(F.lit("a").alias("gate"), (F.col("p_bad") < 0.5).alias("passed"))
+    two = spark.createDataFrame([(1, 0.2), (2, 0.9)], "id long, p_bad double")
+    with pytest.raises(ValueError):
+        sinks.publish_if_ready(two, good, os.path.join(base, "stage3"), target, audit=audit)
+    assert sinks.read_published(spark, target).count() == 1
+    sinks.publish_if_ready(two.where("id = 1").union(scored), good, os.path.join(base, "stage4"), target, audit=audit)
+    assert sinks.read_published(spark, target).count() == 2
 
 
 def test_flows_prepare_experiment_readiness(spark):
@@ -51,8 +60,14 @@ def test_flows_prepare_experiment_readiness(spark):
         flows.prepare(Q._dirty(spark, SF0001), "app_id", raise_on_failure=True)
     tiny = {"n_estimators": [5], "max_depth": [3], "min_samples_split": [2], "min_samples_leaf": [1, 2],
             "max_features": ["sqrt"], "bootstrap": [True]}
-    results, best = flows.experiment(prep, "app_id", n_iter=2, k=2, parallelism=2, space=tiny)
-    assert results.count() == 2 and best["n_estimators"] == 5
+    base = tempfile.mkdtemp(prefix="experiment-")
+    done = flows.experiment(prep, "app_id", n_iter=2, k=2, parallelism=2, space=tiny, out_dir=base, run_id="r")
+    best = done["best"]
+    assert done["results"].count() == 2 and best["n_estimators"] == 5
+    history = {(r["kind"], r["name"]): (r["value"], r["text"]) for r in sinks.read_history(spark, os.path.join(base, "history")).collect()}
+    assert history[("param", "max_features")] == (None, "sqrt") and history[("param", "bootstrap")] == (None, "True")
+    assert history[("param", "max_depth")] == (3.0, "3") and ("metric", "best_cv_f1") in history and len(history) == 12
+    assert os.path.exists(os.path.join(base, "model"))
     out = flows.readiness(prep, "app_id", params=best)
     assert out["gate_rows"].where(F.col("gate") == "performance").count() == 6
     assert out["verdict"].count() == 1
