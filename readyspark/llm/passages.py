@@ -6,7 +6,10 @@
    texts share hold a common seed.
 2. Join. A seed's owner is the least of the texts that have it (a map-side
    combined minimum); every other text's occurrence is matched with the owner's.
-   That is one match per occurrence, however many texts share a passage.
+   That is one match per occurrence, however many texts share a passage. Matches
+   go on where they are dense: no more than ``SPARSE`` words apart in the text,
+   over ``RUN_WORDS`` words or more. A shared run of ``MIN_WORDS`` words always is:
+   its outermost seeds are at least 20 words apart, ends included.
 3. Chains. The matches of two texts, merged along diagonals, are chained in order
    in both: a match adds its words, a gap costs its words on either side. A
    Fenwick tree over places in the owner gives the best predecessor, so a
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,9 @@ from pyspark.sql import functions as F
 from readyspark.llm.common import (list_array, mix64, small_batches, text_bytes, window_hashes, word_hashes, written)
 
 KMER = 8
-WINDOW = 12
+WINDOW = 16
+SPARSE = 40          # words between matches that may belong to one passage
+RUN_WORDS = 18       # words that the matches of a passage span at least
 GAP_COST = 0.25      # words of score that a word of gap costs, on either side
 LARGE_GAP = 8        # words; where a chain of low similarity is cut
 GIVE_UP = 6          # score below the best at which an end is given up
@@ -220,43 +226,58 @@ def searched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return read.mapInArrow(run, f"id {kind}, key long, n int, seed array<long>, pos array<int>")
 
 
+def dense(x: np.ndarray) -> np.ndarray:
+    """Which of the sorted match places lie in a long enough dense run."""
+    cut = np.flatnonzero(np.diff(x) > SPARSE) + 1
+    first, last = np.append(0, cut), np.append(cut, len(x)) - 1
+    return np.repeat(x[last] - x[first] + KMER >= RUN_WORDS, last - first + 1)
+
+
 def chained(matches: DataFrame) -> DataFrame:
-    """Chains (``key``, ``owner``, ``xs``, ``ys``, ``ks``) of the matches of two texts."""
+    """Chains of the matches of two texts: a row per pair (``key``, ``owner``) with
+    the anchors (``xs``, ``ys``, ``ks``) of all its chains and their lengths
+    (``sizes``). A text's matches are no more than its seeds; a task streams them
+    text by text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
-        def pair(rows: list[tuple[np.ndarray, ...]]) -> list[tuple]:
-            key, owner, x, y = (np.concatenate(c) for c in zip(*rows))
-            found = chains(diagonals(x.astype(np.int64), y.astype(np.int64)))
-            return [(int(key[0]), int(owner[0]), *map(list, zip(*c))) for c in found]
+        def text(rows: list[tuple[np.ndarray, ...]]) -> list[tuple]:
+            key, x, owner, y = (np.concatenate(c) for c in zip(*rows))
+            keep = dense(x)
+            x, owner, y = x[keep].astype(np.int64), owner[keep], y[keep].astype(np.int64)
+            out = []
+            for other in np.unique(owner):
+                mine = owner == other
+                found = chains(diagonals(x[mine], y[mine]))
+                xs, ys, ks = (list(c) for c in zip(*(a for c in found for a in c)))
+                out.append((int(key[0]), int(other), xs, ys, ks, [len(c) for c in found]))
+            return out
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             ints = pa.list_(pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), ints, ints, ints))],
-                names=["key", "owner", "xs", "ys", "ks"])
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), ints, ints, ints, ints))],
+                names=["key", "owner", "xs", "ys", "ks", "sizes"])
 
         for b in batches:
-            key, owner, x, y = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            key, x, owner, y = (c.to_numpy(zero_copy_only=False) for c in b.columns)
             if not len(key):
                 continue
-            cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(owner) != 0)) + 1
+            cut = np.flatnonzero(np.diff(key) != 0) + 1
             rows = []
             for s, e in zip(np.append(0, cut), np.append(cut, len(key))):
-                part = (key[s:e], owner[s:e], x[s:e], y[s:e])
-                if held and (held[0][0][0], held[0][1][0]) != (part[0][0], part[1][0]):
-                    rows += pair(held)
+                if held and held[0][0][0] != key[s]:
+                    rows += text(held)
                     held = []
-                held.append(part)
+                held.append((key[s:e], x[s:e], owner[s:e], y[s:e]))
             if rows:
                 yield batch(rows)
-        if held:
-            yield batch(pair(held))
+        if held and (rows := text(held)):
+            yield batch(rows)
 
-    ordered = matches.repartition("key", "owner").sortWithinPartitions("key", "owner", "x", "y")
-    return ordered.select("key", "owner", "x", "y").mapInArrow(
-        run, "key long, owner long, xs array<int>, ys array<int>, ks array<int>")
+    ordered = matches.select("key", "x", "owner", "y").repartition("key").sortWithinPartitions("key", "x", "owner", "y")
+    return ordered.mapInArrow(run, "key long, owner long, xs array<int>, ys array<int>, ks array<int>, sizes array<int>")
 
 
 def word_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -283,14 +304,16 @@ def aligned(found: DataFrame, texts: DataFrame) -> DataFrame:
         names = ["key", "owner", "x", "xe", "y", "ye", "wrong"]
         for batch in batches:
             out = []
-            for key, owner, xs, ys, ks, a, b in zip(*(c.to_pylist() for c in batch.columns)):
-                a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-                out += [(key, owner, *s) for s in align(list(zip(xs, ys, ks)), a, b) if s[1] - s[0] >= PART_WORDS]
+            for key, owner, xs, ys, ks, sizes, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                a, b, anchors = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), iter(zip(xs, ys, ks))
+                for size in sizes:
+                    out += [(key, owner, *s) for s in align(list(islice(anchors, size)), a, b) if s[1] - s[0] >= PART_WORDS]
             if out:
                 types = [pa.int64(), pa.int64(), *[pa.int32()] * 5]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    joined = found.join(own, "key").join(other, "owner").select("key", "owner", "xs", "ys", "ks", "a", "b")
+    joined = found.join(own, "key").join(other, "owner").select(
+        "key", "owner", "xs", "ys", "ks", "sizes", "a", "b")
     return joined.mapInArrow(run, "key long, owner long, x int, xe int, y int, ye int, wrong int")
 
 
@@ -355,12 +378,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # a class's seeds once: those of the row with its smallest id
     once = drawn.join(classes.select("key", "id"), ["key", "id"], "left_semi")
     spread = once.select("key", F.explode(F.arrays_zip("seed", "pos")).alias("s")).select("key", "s.seed", "s.pos")
-    owners = (spread.groupBy("seed").agg(F.min(F.struct("key", "pos")).alias("o"), F.max("key").alias("top"))
-                    .where("o.key != top").select("seed", F.col("o.key").alias("owner"), F.col("o.pos").alias("y")))
-    owners = written(owners, "owners")
-    matches = spread.join(owners, "seed").where("key != owner").select("key", "owner", F.col("pos").alias("x"), "y")
+    owners = written(spread.groupBy("seed").agg(F.min("key").alias("owner"), F.max("key").alias("top"))
+                           .where("owner != top").select("seed", "owner"), "owners")
+    shared = written(spread.join(owners, "seed"), "shared")  # occurrences of seeds that two texts have
+    places = shared.where("key = owner").groupBy("seed").agg(F.min("pos").alias("y"))
+    matches = shared.where("key != owner").join(places, "seed").select("key", "owner", F.col("pos").alias("x"), "y")
     found = chained(matches)
-    # a lone seed of KMER words may still grow in alignment; all chains go on
     found = written(found, "chains")
     wanted = found.select("key").union(found.select(F.col("owner").alias("key"))).distinct()
     ids = written(wanted.join(classes.select("key", "id"), "key").select("id").distinct(), "wanted")
