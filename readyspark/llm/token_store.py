@@ -146,7 +146,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str | None = None, i
     small_batches(spark)
     path = path or shared_path(spark, "tokens")
     read = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    ordered = read.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # by id alone: the sample of keys that sets the ranges passes through the driver
+    ordered = read.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer_path)
