@@ -37,6 +37,8 @@ HEADLINE = [
     "robustness_gate",         # V1-V2 with X1, G4
     "metamorphic_gate",        # V3-V5 with X1, G5-G6
     "gate_report",             # everything, G8
+    "onehot_wide",             # fitted encoder, L2
+    "forest_scores",           # one forest fitted and applied, L4, L8, L9
 ]
 
 

@@ -114,7 +114,3 @@ def rows_from(one_row: DataFrame, rows: list[GateRow]) -> DataFrame:
     if all(r.is_sql() for r in rows):
         return one_row.selectExpr(f"inline(array({', '.join(r.sql() for r in rows)}))").select(*GATE_COLUMNS)
     return one_row.select(F.inline(F.array(*[r.struct() for r in rows]))).select(*GATE_COLUMNS)
-
-
-def empty_gate_rows(spark) -> DataFrame:
-    return spark.createDataFrame([], GATE_SCHEMA)
