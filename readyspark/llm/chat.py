@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import shared_path, small_batches, strings
+from readyspark.llm.common import shared_path, prepare_python, strings
 
 # fixed control strings of the template and of common tokenizers
 CONTROL = ("<|", "|>", "<s>", "</s>", "<unk>", "<pad>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -63,7 +63,7 @@ def examples(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str
     conversation; other columns are ignored. Conversations are dealt by id and a
     task streams its sorted turns, so it holds one conversation's text at a time.
     """
-    small_batches(conversations.sparkSession)
+    prepare_python(conversations.sparkSession)
     read = conversations.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                                 F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                                 F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -133,7 +133,7 @@ def digest(written_examples: DataFrame) -> DataFrame:
     """One row per conversation, from the written examples alone: turns and text
     hash of the example that holds them all, the unescaped text under the masks
     in order, and the formatted code points of all its examples."""
-    small_batches(written_examples.sparkSession)
+    prepare_python(written_examples.sparkSession)
     loss = F.when(F.col("target").isNotNull(), F.substring("text", F.col("loss_start") + 1, F.col("loss_stop") - F.col("loss_start")))
     read = written_examples.select("conv_id", "example", loss.alias("loss"),
                                    F.when(F.col("last"), F.col("text")).alias("whole"),

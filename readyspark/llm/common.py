@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import posixpath
+import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +25,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows that Spark hands to a Python worker at once."""
+def prepare_python(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Get a session ready for Python tasks: bound the rows that Spark hands to a
+    worker at once, and send this package's modules along, so that executors
+    need neither a copy of the repository nor its path."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    if getattr(context, "_readyspark_sent", False):
+        return
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="readyspark-"), "readyspark_modules.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(home)))
+    context.addPyFile(archive)  # served by the driver to every executor, new ones too
+    context._readyspark_sent = True
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:

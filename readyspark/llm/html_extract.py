@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import small_batches, strings, written
+from readyspark.llm.common import prepare_python, strings, written
 
 SAMPLE_PAGES = 2000  # labelled pages that the weights are learned from, by least hash of the id
 
@@ -168,7 +168,7 @@ def weights_of(found: Mapping[tuple[str, bool], float]) -> dict[str, float]:
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE_PAGES) -> dict[str, float]:
     """Weights from at most ``sample`` labelled pages, those of least id hash.
     Without labelled pages the priors alone decide."""
-    small_batches(pages.sparkSession, 200)
+    prepare_python(pages.sparkSession, 200)
     marks = r"(?i)<(article|main)[\s>]|itemprop\s*=\s*.?articleBody"
     once = F.regexp_count(F.col(html_col), F.lit(marks)) == 1
     chosen = (pages.where(F.col(id_col).isNotNull() & once).select(F.col(id_col).alias("id")).distinct()
@@ -224,7 +224,7 @@ def extract(pages: DataFrame, weights: Mapping[str, float], html_col: str = "htm
     returned as they come; a column already named as the result is replaced. A
     map over the scan, a page at a time.
     """
-    small_batches(pages.sparkSession, 200)
+    prepare_python(pages.sparkSession, 200)
     keep = [c for c in pages.columns if c not in (html_col, out_col)]
     read = pages.select(*keep, F.col(html_col).alias("_html"))
     fixed = dict(weights)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import list_array, mix64, shingles, small_batches, text_bytes, written
+from readyspark.llm.common import list_array, mix64, shingles, prepare_python, text_bytes, written
 from readyspark.llm.components import components
 
 SIGNATURE = 32   # minwise tokens of a document
@@ -92,7 +92,7 @@ def set_sums(found: np.ndarray) -> tuple[int, int]:
 def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """``id``, ``n`` (set size), ``k1``, ``k2`` (set identity), ``sig``, ``low``;
     null and wordless texts have n = 0 and nulls."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import (list_array, mix64, small_batches, text_bytes, window_hashes, word_hashes, written)
+from readyspark.llm.common import (list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
 
 KMER = 8
 WINDOW = 16
@@ -202,7 +202,7 @@ def align(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> li
 
 def searched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id``, ``key`` (its class), ``n`` words, ``seed``, ``pos`` arrays."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -408,7 +408,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the passages' words, and the white space after them, cut out."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     spans = passages.groupBy(F.col(id_col).alias("_id")).agg(
         F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("_spans"))  # passages of one document
     given = docs.join(spans, docs[id_col] == spans["_id"], "left").drop("_id")

@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import small_batches, strings
+from readyspark.llm.common import prepare_python, strings
 
 BLANK = "▁"  # how the model writes a blank
 CACHE_WORDS = 400_000  # counts of other pre-tokens that a worker remembers
@@ -96,7 +96,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     are returned as they come; other columns are ignored, whatever their names.
     No shuffle: a map over the scan that reads two columns.
     """
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model_path not in _COUNTERS:

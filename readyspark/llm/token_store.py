@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import list_array, shared_path, small_batches
+from readyspark.llm.common import list_array, shared_path, prepare_python
 
 CACHE_WORDS = 700_000  # pieces whose ids a worker remembers
 MARKS = ".,;:!?#$%&*|"
@@ -143,7 +143,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str | None = None, i
     task streams its partition, so memory is bounded by a batch.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare_python(spark)
     path = path or shared_path(spark, "tokens")
     read = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     # by id alone: the sample of keys that sets the ranges passes through the driver
@@ -210,7 +210,7 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 def digest(stored: DataFrame) -> DataFrame:
     """``doc_id``, ``copy``, ``start``, ``n_tokens`` and the crc32 of each row's ids."""
-    small_batches(stored.sparkSession)
+    prepare_python(stored.sparkSession)
     read = stored.select("doc_id", "copy", "start", "ids")
 
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import crc32_of, small_batches, strings, written
+from readyspark.llm.common import crc32_of, prepare_python, strings, written
 
 SAMPLE = 3000      # documents of each label that the fit reads at most
 MIN_DOCS = 3
@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     are null or without a document are left out; of several labels of an id the
     largest counts; a repeated document is taken once per row. Without any label
     the model scores every text 0."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
                    .where(crc32_of(F.col(id_col)) % 3 != 1)
                    .groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col).cast("int") > 0).cast("int")).alias("label")))
@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: dict[str, float], id_col: str = "doc_id", text
     Null, empty and wordless texts score 0. Repeated rows and null ids are
     returned as they come. A map over the scan, no shuffle.
     """
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     span = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("p", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +206,7 @@ def score(docs: DataFrame, model: dict[str, float], id_col: str = "doc_id", text
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model trained on them does not reject."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     model = train(docs, labels, id_col, text_col)
     names = docs.columns
     at = names.index(text_col)
