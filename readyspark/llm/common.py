@@ -18,6 +18,8 @@ from readyspark.session import ensure_checkpoint_dir
 # documents of a few kilobytes: a Python worker then holds a few megabytes of
 # texts at a time, and a batch of very long ones still fits
 BATCH_ROWS = 1000
+# rows of a key table (one or two longs) that are broadcast: tens of megabytes
+BROADCAST_KEYS = 2_000_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -58,6 +60,12 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(keys: DataFrame) -> DataFrame:
+    """A written table of keys, broadcast if its counted rows allow it; a join
+    with a larger one shuffles both sides."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. ``lower`` does that already where every
     character is one byte long; other texts take the slower ``translate``."""

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import list_array, mix64, shingles, prepare_python, text_bytes, written
+from readyspark.llm.common import few, list_array, mix64, shingles, prepare_python, text_bytes, written
 from readyspark.llm.components import components
 
 SIGNATURE = 32   # minwise tokens of a document
@@ -257,6 +257,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def confirmed(pairs: DataFrame, kind: str) -> DataFrame:
         pairs = written(pairs, f"pairs-{kind}")
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        wanted = few(written(wanted, f"wanted-{kind}"))  # so that the texts aren't shuffled to be chosen
         sets = written(full_sets(docs, wanted, id_col, text_col, size), f"sets-{kind}")
         return written(confirm(pairs, sets, percent), f"links-{kind}")
 
@@ -317,7 +318,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     kept = similar_groups(docs, id_col, text_col, **how).where("kept")
     kept = written(kept.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows")), "kept")
     none = docs.where(F.col(id_col).isNull())
-    out = docs.join(kept.where("_rows = 1"), id_col, "left_semi").unionByName(none)
+    out = docs.join(few(kept.where("_rows = 1")), id_col, "left_semi").unionByName(none)
     again = kept.where("_rows > 1")
     if again.isEmpty():
         return out
