@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import (list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
+from readyspark.llm.common import (few, list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
 
 KMER = 8
 WINDOW = 16
@@ -375,8 +375,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     members = drawn.where(F.col("n") >= KMER).select("id", "key", "n")
     classes = written(members.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"),
                                                  F.count(F.lit(1)).alias("rows")), "classes")
-    # a class's seeds once: those of the row with its smallest id
-    once = drawn.join(classes.select("key", "id"), ["key", "id"], "left_semi")
+    # a class's seeds once: those of the rows with its smallest id (a row that is
+    # there twice has the same seeds twice, which changes nothing)
+    copies = members.join(classes.where("rows > 1").select("key", F.col("id").alias("least")), "key")
+    copies = few(written(copies.where("id != least").select("key", "id").distinct(), "copies"))
+    once = drawn.where(F.col("n") >= KMER).join(copies, ["key", "id"], "left_anti")
     spread = once.select("key", F.explode(F.arrays_zip("seed", "pos")).alias("s")).select("key", "s.seed", "s.pos")
     owners = written(spread.groupBy("seed").agg(F.min("key").alias("owner"), F.max("key").alias("top"))
                            .where("owner != top").select("seed", "owner"), "owners")
@@ -386,7 +389,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = chained(matches)
     found = written(found, "chains")
     wanted = found.select("key").union(found.select(F.col("owner").alias("key"))).distinct()
-    ids = written(wanted.join(classes.select("key", "id"), "key").select("id").distinct(), "wanted")
+    ids = few(written(wanted.join(classes.select("key", "id"), "key").select("id").distinct(), "wanted"))
     texts = word_table(docs, ids, id_col, text_col).join(wanted, "key", "left_semi")
     texts = written(texts.dropDuplicates(["key"]), "words")
     spans = joined_spans(aligned(found, texts), min_words)
