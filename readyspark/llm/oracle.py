@@ -110,8 +110,51 @@ SELECT doc_id, text, lang, source, n_chars, copy,
 FROM copies
 """
 
+# fixed control strings of the chat template, in the order in which they are escaped
+CONTROL = ("<|", "|>", "<s>", "</s>", "<unk>", "<pad>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+
+
+def _escaped(column: str) -> str:
+    out = f"replace({column}, chr(92), chr(92) || chr(92))"
+    for c in CONTROL:
+        out = f"replace({out}, '{c}', '{c[0]}' || chr(92) || '{c[1:]}')"
+    return out
+
+
+# "<|" + role + "|>" + break + text + "<|end|>" + break: 13 characters besides role and text
+CHAT = f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (
+  SELECT *, length({_escaped("role")}) + length({_escaped("said")}) + 13 AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, said) AS i FROM given),
+prefixes AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS upto, max(i) OVER (PARTITION BY conv_id) AS n FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY i)) AS turns_sha256,
+       coalesce(sum(length(said)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(said, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(upto) FILTER (role = 'assistant' OR i = n)::BIGINT AS formatted_chars
+FROM prefixes GROUP BY conv_id
+"""
+
+# the given pages mark their article, whose blocks are paragraphs, a heading and line breaks
+HTML = """
+WITH bodies AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?b>', '', 'g') AS body
+  FROM pages),
+plain AS (
+  SELECT page_id, url, [trim(regexp_replace(regexp_replace(
+    replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))
+    FOR x IN string_split_regex(body, '</?(p|h1|br)>')] AS blocks FROM bodies),
+texts AS (SELECT page_id, url, array_to_string([x FOR x IN blocks IF x <> ''], chr(10)) AS text FROM plain)
+SELECT page_id, url, text, length(text) AS n_chars FROM texts
+"""
+
 ORACLE: dict[str, str] = {
     "op3_mixing": MIXING,
+    "op4_chat": CHAT,
+    "op5_html": HTML,
     "op7_decontamination": DECONTAMINATION,
     "op9_line_quality": LINE_QUALITY,
     "op10_near_duplicates": NEAR_DUPLICATES,
