@@ -1,5 +1,9 @@
 """Driver contract and oracle agreement on the sf0.001 tables."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as E
@@ -22,6 +26,14 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_entry_without_the_corpus_package():
+    """The corpus operators are removable: the entry imports and offers the rest."""
+    code = ("import sys; sys.modules['readyspark.llm'] = None; sys.modules['corpus_pipeline'] = None; "
+            "import __spark_entry__ as E; assert not E.LLM_QUERIES and 'pipeline' not in E.queries() and E.oracle_sql()")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
+
+
 FAST = ["clean_applications", "clean_reason_counts", "rule_suite_raw", "rule_suite_prepared", "group_quartiles",
         "box_stats", "exact_split", "stratified_folds", "classification_metrics", "separation_gap",
         "robustness_gate", "metamorphic_gate", "onehot_wide", "stream_rejected", "parquet_round_trip", "csv_round_trip",
