@@ -17,9 +17,11 @@ Jaccard similarity of the sets is at least the threshold. The stages:
    tokens. After ``LEVELS`` levels a node is a crowd of much the same sets; it
    is dealt twice at random into small nodes, which hang together through the
    classes' second place.
-3. Confirmation. Candidate pairs, whose signatures agree in at least
-   ``AGREE`` places and whose least hashes put them near the threshold, are
-   confirmed on the full sets, computed anew for candidates alone.
+3. Confirmation. Pairs whose signatures agree in at least ``AGREE`` places and
+   whose least hashes put them near the threshold are confirmed on the full
+   sets, computed anew for such documents alone: pairs with a first class by a
+   join, small nodes whole. A node's sets are sent along with its rows, so many
+   likely but unlike pairs in it cost comparisons and no rows.
 4. Components. Links are contracted in a Spark loop.
 
 Recall of a pair at similarity 0.75, the hardest: it shares no root token of 4
@@ -131,6 +133,22 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, si
     return read.join(wanted, "id", "left_semi").mapInArrow(run, f"id {kind}, k1 long, found binary")
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of sorted sets."""
+    union = len(np.union1d(x, y))
+    return 100 * (len(x) + len(y) - union) >= percent * union
+
+
+def shared_counts(x: np.ndarray, others: list[np.ndarray]) -> list[int]:
+    """Sizes of the intersections of one sorted set with many, none empty."""
+    if not others:
+        return []
+    every = np.concatenate(others)
+    at = np.minimum(np.searchsorted(x, every), len(x) - 1)
+    starts = np.cumsum([0] + [len(o) for o in others[:-1]])
+    return np.add.reduceat((x[at] == every).astype(np.int64), starts).tolist()
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``ka``, ``b``, ``kb``) whose full sets are similar:
     100 * intersection >= percent * union."""
@@ -140,12 +158,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(ok, pa.bool_())
+            keep = pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
     kind = joined.schema["a"].dataType.simpleString()
@@ -170,54 +184,110 @@ def branch(rows: DataFrame, level: int) -> DataFrame:
     return out.withColumn("node", F.xxhash64("node", "_c.p", "_c.t")).drop("_c")
 
 
-def agreeing(rows: DataFrame) -> DataFrame:
-    """Pairs of classes of one node, of different components, whose sizes allow
-    the similarity and whose signatures agree often enough. A node holds a
+def by_node(rows: DataFrame, columns: list[str], schema: str, work) -> DataFrame:
+    """Apply ``work`` (a node's rows to result rows) to every node. A node holds a
     bounded number of rows; a task streams its nodes one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        kinds, names = [], []
 
-        def pairs(node: list[tuple]) -> Iterator[pa.RecordBatch]:
-            if len(node) < 2:
-                return
-            sig = np.array([r[5] for r in node], np.int32)
-            comp, n = [r[4] for r in node], np.array([r[3] for r in node], np.int64)
-            low = [np.frombuffer(r[6], np.uint32) for r in node]
-            codes = np.unique(np.array(comp), return_inverse=True)[1].ravel()
-            got = []
-            for i in range(len(node) - 1):
-                same = (sig[i + 1:] == sig[i]).sum(axis=1) >= AGREE
-                same &= codes[i + 1:] != codes[i]
-                same &= 100 * np.minimum(n[i + 1:], n[i]) >= 75 * np.maximum(n[i + 1:], n[i])
-                got += [(node[i], node[i + 1 + j]) for j in np.flatnonzero(same) if near(low[i], low[i + 1 + j])]
-            for at in range(0, len(got), 10_000):
-                x, y = zip(*got[at:at + 10_000])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[1] for r in x], kind), pa.array([r[2] for r in x], pa.int64()),
-                     pa.array([r[1] for r in y], kind), pa.array([r[2] for r in y], pa.int64())],
-                    names=["a", "ka", "b", "kb"])
+        def batch(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
         for b in batches:
-            kind = b.schema.field("id").type
+            names, kinds = zip(*work(None, b.schema))
+            out = []
             for r in zip(*(c.to_pylist() for c in b.columns)):
                 if held and held[0][0] != r[0]:
-                    yield from pairs(held)
+                    out += work(held, None)
                     held = []
                 held.append(r)
-        if held:
-            yield from pairs(held)
+            if out:
+                yield batch(out)
+        if held and (out := work(held, None)):
+            yield batch(out)
+
+    ordered = rows.select(*columns).repartition("node").sortWithinPartitions("node", "id", "k1")
+    return ordered.mapInArrow(run, schema)
+
+
+NODE_ROW = ["node", "id", "k1", "n", "comp", "sig"]
+
+
+def _alike(node: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a node the later rows of other components whose size allows
+    the similarity and whose signature agrees often enough."""
+    sig = np.array([r[5] for r in node], np.int32)
+    n = np.array([r[3] for r in node], np.int64)
+    codes = np.unique(np.array([r[4] for r in node]), return_inverse=True)[1].ravel()
+    for i in range(len(node) - 1):
+        same = (sig[i + 1:] == sig[i]).sum(axis=1) >= AGREE
+        same &= codes[i + 1:] != codes[i]
+        same &= 100 * np.minimum(n[i + 1:], n[i]) >= 75 * np.maximum(n[i + 1:], n[i])
+        if same.any():
+            yield i, i + 1 + np.flatnonzero(same)
+
+
+def plausible(rows: DataFrame) -> DataFrame:
+    """The rows of every node that have a likely partner of another component."""
+
+    def work(node, schema):
+        if node is None:
+            return [(c, schema.field(c).type) for c in NODE_ROW]
+        low = [np.frombuffer(r[6], np.uint32) for r in node]
+        take: set[int] = set()
+        for i, others in _alike(node):
+            for j in others.tolist():
+                if not (i in take and j in take) and near(low[i], low[j]):
+                    take |= {i, j}
+        return [node[i][:6] for i in sorted(take)]
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    return by_node(rows, [*NODE_ROW, "low"], ", ".join(f"{c} {kinds[c]}" for c in NODE_ROW), work)
+
+
+def linked_in_nodes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every node's rows compared exhaustively on their full sets: links (``a``,
+    ``b``) between its components. A pair that earlier links of the node have
+    joined needs no comparison, so a node gives fewer links than it has rows."""
+
+    def work(node, schema):
+        if node is None:
+            return [("a", schema.field("id").type), ("b", schema.field("id").type)]
+        found = [np.frombuffer(r[6], np.uint64) for r in node]
+        first: dict = {}
+        parent = [first.setdefault(r[4], i) for i, r in enumerate(node)]
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        for i, others in _alike(node):
+            mine = root(i)
+            apart = [j for j in others.tolist() if root(j) != mine]
+            for j, shared in zip(apart, shared_counts(found[i], [found[j] for j in apart])):
+                union = len(found[i]) + len(found[j]) - shared
+                if 100 * shared >= percent * union and (x := root(i)) != (y := root(j)):
+                    parent[max(x, y)] = min(x, y)
+                    out.append((node[i][1], node[j][1]))
+        return out
 
     kind = rows.schema["id"].dataType.simpleString()
-    ordered = (rows.select("node", "id", "k1", "n", "comp", "sig", "low").repartition("node")
-                   .sortWithinPartitions("node", "id", "k1"))
-    return ordered.mapInArrow(run, f"a {kind}, ka long, b {kind}, kb long").distinct()
+    joined = rows.join(sets.select("id", "k1", "found"), ["id", "k1"])
+    return by_node(joined, [*NODE_ROW, "found"], f"a {kind}, b {kind}", work).distinct()
 
 
-def likely_pairs(pairs: DataFrame, lows: DataFrame) -> DataFrame:
-    """The pairs whose least hashes put them near the threshold."""
-    la = lows.select(F.col("id").alias("a"), F.col("k1").alias("ka"), F.col("low").alias("la"))
-    lb = lows.select(F.col("id").alias("b"), F.col("k1").alias("kb"), F.col("low").alias("lb"))
+def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree often enough and whose least hashes put
+    them near the threshold."""
+    sides = [classes.select(F.col("id").alias(x), F.col("k1").alias(f"k{x}"), F.col("sig").alias(f"s{x}"),
+                            F.col("low").alias(f"l{x}")) for x in "ab"]
+    agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    joined = pairs.join(sides[0], ["a", "ka"]).join(sides[1], ["b", "kb"]).where(agree >= AGREE)
+    joined = joined.select("a", "ka", "b", "kb", "la", "lb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -226,7 +296,6 @@ def likely_pairs(pairs: DataFrame, lows: DataFrame) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([c.filter(keep) for c in b.columns[:4]], names=["a", "ka", "b", "kb"])
 
-    joined = pairs.join(la, ["a", "ka"]).join(lb, ["b", "kb"]).select("a", "ka", "b", "kb", "la", "lb")
     kind = joined.schema["a"].dataType.simpleString()
     return joined.mapInArrow(run, f"a {kind}, ka long, b {kind}, kb long")
 
@@ -254,24 +323,19 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     entries = written(roots.select("node", "tree", "id", "k1", "n")
                            .join(met.select("node", "head", "size"), "node"), "entries")
 
-    def confirmed(pairs: DataFrame, kind: str) -> DataFrame:
-        pairs = written(pairs, f"pairs-{kind}")
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        wanted = few(written(wanted, f"wanted-{kind}"))  # so that the texts aren't shuffled to be chosen
-        sets = written(full_sets(docs, wanted, id_col, text_col, size), f"sets-{kind}")
-        return written(confirm(pairs, sets, percent), f"links-{kind}")
+    def sets_of(wanted: DataFrame, kind: str) -> DataFrame:
+        wanted = few(written(wanted.distinct(), f"wanted-{kind}"))  # so that the texts aren't shuffled to be chosen
+        return written(full_sets(docs, wanted, id_col, text_col, size), f"sets-{kind}")
 
-    # every class against the first of its nodes
+    # classes against the first of their nodes, where it is that of two nodes at least
+    # (a pair of unlike classes seldom meets twice; what this leaves out, the nodes find)
     heads = entries.where((F.col("id") != F.col("head.id"))
                           & (100 * F.least("n", "head.n") >= percent * F.greatest("n", "head.n")))
-    heads = heads.select(F.col("id").alias("a"), F.col("k1").alias("ka"), F.col("head.id").alias("b"),
-                         F.col("head.k1").alias("kb")).distinct()
-    sa = classes.select(F.col("id").alias("a"), F.col("k1").alias("ka"), F.col("sig").alias("sa"))
-    sb = classes.select(F.col("id").alias("b"), F.col("k1").alias("kb"), F.col("sig").alias("sb"))
-    agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    likely = heads.join(sa, ["a", "ka"]).join(sb, ["b", "kb"]).where(agree >= AGREE).select("a", "ka", "b", "kb")
-    lows = classes.select("id", "k1", "low")
-    links = confirmed(likely_pairs(likely, lows), "first")
+    heads = heads.groupBy(F.col("id").alias("a"), F.col("k1").alias("ka"), F.col("head.id").alias("b"),
+                          F.col("head.k1").alias("kb")).agg(F.count(F.lit(1)).alias("met")).where("met > 1").drop("met")
+    pairs = written(likely_pairs(heads, classes), "pairs")
+    sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))), "first")
+    links = written(confirm(pairs, sets, percent), "links-first")
 
     # nodes that still hold several components: small ones whole, large ones branch
     found = written(components(links), "components")
@@ -297,8 +361,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         deal = F.pmod(F.xxhash64("k1", "id", "tree", "_j"), F.ceil(F.col("size") / F.lit(NODE // 2)))
         small.append(parts.withColumn("node", F.xxhash64("node", "_j", deal)).drop("_j"))
         break
-    pairs = agreeing(reduce(DataFrame.unionByName, small))
-    links = links.union(confirmed(pairs, "nodes"))
+    rows = written(plausible(reduce(DataFrame.unionByName, small)), "plausible")
+    sets = sets_of(rows.select("id"), "nodes")
+    links = links.union(written(linked_in_nodes(rows, sets, percent), "links-nodes"))
 
     # back to the documents: class by set, component by class
     found = written(components(links), "components")

@@ -83,7 +83,10 @@ def test_no_rows(spark):
     assert passages.repeated_passages(docs).count() == 0
 
 
-def test_components_of_a_long_path_and_a_star(spark):
+@pytest.mark.parametrize("small", [200_000, 10])
+def test_components_of_a_long_path_and_a_star(spark, monkeypatch, small):
+    from readyspark.llm import components as module
+    monkeypatch.setattr(module, "SMALL", small)
     links = [(k, k + 1) for k in range(100, 300)] + [(0, k) for k in range(1, 90)] + [(5, 5), (None, 4), (900, 901), (901, 900)]
     got = {r["id"]: r["component_id"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[k] for k in range(100, 301)} == {100} and {got[k] for k in range(90)} == {0}
