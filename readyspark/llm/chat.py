@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import shared_path, prepare_python, strings
+from readyspark.llm.common import prepare_python, shared_path
 
 # fixed control strings of the template and of common tokenizers
 CONTROL = ("<|", "|>", "<s>", "</s>", "<unk>", "<pad>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
