@@ -77,6 +77,32 @@ def test_groups_equal_brute_force(spark, monkeypatch, node):
         assert sorted((r["doc_id"] for r in kept), key=str) == sorted(set(want) - {None}, key=str) + [None, None]
 
 
+def changed(words, n, rng):
+    out = list(words)
+    for at in rng.sample(range(len(out)), n):
+        out[at] = f"w{rng.getrandbits(40)}"
+    return out
+
+
+def test_star_with_a_late_centre_and_pairs_in_a_crowd(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "NODE", 16)
+    monkeypatch.setattr(near_dup, "TILE", 128, raising=False)
+    rng = random.Random(31)
+    centre = [f"c{k}" for k in range(300)]
+    rows = [(i, " ".join(changed(centre, 7, rng))) for i in range(900)] + [(900, " ".join(centre))]
+    template = [f"t{k}" for k in range(236)]
+    for i in range(2000, 2500, 2):  # pairs of 0.8 in a crowd of about 0.65
+        own = template + [f"p{i}-{k}" for k in range(64)]
+        other = own[:-32] + [f"q{i}-{k}" for k in range(32)]
+        rows += [(i, " ".join(own)), (i + 1, " ".join(other))]
+    got = dict(near_dup.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).select(
+        "doc_id", "component_id").collect())
+    star = [got[i] for i in range(901)]
+    assert star.count(got[900]) >= 0.93 * 901
+    assert all(got[i] in (i, i - i % 2) for i in range(2000, 2500))
+    assert sum(got[i + 1] == i for i in range(2000, 2500, 2)) >= 0.93 * 250
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.similar_groups(docs).count() == 0 and near_dup.keep_one(docs).count() == 0
