@@ -6,10 +6,10 @@
    texts share hold a common seed.
 2. Join. A seed's owner is the least of the texts that have it (a map-side
    combined minimum); every other text's occurrence is matched with the owner's.
-   That is one match per occurrence, however many texts share a passage. Matches
-   go on where they are dense: no more than ``SPARSE`` words apart in the text,
-   over ``RUN_WORDS`` words or more. A shared run of ``MIN_WORDS`` words always is:
-   its outermost seeds are at least 20 words apart, ends included.
+   That is one match per occurrence, however many texts share a passage. A match,
+   a lone one too, is extended at both ends as the alignment would, on a byte a word
+   of the ``CONTEXT`` words around it. Extents no more than ``SPARSE`` words apart in
+   the text are a run; matches go on whose run spans a passage's words.
 3. Chains. The matches of two texts, merged along diagonals, are chained in order
    in both: a match adds its words, a gap costs its words on either side. A
    Fenwick tree over places in the owner gives the best predecessor, so a
@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from readyspark.llm.common import (few, list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
 
 KMER = 8
-WINDOW = 16
-SPARSE = 40          # words between matches that may belong to one passage
-RUN_WORDS = 18       # words that the matches of a passage span at least
+WINDOW = 10
+CONTEXT = 48         # words on either side of a match that its extent is found in
+SPARSE = 40          # words between extents that may belong to one passage
 GAP_COST = 0.25      # words of score that a word of gap costs, on either side
 LARGE_GAP = 8        # words; where a chain of low similarity is cut
 GIVE_UP = 6          # score below the best at which an end is given up
@@ -201,12 +201,14 @@ def align(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> li
 
 
 def searched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``key`` (its class), ``n`` words, ``seed``, ``pos`` arrays."""
+    """``id``, ``key`` (its class), ``n`` words, ``seed``, ``pos`` arrays, ``short``
+    (a byte of each word's hash, with ``CONTEXT`` zeros at both ends)."""
     prepare_python(docs.sparkSession)
+    ends = bytes(CONTEXT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, n, hashes, places = [], [], [], []
+            keys, n, hashes, places, short = [], [], [], [], []
             for data in text_bytes(b.column(1)):
                 words = word_hashes(data)
                 h, at = seeds(words)
@@ -214,26 +216,64 @@ def searched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 n.append(len(words))
                 hashes.append(h.view(np.int64))
                 places.append(at.astype(np.int32))
+                short.append(ends + np.maximum(words >> np.uint64(56), 1).astype(np.uint8).tobytes() + ends)
             lengths = [len(h) for h in hashes]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(keys, pa.int64()), pa.array(n, pa.int32()),
                  list_array(np.concatenate(hashes) if keys else np.empty(0, np.int64), lengths, pa.int64()),
-                 list_array(np.concatenate(places) if keys else np.empty(0, np.int32), lengths, pa.int32())],
-                names=["id", "key", "n", "seed", "pos"])
+                 list_array(np.concatenate(places) if keys else np.empty(0, np.int32), lengths, pa.int32()),
+                 pa.array(short, pa.binary())],
+                names=["id", "key", "n", "seed", "pos", "short"])
 
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col(id_col).isNotNull())
     kind = read.schema["id"].dataType.simpleString()
-    return read.mapInArrow(run, f"id {kind}, key long, n int, seed array<long>, pos array<int>")
+    return read.mapInArrow(run, f"id {kind}, key long, n int, seed array<long>, pos array<int>, short binary")
 
 
-def dense(x: np.ndarray) -> np.ndarray:
-    """Which of the sorted match places lie in a long enough dense run."""
-    cut = np.flatnonzero(np.diff(x) > SPARSE) + 1
-    first, last = np.append(0, cut), np.append(cut, len(x)) - 1
-    return np.repeat(x[last] - x[first] + KMER >= RUN_WORDS, last - first + 1)
+def reaches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``reach`` of the rows of two matrices; all their width where the end isn't
+    given up within it. A zero is like nothing."""
+    score = np.cumsum(np.where((a == b) & (a != 0), 1, -2), axis=1)
+    best = np.maximum(np.maximum.accumulate(score, axis=1), 0)
+    over = score < best - GIVE_UP
+    at = np.where(over.any(axis=1), over.argmax(axis=1), score.shape[1] - 1)
+    rows = np.arange(len(score))
+    most = best[rows, at]
+    first = np.where(most > 0, (score == most[:, None]).argmax(axis=1) + 1, 0)
+    return np.where(over[rows, at], first, score.shape[1]).astype(np.int16)
 
 
-def chained(matches: DataFrame) -> DataFrame:
+def extents(matches: DataFrame) -> DataFrame:
+    """Matches (``key``, ``owner``, ``x``, ``y``) with the words ``l`` and ``r`` by
+    which they may go on to the left and right, from the words ``a``, ``b`` around."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for m in batches:
+            if not m.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(m.column(i).to_pylist()), np.uint8).reshape(m.num_rows, -1) for i in (4, 5))
+            left = reaches(a[:, :CONTEXT][:, ::-1], b[:, :CONTEXT][:, ::-1])
+            right = reaches(a[:, CONTEXT + KMER:], b[:, CONTEXT + KMER:])
+            yield pa.RecordBatch.from_arrays([*m.columns[:4], pa.array(left), pa.array(right)],
+                                             names=["key", "owner", "x", "y", "l", "r"])
+
+    return matches.select("key", "owner", "x", "y", "a", "b").mapInArrow(
+        run, "key long, owner long, x int, y int, l short, r short")
+
+
+def long_runs(x: np.ndarray, left: np.ndarray, right: np.ndarray, words: int) -> np.ndarray:
+    """Which of the matches lie in a run of extents that spans so many words."""
+    first, last = x - left, x + KMER + right
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], np.maximum.accumulate(last[order])
+    cut = np.flatnonzero(first[1:] - last[:-1] > SPARSE) + 1
+    start, stop = np.append(0, cut), np.append(cut, len(x)) - 1
+    out = np.empty(len(x), bool)
+    out[order] = np.repeat(last[stop] - first[start] >= min(words, CONTEXT + KMER), stop - start + 1)
+    return out
+
+
+def chained(matches: DataFrame, min_words: int) -> DataFrame:
     """Chains of the matches of two texts: a row per pair (``key``, ``owner``) with
     the anchors (``xs``, ``ys``, ``ks``) of all its chains and their lengths
     (``sizes``). A text's matches are no more than its seeds; a task streams them
@@ -243,9 +283,10 @@ def chained(matches: DataFrame) -> DataFrame:
         held: list[tuple[np.ndarray, ...]] = []
 
         def text(rows: list[tuple[np.ndarray, ...]]) -> list[tuple]:
-            key, x, owner, y = (np.concatenate(c) for c in zip(*rows))
-            keep = dense(x)
-            x, owner, y = x[keep].astype(np.int64), owner[keep], y[keep].astype(np.int64)
+            key, x, owner, y, left, right = (np.concatenate(c) for c in zip(*rows))
+            x, y = x.astype(np.int64), y.astype(np.int64)
+            keep = long_runs(x, left, right, min_words)
+            x, owner, y = x[keep], owner[keep], y[keep]
             out = []
             for other in np.unique(owner):
                 mine = owner == other
@@ -261,7 +302,7 @@ def chained(matches: DataFrame) -> DataFrame:
                 names=["key", "owner", "xs", "ys", "ks", "sizes"])
 
         for b in batches:
-            key, x, owner, y = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            key, x, owner, y, left, right = (c.to_numpy(zero_copy_only=False) for c in b.columns)
             if not len(key):
                 continue
             cut = np.flatnonzero(np.diff(key) != 0) + 1
@@ -270,13 +311,14 @@ def chained(matches: DataFrame) -> DataFrame:
                 if held and held[0][0][0] != key[s]:
                     rows += text(held)
                     held = []
-                held.append((key[s:e], x[s:e], owner[s:e], y[s:e]))
+                held.append((key[s:e], x[s:e], owner[s:e], y[s:e], left[s:e], right[s:e]))
             if rows:
                 yield batch(rows)
         if held and (rows := text(held)):
             yield batch(rows)
 
-    ordered = matches.select("key", "x", "owner", "y").repartition("key").sortWithinPartitions("key", "x", "owner", "y")
+    columns = ["key", "x", "owner", "y", "l", "r"]
+    ordered = matches.select(*columns).repartition("key").sortWithinPartitions(*columns[:4])
     return ordered.mapInArrow(run, "key long, owner long, xs array<int>, ys array<int>, ks array<int>, sizes array<int>")
 
 
@@ -384,9 +426,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     owners = written(spread.groupBy("seed").agg(F.min("key").alias("owner"), F.max("key").alias("top"))
                            .where("owner != top").select("seed", "owner"), "owners")
     shared = written(spread.join(owners, "seed"), "shared")  # occurrences of seeds that two texts have
-    places = shared.where("key = owner").groupBy("seed").agg(F.min("pos").alias("y"))
-    matches = shared.where("key != owner").join(places, "seed").select("key", "owner", F.col("pos").alias("x"), "y")
-    found = chained(matches)
+    around = F.expr(f"substring(short, pos + 1, {2 * CONTEXT + KMER})")
+    shared = written(shared.join(once.select("key", "short"), "key").select("key", "seed", "pos", "owner", around.alias("a")),
+                     "contexts")
+    places = shared.where("key = owner").groupBy("seed").agg(F.min(F.struct("pos", "a")).alias("o"))
+    matches = shared.where("key != owner").join(places, "seed").select(
+        "key", "owner", F.col("pos").alias("x"), F.col("o.pos").alias("y"), "a", F.col("o.a").alias("b"))
+    found = chained(extents(matches), min_words)
     found = written(found, "chains")
     wanted = found.select("key").union(found.select(F.col("owner").alias("key"))).distinct()
     ids = few(written(wanted.join(classes.select("key", "id"), "key").select("id").distinct(), "wanted"))

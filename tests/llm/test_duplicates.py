@@ -209,6 +209,31 @@ def test_planted_passages(spark):
     assert cut[i].split() == words[:r["start"]] + words[r["stop"]:]
 
 
+@pytest.mark.parametrize("kinds, share", [(((60, 3), (60, 6), (100, 10)), 0.9), (((100, 20),), 0.3)])
+def test_fuzzy_passages_in_other_contexts(spark, kinds, share):
+    rng = random.Random(12)
+    rows, key = [], 0
+    for words, wrong in kinds:
+        for _ in range(60):
+            passage = [f"p{rng.getrandbits(40)}" for _ in range(words)]
+            for part in (passage, changed(passage, wrong, rng)):
+                context = [f"c{rng.getrandbits(40)}" for _ in range(160)]
+                rows.append((key, " ".join(context[:80] + part + context[80:])))
+                key += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {min(r["doc_id"], r["owner_id"]) for r in passages.repeated_passages(docs).collect()}
+    found = [sum(i in got for i in range(120 * k, 120 * k + 120, 2)) for k in range(len(kinds))]
+    assert all(f >= share * 60 for f in found), dict(zip(kinds, found))
+
+
+def test_reaches_equal_reach():
+    rng = np.random.default_rng(5)
+    a = rng.integers(1, 200, (300, passages.CONTEXT)).astype(np.uint8)
+    b = np.where(rng.random(a.shape) < rng.random((300, 1)) * 0.6, rng.integers(200, 250, a.shape), a).astype(np.uint8)
+    for x, y, got in zip(a, b, passages.reaches(a, b).tolist()):
+        assert got in (passages.reach(x, y)[0], passages.CONTEXT)
+
+
 def test_pipeline_equals_its_parts(spark):
     """The stages' decisions, recomputed plainly from the stages' own inputs."""
     import zlib
