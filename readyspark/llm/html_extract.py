@@ -7,7 +7,9 @@ learned from labelled pages, those that mark their article themselves (exactly
 one ``article``, ``main`` or ``itemprop="articleBody"`` element): words inside
 are content, others are not. The marking elements are no features, so pages
 without them are scored alike. Words that stand in a menu, advert, form or the
-like never score positive and are left out even inside the region.
+like never score positive and are left out even inside the region, unless the
+named element or form holds the page's only marked article or most of its
+paragraph words: then it is a wrapper, and the scored region decides.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ NAMES = re.compile(r"(?:^|[\s_-])(nav|navbar|navigation|menu|menubar|sidebar|sid
                    r"sharing|social|related|recommended|widget|popup|modal|overlay|pagination|pager|skip|toolbar|"
                    r"search|contentinfo|complementary|alert|alertdialog|toc|tags)(?=$|[\s_-])", re.I)
 NAMED = frozenset("div section ul ol aside span p table details dl figure header td li form iframe ins".split())
+# of them, what may hold more paragraphs than the article does
+REMARKS = re.compile(r"(?:^|[\s_-])(comments?|commentlist|disqus|replies|respond)(?=$|[\s_-])", re.I)
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<![^>]*>|<\?[^>]*>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>"
@@ -64,11 +68,30 @@ def attributes(text: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in ATTR.findall(text)}
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
+def tokens(page: str) -> list[tuple[str, str, str, bool]]:
+    """``walk``, once more where it met wrappers that a name or a form puts out."""
+    held: dict[int, list] = {}  # place in the page: paragraph words, marked articles, whether they are remarks
+    found = list(walk(page, held, frozenset()))
+    if held:
+        whole = held.pop(-1, [0, 0, False])
+        wrappers = frozenset(at for at, (words, marks, remarks) in held.items()
+                             if whole[1] == marks == 1 or whole[1] != 1 and not remarks and 2 * words > whole[0])
+        if wrappers:
+            return list(walk(page, {}, wrappers))
+    return found
+
+
+def walk(page: str, held: dict[int, list], wrappers: frozenset[int]) -> Iterator[tuple[str, str, str, bool]]:
     """The page as (kind, name or text, place, inside a marked article): kind is
     ``tag``, ``/tag`` or ``text``; a place is ``out`` (of the article by an
     element's name), ``a`` (a text in a link) or empty."""
     stack: list[tuple[str, bool, bool]] = []  # name, outside the article, hides it all
+    opened: list[int] = []  # of the stack's elements, where those put out by name or form begin, else -1
+
+    def count(k: int, n: int) -> None:
+        for place in {-1, *opened}:
+            held.setdefault(place, [0, 0, False])[k] += n
+
     marked = 0
     at = 0
     while at < len(page):
@@ -78,6 +101,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
         if not name:
             if m[0][0] != "<" or m[0] == "<":
                 out = any(s[1] for s in stack)
+                if any(s[0] == "p" for s in stack):
+                    count(0, len(m[0].split()))
                 place = "out" if out else "a" if any(s[0] == "a" for s in stack) else ""
                 yield "text", m[0], place, marked > 0
             continue
@@ -87,7 +112,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     marked -= sum(s[2] for s in stack[k:])
-                    del stack[k:]
+                    del stack[k:], opened[k:]
                     break
                 if stack[k][0] in SCOPE and name not in ("table", "body", "html"):
                     break
@@ -103,7 +128,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
         if name in CLOSE_P or name == "p":
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p":
-                    del stack[k:]
+                    del stack[k:], opened[k:]
                     break
                 if stack[k][0] in BLOCK:
                     break
@@ -111,21 +136,27 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
             same = {"dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th")}.get(name, (name,))
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in same:
-                    del stack[k:]
+                    del stack[k:], opened[k:]
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table", "menu", "select", "tr"):
                     break
         article = name in MARKED or has.get("itemprop", "").lower() == "articlebody"
         inside = marked > 0 or article
         named = " ".join(has.get(k, "") for k in ("class", "id", "role"))
-        out = (name in OUTSIDE or name == "header" and not inside or "hidden" in has and not has["hidden"].startswith("until")
+        wrapper = name == "form" or name in NAMED and bool(NAMES.search(named))
+        out = (name in OUTSIDE and name != "form" or name == "header" and not inside or "hidden" in has and not has["hidden"].startswith("until")
                or has.get("aria-hidden", "").lower() == "true" or "display:none" in has.get("style", "").replace(" ", "")
-               or name in NAMED and bool(NAMES.search(named)))
+               or wrapper and m.start() not in wrappers)
         yield "tag", name, "out" if out or any(s[1] for s in stack) else "", inside
         if name in VOID or raw.rstrip().endswith("/") and name not in BLOCK:
             continue
         marked += article
         stack.append((name, out, article))
+        opened.append(m.start() if wrapper else -1)
+        if wrapper:
+            held.setdefault(m.start(), [0, 0, False])[2] = bool(REMARKS.search(named))
+        if article:
+            count(1, 1)
 
 
 def place_key(kind: str, name: str, place: str) -> str:

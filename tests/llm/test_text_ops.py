@@ -183,3 +183,16 @@ def test_region_is_the_best_of_all():
         if best > 0:
             assert any(abs(sum(value[i:j]) - best) < 1e-9 and " ".join(" ".join(n for k, n, p, _ in found[i:j] if k == "text" and p != "out").split())
                        == text.replace("\n", " ") for i in range(len(value)) for j in range(i + 1, len(value) + 1))
+
+
+@pytest.mark.parametrize("mark", ["div", "article"])
+@pytest.mark.parametrize("before, after", [("<div class='content no-sidebar'>", "</div>"), ("<div class='has-toc'>", "</div>"),
+                                           ("<form action='/'>", "</form>")])
+def test_named_wrapper_of_the_whole_page_keeps_its_article(mark, before, after):
+    lines = [" ".join(f"word{k}x{j}" for j in range(40)) for k in range(4)]
+    body = "".join(f"<p>{x}</p>" for x in lines)
+    menu = "<div class='sidebar'><p>menu words here</p></div><div class='comments'><p>a remark on it</p></div>"
+    page = f"<html><body>{before}<{mark}>{body}</{mark}>{menu}{after}</body></html>"
+    assert html_extract.main_text(page, html_extract.weights_of({})) == "\n".join(lines)
+    inner = f"<html><body><div>{body}</div><div class='comments'>{body.replace('word', 'remark') * 3}</div></body></html>"
+    assert html_extract.main_text(inner, html_extract.weights_of({})) == "\n".join(lines)
