@@ -151,6 +151,89 @@ texts AS (SELECT page_id, url, array_to_string([x FOR x IN blocks IF x <> ''], c
 SELECT page_id, url, text, length(text) AS n_chars FROM texts
 """
 
+# crc32 by its table, byte by byte; words of at most 64 code points
+SPELLING = """
+WITH RECURSIVE crc_table AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+    CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n::BIGINT)) AS t),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, LOWERED AS t FROM documents),
+found AS (
+  SELECT id, w, count(*) AS c FROM (SELECT id, unnest(regexp_extract_all(t, '[a-z\u00C0-\u00FF]+')) AS w FROM runs)
+  WHERE length(w) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT w, c, xor(list_reduce(list_transform(range(0, octet_length(encode(id || ':' || w))),
+           lambda i: ('0x' || substr(hex(encode(id || ':' || w)), 2 * i::INT + 1, 2))::BIGINT),
+           lambda s, b: xor(t[xor(s % 256, b) + 1], s // 256), 4294967295::BIGINT), 4294967295) AS h
+  FROM found, crc_table),
+said AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, c
+  FROM hashed),
+vocab AS (SELECT word, sum(c)::BIGINT AS n FROM said WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i::INT) || '$' || substr(word, i::INT + 2) AS pattern,
+         substr(word, 1, i::INT) || substr(word, i::INT + 2) AS shorter
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocab)),
+pairs AS (
+  SELECT x.word AS a, y.word AS b, y.n FROM cuts x JOIN cuts y ON x.pattern = y.pattern AND x.word <> y.word
+  UNION SELECT c.word, v.word, v.n FROM cuts c JOIN vocab v ON c.shorter = v.word
+  UNION SELECT v.word, c.word, c.n FROM cuts c JOIN vocab v ON c.shorter = v.word),
+ranked AS (
+  SELECT a, b, n, count(*) OVER (PARTITION BY a) AS near,
+         row_number() OVER (PARTITION BY a ORDER BY n DESC, encode(b)) AS r FROM pairs),
+formed AS (
+  SELECT word, v.n, coalesce(near, 0)::BIGINT AS n_near,
+         CASE WHEN r.n >= 5 * v.n THEN b END AS form, CASE WHEN r.n >= 5 * v.n THEN r.n END AS form_n
+  FROM vocab v LEFT JOIN ranked r ON r.a = word AND r.r = 1),
+chain(word, link) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.link WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, link AS root FROM chain c JOIN formed f ON f.word = c.link WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+""".replace("LOWERED", LOWERED)
+
+HARD_NEGATIVES = """
+WITH good AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.id AS anchor, b.id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS s
+  FROM good a JOIN good b ON a.id % 100 = 0 AND a.id <> b.id),
+positives AS (
+  SELECT anchor, id, s FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY s DESC, id) <= 5)
+SELECT p.anchor AS anchor_id, p.id AS positive_id,
+       (row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.s DESC, n.id))::INTEGER AS rank,
+       n.id AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND 30 * p.s <= 100 * n.s AND 100 * n.s <= 90 * p.s
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.s DESC, n.id) <= 10
+"""
+
+# the query's rules, longest first, and its list's words
+URL_FILTER = """
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+ruled AS (
+  SELECT *, '.' || host AS h, CASE
+    WHEN h LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN h LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN h LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN h LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN h LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule,
+    list_has_any(string_split_regex(host, '[.-]'), ['ads', 'adult', 'bets', 'betting', 'casino', 'gambling', 'pills', 'poker',
+      'porn', 'spam', 'viagra', 'xxx']) AS listed
+  FROM parts)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict,
+       listed
+FROM ruled
+"""
+
 ORACLE: dict[str, str] = {
     "op3_mixing": MIXING,
     "op4_chat": CHAT,
@@ -158,4 +241,7 @@ ORACLE: dict[str, str] = {
     "op7_decontamination": DECONTAMINATION,
     "op9_line_quality": LINE_QUALITY,
     "op10_near_duplicates": NEAR_DUPLICATES,
+    "op11_spelling_variants": SPELLING,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_url_filter": URL_FILTER,
 }

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readyspark.llm import (chat, decontaminate, html_extract, line_quality, mixing, near_dup, passages, token_counts,
-                             token_store, toxicity)
-from readyspark.llm.common import crc32_of, table
+from readyspark.llm import (chat, decontaminate, hard_negatives, html_extract, line_quality, mixing, near_dup, passages,
+                             spelling, token_counts, token_store, toxicity, url_filter)
+from readyspark.llm.common import crc32_of, table, written
 from readyspark.llm.oracle import ORACLE
 
 
@@ -70,6 +70,26 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+# (verdict, host, path) of the query's rules, and the words that put a domain on its list
+URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+URL_TERMS = ("ads", "adult", "bets", "betting", "casino", "gambling", "pills", "poker", "porn", "spam", "viagra", "xxx")
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    keys = written(url_filter.universe(pages), "universe")
+    return url_filter.judge(pages, URL_RULES, url_filter.domains_with_terms(keys, URL_TERMS), keys=keys)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_store": op2_token_store,
@@ -81,5 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_line_quality": op9_line_quality,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_url_filter": op13_url_filter,
 }
 __all__ = ["ORACLE", "QUERIES"]

@@ -20,6 +20,11 @@ COLUMNS = {
     "op8_token_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
     "op9_line_quality": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint",
                          "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+    "op11_spelling_variants": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint",
+                               "form_n": "bigint"},
+    "op12_hard_negatives": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint",
+                            "positive_score": "bigint", "negative_score": "bigint"},
+    "op13_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     "op10_near_duplicates": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
 }
 
@@ -39,4 +44,4 @@ def test_contract_columns(spark, name):
 
 def test_registered():
     assert set(QUERIES) <= set(E.queries()) and "pipeline" in E.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
