@@ -61,7 +61,9 @@ PROSE = "\n".join(" ".join("".join(RNG.choices("abcdefgh", k=5)) for _ in range(
 
 def test_lines_and_verdicts(spark):
     menu = "Home | About | Products | Contact | Help"
-    rows = [(1, PROSE), (2, PROSE + "\n" + menu + "\nAll rights reserved.\n" + menu), (3, "\n".join(" | ".join(RNG.choices(PROSE.split(), k=9)) for _ in range(20))),
+    bars = "\n".join(" | ".join(f"m{9 * i + k}x" for k in range(9)) for i in range(20))  # navigation, no window twice
+    rows = [(1, PROSE), (2, PROSE + "\n" + menu + "\nAll rights reserved.\n" + menu), (3, bars),
+            (9, "\n".join(" | ".join(random.Random(i).choices(PROSE.split()[:20], k=9)) for i in range(60))),
             (4, None), (5, ""), (6, " \n\t\n "), (7, "again and again " * 100), (8, PROSE.replace("\n", " ")), (None, PROSE), (1, PROSE)]
     docs = spark.createDataFrame([(i, t, "w") for i, t in rows], "doc_id long, text string, cleaned string")
     got = line_quality.judge(docs).collect()
@@ -69,6 +71,7 @@ def test_lines_and_verdicts(spark):
     assert len(got) == len(rows) and by[1]["kept"] and by[8]["kept"] and by[None]["kept"]
     assert by[2]["kept"] and by[2]["cleaned"] == PROSE and by[2]["n_dup_lines"] == 1
     assert not by[3]["kept"] and not by[3]["base_failed"] and by[3]["cleaned"] == ""
+    assert by[9]["base_failed"] and 100 * by[9]["n_repeat_words"] > 50 * by[9]["n_words"] and not by[9]["kept"]
     assert by[4]["base_failed"] and by[5]["base_failed"] and by[6]["n_words"] == 0 and by[6]["n_dup_lines"] == 0
     assert by[7]["n_repeat_words"] == 300 and by[7]["base_failed"] and not by[7]["kept"]
     assert by[1]["word_chars"] == len(re.sub(r"\s", "", PROSE))
