@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import string
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate, islice
 
@@ -36,6 +37,7 @@ from readyspark.llm.common import list_array, shared_path, prepare_python
 CACHE_WORDS = 700_000  # pieces whose ids a worker remembers
 MARKS = ".,;:!?#$%&*|"
 ALNUM = frozenset(string.ascii_letters + string.digits + "ßàáâäæçèéêëìíîïñòóôöùúûüœ")
+LEARN_CHARS = 400_000  # of the texts whose new pieces are learned together
 EMIT_IDS = 1_000_000   # ids of one Arrow batch on the way to the writer
 
 WRITER = {
@@ -53,6 +55,12 @@ WRITER = {
 }
 
 
+def _one_word(piece: str) -> bool:
+    """Whether a piece is one word, after its line break if it has one: not empty,
+    no break alone, no other white space."""
+    return bool(piece) and piece.split() == [piece[1:] if piece[0] == "\n" else piece]
+
+
 class ByteLevelEncoder:
     """Little-endian 32-bit ids of whole texts, as the library encodes them."""
 
@@ -66,30 +74,60 @@ class ByteLevelEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec["added_tokens"]]
+        # a special string between pieces parts them in the library; its id parts their ids again
+        plain = [t for t in spec["added_tokens"] if not (t["lstrip"] or t["rstrip"] or t["single_word"])]
+        self.part, self.part_id = (plain[0]["content"], plain[0]["id"]) if plain else ("", -1)
         pre = spec["pre_tokenizer"] or {}
-        self.cuts = (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-                     and spec["normalizer"] is None and spec["post_processor"] is None)
+        self.cuts = bool(plain) and (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+                                     and spec["normalizer"] is None and spec["post_processor"] is None)
         self.known: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         done = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
+        return [array("I", e.ids).tobytes() for e in done]
 
     def encode(self, text: str) -> bytes:
-        pieces = self._pieces(text)
-        if pieces is None:
-            return self.whole([text])[0]
-        new = set(pieces).difference(self.known)
-        if new:
-            if len(self.known) + 2 * len(new) > CACHE_WORDS:
-                # what was met first is what is met often
-                self.known = dict(islice(self.known.items(), CACHE_WORDS // 2))
-                new = set(pieces).difference(self.known)
-                if len(self.marks) > CACHE_WORDS:
-                    self.marks = {}
-            self._learn(new)
-        return b"".join(map(self.known.__getitem__, pieces))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; new pieces of a batch of texts are learned at once."""
+        out, gaps, known, new = [], [], self.known.get, set()
+        for n, text in enumerate(texts):
+            pieces = self._pieces(text)
+            ids = list(map(known, pieces)) if pieces else None
+            if ids and None in ids:
+                at = [k for k, i in enumerate(ids) if i is None]
+                missing = [pieces[k] for k in at]
+                if all(map(_one_word, missing)):
+                    new.update(missing)
+                    gaps.append((n, at, missing))
+                else:
+                    ids = None
+            out.append(ids)
+        if len(self.known) + 2 * len(new) > CACHE_WORDS:
+            # what was met first is what is met often
+            self.known = dict(islice(self.known.items(), CACHE_WORDS // 2))
+            self.marks = {} if len(self.marks) > CACHE_WORDS else self.marks
+        self._learn(new)
+        for n, at, missing in gaps:
+            for k, piece in zip(at, missing):
+                out[n][k] = self.known[piece]
+        rest = [n for n, ids in enumerate(out) if ids is None]
+        whole = dict(zip(rest, self.whole([texts[n] for n in rest])))
+        return [whole[n] if ids is None else b"".join(ids) for n, ids in enumerate(out)]
+
+    def _parted(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, from few library calls."""
+        out = []
+        for a in range(0, len(pieces), 1000):
+            text = self.part.join(pieces[a:a + 1000])
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            raw, start = ids.tobytes(), 0
+            for cut in [*(4 * np.flatnonzero(ids == self.part_id)).tolist(), len(raw)]:
+                out.append(raw[start:cut])
+                start = cut + 4
+        return out
 
     def _learn(self, new: set[str]) -> None:
         """Encode pieces. A pre-token of letters or digits ends at a mark, so a
@@ -99,28 +137,25 @@ class ByteLevelEncoder:
             stem = p.rstrip(MARKS)
             if stem is not p and stem and (stem[-1] in ALNUM):
                 stems[p] = stem
-        first = ((new - stems.keys()) | set(stems.values())).difference(self.known)
-        marks = {p[len(s):] for p, s in stems.items()}.difference(self.marks)
-        texts = list(first) + list(marks)
+        first = list(((new - stems.keys()) | set(stems.values())).difference(self.known))
+        marks = list({p[len(s):] for p, s in stems.items()}.difference(self.marks))
+        if not first and not marks:
+            return
         # a piece stands for itself and the blank before it, but for the first
         # of a text and those that begin with their line break
-        ids = self.whole([p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p for p in first] + list(marks))
-        self.known.update(zip(texts[:len(first)], ids))
-        self.marks.update(zip(texts[len(first):], ids[len(first):]))
+        ids = self._parted([p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p for p in first] + marks)
+        self.known.update(zip(first, ids))
+        self.marks.update(zip(marks, ids[len(first):]))
+        known, ends = self.known, self.marks
         for p, s in stems.items():
-            self.known[p] = self.known[s] + self.marks[p[len(s):]]
+            known[p] = known[s] + ends[p[len(s):]]
 
     def _pieces(self, text: str) -> list[str] | None:
         """The text cut before blanks and line breaks, the first piece marked
         with a zero; None where cutting isn't proven safe."""
         if not self.cuts or not text or "\0" in text or any(s in text for s in self.special):
             return None
-        pieces = text.replace("\n", " \n").split(" ")
-        # the same number of words by any white space: none but single blanks and breaks
-        if len(text.split()) != len(pieces) or "" in pieces or "\n" in pieces:
-            return None
-        pieces[0] = "\0" + pieces[0]
-        return pieces
+        return ("\0" + text.replace("\n", " \n")).split(" ")
 
 
 _ENCODERS: dict[str, ByteLevelEncoder] = {}
@@ -153,6 +188,16 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str | None = None, i
         part, start, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
 
+        def encoded(texts: list[str]) -> Iterator[bytes]:
+            """Ids of the texts, some at once, so that their new pieces are learned together."""
+            at = 0
+            while at < len(texts):
+                size, upto = 0, at
+                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= LEARN_CHARS):
+                    size, upto = size + len(texts[upto]), upto + 1
+                yield from enc.encode_all(texts[at:upto])
+                at = upto
+
         def batch(b: pa.RecordBatch, rows: list[bytes], copies: list[int]) -> pa.RecordBatch:
             nonlocal start
             lengths = [len(r) // 4 for r in rows]
@@ -164,17 +209,16 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str | None = None, i
                  pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), list_array(ids, lengths, pa.int32())],
                 names=["part", "doc_id", "copy", "local_start", "n_tokens", "ids"])
 
-        before, copy, row = None, 0, b""
+        before, copy = None, 0
         for b in batches:
             rows, copies, held, since = [], [], 0, 0
-            for pair in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if pair == before:
-                    copy += 1
-                else:
-                    before, copy, row = pair, 1, (enc.encode(pair[1]) if pair[1] else b"") + end
-                rows.append(row)
+            texts = b.column(1).to_pylist()
+            for key, text, ids in zip(b.column(0).to_pylist(), texts, encoded(texts)):
+                copy = copy + 1 if (key, text) == before else 1
+                before = key, text
+                rows.append(ids + end)
                 copies.append(copy)
-                held += len(row) // 4
+                held += len(ids) // 4 + 1
                 if held >= EMIT_IDS:
                     yield batch(b.slice(since, len(rows)), rows, copies)
                     since, rows, copies, held = since + len(rows), [], [], 0
