@@ -1,9 +1,10 @@
 """Passages repeated across documents, by collinear chaining (operator 6).
 
 1. Seeds. Texts of the same word sequence form a class, searched once. A class's
-   seeds are the minimizers of its word k-mers: the least hash in every run of
-   ``WINDOW`` neighbouring k-mers, so any ``WINDOW + KMER - 1`` words that two
-   texts share hold a common seed.
+   seeds are its word k-mers of small hash, a fixed share of all k-mers whatever
+   stands around them, and the least k-mer of every ``WINDOW`` neighbouring ones
+   that have none: so any ``WINDOW + KMER - 1`` words that two texts share hold a
+   common seed, and a passage with many changed words still shares several.
 2. Join. A seed's owner is the least of the texts that have it (a map-side
    combined minimum); every other text's occurrence is matched with the owner's.
    That is one match per occurrence, however many texts share a passage. A match,
@@ -33,15 +34,18 @@ from pyspark.sql import functions as F
 
 from readyspark.llm.common import (few, list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
 
-KMER = 8
-WINDOW = 10
+KMER = 5
+SHARE = 0.17         # of the k-mers that are seeds
+WINDOW = 24
 CONTEXT = 48         # words on either side of a match that its extent is found in
 SPARSE = 40          # words between extents that may belong to one passage
+RUN_SHARE = 0.7      # of a passage's words that extents must span
 GAP_COST = 0.25      # words of score that a word of gap costs, on either side
 LARGE_GAP = 8        # words; where a chain of low similarity is cut
-GIVE_UP = 6          # score below the best at which an end is given up
+GIVE_UP = 8         # score below the best at which an end is given up
 REACH = 256          # words of an end that are compared at once
 TOUCH = 5            # words between spans that are joined
+HOT = 5000           # occurrences of a seed that one task joins
 PART_WORDS = 12      # aligned words of a chain that counts towards a passage
 MIN_WORDS = 50
 MIN_SIMILARITY = 0.75
@@ -49,13 +53,26 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places of a text's minimizers."""
+    """Hashes and places of a text's seeds, by place. Of equal k-mers within
+    ``WINDOW`` places one is a seed, so endless repeats have few."""
     grams = window_hashes(words, KMER)
-    if len(grams) <= WINDOW:
-        at = np.array([int(grams.argmin())]) if len(grams) else np.empty(0, np.int64)
-    else:
-        runs = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-        at = np.unique(runs.argmin(axis=1) + np.arange(len(runs)))
+    if not len(grams):
+        return grams, np.empty(0, np.int64)
+    least = np.flatnonzero(grams < np.uint64(SHARE * 2.0 ** 64))
+    # runs of places without a seed that are WINDOW long or longer
+    ends = np.concatenate([[-1], least, [len(grams)]])
+    more = [least]
+    for a, b in zip(ends[:-1][np.diff(ends) > WINDOW], ends[1:][np.diff(ends) > WINDOW]):
+        free = grams[a + 1:b] & ~np.uint64(31) | (np.arange(b - a - 1) % WINDOW).astype(np.uint64)
+        runs = np.lib.stride_tricks.sliding_window_view(free, WINDOW)
+        more.append(np.unique(runs.argmin(axis=1) + np.arange(len(runs))) + a + 1)
+    if len(grams) < WINDOW and not len(least):
+        more.append(np.array([int(grams.argmin())]))
+    at = np.sort(np.concatenate(more))
+    block, order = at // WINDOW, np.lexsort((at, at // WINDOW, grams[at]))
+    again = np.zeros(len(at), bool)
+    again[order[1:]] = (grams[at][order[1:]] == grams[at][order[:-1]]) & (block[order[1:]] == block[order[:-1]])
+    at = at[~again]
     return grams[at], at
 
 
@@ -129,32 +146,59 @@ def chains(anchors: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int
     return out
 
 
-def edits(a: np.ndarray, b: np.ndarray) -> int:
-    """Edit distance of two short word runs."""
-    row = np.arange(len(b) + 1)
-    steps = np.arange(len(b) + 1)
-    for i, w in enumerate(a.tolist()):
-        best = np.minimum(row[1:] + 1, row[:-1] + (b != w))
+def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Edit distance over alignments that stay ``band`` places around the diagonal."""
+    far = len(a) + len(b) + 1
+    place = np.arange(2 * band + 1)
+    row = np.where(place >= band, place - band, far)  # row 0: as many insertions as columns
+    padded = np.concatenate([np.full(band + 1, -1, np.int64), b.astype(np.int64), np.full(band + len(a) + 1, -1, np.int64)])
+    for i, w in enumerate(a.tolist(), 1):
+        # column j = i - band + place; b[j - 1] lies at j + band of ``padded``
+        best = row + (padded[i:i + 2 * band + 1] != w)
+        best[:-1] = np.minimum(best[:-1], row[1:] + 1)
+        column = place + (i - band)
+        best = np.where((column < 0) | (column > len(b)), far, np.where(column == 0, i, best))
         # insertions: a running minimum along the row
-        row = np.minimum.accumulate(np.concatenate([[i + 1], best]) - steps) + steps
-    return int(row[-1])
+        row = np.minimum.accumulate(best - place) + place
+    return int(row[len(b) - len(a) + band])
+
+
+def edits(a: np.ndarray, b: np.ndarray, most: int | None = None) -> int:
+    """Edit distance of two word runs, exact up to ``most`` (beyond: more than it).
+    Bands double until the distance fits, so time grows with length times distance
+    and memory with the band alone."""
+    longest = max(len(a), len(b))
+    if not min(len(a), len(b)):
+        return longest
+    band = abs(len(a) - len(b)) + 16
+    while band < longest:
+        found = _banded(a, b, band)
+        if found <= band:
+            return found
+        if most is not None and band > most:
+            return band + 1
+        band *= 2
+    return _banded(a, b, longest)
 
 
 def reach(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """How far two runs go on alike, word by word: words and words that differ.
-    A word that differs costs two; the end is given up ``GIVE_UP`` below the best."""
-    best = now = wrong = 0
-    out = (0, 0)
-    for k, same in enumerate((a[:REACH] == b[:REACH]).tolist()):
-        now += 1 if same else -2
-        wrong += not same
-        if now > best:
-            best, out = now, (k + 1, wrong)
-        if now < best - GIVE_UP:
-            return out
-    if out[0] == REACH:
-        more = reach(a[REACH:], b[REACH:])
-        return out[0] + more[0], out[1] + more[1]
+    A word that differs costs one; the end is given up ``GIVE_UP`` below the best."""
+    best = now = wrong = at = 0
+    out, step, n = (0, 0), REACH, min(len(a), len(b))
+    while at < n:
+        same = a[at:min(at + step, n)] == b[at:min(at + step, n)]
+        score = now + np.cumsum(np.where(same, 1, -1))
+        top = np.maximum(np.maximum.accumulate(score), best)
+        over = score < top - GIVE_UP
+        upto = int(over.argmax()) if over.any() else len(score)
+        if upto and int(score[:upto].max()) > best:
+            k = int(score[:upto].argmax())
+            best = int(score[k])
+            out = at + k + 1, wrong + int(k + 1 - same[:k + 1].sum())
+        if upto < len(score):
+            break
+        now, wrong, at, step = int(score[-1]), wrong + int(len(same) - same.sum()), at + step, min(2 * step, 1 << 16)
     return out
 
 
@@ -183,9 +227,13 @@ def align(chain: list[tuple[int, int, int]], a: np.ndarray, b: np.ndarray) -> li
 
     def joined(run: list[list[int]]) -> tuple[int, int, int, int, int]:
         wrong = sum(p[4] for p in run)
+        # more edits than these make the stretch too unlike, whatever their number
+        most = int((1 - MIN_SIMILARITY) * max(run[-1][1] - run[0][0], run[-1][3] - run[0][2])) + 1
         for p, q in zip(run, run[1:]):
-            n, m = q[0] - p[1], q[2] - p[3]
-            wrong += max(n, m) if min(n, m) == 0 or n * m > 40_000 else edits(a[p[1]:q[0]], b[p[3]:q[2]])
+            if wrong > most:
+                wrong += max(q[0] - p[1], q[2] - p[3])
+            else:
+                wrong += edits(a[p[1]:q[0]], b[p[3]:q[2]], most)
         return run[0][0], run[-1][1], run[0][2], run[-1][3], wrong
 
     def similar(s: tuple[int, int, int, int, int]) -> bool:
@@ -233,7 +281,7 @@ def searched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def reaches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``reach`` of the rows of two matrices; all their width where the end isn't
     given up within it. A zero is like nothing."""
-    score = np.cumsum(np.where((a == b) & (a != 0), 1, -2), axis=1)
+    score = np.cumsum(np.where((a == b) & (a != 0), 1, -1), axis=1)
     best = np.maximum(np.maximum.accumulate(score, axis=1), 0)
     over = score < best - GIVE_UP
     at = np.where(over.any(axis=1), over.argmax(axis=1), score.shape[1] - 1)
@@ -262,14 +310,14 @@ def extents(matches: DataFrame) -> DataFrame:
 
 
 def long_runs(x: np.ndarray, left: np.ndarray, right: np.ndarray, words: int) -> np.ndarray:
-    """Which of the matches lie in a run of extents that spans so many words."""
+    """Which of the matches lie in a run of extents that spans ``RUN_SHARE`` of so many words."""
     first, last = x - left, x + KMER + right
     order = np.argsort(first, kind="stable")
     first, last = first[order], np.maximum.accumulate(last[order])
     cut = np.flatnonzero(first[1:] - last[:-1] > SPARSE) + 1
     start, stop = np.append(0, cut), np.append(cut, len(x)) - 1
     out = np.empty(len(x), bool)
-    out[order] = np.repeat(last[stop] - first[start] >= min(words, CONTEXT + KMER), stop - start + 1)
+    out[order] = np.repeat(last[stop] - first[start] >= RUN_SHARE * min(words, CONTEXT + KMER), stop - start + 1)
     return out
 
 
@@ -423,14 +471,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     copies = few(written(copies.where("id != least").select("key", "id").distinct(), "copies"))
     once = drawn.where(F.col("n") >= KMER).join(copies, ["key", "id"], "left_anti")
     spread = once.select("key", F.explode(F.arrays_zip("seed", "pos")).alias("s")).select("key", "s.seed", "s.pos")
-    owners = written(spread.groupBy("seed").agg(F.min("key").alias("owner"), F.max("key").alias("top"))
-                           .where("owner != top").select("seed", "owner"), "owners")
+    owners = written(spread.groupBy("seed").agg(F.min("key").alias("owner"), F.max("key").alias("top"),
+                                                F.count(F.lit(1)).alias("rows"))
+                           .where("owner != top").select("seed", "owner", F.ceil(F.col("rows") / HOT).cast("int").alias("parts")), "owners")
     shared = written(spread.join(owners, "seed"), "shared")  # occurrences of seeds that two texts have
     around = F.expr(f"substring(short, pos + 1, {2 * CONTEXT + KMER})")
-    shared = written(shared.join(once.select("key", "short"), "key").select("key", "seed", "pos", "owner", around.alias("a")),
+    shared = written(shared.join(once.select("key", "short"), "key").select("key", "seed", "pos", "owner", "parts", around.alias("a")),
                      "contexts")
-    places = shared.where("key = owner").groupBy("seed").agg(F.min(F.struct("pos", "a")).alias("o"))
-    matches = shared.where("key != owner").join(places, "seed").select(
+    # a seed that very many texts have is joined in parts, dealt by the text
+    places = shared.where("key = owner").groupBy("seed", "parts").agg(F.min(F.struct("pos", "a")).alias("o"))
+    places = places.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    dealt = shared.where("key != owner").withColumn("part", F.pmod(F.xxhash64("key", "pos"), F.col("parts")).cast("int"))
+    matches = dealt.join(places, ["seed", "part"]).select(
         "key", "owner", F.col("pos").alias("x"), F.col("o.pos").alias("y"), "a", F.col("o.a").alias("b"))
     found = chained(extents(matches), min_words)
     found = written(found, "chains")

@@ -165,9 +165,38 @@ def test_edit_distance():
             row = new
         return row[-1]
     rng = random.Random(6)
-    for _ in range(200):
-        a, b = ([rng.randrange(4) for _ in range(rng.randrange(0, 9))] for _ in range(2))
-        assert passages.edits(np.array(a, np.int64), np.array(b, np.int64)) == plain(a, b)
+    for n in [9] * 200 + [120] * 30:
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(0, n))] for _ in range(2))
+        if n > 9 and rng.random() < 0.5:
+            b = [x for x in a if rng.random() > 0.1]
+        x, y, want = np.array(a, np.int64), np.array(b, np.int64), plain(a, b)
+        assert passages.edits(x, y) == want
+        got = passages.edits(x, y, 10)
+        assert got == want if want <= 10 else got > 10
+
+
+def test_reach_of_long_runs():
+    a = np.ones(1_000_000, np.uint32)
+    assert passages.reach(a, a) == (1_000_000, 0) and passages.reach(a[:0], a) == (0, 0)
+    for k in (250, 251, 255, 256, 700_000):
+        b = a.copy()
+        b[k] = 2
+        assert passages.reach(a, b) == (1_000_000, 1)
+    assert passages.reach(a[:300], np.concatenate([a[:200], 2 * a[:100]])) == (200, 0)
+
+
+def test_endless_repeats_and_wide_gaps(spark):
+    rng = random.Random(3)
+    p, q = prose(150, rng), prose(150, rng)
+    wide = [f"w{i}" for i in range(201)]
+    other = list(wide)
+    other[60], other[140] = "x", "y"
+    rows = [(1, "a " * 300_000), (2, "a " * 300_001), (3, "b c " * 50_000), (4, "x " + "b c " * 50_001),
+            (5, " ".join(p + wide + q)), (6, " ".join(p + other + q))]
+    got = {r["doc_id"] + r["owner_id"]: r for r in passages.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {3, 7, 11} and got[3]["n_words"] >= 300_000 and got[7]["n_words"] >= 100_000
+    assert got[11]["n_words"] == 501 and abs(got[11]["similarity"] - 499 / 501) < 1e-4
 
 
 def test_planted_passages(spark):
@@ -209,8 +238,8 @@ def test_planted_passages(spark):
     assert cut[i].split() == words[:r["start"]] + words[r["stop"]:]
 
 
-@pytest.mark.parametrize("kinds, share", [(((60, 3), (60, 6), (100, 10)), 0.9), (((100, 20),), 0.3)])
-def test_fuzzy_passages_in_other_contexts(spark, kinds, share):
+def test_fuzzy_passages_in_other_contexts(spark):
+    kinds, share = ((60, 3), (60, 9), (60, 12), (100, 10), (100, 20), (100, 24), (200, 45)), 0.9
     rng = random.Random(12)
     rows, key = [], 0
     for words, wrong in kinds:
