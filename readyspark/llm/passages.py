@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 from readyspark.llm.common import (few, list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
 
 KMER = 5
-SHARE = 0.17         # of the k-mers that are seeds
+SHARE = 0.15         # of the k-mers that are seeds
 WINDOW = 24
 CONTEXT = 48         # words on either side of a match that its extent is found in
 SPARSE = 40          # words between extents that may belong to one passage
-RUN_SHARE = 0.7      # of a passage's words that extents must span
+RUN_SHARE = 0.85     # of a passage's words that extents must span
 GAP_COST = 0.25      # words of score that a word of gap costs, on either side
 LARGE_GAP = 8        # words; where a chain of low similarity is cut
 GIVE_UP = 8         # score below the best at which an end is given up
