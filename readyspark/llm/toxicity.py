@@ -11,9 +11,11 @@ locate the offending sentences.
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents of
 each label, those of least id hash, whole texts, in one task. Its features are those
 in at least ``MIN_DOCS`` sampled documents that toxic documents have clearly more
-often (``MIN_CHI2``); the few that keep a weight go to every task. A sentence's probability
-below ``FLOOR`` counts as none in the scores: otherwise the many harmless
-sentences of a very long document would add up.
+often (``MIN_CHI2``); the few that keep a weight go to every task. Training uses the plain
+noisy-or, whose gradient reaches every sentence; scores use p' = max(0, p - FLOOR) /
+(1 - FLOOR) for p, or the many harmless sentences of a very long document would add
+up. So a score is at most the plain noisy-or, and less by at most the floor's share
+of each sentence (``floored``).
 """
 
 from __future__ import annotations
@@ -50,8 +52,11 @@ BIAS = ""
 
 def instances(text: str) -> Iterator[tuple[int, int, list[str]]]:
     """Spans (code points) and lower-cased words of a text's sentences."""
-    for m in SENTENCE.finditer(text.lower() if len(text.lower()) == len(text) else text):
-        words = WORD.findall(m[0])
+    low = text.lower()
+    # a letter whose lower case is longer would move the spans: then words are lower-cased one by one
+    by_word = len(low) != len(text)
+    for m in SENTENCE.finditer(text if by_word else low):
+        words = [w.lower() for w in WORD.findall(m[0])] if by_word else WORD.findall(m[0])
         if len(words) <= RUN_WORDS:
             if words:
                 yield m.start(), m.end(), words
@@ -151,6 +156,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return {BIAS: -50.0} | {r["word"]: r["weight"] for r in model.collect()}
 
 
+def floored(p: float) -> float:
+    """A sentence's part in a score: nothing up to ``FLOOR``, then in proportion up to 1."""
+    return max(0.0, p - FLOOR) / (1 - FLOOR)
+
+
 class Scorer:
     """Noisy-or scores of whole texts and their offending sentences."""
 
@@ -171,7 +181,7 @@ class Scorer:
             z = self.bias + sum(map(weight, set(words)))
             p = 1 / (1 + math.exp(-max(-50.0, min(z, 50.0))))
             if p > FLOOR:
-                clean *= 1 - (p - FLOOR) / (1 - FLOOR)
+                clean *= 1 - floored(p)
             if p >= OFFENDING:
                 found.append((start, stop, p))
         return 1.0 - clean, found
