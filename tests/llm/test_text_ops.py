@@ -196,3 +196,74 @@ def test_named_wrapper_of_the_whole_page_keeps_its_article(mark, before, after):
     assert html_extract.main_text(page, html_extract.weights_of({})) == "\n".join(lines)
     inner = f"<html><body><div>{body}</div><div class='comments'>{body.replace('word', 'remark') * 3}</div></body></html>"
     assert html_extract.main_text(inner, html_extract.weights_of({})) == "\n".join(lines)
+
+
+WORDS = ["\u0020".join(f"{c}{i}" for i in range(40)) for c in "abc"]
+
+
+def article(inner):
+    return (f"<html><body><div class=nav><a href=x>Home</a> <a>About</a></div><article>{inner}</article>"
+            f"<div class='comments'><p>{'nice post ' * 20}</p></div><footer>f</footer></body></html>")
+
+
+@pytest.mark.parametrize("before", ["<svg/>", "<svg><path d=1>", "<svg><title>t</title><text>no</text></svg>", "<math/>", "<object>no</object>",
+                                    "<div class=notice>no no</div>", "<p hidden>no</p>", "<!-- <p>no</p> -->", "<a \"></a>"])
+def test_text_after_foreign_elements_stays(before):
+    blocks = "".join(f"<p>{w}</p>" for w in WORDS)
+    assert html_extract.main_text(article(before + blocks), html_extract.weights_of({})).endswith("\n".join(WORDS))
+
+
+@pytest.mark.parametrize("name", ["id=related-work", "class='search-algorithms'", "class='chapter social-history'", "id=notice-period",
+                                  "id='tags-explained'"])
+def test_chapters_with_names_of_furniture_stay(name):
+    page = article(f"<p>{WORDS[0]}</p><section {name}><p>{WORDS[1]}</p></section><p>{WORDS[2]}</p>")
+    assert html_extract.main_text(page, html_extract.weights_of({})) == "\n".join(WORDS)
+    gone = article(f"<p>{WORDS[0]}</p><div class='related-posts'><p>{WORDS[1]}</p></div><div class=tags>x y</div><p>{WORDS[2]}</p>")
+    assert html_extract.main_text(gone, html_extract.weights_of({})) == WORDS[0] + "\n" + WORDS[2]
+
+
+def test_names_are_learned(spark):
+    """A part that no list knows goes out once labelled pages show it outside their articles."""
+    extra = f"<div class='zorpbox'><p>{WORDS[1]}</p></div>"
+    pages = [(i, f"<body><article><p>{WORDS[0]}</p></article>{extra * 3}</body>") for i in range(20)]
+    pages += [(99, f"<body><div><p>{WORDS[0]}</p>{extra}<p>{WORDS[2]}</p></div></body>")]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    by = {r["page_id"]: r["text"] for r in html_extract.extract(df, html_extract.learn(df)).collect()}
+    assert by[99] == WORDS[0] + "\n" + WORDS[2]
+    assert html_extract.main_text(pages[-1][1], html_extract.weights_of({})) == "\n".join(WORDS)
+
+
+@pytest.mark.parametrize("bad", ["<b>x", "<a \"x", "<a 'x>\"", "<div class=sidebar>x", "</q>", "<!x", "<svg>", "<td></x>", "<x><td><b>", "<p><li>", "<form>"])
+def test_broken_markup_takes_linear_time(bad):
+    import time
+    start = time.process_time()
+    html_extract.main_text(bad * 100_000, html_extract.weights_of({}))
+    assert time.process_time() - start < 15  # a second or two; a quadratic walk takes hours
+
+
+def test_one_letter_changes_no_score(labelled):
+    model = toxicity.fit([(y, t) for _, t, y in labelled])
+    scorer = toxicity.Scorer(model)
+    text = sentence() + " " + sentence("VILEST") + " Straße."
+    plain, odd = scorer(text), scorer(text + " \u0130.")
+    assert plain[0] > 0.7 and odd[0] == plain[0] and odd[1] == plain[1]
+    start, stop, _ = odd[1][0]
+    assert "VILEST" in text[start:stop]
+
+
+def test_scores_equal_a_plain_noisy_or(labelled):
+    import re
+    model = toxicity.fit([(y, t) for _, t, y in labelled])
+    scorer = toxicity.Scorer(model)
+    for _, text, _ in labelled[:80]:
+        clean = least = 1.0
+        for line in re.split("[.!?\n]", text):
+            words = {w.lower() for w in re.findall(r"[^\W\d_]+", line)}
+            if not words:
+                continue
+            z = model[""] + sum(model.get(f, 0) for w in words for f in [w] + [w[:k] + "-" for k in (4, 5, 6, 7, 8) if k < len(w)])
+            p = 1 / (1 + math.exp(-z))
+            clean *= 1 - max(0, p - 0.1) / 0.9
+            least *= 1 - p
+        assert scorer(text)[0] == pytest.approx(1 - clean, abs=1e-9)
+        assert 1 - clean <= 1 - least + 1e-9  # at most the noisy-or that training uses
