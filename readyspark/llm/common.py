@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readyspark.session import ensure_checkpoint_dir
+from readyspark.session import run_tables
 
 # documents of a few kilobytes: a Python worker then holds a few megabytes of
 # texts at a time, and a batch of very long ones still fits
@@ -27,11 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
-def prepare_python(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+def prepare_python(spark: SparkSession) -> None:
     """Get a session ready for Python tasks: bound the rows that Spark hands to a
-    worker at once, and send this package's modules along, so that executors
-    need neither a copy of the repository nor its path."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    worker at once, if its user hasn't, and send this package's modules along, so
+    that executors need neither a copy of the repository nor its path."""
+    if "spark.sql.execution.arrow.maxRecordsPerBatch" not in spark.conf.getAll:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_readyspark_sent", False):
         return
@@ -48,8 +49,9 @@ def prepare_python(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:
-    """A fresh folder below the shared checkpoint folder."""
-    return posixpath.join(ensure_checkpoint_dir(spark), "llm", f"{kind}-{uuid.uuid4().hex}")
+    """A fresh folder among this run's tables below the shared checkpoint folder,
+    which ``session.release_tables`` deletes with the others."""
+    return posixpath.join(run_tables(spark), "llm", f"{kind}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, kind: str) -> DataFrame:
@@ -60,6 +62,14 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def few(keys: DataFrame) -> DataFrame:
     """A written table of keys, broadcast if its counted rows allow it; a join
     with a larger one shuffles both sides."""

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import prepare_python, strings, written
+from readyspark.llm.common import fresh, prepare_python, strings, written
 
 SAMPLE_PAGES = 2000  # labelled pages that the weights are learned from, by least hash of the id
 
@@ -365,7 +365,8 @@ def extract(pages: DataFrame, weights: Mapping[str, float], html_col: str = "htm
     """
     prepare_python(pages.sparkSession)
     keep = [c for c in pages.columns if c not in (html_col, out_col)]
-    read = pages.select(*keep, F.col(html_col).alias("_html"))
+    held = fresh(pages, "_html")
+    read = pages.select(*keep, F.col(html_col).alias(held))
     fixed = dict(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,5 +374,5 @@ def extract(pages: DataFrame, weights: Mapping[str, float], html_col: str = "htm
             got = pa.array([main_text(p, fixed) for p in strings(b.column(b.num_columns - 1))], pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], got], names=[*b.schema.names[:-1], out_col])
 
-    schema = read.drop("_html").withColumn(out_col, F.lit("")).schema
+    schema = read.drop(held).withColumn(out_col, F.lit("")).schema
     return read.mapInArrow(run, schema)

@@ -11,6 +11,7 @@ seed alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ from readyspark.llm.common import written
 
 CHUNK = 32           # larger means are sums of draws with means of at most this
 TERMS = 160          # P(draw > 160 | mean 32) is below the resolution of the hash
+PART_CHARS = 128_000_000    # characters of a partition of the mixture
 BROADCAST_SOURCES = 10_000  # rates of so many sources are broadcast (a kilobyte each)
 
 
@@ -75,40 +77,54 @@ def _distribution(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), first, add, lambda s: s["c"])
 
 
-def repetitions(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", source_col: str = "source",
-                text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with ``_key`` (what is hashed) and ``_times``, each row's count.
-
-    Rows of a null id are keyed by the md5 of their text; equal rows draw alike.
-    """
+def _drawn(docs: DataFrame, seed: int, id_col: str, source_col: str, text_col: str, how: dict) -> tuple[DataFrame, float]:
+    """``_doc`` (a whole row), ``_key``, ``_times``, and the characters to expect of all copies."""
     table = rates(docs, source_col=source_col, text_col=text_col, **how)
     draws = F.greatest(F.ceil(F.col("rate") / F.lit(CHUNK)), F.lit(1)).cast("int")
-    table = table.select("src", draws.alias("_draws"), (F.col("rate") / draws).alias("_mean"))
+    table = table.select("src", draws.alias("_draws"), (F.col("rate") / draws).alias("_mean"), (F.col("rate") * F.col("n_chars")).alias("_chars"))
     table = written(table.withColumn("_cdf", _distribution(F.col("_mean"))).drop("_mean"), "rates")
-    if table.count() <= BROADCAST_SOURCES:
+    size = table.agg(F.count(F.lit(1)).alias("n"), F.sum("_chars").alias("chars")).first()
+    if size["n"] <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    keyed = docs.withColumn("_key", key_of(id_col, text_col)).join(table, docs[source_col].eqNullSafe(table["src"])).drop("src")
+    # whole rows travel as one struct, so no helper can clash with their columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(source_col).alias("_src"),
+                       key_of(id_col, text_col).alias("_key"))
+    keyed = rows.join(table, rows["_src"].eqNullSafe(table["src"]))
 
     def draw(j: Column) -> Column:
         u = uniform(F.col("_key"), F.lit(str(seed)), F.lit("times"), j.cast("string"))
         return F.element_at(F.transform(F.array(u), lambda x: F.size(F.filter("_cdf", lambda c: c <= x))), 1)
 
     times = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("_draws")), draw), F.lit(0), lambda s, x: s + x)
-    return keyed.withColumn("_times", times).drop("_cdf", "_draws")
+    return keyed.select("_doc", "_key", times.alias("_times")), size["chars"] or 0.0
+
+
+def repetitions(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", source_col: str = "source",
+                text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with ``_key`` (what is hashed) and ``_times``, each row's count; columns
+    so named before are replaced.
+
+    Rows of a null id are keyed by the md5 of their text; equal rows draw alike.
+    """
+    drawn, _ = _drawn(docs.drop("_key", "_times"), seed, id_col, source_col, text_col, how)
+    return drawn.select("_doc.*", "_key", "_times")
 
 
 def mix(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", source_col: str = "source",
         text_col: str = "text", partitions: int | None = None, **how) -> DataFrame:
     """The columns of ``docs``, then ``copy`` (1, 2, ...) and ``mix_key``, in the
-    order of ``mix_key`` over the partitions and within them.
+    order of ``mix_key`` over the partitions and within them. Columns of ``docs`` so
+    named are replaced; others stay, whatever their names.
 
     Every document's copies are whole rows; an empty table gives none. The key is
     uniform, so partition k of n holds the keys of [k/n, (k+1)/n): no sampling
-    pass is needed to deal them evenly, whatever the sources' sizes.
+    pass is needed to deal them evenly, whatever the sources' sizes. Their number
+    grows with the characters counted, ``PART_CHARS`` each.
     """
     spark = docs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    drawn = repetitions(docs, seed, id_col, source_col, text_col, **how)
-    copies = drawn.where("_times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    dealt = copies.withColumn("mix_key", mix_key(F.col("_key"), F.col("copy"), seed)).drop("_key", "_times")
-    return dealt.repartitionById(n, F.floor(F.col("mix_key") * n).cast("int")).sortWithinPartitions("mix_key", id_col)
+    drawn, chars = _drawn(docs.drop("copy", "mix_key"), seed, id_col, source_col, text_col, how)
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(chars / PART_CHARS))
+    copies = drawn.where("_times > 0").select("_doc", "_key", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("copy"))
+    dealt = copies.select("_doc", "copy", mix_key(F.col("_key"), F.col("copy"), seed).alias("mix_key"))
+    dealt = dealt.repartitionById(n, F.floor(F.col("mix_key") * n).cast("int")).sortWithinPartitions("mix_key", F.col("_doc")[id_col])
+    return dealt.select("_doc.*", "copy", "mix_key")

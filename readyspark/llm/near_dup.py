@@ -441,7 +441,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     again = kept.where("_rows > 1")
     if again.isEmpty():
         return out
-    rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    least = (docs.join(again, id_col, "left_semi").groupBy(id_col)
-                 .agg(F.min(F.struct(F.col(text_col).isNull().alias("_null"), F.col(text_col), *rest)).alias("_row")))
-    return out.unionByName(least.select(id_col, "_row.*").drop("_null"))
+    # the whole row travels as a value; ties of equal texts by the other columns as JSON, maps too
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    order = F.struct(F.col(text_col).isNull().alias("none"), F.col(text_col).alias("text"), rest.alias("rest"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = docs.join(again, id_col, "left_semi").groupBy(id_col).agg(F.min_by(row, order).alias("_row"))
+    return out.unionByName(least.select("_row.*"))

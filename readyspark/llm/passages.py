@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import (few, list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
+from readyspark.llm.common import (few, fresh, list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
 
 KMER = 5
 SHARE = 0.15         # of the k-mers that are seeds
@@ -510,9 +510,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the passages' words, and the white space after them, cut out."""
     prepare_python(docs.sparkSession)
-    spans = passages.groupBy(F.col(id_col).alias("_id")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("_spans"))  # passages of one document
-    given = docs.join(spans, docs[id_col] == spans["_id"], "left").drop("_id")
+    key, held = fresh(docs, "_id"), fresh(docs, "_spans")
+    spans = passages.groupBy(F.col(id_col).alias(key)).agg(
+        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias(held))  # passages of one document
+    given = docs.join(spans, docs[id_col] == spans[key], "left").drop(key)
     names, at = docs.columns, docs.columns.index(text_col)
 
     def cut(text: str, spans: list[dict]) -> str:
@@ -534,4 +535,4 @@ def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", t
             columns = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return given.select(*names, "_spans").mapInArrow(run, docs.schema)
+    return given.select(*names, held).mapInArrow(run, docs.schema)
