@@ -1,5 +1,11 @@
 """The corpus pipeline: stages over ``documents``, each written and read again.
 
+Null and empty texts are no duplicates of others and hold no benchmark passage:
+they go on, as token lists of the end id alone. Rows of a null id are no duplicates
+either and draw copies by their text; of rows that repeat an id one goes on. Extra
+columns of documents go on to the last stage, whatever their names but ``copy`` and
+``mix_key``, which the mixture would replace. Empty tables give no rows.
+
 Every stage is (name, function of (spark, docs, sf_dir)); all but the last return
 the columns of documents. A stage works on all that its predecessor kept.
 """
@@ -39,11 +45,12 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token store of all copies, digested as it is read back. The store is in
     id order, for selective reads; a copy's ``mix_key``, its place in the mixture's
-    order, follows from its id and number."""
+    order, follows from its id and number; it is null for a null id, whose place
+    depends on the text."""
     path = token_store.write_store(docs, tokenizer_path("byte_bpe_50k.json"))
     stored = token_store.digest(token_store.read_store(spark, path))
     key = mixing.mix_key(F.col("doc_id").cast("string"), F.col("copy"), SEED)
-    return stored.withColumn("mix_key", key)
+    return stored.withColumn("mix_key", F.when(F.col("doc_id").isNotNull(), key))
 
 
 STAGES = [
