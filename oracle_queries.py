@@ -714,5 +714,18 @@ ORACLE.update({
                                   "AS weight FROM split WHERE split = 'train'"),
     "numeric_column_counts": with_(PREPARED, " UNION ALL ".join(
         f"SELECT {q(c)} AS name, count({c}) AS filled FROM prepared" for c in _NUMERIC_PREPARED)),
+    # the query checks the run's own scores; what it must find is known beforehand
+    "forest_walk": with_(SPLIT, "SELECT app_id, class, true AS same_probability, true AS same_label, true AS above_majority FROM test"),
+    "search_scores": """SELECT candidate::INTEGER AS candidate, max_depth, true AS same_accuracy, true AS same_precision, true AS same_recall,
+        true AS same_f1, true AS same_mcc, true AS same_roc_auc, true AS same_rank FROM (VALUES (0, '3'), (1, '5')) v(candidate, max_depth)""",
+    "forest_gates": """SELECT gate, metric, subject, true AS same_value, true AS same_verdict FROM (
+        SELECT 'performance' AS gate, unnest(['accuracy', 'precision', 'recall', 'f1', 'mcc', 'roc_auc']) AS metric, '' AS subject
+        UNION ALL SELECT 'fairness', metric, subject FROM (VALUES ('female'), ('male')) s(subject),
+          (VALUES ('false_positive_rate'), ('false_negative_rate'), ('true_positive_rate')) m(metric)
+        UNION ALL SELECT 'fairness', unnest(['fpr_difference', 'fnr_difference', 'separation_difference']), ''
+        UNION ALL SELECT 'robustness', unnest(['f1_clean', 'f1_perturbation', 'f1_inflation', 'robustness_perturbation',
+          'robustness_inflation', 'mean_robustness_score']), ''
+        UNION ALL SELECT 'metamorphic', 'violation_rate',
+          unnest(['duration_increase', 'checking_status_improvement', 'savings_status_deterioration']))""",
     "forest_score_facts": with_(SPLIT, "SELECT app_id, class, true AS in_range, true AS is_cut FROM test"),
 })

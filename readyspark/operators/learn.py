@@ -7,6 +7,7 @@ fitted ``PipelineModel`` scores tables and streams alike.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import random
 import uuid
@@ -17,15 +18,17 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import (OneHotEncoder, OneHotEncoderModel, SQLTransformer, StringIndexer, StringIndexerModel,
                                 VectorAssembler)
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readyspark import presets as P
 from readyspark.operators.features import numeric_columns
 from readyspark.operators.metrics import METRICS, confusion, rate_columns, roc_auc, with_class_weights
-from readyspark.operators.score import score
 from readyspark.session import cut_lineage, run_tables
 
+# of a task's statistics of the nodes that one pass splits
+NODE_MEMORY_MB = 1024
 # Spark refuses trees deeper than 30; "no limit" maps to the deepest allowed
 MAX_DEPTH_UNLIMITED = 30
 
@@ -102,19 +105,34 @@ def build_pipeline(df: DataFrame, label: str, params: Mapping, exclude: Sequence
     inputs = ([f"{c}__ord" for c in plan["ordinal"]] + [f"{c}__vec" for c in nominal]
               + plan["binary"] + plan["numeric"])
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed, **forest_params(params))
-    if weight_col:
-        rf = rf.setWeightCol(weight_col)
-    stages.append(rf)
+    stages.append(_forest(params, label, weight_col, seed))
     return Pipeline(stages=stages)
 
 
+def _forest(params: Mapping, label: str, weight_col: str | None, seed: int) -> RandomForestClassifier:
+    # nodes of a level are split in as few passes as the memory allows, and rows
+    # remember their node instead of walking each tree again at every level
+    rf = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed, maxMemoryInMB=NODE_MEMORY_MB,
+                                cacheNodeIds=True, **forest_params(params))
+    return rf.setWeightCol(weight_col) if weight_col else rf
+
+
+def encode_for_forest(train: DataFrame, label: str, exclude: Sequence[str] = ()) -> tuple[list, DataFrame]:
+    """L1-L3 and the class weights fitted on these rows: the fitted encoder stages,
+    and ``features``, label and ``weight`` written once. Any number of forests is
+    fitted on that table."""
+    weighted = with_class_weights(train.withColumn(label, F.col(label).cast("double")), label, "weight")
+    pipe = build_pipeline(weighted, label, {}, exclude, "weight")
+    encoder = Pipeline(stages=pipe.getStages()[:-1]).fit(weighted)
+    return encoder.stages, cut_lineage(encoder.transform(weighted).select("features", label, "weight"))
+
+
 def fit_forest(train: DataFrame, label: str, params: Mapping, exclude: Sequence[str] = (),
                seed: int = P.SEED) -> PipelineModel:
-    """L4: balanced class weights computed on these rows, then the pipeline fit."""
-    weighted = with_class_weights(train.withColumn(label, F.col(label).cast("double")), label, "weight")
-    pipe = build_pipeline(weighted, label, params, exclude, "weight", seed)
-    return pipe.fit(weighted)
+    """L4: balanced class weights and encoders computed on these rows, which are
+    then encoded once; the forest is fitted on the written encoded table."""
+    stages, encoded = encode_for_forest(train, label, exclude)
+    return PipelineModel(stages=[*stages, _forest(params, label, "weight", seed).fit(encoded)])
 
 
 def sample_candidates(space: Mapping[str, Sequence] = P.PARAM_SPACE, n_iter: int = P.SEARCH_ITERATIONS,
@@ -134,37 +152,83 @@ def sample_candidates(space: Mapping[str, Sequence] = P.PARAM_SPACE, n_iter: int
     return out
 
 
-def search(train: DataFrame, label: str, fold_col: str, candidates: Sequence[Mapping],
-           exclude: Sequence[str] = (), parallelism: int = 4, seed: int = P.SEED) -> DataFrame:
-    """Every candidate on every fold (encoder and weights refitted on the
-    fold's training rows), predictions of all fits unioned, then all six scores
-    per (candidate, fold) from one grouped aggregate plus one grouped AUC.
+def fingerprint(train: DataFrame, label: str, fold_col: str, candidates: Sequence[Mapping], exclude: Sequence[str],
+                seed: int) -> str:
+    """What a search is of: its rows (an order-free checksum), columns, points and seed."""
+    rows = train.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*train.columns) % (1 << 40))).first()
+    points = [sorted((k, str(v)) for k, v in c.items()) for c in candidates]
+    text = repr((tuple(rows), sorted(train.columns), label, fold_col, points, sorted(exclude), seed))
+    return hashlib.md5(text.encode()).hexdigest()
 
-    Returns one row per candidate: parameters, mean scores, ``rank`` by mean F1
-    (ties: earlier candidate first). Fits run through a small thread pool;
-    each fit is itself a distributed Spark job.
+
+def _committed(spark, path: str) -> bool:
+    """Whether a write to the folder ended: its last step puts this file there."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def search_predictions(train: DataFrame, label: str, fold_col: str, candidates: Sequence[Mapping],
+                       exclude: Sequence[str] = (), parallelism: int = 4, seed: int = P.SEED,
+                       ledger: str | None = None) -> DataFrame:
+    """L6's fits: the held-out predictions (``candidate``, ``fold``, label,
+    ``prediction``, ``p_bad``) of every candidate on every fold.
+
+    Encoder and class weights are fitted once per fold, on its training rows, and
+    both parts are written encoded; all candidates of the fold share them. Below
+    ``ledger``, a shared folder, each fit's predictions are written under the
+    search's fingerprint, candidate and fold, and count from the moment their write
+    is committed: a search that is started again with the same folder does only
+    the fits that are missing, and one that died half-way is written anew. Rows of
+    a null fold take no part.
     """
-    # every fit reads the training rows again: read them from one written copy
-    train = cut_lineage(train)
+    # every fold reads the training rows again: read them from one written copy
+    train = cut_lineage(train.where(F.col(fold_col).isNotNull()))
+    spark = train.sparkSession
+    base = ledger or f"{run_tables(spark)}/search-{uuid.uuid4().hex}"
+    base = f"{base.rstrip('/')}/{fingerprint(train, label, fold_col, candidates, exclude, seed)}"
     folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
-    jobs = [(i, c, f) for i, c in enumerate(candidates) for f in folds]
 
-    spark = train.sparkSession
-    path = f"{run_tables(spark)}/search-{uuid.uuid4().hex}"
+    def place(i: int, f: int) -> str:
+        return f"{base}/fits/candidate={i}/fold={f}"
+
+    missing = [(i, f) for f in folds for i in range(len(candidates)) if not _committed(spark, place(i, f))]
+
+    def encoded(f: int) -> tuple[DataFrame, DataFrame]:
+        stages, rows = encode_for_forest(train.where(F.col(fold_col) != f), label, [*exclude, fold_col])
+        held = PipelineModel(stages=stages).transform(train.where(F.col(fold_col) == f))
+        return rows, cut_lineage(held.select("features", F.col(label).cast("int").alias(label)))
+
+    tables = {f: encoded(f) for f in sorted({f for _, f in missing})}
 
-    def run(job):
-        i, cand, f = job
-        model = fit_forest(train.where(F.col(fold_col) != f), label, cand, list(exclude) + [fold_col], seed)
-        held = train.where(F.col(fold_col) == f)
+    def run(job: tuple[int, int]) -> None:
+        rows, held = tables[job[1]]
+        scored = _forest(candidates[job[0]], label, "weight", seed).fit(rows).transform(held)
         # a fit's predictions are written as it ends, and its model is let go: the
         # driver holds as many models as run at once, not one for each fit
-        scored = score(held, model).select(F.lit(i).alias("candidate"), F.lit(f).alias("fold"),
-                                           F.col(label).cast("int").alias(label), "prediction", "p_bad")
-        scored.write.parquet(f"{path}/fit-{i}-{f}")
+        scored.select(label, F.col("prediction").cast("int").alias("prediction"),
+                      vector_to_array("probability")[1].alias("p_bad")).write.mode("overwrite").parquet(place(*job))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        list(pool.map(run, jobs))
-    preds = spark.read.parquet(*[f"{path}/fit-{i}-{f}" for i, _, f in jobs])
+        list(pool.map(run, missing))
+    schema = f"`{label}` int, prediction int, p_bad double, candidate int, fold int"
+    return spark.read.schema(schema).parquet(f"{base}/fits")
+
+
+def search(train: DataFrame, label: str, fold_col: str, candidates: Sequence[Mapping],
+           exclude: Sequence[str] = (), parallelism: int = 4, seed: int = P.SEED, ledger: str | None = None) -> DataFrame:
+    """Every candidate on every fold (:func:`search_predictions`), then all six
+    scores per (candidate, fold) from one grouped aggregate plus one grouped AUC.
+
+    Returns one row per candidate: parameters, mean scores, ``rank`` by mean F1
+    (ties: earlier candidate first). Fits run through a small thread pool;
+    each fit is itself a distributed Spark job.
+    """
+    return ranked(search_predictions(train, label, fold_col, candidates, exclude, parallelism, seed, ledger), label, candidates)
+
+
+def ranked(preds: DataFrame, label: str, candidates: Sequence[Mapping]) -> DataFrame:
+    """The candidates with their mean scores over the folds of written predictions."""
+    spark = preds.sparkSession
     conf = confusion(preds, label, "prediction", ["candidate", "fold"])
     rates = rate_columns()
     per_fold = conf.select("candidate", "fold", *[rates[m].alias(m) for m in METRICS if m != "roc_auc"])

@@ -67,18 +67,19 @@ def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True, write_raw:
 
 def experiment(prep: Prepared, key: str, n_iter: int = P.SEARCH_ITERATIONS, k: int = P.N_FOLDS,
                parallelism: int = 4, space=P.PARAM_SPACE, out_dir: str | None = None,
-               run_id: str = "experiment") -> dict:
+               run_id: str = "experiment", ledger: str | None = None) -> dict:
     """W1 then the cross-validated search, refit included.
 
     Returns ``results`` (a row per candidate), ``best`` (its parameters) and
     ``model`` (the best candidate fitted on all training rows). With ``out_dir``
     the best scores and all best parameters are appended to ``history/`` there and
-    the model is saved in ``model/``.
+    the model is saved in ``model/``. ``ledger``, a shared folder, keeps every fit that
+    ended: a run that died is started again and does only the others.
     """
     folds = S.stratified_folds(prep.train, P.TARGET, key, k, P.SEED)
     train = folds.drop(P.SENSITIVE)  # the sensitive column never reaches the learner
     cands = L.sample_candidates(space, n_iter, P.SEED)
-    results = cut_lineage(L.search(train, P.TARGET, "fold", cands, exclude=[key], parallelism=parallelism))
+    results = cut_lineage(L.search(train, P.TARGET, "fold", cands, exclude=[key], parallelism=parallelism, ledger=ledger))
     model, best, scores = L.refit(train.drop("fold"), P.TARGET, results, cands, exclude=[key])
     if out_dir:
         sinks.append_metrics(scores, os.path.join(out_dir, "history"), run_id)
@@ -90,7 +91,7 @@ def experiment(prep: Prepared, key: str, n_iter: int = P.SEARCH_ITERATIONS, k: i
 def readiness(prep: Prepared, key: str, params: dict, scorer=None) -> dict:
     """Train (or take a given scorer), evaluate, gate, report.
 
-    Returns the model, the scored test table and the gate rows; publishing is
+    Returns the model, the scored test table, the scored variants and the gate rows; publishing is
     left to ``sinks.publish_if_ready`` so the caller picks the paths.
     """
     model = scorer or L.fit_forest(prep.train.drop(P.SENSITIVE), P.TARGET, params, exclude=[key])
@@ -114,7 +115,8 @@ def readiness(prep: Prepared, key: str, params: dict, scorer=None) -> dict:
         return G.report([G.performance_gate(again, baseline),
                          G.fairness_gate(staged, P.SENSITIVE, P.TARGET, "prediction")])
 
-    return {"model": model, "scored": scored, "gate_rows": rows, "verdict": G.verdict(rows), "audit": audit}
+    return {"model": model, "scored": scored, "gate_rows": rows, "verdict": G.verdict(rows), "audit": audit,
+            "variants": vs}
 
 
 def run_readiness(raw: DataFrame, key: str, params: dict, out_dir: str, run_id: str,

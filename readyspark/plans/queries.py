@@ -7,7 +7,7 @@ at that precision).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -209,8 +209,9 @@ def split_table(spark, sf_dir):
 def split_written(spark, sf_dir):
     """The split table written once to the shared checkpoint folder, for
     queries that read both parts (or one part twice): the ranking shuffle then
-    runs once, as in the prepare flow (W1)."""
-    return cut_lineage(split_table(spark, sf_dir))
+    runs once, as in the prepare flow (W1). The prepared rows are read by the
+    split's jobs and by none after, so they are not written besides."""
+    return cut_lineage(S.stratified_split(prepared(spark, sf_dir), P.TARGET, KEY, P.TEST_SIZE, P.SEED, checkpoint=False))
 
 
 def test_rows(spark, sf_dir):
@@ -443,6 +444,135 @@ def q_forest_score_facts(spark, sf_dir):
         ((p == 0.5) | (F.col("prediction") == (p > 0.5).cast("int"))).alias("is_cut"))
 
 
+def _fitted(spark, sf_dir):
+    """The forest fitted on the train rows, and the split."""
+    st = split_written(spark, sf_dir)
+    train = st.where(F.col("split") == "train").drop("split", P.SENSITIVE)
+    return L.fit_forest(train, P.TARGET, QUERY_FOREST, exclude=[KEY]), st
+
+
+def q_forest_walk(spark, sf_dir):
+    """L3-L5, L8, L9 a second way: the fitted forest as a node table, walked by SQL
+    expressions. Per test row whether the walked probability is the reported one
+    and the prediction its cut; and whether the walked scores' AUC is above that of
+    the majority class, which scores all rows alike (one half)."""
+    from readyspark.operators import forest as FO
+    model, st = _fitted(spark, sf_dir)
+    both = cut_lineage(FO.walked_scores(st.where(F.col("split") == "test").drop("split"), model, KEY))
+    above = M.roc_auc(both, P.TARGET, "p_walked").first()["roc_auc"] > 0.5
+    p = F.col("p_walked")
+    return both.select(KEY, P.TARGET, (F.abs(F.col("p_bad") - p) < 1e-9).alias("same_probability"),
+                       ((F.abs(p - 0.5) < 1e-9) | (F.col("prediction") == (p > 0.5).cast("int"))).alias("same_label"),
+                       F.lit(bool(above)).alias("above_majority"))
+
+
+# W2 as a query: a search space small enough for a check, its fits, folds and scores as always
+QUERY_SPACE = {"n_estimators": [20], "max_depth": [3, 5], "min_samples_split": [2], "min_samples_leaf": [1],
+               "max_features": ["sqrt"], "bootstrap": [True]}
+
+SCORES_SQL = """
+WITH c AS (
+  SELECT candidate, fold, double(count_if(prediction = 1 AND class = 1)) AS tp, double(count_if(prediction = 0 AND class = 0)) AS tn,
+         double(count_if(prediction = 1 AND class = 0)) AS fp, double(count_if(prediction = 0 AND class = 1)) AS fn FROM {preds} GROUP BY ALL),
+ranks AS (
+  SELECT candidate, fold, class, rank() OVER (PARTITION BY candidate, fold ORDER BY p_bad)
+         + (count(*) OVER (PARTITION BY candidate, fold, p_bad) - 1) / 2.0D AS r FROM {preds}),
+auc AS (
+  SELECT candidate, fold, (sum(CASE WHEN class = 1 THEN r END) - count_if(class = 1) * (count_if(class = 1) + 1) / 2.0D)
+         / (count_if(class = 1) * count_if(class = 0)) AS roc_auc FROM ranks GROUP BY ALL)
+SELECT candidate, avg((tp + tn) / (tp + tn + fp + fn)) AS accuracy, avg(coalesce(try_divide(tp, tp + fp), 0)) AS precision,
+       avg(coalesce(try_divide(tp, tp + fn), 0)) AS recall, avg(coalesce(try_divide(2 * tp, 2 * tp + fp + fn), 0)) AS f1,
+       avg(coalesce(try_divide(tp * tn - fp * fn, sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))), 0)) AS mcc,
+       avg(roc_auc) AS roc_auc
+FROM c JOIN auc USING (candidate, fold) GROUP BY candidate"""
+
+
+def q_search_scores(spark, sf_dir):
+    """The six mean scores of each candidate over its five folds, against
+    plain SQL over the predictions that the fits wrote; and the rank by mean F1."""
+    rows = train_rows(spark, sf_dir)
+    folds = S.stratified_folds(rows, P.TARGET, KEY, P.N_FOLDS, P.SEED).drop(P.SENSITIVE)
+    cands = L.sample_candidates(QUERY_SPACE, P.SEARCH_ITERATIONS, P.SEED)
+    preds = L.search_predictions(folds, P.TARGET, "fold", cands, exclude=[KEY])
+    results = L.ranked(preds, P.TARGET, cands)
+    again = spark.sql(SCORES_SQL, preds=preds).withColumnRenamed("candidate", "_c")
+    place = F.row_number().over(Window.orderBy(F.desc("f1"), "_c"))  # one row per candidate
+    same = [(F.abs(F.col(f"mean_{m}") - F.col(m)) < 1e-9).alias(f"same_{m}") for m in M.METRICS]
+    return results.join(again.withColumn("_rank", place), F.col("candidate") == F.col("_c")).select(
+        "candidate", "max_depth", *same, (F.col("rank") == F.col("_rank")).alias("same_rank"))
+
+
+GATES_SQL = """
+WITH c AS (
+  SELECT sex, double(count_if(prediction = 1 AND class = 1)) AS tp, double(count_if(prediction = 0 AND class = 0)) AS tn,
+         double(count_if(prediction = 1 AND class = 0)) AS fp, double(count_if(prediction = 0 AND class = 1)) AS fn FROM {scored} GROUP BY sex),
+t AS (SELECT sum(tp) AS tp, sum(tn) AS tn, sum(fp) AS fp, sum(fn) AS fn FROM c),
+ranks AS (SELECT class, rank() OVER (ORDER BY p_bad) + (count(*) OVER (PARTITION BY p_bad) - 1) / 2.0D AS r FROM {scored}),
+auc AS (
+  SELECT (sum(CASE WHEN class = 1 THEN r END) - count_if(class = 1) * (count_if(class = 1) + 1) / 2.0D)
+         / (count_if(class = 1) * count_if(class = 0)) AS a FROM ranks),
+major AS (SELECT class FROM {train} GROUP BY class ORDER BY count(*) DESC, class LIMIT 1),
+plain AS (SELECT avg(CASE WHEN s.class = m.class THEN 1.0D ELSE 0.0D END) AS a FROM {scored} s CROSS JOIN major m),
+rates AS (SELECT sex, coalesce(try_divide(fp, fp + tn), 0) AS fpr, coalesce(try_divide(fn, fn + tp), 0) AS fnr,
+                 coalesce(try_divide(tp, tp + fn), 0) AS tpr FROM c),
+gaps AS (
+  SELECT abs(max(fpr) FILTER (WHERE sex = 'female') - max(fpr) FILTER (WHERE sex = 'male')) AS fpr,
+         abs(max(fnr) FILTER (WHERE sex = 'female') - max(fnr) FILTER (WHERE sex = 'male')) AS fnr FROM rates),
+f AS (
+  SELECT 2 * count_if(class = 1 AND pred_base = 1 AND variant = 'inflation') / double(count_if(variant = 'inflation' AND class = 1)
+           + count_if(variant = 'inflation' AND pred_base = 1)) AS clean,
+         2 * count_if(class = 1 AND prediction = 1 AND variant = 'inflation') / double(count_if(variant = 'inflation' AND class = 1)
+           + count_if(variant = 'inflation' AND prediction = 1)) AS inflation,
+         2 * count_if(class = 1 AND prediction = 1 AND variant = 'perturbation') / double(count_if(variant = 'perturbation' AND class = 1)
+           + count_if(variant = 'perturbation' AND prediction = 1)) AS perturbation FROM {variants}),
+moved AS (
+  SELECT variant, avg(CASE WHEN CASE WHEN variant = 'checking_status_improvement' THEN p_bad > p_base ELSE p_bad < p_base END
+                      THEN 1.0D ELSE 0.0D END) AS rate
+  FROM {variants} WHERE mask AND variant NOT IN ('inflation', 'perturbation') GROUP BY variant)
+SELECT 'accuracy' AS metric, '' AS subject, (tp + tn) / (tp + tn + fp + fn) AS value, (tp + tn) / (tp + tn + fp + fn) > a AS passed FROM t, plain
+UNION ALL SELECT 'precision', '', coalesce(try_divide(tp, tp + fp), 0), coalesce(try_divide(tp, tp + fp), 0) > 0.5D FROM t
+UNION ALL SELECT 'recall', '', tp / (tp + fn), tp / (tp + fn) > 0.7D FROM t
+UNION ALL SELECT 'f1', '', 2 * tp / (2 * tp + fp + fn), 2 * tp / (2 * tp + fp + fn) > 0.6D FROM t
+UNION ALL SELECT 'mcc', '', m, m > 0.4D FROM (
+  SELECT coalesce(try_divide(tp * tn - fp * fn, sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))), 0) AS m FROM t)
+UNION ALL SELECT 'roc_auc', '', a, a > 0.8D FROM auc
+UNION ALL SELECT 'false_positive_rate', sex, fpr, true FROM rates
+UNION ALL SELECT 'false_negative_rate', sex, fnr, true FROM rates
+UNION ALL SELECT 'true_positive_rate', sex, tpr, true FROM rates
+UNION ALL SELECT 'fpr_difference', '', fpr, true FROM gaps
+UNION ALL SELECT 'fnr_difference', '', fnr, true FROM gaps
+UNION ALL SELECT 'separation_difference', '', (fpr + fnr) / 2, (fpr + fnr) / 2 <= 0.05D FROM gaps
+UNION ALL SELECT 'f1_clean', '', clean, true FROM f
+UNION ALL SELECT 'f1_perturbation', '', perturbation, true FROM f
+UNION ALL SELECT 'f1_inflation', '', inflation, true FROM f
+UNION ALL SELECT 'robustness_perturbation', '', perturbation / clean, true FROM f
+UNION ALL SELECT 'robustness_inflation', '', inflation / clean, true FROM f
+UNION ALL SELECT 'mean_robustness_score', '', (perturbation / clean + inflation / clean) / 2,
+  (perturbation / clean + inflation / clean) / 2 >= 0.95D FROM f
+UNION ALL SELECT 'violation_rate', variant, rate, rate <= 0.1D FROM moved"""
+
+
+def q_forest_gates(spark, sf_dir):
+    """W3 with a fitted forest: every gate row of the run (performance, fairness,
+    robustness, metamorphic), and whether plain SQL over the run's written scores
+    comes to the same value and verdict."""
+    from readyspark.plans.flows import Prepared, readiness
+    st = split_written(spark, sf_dir)
+    part = lambda name: st.where(F.col("split") == name).drop("split")
+    rules = cut_lineage(R.evaluate_rules(st, R.prepared_suite(), "data_post_processing"))
+    prep = Prepared(rules, rules, st, part("train"), part("test"))
+    out = readiness(prep, KEY, QUERY_FOREST)
+    rows = cut_lineage(out["gate_rows"].where(F.col("gate") != "data_post_processing"))
+    scored = cut_lineage(out["scored"].select(KEY, P.TARGET, P.SENSITIVE, "prediction", "p_bad"))
+    variants = cut_lineage(out["variants"])
+    again = spark.sql(GATES_SQL, scored=scored, train=prep.train.select(P.TARGET), variants=variants)
+    near = lambda a, b: (a.isNull() & b.isNull()) | F.coalesce(F.abs(a - b) < 1e-9, F.lit(False))
+    on = (F.col("r.metric") == F.col("s.metric")) & (F.coalesce("r.subject", F.lit("")) == F.col("s.subject"))
+    return rows.alias("r").join(again.alias("s"), on, "full").select(
+        F.col("r.gate").alias("gate"), F.col("r.metric").alias("metric"), F.coalesce("r.subject", F.lit("")).alias("subject"),
+        near(F.col("r.value"), F.col("s.value")).alias("same_value"), (F.col("r.passed") == F.col("s.passed")).alias("same_verdict"))
+
+
 def _streamed(spark, sf_dir, keep):
     """X2 over the applications: they are landed as Parquet files in this run's
     folder below the shared checkpoint folder and drained by the streaming scorer."""
@@ -585,6 +715,9 @@ QUERIES.update({
     "class_balance": q_class_balance,
     "forest_scores": q_forest_scores,
     "forest_score_facts": q_forest_score_facts,
+    "forest_walk": q_forest_walk,
+    "search_scores": q_search_scores,
+    "forest_gates": q_forest_gates,
     "stream_scores": q_stream_scores,
     "stream_rejected": q_stream_rejected,
     "parquet_round_trip": q_parquet_round_trip,
