@@ -651,7 +651,9 @@ def _stream_sql():
                  "1.0 - p_bad AS probability_good, p_bad AS probability_bad FROM s")
 
 
-ORACLE.update({"shape_summary": _shape_sql(), "stream_scores": _stream_sql()})
+ORACLE.update({"shape_summary": _shape_sql(), "stream_scores": _stream_sql(),
+               "stream_published": f"""SELECT app_id, (CASE WHEN app_id % 2 = 0 THEN 1 ELSE 2 END)::BIGINT AS model_version,
+                   true AS same_probability FROM ({_stream_sql()})"""})
 
 
 def _ordered_crosstabs_sql():

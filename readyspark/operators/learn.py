@@ -131,7 +131,11 @@ def fit_forest(train: DataFrame, label: str, params: Mapping, exclude: Sequence[
                seed: int = P.SEED) -> PipelineModel:
     """L4: balanced class weights and encoders computed on these rows, which are
     then encoded once; the forest is fitted on the written encoded table."""
-    stages, encoded = encode_for_forest(train, label, exclude)
+    return forest_on(*encode_for_forest(train, label, exclude), label, params, seed)
+
+
+def forest_on(stages: Sequence, encoded: DataFrame, label: str, params: Mapping, seed: int = P.SEED) -> PipelineModel:
+    """A forest fitted on a table of :func:`encode_for_forest`, behind its encoder stages."""
     return PipelineModel(stages=[*stages, _forest(params, label, "weight", seed).fit(encoded)])
 
 

@@ -603,6 +603,38 @@ def q_stream_rejected(spark, sf_dir):
     return read_sink(spark, _streamed(spark, sf_dir, [KEY, "duration", "credit_amount", "housing"])["rejected"])
 
 
+def q_stream_published(spark, sf_dir):
+    """X2 with S7's models: applications of even number are drained while version 1 is
+    live, then version 2 is published and the others come. Per valid row the version
+    that scored it, and whether that model scores it so as a table, too."""
+    from readyspark.sources import sinks
+    from readyspark.streaming.scoring import read_sink, run_stream_scoring, score_valid
+    spark, base = configure(spark), _folder(spark, "stream-published")
+    st = split_written(spark, sf_dir)
+    train = st.where(F.col("split") == "train").drop("split", P.SENSITIVE, "age")
+    test = st.where(F.col("split") == "test").drop("split")
+    passed = spark.createDataFrame([("given", True)], "gate string, passed boolean")
+    rows = cut_lineage(_dirty(spark, sf_dir).drop(P.TARGET))
+    numeric, models = list(P.NUMERIC_COLUMNS), {}
+    encoders, encoded = L.encode_for_forest(train, P.TARGET, [KEY])
+    for version, depth in ((1, 3), (2, 6)):
+        models[version] = L.forest_on(encoders, encoded, P.TARGET, {**QUERY_FOREST, "n_estimators": 10, "max_depth": depth})
+        got = sinks.publish_if_ready(score(test, models[version]).select(KEY, "p_bad"), passed, f"{base}/staging-{version}",
+                                     f"{base}/target", model=models[version])
+        assert got["version"] == version
+        rows.where(F.col(KEY) % 2 == version - 1).write.mode("append").parquet(f"{base}/in")
+        run_stream_scoring(spark, f"{base}/in", rows.schema, sinks.PublishedModel(spark, f"{base}/target"), f"{base}/out",
+                           f"{base}/ckpt", required=numeric + list(P.ALLOWED_CATEGORIES), numeric=numeric, keep=[KEY])
+    checked = C.contract_split(rows, numeric + list(P.ALLOWED_CATEGORIES), numeric)
+    table = None
+    for version, model in models.items():
+        part = score_valid(checked.where(F.col(KEY) % 2 == version - 1), model, numeric).select(KEY, F.col("p_bad").alias("_p"))
+        table = part if table is None else table.unionByName(part)
+    table = table.groupBy(KEY).agg(F.collect_set("_p").alias("_p"))  # an application may be there twice
+    return read_sink(spark, f"{base}/out/scored").join(table, KEY, "full").select(
+        KEY, "model_version", F.array_contains("_p", F.col("p_bad")).alias("same_probability"))
+
+
 # ---------------------------------------------------------------- sinks, alignment
 
 def _folder(spark, kind):
@@ -718,6 +750,7 @@ QUERIES.update({
     "forest_walk": q_forest_walk,
     "search_scores": q_search_scores,
     "forest_gates": q_forest_gates,
+    "stream_published": q_stream_published,
     "stream_scores": q_stream_scores,
     "stream_rejected": q_stream_rejected,
     "parquet_round_trip": q_parquet_round_trip,

@@ -21,6 +21,7 @@ from readyspark.functions.exprs import lenient_double
 from readyspark.operators.clean import contract_split
 from readyspark.operators.features import calculate_features, drop_columns
 from readyspark.operators.score import label_text, score
+from readyspark.sources.sinks import PublishedModel
 
 
 # files per micro-batch: ``availableNow`` still drains everything, but in
@@ -56,15 +57,19 @@ def run_stream_scoring(spark: SparkSession, source_dir: str, schema: StructType,
     One query reads the source once; every micro-batch goes to both sinks.
     Rejected rows keep their columns as they came. A batch's files are written
     under its number and replaced when the batch is repeated after a failure, so
-    no row appears twice.
+    no row appears twice. ``scorer`` may be a :class:`~readyspark.sources.sinks.PublishedModel`:
+    every micro-batch then takes the version that is live as it begins, and its rows
+    carry that number as ``model_version``.
     """
     scored_path, rejected_path = os.path.join(out_dir, "scored"), os.path.join(out_dir, "rejected")
 
     def write(batch: DataFrame, number: int) -> None:
         batch = batch.persist()  # both sinks read it: the source is scanned once
         try:
-            scored = score_valid(batch, scorer, numeric).select(
-                *keep, "p_bad", "prediction", "prediction_label", "probability_good", "probability_bad")
+            version, model = scorer.current() if isinstance(scorer, PublishedModel) else (None, scorer)
+            named = [] if version is None else [F.lit(version).cast("long").alias("model_version")]
+            scored = score_valid(batch, model, numeric).select(
+                *keep, *named, "p_bad", "prediction", "prediction_label", "probability_good", "probability_bad")
             rejected = batch.where(~F.col("valid")).select(*keep, F.array_join("reasons", ",").alias("reasons"))
             for rows, path in ((scored, scored_path), (rejected, rejected_path)):
                 rows.write.mode("overwrite").parquet(os.path.join(path, f"batch={number}"))
