@@ -78,8 +78,8 @@ def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    """P20: int/long/float/double columns in schema order, minus exclusions."""
-    kinds = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+    """P20: columns of any numeric type in schema order, minus exclusions."""
+    kinds = T.NumericType
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, kinds) and f.name not in set(exclude)]
 

@@ -20,6 +20,9 @@ from readyspark.session import cut_lineage
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+# values of a cross table's columns that are joined at once
+COLUMN_LIST = 10_000
+
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """A1: count per non-null value, most frequent first."""
@@ -33,15 +36,20 @@ def crosstab_share(df: DataFrame, row: str, col: str, percent: bool = False) ->
     for every pair of an occurring row and an occurring column, 0 where they
     never meet.
 
-    Counts per cell are a partial aggregate; everything after works on that
-    small cell table (cells = distinct rows x distinct columns).
+    Counts per cell are a partial aggregate, written once: everything after works
+    on that table. The grid is completed by a join of the row totals with the
+    columns, which come in lists of about ``COLUMN_LIST`` values each; with one
+    list it is broadcast. No task holds more than one row's cells.
     """
-    cells = (df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-               .groupBy(row, col).agg(F.count(F.lit(1)).alias("n")))
-    per_row = cells.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(col, "n"))).alias("_cells"),
-                                     F.collect_set(col).alias("_cols"), F.sum("n").alias("_total"))
-    every = F.array_distinct(F.flatten(F.collect_list("_cols").over(Window.partitionBy())))
-    full = per_row.withColumn("_every", every).select(row, "_cells", "_total", F.explode("_every").alias(col))
+    cells = cut_lineage(df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
+                          .groupBy(row, col).agg(F.count(F.lit(1)).alias("n")))
+    columns = cut_lineage(cells.select(F.col(col).alias("_col")).distinct())
+    lists = max(1, -(-columns.count() // COLUMN_LIST))
+    listed = columns.groupBy(F.pmod(F.xxhash64("_col"), F.lit(lists)).cast("int").alias("_list")).agg(F.collect_list("_col").alias("_every"))
+    listed = F.broadcast(listed) if lists == 1 else listed
+    per_row = cells.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(col, "n"))).alias("_cells"), F.sum("n").alias("_total"))
+    dealt = per_row.withColumn("_list", F.explode(F.sequence(F.lit(0), F.lit(lists - 1))))
+    full = dealt.join(listed, "_list").select(row, "_cells", "_total", F.explode("_every").alias(col))
     n = F.coalesce(F.try_element_at("_cells", F.col(col)), F.lit(0)).cast("long")
     return full.select(row, col, n.alias("n"), (n / F.col("_total") * (100.0 if percent else 1.0)).alias("share"))
 
@@ -144,11 +152,12 @@ def histogram(df: DataFrame, group: str, column: str, bins: int) -> DataFrame:
     ``bins`` bins, empty ones with 0; the last bin is closed. A constant group
     gets the range [v - 0.5, v + 0.5].
 
-    Two map-side-combined passes: minimum and maximum (a row per group, written,
+    Two map-side-combined passes over the two columns, written once: minimum and maximum (a row per group, written,
     and broadcast after a count), then the bin counts; a task shuffles at most
     groups x bins rows, however many values there are.
     """
-    vals = _numbers(df, group, column)
+    # two narrow columns, written: what is behind them (cleaning) runs once for both passes
+    vals = cut_lineage(_numbers(df, group, column))
     rng = vals.groupBy(group).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
     same = F.col("_mn") == F.col("_mx")
     rng = cut_lineage(rng.select(group, F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
