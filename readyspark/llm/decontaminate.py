@@ -5,12 +5,14 @@ is ``size`` consecutive words of a benchmark item; an item of fewer words, but
 not none, is one window. A document's words inside any occurrence of a window
 are hit.
 
-A benchmark of at most ``LITERAL_WINDOWS`` windows (counted first) goes to the
-tasks as hash sets inside the plan: the scan looks up the hash of each run of
-three words, verifies the whole window at the few places that pass, and needs no
-shuffle, no join and no second read. A larger benchmark is joined: window
-hashes of the documents meet the benchmark's, and the hits are verified on the
-words. Both ways give the same rows.
+A benchmark of at most ``LITERAL_WINDOWS`` windows and ``LITERAL_BYTES`` bytes of
+windows and item ids (counted first) goes to the tasks as hash sets inside the
+plan: the scan looks up the hash of each run of three words, verifies the whole
+window at the few places that pass, and needs no shuffle, no join and no second
+read. Of a larger benchmark the 64-bit window hashes are broadcast, up to
+``BROADCAST_KEYS`` of them: the scan probes its windows' hashes, and only the hits
+meet the benchmark's words and ids, in a join that verifies them. Beyond that the
+probe is a shuffled join. All ways give the same rows.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import ascii_lower, written
+from readyspark.llm.common import ascii_lower, few, written
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SIZE = 10
 PROBE = 3                 # words whose hash is looked up first
-LITERAL_WINDOWS = 20_000  # a window is tens of bytes, so the sets stay near a megabyte
+LITERAL_WINDOWS = 20_000
+LITERAL_BYTES = 4 << 20   # of the windows and the ids of their items
 
 
 def words_of(text: Column) -> Column:
@@ -89,10 +92,11 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", siz
     """
     windows = written(benchmark_windows(benchmark, item_col, item_text, size), "windows")
     rows = docs.select(F.struct("*").alias("row"), words_of(docs[text_col]).alias("words"))
-    n = windows.count()
+    size = windows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("win") + F.octet_length(F.array_join("items", " "))).alias("bytes")).first()
+    n = size["n"]
     if not n:
         return rows.select("row", F.size("words").alias("n_words"), F.expr(f"cast(array() AS {HITS})").alias("hits"))
-    if n <= literal_windows:
+    if n <= literal_windows and size["bytes"] <= LITERAL_BYTES:
         first = F.split("win", " ")
         probe = windows.select("win", "len", "items", F.xxhash64(*[F.get(first, F.lit(k)) for k in range(PROBE)]).alias("p3"),
                                F.xxhash64(F.get(first, F.lit(0))).alias("p1"),
@@ -115,7 +119,9 @@ def _joined_hits(rows: DataFrame, windows: DataFrame) -> DataFrame:
     first = F.split("win", " ")
     known = reduce(DataFrame.unionByName, [windows.where(F.col("len") == m).select("len", "win", "items", F.xxhash64(
         *[F.get(first, F.lit(k)) for k in range(m)]).alias("h")) for m in sorted(lengths)])
-    near = runs.join(known, ["len", "h"]).select("_n", "pos", "len", "win", "items")
+    probe = few(written(known.select("len", "h").distinct(), "probe"))
+    met = runs.join(probe, ["len", "h"])  # few rows: places of hashes that the benchmark has
+    near = met.join(known, ["len", "h"]).select("_n", "pos", "len", "win", "items")
     sure = near.join(rows.select("_n", "words"), "_n").where(
         F.expr("array_join(slice(words, pos + 1, len), ' ') = win"))
     hits = sure.groupBy("_n").agg(F.sort_array(F.collect_list(F.struct("pos", "len", "items"))).cast(HITS).alias("hits"))

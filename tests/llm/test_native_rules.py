@@ -81,3 +81,18 @@ def test_very_long_text_without_repeats(spark):
     docs = spark.createDataFrame([(1, " ".join(f"w{i}." for i in range(60_000)))], "doc_id long, text string")
     row = line_quality.judge(docs).first()
     assert (row["n_words"], row["n_repeat_words"], row["kept"]) == (60_000, 0, True)
+
+
+@pytest.mark.parametrize("keys", [2_000_000, 3])
+def test_many_windows_and_many_items(spark, monkeypatch, keys):
+    """More windows than literals hold, one window of very many items; hashes broadcast and not."""
+    from readyspark.llm import common
+    monkeypatch.setattr(common, "BROADCAST_KEYS", keys)
+    monkeypatch.setattr(decontaminate, "LITERAL_BYTES", 20_000)
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(300)] + [(1000 + i, "short shared item") for i in range(4000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "a " + items[7][1] + " b"), (2, "short shared item again"), (3, "nothing here"), (4, None), (5, items[9][1][:20])]
+    got = {r["doc_id"]: r for r in decontaminate.digest(decontaminate.contamination(
+        spark.createDataFrame(rows, "doc_id long, text string"), bench)).collect()}
+    assert (got[1]["n_hit"], got[1]["n_items"], got[2]["n_hit"], got[2]["n_items"]) == (12, 1, 3, 4000)
+    assert not any(got[i]["contaminated"] for i in (3, 4, 5))
