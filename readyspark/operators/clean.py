@@ -116,10 +116,21 @@ def clean_reason_counts(df: DataFrame,
                         target: str = P.TARGET,
                         target_values: Sequence[str] = P.TARGET_VALUES) -> DataFrame:
     """Rows removed by each cleaning reason, in step order, from one job.
+    Output: (step, reason, rows), one row per reason; see :func:`flagged_rows`."""
+    return reason_counts(flagged_rows(df, numeric_columns, minimums, allowed, target, target_values))
+
+
+def flagged_rows(df: DataFrame,
+                 numeric_columns: Sequence[str] = P.NUMERIC_COLUMNS,
+                 minimums: Mapping[str, float] = P.NUMERIC_MIN,
+                 allowed: Mapping[str, Sequence[str]] = P.ALLOWED_CATEGORIES,
+                 target: str = P.TARGET,
+                 target_values: Sequence[str] = P.TARGET_VALUES) -> DataFrame:
+    """The distinct rows as given, with ``_copies`` and ``_reason``: the first step of
+    :func:`clean` that removes the row, null for the rows that it keeps.
 
     Copies are counted by one aggregate over all columns (the same shuffle the
     duplicate removal needs); every later reason is a flag on the distinct row.
-    Output: (step, reason, rows), one row per reason.
     """
     cols = df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -142,30 +153,33 @@ def clean_reason_counts(df: DataFrame,
             inside.append(F.coalesce(text.isin(list(v)), F.lit(False)))
     domain_bad = ~all_of(inside)
     target_bad = ~F.coalesce(F.col(target).isin(list(target_values)), F.lit(False))
-    flagged = grouped.select(
-        "_copies",
-        has_null.alias("_null"), numeric_bad.alias("_num"), range_bad.alias("_range"),
-        domain_bad.alias("_dom"), target_bad.alias("_tgt"))
-    live = ~F.col("_null")
-    s1 = live & ~F.col("_num")
-    s2 = s1 & ~F.col("_range")
-    s3 = s2 & ~F.col("_dom")
-    sums = flagged.agg(
-        F.sum("_copies").alias("input_rows"),
-        F.sum(F.when(F.col("_null"), F.col("_copies"))).alias("null_rows"),
-        F.sum(F.when(live, F.col("_copies") - 1)).alias("duplicate_rows"),
-        F.count_if(live & F.col("_num")).alias("non_numeric_rows"),
-        F.count_if(s1 & F.col("_range")).alias("out_of_range_rows"),
-        F.count_if(s2 & F.col("_dom")).alias("invalid_category_rows"),
-        F.count_if(s3 & F.col("_tgt")).alias("invalid_target_rows"),
-        F.count_if(s3 & ~F.col("_tgt")).alias("kept_rows"),
-    )
+    reason = (F.when(has_null, "null_rows").when(numeric_bad, "non_numeric_rows").when(range_bad, "out_of_range_rows")
+               .when(domain_bad, "invalid_category_rows").when(target_bad, "invalid_target_rows"))
+    return grouped.select(*cols, "_copies", reason.alias("_reason"))
+
+
+def reason_counts(flagged: DataFrame) -> DataFrame:
+    """:func:`clean_reason_counts` of :func:`flagged_rows`. Copies of a row with a null
+    go with it; other copies are duplicates."""
+    reason, null = F.col("_reason"), F.col("_reason").eqNullSafe("null_rows")
+    every = [F.sum("_copies"), F.sum(F.when(null, F.col("_copies"))), F.sum(F.when(~null, F.col("_copies") - 1))]
+    every += [F.count_if(reason == name) for name in CLEAN_REASONS[3:-1]] + [F.count_if(reason.isNull())]
+    sums = flagged.agg(*[c.alias(name) for c, name in zip(every, CLEAN_REASONS)])
     return sums.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("step"), F.lit(name).alias("reason"),
                  F.coalesce(F.col(name), F.lit(0)).cast("long").alias("rows"))
         for i, name in enumerate(CLEAN_REASONS)])))
 
 
+def kept_rows(flagged: DataFrame,
+              numeric_columns: Sequence[str] = P.NUMERIC_COLUMNS,
+              allowed: Mapping[str, Sequence[str]] = P.ALLOWED_CATEGORIES) -> DataFrame:
+    """:func:`clean`'s rows from those of :func:`flagged_rows`: nothing is left to
+    remove, so only the conversions are made."""
+    out = flagged.where(F.col("_reason").isNull()).drop("_copies", "_reason")
+    return strip_text(to_numeric(out, numeric_columns), list(allowed))
+
+
 def contract_split(df: DataFrame, required: Sequence[str],
                    numeric: Sequence[str] = ()) -> DataFrame:
     """The input contract of the scoring form, applied to whole tables.

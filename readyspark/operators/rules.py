@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,14 +79,19 @@ class MinClassShare:
 class _Plan:
     gate: str
     types: dict
-    counters: dict = field(default_factory=dict)  # name -> SQL aggregate
+    counters: dict = field(default_factory=dict)  # name -> SQL condition of the rows it counts
     rows: list = field(default_factory=list)
     share_columns: list[str] = field(default_factory=list)
 
-    def counter(self, name: str, sql: str) -> str:
-        self.counters[name] = sql
+    def counter(self, name: str, condition: str) -> str:
+        self.counters[name] = condition
         return f"coalesce(`{name}`, 0)"
 
+    def aggregates(self, weight: str | None = None) -> list[Column]:
+        """The counters; ``weight`` is a column that says how many rows a row stands for."""
+        sql = "count_if({})" if weight is None else f"sum(if({{}}, {_q(weight)}, 0L))"
+        return [F.expr(f"{sql.format(condition)} AS `{name}`") for name, condition in self.counters.items()]
+
 
 def _q(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
@@ -139,7 +144,7 @@ def _compile(plan: _Plan, i: int, rule) -> None:
     elif isinstance(rule, NotNull):
         if rule.column not in types:
             return _missing(plan, "not_null", rule.column, rule.mostly, ">=")
-        filled = plan.counter(f"_c{i}", f"count_if(NOT {_nullish_sql(rule.column, types[rule.column])})")
+        filled = plan.counter(f"_c{i}", f"NOT {_nullish_sql(rule.column, types[rule.column])}")
         share = f"try_divide(CAST({filled} AS DOUBLE), CAST({n} AS DOUBLE))"
         plan.rows.append(GateRow(g, "not_null", E(share), rule.mostly, ">=",
                                  passed=E(f"coalesce({share} >= {float(rule.mostly)!r}, {n} = 0)"),
@@ -159,8 +164,8 @@ def _compile(plan: _Plan, i: int, rule) -> None:
                 conds.append(f"{c} {'<' if rule.strict_max else '<='} {rule.max_value!r}")
             ok = " AND ".join(conds) if conds else "true"
         present = f"NOT {_nullish_sql(rule.column, types[rule.column])}"
-        cases = plan.counter(f"_c{i}", f"count_if({present})")
-        bad = plan.counter(f"_v{i}", f"count_if({present} AND NOT coalesce({ok}, false))")
+        cases = plan.counter(f"_c{i}", present)
+        bad = plan.counter(f"_v{i}", f"{present} AND NOT coalesce({ok}, false)")
         share = f"try_divide(CAST({bad} AS DOUBLE), CAST({cases} AS DOUBLE))"
         limit = 1.0 - rule.mostly
         # decided on the good share: 1.0 - mostly is not exact, 9 of 10 is
@@ -184,14 +189,14 @@ def _compile(plan: _Plan, i: int, rule) -> None:
         raise TypeError(f"unknown rule {rule!r}")
 
 
-def evaluate_rules(df: DataFrame, rules: Sequence, gate: str) -> DataFrame:
-    """All rules of a suite from one fused aggregate, as gate rows."""
-    plan = _Plan(gate, {f.name: f.dataType for f in df.schema.fields})
-    plan.counters["_n"] = "count(1)"
+def evaluate_rules(df: DataFrame, rules: Sequence, gate: str, weight: str | None = None) -> DataFrame:
+    """All rules of a suite from one fused aggregate, as gate rows. ``weight``: the
+    column that says how many rows a row stands for; the rules don't see it."""
+    plan = _Plan(gate, {f.name: f.dataType for f in df.schema.fields if f.name != weight})
+    plan.counters["_n"] = "true"
     for i, rule in enumerate(rules):
         _compile(plan, i, rule)
-    names = list(plan.counters)
-    aggs = [F.expr(f"{sql} AS `{k}`") for k, sql in plan.counters.items()]
+    names, aggs = list(plan.counters), plan.aggregates(weight)
     columns = plan.share_columns
     if not columns:
         one = df.agg(*aggs)

@@ -31,38 +31,37 @@ from readyspark.sources import sinks
 class Prepared:
     raw_rules: DataFrame
     prepared_rules: DataFrame
+    reasons: DataFrame  # rows removed by each cleaning step
+    rejected: DataFrame  # distinct rows that cleaning removed, with ``_copies`` and ``_reason``
     table: DataFrame  # prepared rows with a ``split`` column
     train: DataFrame
     test: DataFrame
 
 
-def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True, write_raw: bool = False) -> Prepared:
+def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True) -> Prepared:
     """Raw rules, cleaning, features, target encoding, prepared rules, split.
 
-    The raw rules and the cleaning both read ``raw``. ``write_raw`` writes it
-    once to the shared checkpoint folder first: worth it when ``raw`` is
-    derived by joins and aggregates (they then run once), not when it is a
-    plain table scan.
+    ``raw`` is read once: its distinct rows are written with their copies and the
+    reason for which cleaning removes them, and the raw rules (each row counted as
+    often as it was there), the reasons' counts and the cleaning read that table.
     """
-    if write_raw:
-        raw = cut_lineage(raw)
-    # a few dozen rows from one aggregate: kept as a written table so the check
-    # below and the final report do not scan the raw table again
-    raw_rules = cut_lineage(R.evaluate_rules(raw, R.raw_suite(raw.columns), "data_validation"))
+    rows = cut_lineage(C.flagged_rows(raw))
+    # a few dozen rows from one aggregate: kept as a written table, so the check
+    # below and the final report don't compute them again
+    raw_rules = cut_lineage(R.evaluate_rules(rows.drop("_reason"), R.raw_suite(raw.columns), "data_validation", "_copies"))
     if raise_on_failure:
         R.raise_on_failed(raw_rules, "data_validation")
-    # written once: the strict target check, the rules and the split all read it
-    featured = cut_lineage(FE.feature_engineering(C.clean(raw)))
-    prepared = FE.encode_target(featured)
-    prepared_rules = cut_lineage(R.evaluate_rules(prepared, R.prepared_suite(), "data_post_processing"))
+    # features are row by row and cheap: made again by the target check and the split's
+    # small jobs, which read of the written rows the columns they need
+    prepared = FE.encode_target(FE.feature_engineering(C.kept_rows(rows)))
+    table = cut_lineage(S.stratified_split(prepared, P.TARGET, key, P.TEST_SIZE, P.SEED, checkpoint=False))
+    prepared_rules = cut_lineage(R.evaluate_rules(table.drop("split"), R.prepared_suite(), "data_post_processing"))
     if raise_on_failure:
         R.raise_on_failed(prepared_rules, "data_post_processing")
-    # the split reads its input (a written table) several times and is read by many
-    # jobs after: written once more with the split column
-    table = cut_lineage(S.stratified_split(prepared, P.TARGET, key, P.TEST_SIZE, P.SEED, checkpoint=False))
     train = table.where(F.col("split") == "train").drop("split")
     test = table.where(F.col("split") == "test").drop("split")
-    return Prepared(raw_rules, prepared_rules, table, train, test)
+    return Prepared(raw_rules, prepared_rules, C.reason_counts(rows), rows.where(F.col("_reason").isNotNull()),
+                    table, train, test)
 
 
 def experiment(prep: Prepared, key: str, n_iter: int = P.SEARCH_ITERATIONS, k: int = P.N_FOLDS,

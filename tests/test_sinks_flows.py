@@ -8,9 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from readyspark import presets as P
+from readyspark.operators import clean as C
+from readyspark.operators import rules as R
 from readyspark.operators.score import CREDIT_SCORECARD
 from readyspark.plans import flows
 from readyspark.plans import queries as Q
+from readyspark.session import cut_lineage
 from readyspark.sources import sinks
 from tests.conftest import SF0001
 
@@ -89,9 +92,36 @@ def test_run_readiness_writes_report_and_history_then_refuses(spark):
     assert not os.path.exists(os.path.join(base, "published"))
 
 
-def test_written_raw_gives_the_same_gate_rows(spark):
-    def rows(write_raw):
-        prep = flows.prepare(Q._dirty(spark, SF0001), Q.KEY, raise_on_failure=False, write_raw=write_raw)
-        out = flows.readiness(prep, Q.KEY, params={}, scorer=CREDIT_SCORECARD)["gate_rows"]
-        return sorted(tuple(r) for r in out.select("gate", "metric", "subject", "value", "passed").collect())
-    assert rows(True) == rows(False)
+def test_flagged_rows_give_rules_reasons_and_clean_rows(spark):
+    """One read of the raw rows gives what rules, reason counts and cleaning give apart."""
+    every = lambda df: sorted(map(str, df.collect()))
+    raw = Q._dirty(spark, SF0001)
+    for df in (raw, raw.unionByName(raw.limit(40)).unionByName(raw.limit(40)), raw.where("false")):
+        df = cut_lineage(df)
+        rules = R.raw_suite(df.columns)
+        flagged = cut_lineage(C.flagged_rows(df))
+        assert every(R.evaluate_rules(flagged.drop("_reason"), rules, "g", "_copies")) == every(R.evaluate_rules(df, rules, "g"))
+        assert every(C.reason_counts(flagged)) == every(C.clean_reason_counts(df))
+        kept, clean = C.kept_rows(flagged), C.clean(df)
+        assert kept.schema == clean.schema and every(kept) == every(clean)
+    prep = flows.prepare(raw, Q.KEY, raise_on_failure=False)
+    assert every(prep.prepared_rules) == every(R.evaluate_rules(prep.table.drop("split"), R.prepared_suite(), "data_post_processing"))
+    counted = {r["reason"]: r["rows"] for r in prep.reasons.collect()}
+    told = {r["_reason"]: r["n"] for r in prep.rejected.groupBy("_reason").agg(
+        F.sum(F.when(F.col("_reason") == "null_rows", F.col("_copies")).otherwise(1)).alias("n")).collect()}
+    assert told == {k: v for k, v in counted.items() if v and k in C.CLEAN_REASONS[1:-1] and k != "duplicate_rows"}
+    assert counted["kept_rows"] == prep.table.count()
+
+
+def test_raw_rows_are_read_once(spark):
+    """A counting UDF below the raw table runs once a row."""
+    ran = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        ran.add(1)
+        return x
+
+    raw = cut_lineage(Q._dirty(spark, SF0001)).withColumn(Q.KEY, counted.asNondeterministic()(Q.KEY))
+    flows.prepare(raw, Q.KEY, raise_on_failure=False)
+    assert ran.value == Q._dirty(spark, SF0001).count()
