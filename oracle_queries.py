@@ -615,6 +615,14 @@ ORACLE.update({
         f"CAST(coalesce(list_position({lst(P.EMPLOYMENT_ORDER)}, employment), 0) - 1 AS DOUBLE) AS employment_code",
         f"CAST(coalesce(list_position({lst(P.JOB_ORDER)}, job), 0) - 1 AS DOUBLE) AS job_code"]) + " FROM prepared"),
     "onehot_wide": _onehot_sql(),
+    "onehot_slots": """WITH f AS (SELECT CAST(o_custkey AS VARCHAR) AS customer, o_orderpriority FROM orders WHERE o_orderstatus = 'F'),
+        c AS (SELECT customer, row_number() OVER (ORDER BY customer) - 1 AS i FROM (SELECT DISTINCT customer FROM f WHERE customer IS NOT NULL)),
+        p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS i
+              FROM (SELECT DISTINCT o_orderpriority FROM f WHERE o_orderpriority IS NOT NULL)),
+        n AS (SELECT (SELECT count(*) FROM c) AS nc, (SELECT count(*) FROM p) AS np)
+        SELECT o_orderkey, CAST(c.i AS INTEGER) AS customer_slot, CAST(n.nc + p.i AS INTEGER) AS priority_slot,
+               CAST(n.nc + n.np AS INTEGER) AS slots
+        FROM orders LEFT JOIN c ON CAST(o_custkey AS VARCHAR) = c.customer LEFT JOIN p USING (o_orderpriority), n""",
     "class_balance": rule_rows_sql("prepared", "class_balance", [_SHARE_ROW], [], "class", PREPARED),
 })
 

@@ -422,6 +422,23 @@ def q_onehot_wide(spark, sf_dir):
     return L.onehot_wide(st.where(F.col("split") == "test"), model, KEY)
 
 
+def q_onehot_slots(spark, sf_dir):
+    """L2 for columns of many categories: customers (as text) and priorities of the
+    filled orders are the categories, every order is encoded; the slots are those of
+    the written sparse vectors."""
+    from readyspark.operators import categories as K
+    spark = configure(spark)
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority",
+                                                        F.col("o_custkey").cast("string").alias("customer"))
+    fitted = K.fit_categories(orders.where("o_orderstatus = 'F'"), ["customer", "o_orderpriority"])
+    rows = K.encode(orders, fitted)
+    first, stored = fitted["customer"].size, F.from_json(F.to_json(F.struct("onehot")), "onehot struct<size int, indices array<int>>")
+    rows = rows.select("o_orderkey", stored["onehot"].alias("v"))
+    return rows.select("o_orderkey", F.try_element_at(F.filter("v.indices", lambda i: i < first), F.lit(1)).alias("customer_slot"),
+                       F.try_element_at(F.filter("v.indices", lambda i: i >= first), F.lit(1)).alias("priority_slot"),
+                       F.col("v.size").alias("slots"))
+
+
 def q_class_balance(spark, sf_dir):
     return R.evaluate_rules(prepared(spark, sf_dir), [R.MinClassShare(P.TARGET, P.MIN_CLASS_SHARE)],
                             "class_balance")
@@ -743,6 +760,7 @@ def q_numeric_column_counts(spark, sf_dir):
 QUERIES.update({
     "ordinal_encoding": q_ordinal_encoding,
     "onehot_wide": q_onehot_wide,
+    "onehot_slots": q_onehot_slots,
     "class_balance": q_class_balance,
     "forest_scores": q_forest_scores,
     "forest_score_facts": q_forest_score_facts,
