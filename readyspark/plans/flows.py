@@ -31,11 +31,11 @@ from readyspark.sources import sinks
 class Prepared:
     raw_rules: DataFrame
     prepared_rules: DataFrame
-    reasons: DataFrame  # rows removed by each cleaning step
-    rejected: DataFrame  # distinct rows that cleaning removed, with ``_copies`` and ``_reason``
     table: DataFrame  # prepared rows with a ``split`` column
     train: DataFrame
     test: DataFrame
+    reasons: DataFrame | None = None  # rows removed by each cleaning step
+    rejected: DataFrame | None = None  # distinct rows that cleaning removed, with ``_copies`` and ``_reason``
 
 
 def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True) -> Prepared:
@@ -60,8 +60,8 @@ def prepare(raw: DataFrame, key: str, raise_on_failure: bool = True) -> Prepared
         R.raise_on_failed(prepared_rules, "data_post_processing")
     train = table.where(F.col("split") == "train").drop("split")
     test = table.where(F.col("split") == "test").drop("split")
-    return Prepared(raw_rules, prepared_rules, C.reason_counts(rows), rows.where(F.col("_reason").isNotNull()),
-                    table, train, test)
+    return Prepared(raw_rules, prepared_rules, table, train, test, C.reason_counts(rows),
+                    rows.where(F.col("_reason").isNotNull()))
 
 
 def experiment(prep: Prepared, key: str, n_iter: int = P.SEARCH_ITERATIONS, k: int = P.N_FOLDS,
