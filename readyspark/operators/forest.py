@@ -7,8 +7,8 @@ categories; a leaf's value is the share of the positive class among the weighted
 training rows that came to it. A forest's probability is the mean of its trees'
 leaf values.
 
-Trees are packed into arrays, so a table is scored in one projection: no join and
-no shuffle. Batches of trees are broadcast, ``PACKED_NODES`` nodes at most; a tree
+Trees are packed into arrays, so a table is scored in one projection: no join.
+Batches of trees are scalar subqueries, ``PACKED_NODES`` nodes at most; a tree
 larger than that is walked by a join with its nodes per level instead.
 """
 
@@ -21,9 +21,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readyspark.session import cut_lineage, run_tables
+from readyspark.session import cut_lineage, run_tables, spread
 
-PACKED_NODES = 500_000  # of one broadcast: about 60 bytes each
+PACKED_NODES = 500_000  # of one subquery's value: about 60 bytes each
 
 
 def node_table(spark: SparkSession, model: PipelineModel, path: str | None = None) -> DataFrame:
@@ -46,23 +46,31 @@ def node_table(spark: SparkSession, model: PipelineModel, path: str | None = Non
         F.coalesce(F.try_divide(F.col("nodeData.impurityStats")[1], total), F.lit(0.0)).alias("value"))
 
 
-def _goes_left(node: Column, x: Column) -> Column:
-    value = F.element_at(x, node["feature"] + 1)
-    return F.when(node["categories"].isNull(), value <= node["threshold"]).otherwise(F.array_contains(node["categories"], value))
-
-
 def _packed_sum(x: Column, trees: Column, depth: int) -> Column:
     """The sum of the trees' leaf values for the features ``x``."""
     def leaf(tree: Column) -> Column:
         def step(at: Column, _: Column) -> Column:
-            node = F.element_at(tree, at + 1)
-            return F.when(node["left"].isNull(), at).when(_goes_left(node, x), node["left"]).otherwise(node["right"])
+            value = F.get(x, F.get(tree["feature"], at))
+            # a node without a threshold has categories
+            left = F.coalesce(value <= F.get(tree["threshold"], at), F.array_contains(F.get(tree["categories"], at), value))
+            return F.when(left, F.get(tree["left"], at)).otherwise(F.get(tree["right"], at))
 
-        return F.element_at(tree, F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(0), step) + 1)["value"]
+        return F.get(tree["value"], F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(0), step))
 
     return F.aggregate(trees, F.lit(0.0), lambda s, tree: s + leaf(tree))
 
 
+def _packed(nodes: DataFrame) -> DataFrame:
+    """One row with all trees, an array of each column of a tree's nodes. A leaf is its
+    own child, so a walk that came to it stays there."""
+    here = nodes.select("tree", "node", F.coalesce("feature", F.lit(0)).alias("feature"),
+                        F.when(F.col("left").isNull(), F.lit(0.0)).otherwise(F.col("threshold")).alias("threshold"), "categories",
+                        F.coalesce("left", "node").alias("left"), F.coalesce("right", "node").alias("right"), "value")
+    names = ["feature", "threshold", "categories", "left", "right", "value"]
+    ordered = here.groupBy("tree").agg(F.sort_array(F.collect_list(F.struct("node", *names))).alias("t"))
+    return ordered.select(F.struct(*[F.col("t")[c].alias(c) for c in names]).alias("t")).agg(F.collect_list("t").alias("_trees"))
+
+
 def _joined_sum(rows: DataFrame, nodes: DataFrame, key: str, depth: int) -> DataFrame:
     """``key`` and the sum of the leaf values of ``nodes``' trees, a join per level."""
     at = rows.select(key, "_x").crossJoin(F.broadcast(nodes.select("tree").distinct())).withColumn("node", F.lit(0))
@@ -89,7 +97,6 @@ def walk(df: DataFrame, nodes: DataFrame, key: str, features: str = "features",
     sizes = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).orderBy("tree").collect()  # a row per tree
     depth = min(max_depth, max((r["n"] for r in sizes), default=1) // 2)  # at most the inner nodes
     rows = df.withColumn("_x", vector_to_array(features)).withColumn("_sum", F.lit(0.0))
-    node = F.struct("feature", "threshold", "categories", "left", "right", "value")
     batch, held, batches = [], 0, []
     for r in sizes:
         if r["n"] > packed_nodes:
@@ -99,10 +106,11 @@ def walk(df: DataFrame, nodes: DataFrame, key: str, features: str = "features",
         batch.append(r["tree"])
         held += r["n"]
     for trees in batches + [batch] if batch else batches:
-        packed = (nodes.where(F.col("tree").isin(trees)).groupBy("tree")
-                       .agg(F.transform(F.sort_array(F.collect_list(F.struct("node", node.alias("v")))), lambda s: s["v"]).alias("t"))
-                       .agg(F.collect_list("t").alias("_trees")))  # one row of at most packed_nodes nodes
-        rows = rows.crossJoin(F.broadcast(cut_lineage(packed)))
+        # one row of at most packed_nodes nodes: a scalar subquery, whose value each task
+        # holds once (used once, so it is put into the sum below and never into a row);
+        # a cross join would copy all trees into every row
+        packed = cut_lineage(_packed(nodes.where(F.col("tree").isin(trees))))
+        rows = rows.withColumn("_trees", packed.scalar())
         rows = rows.withColumn("_sum", F.col("_sum") + _packed_sum(F.col("_x"), F.col("_trees"), depth)).drop("_trees")
     large = [r["tree"] for r in sizes if r["n"] > packed_nodes]
     if large:
@@ -115,7 +123,7 @@ def walk(df: DataFrame, nodes: DataFrame, key: str, features: str = "features",
 def walked_scores(df: DataFrame, model: PipelineModel, key: str, packed_nodes: int = PACKED_NODES) -> DataFrame:
     """``df`` with ``p_bad`` and ``prediction`` as the model reports them, and ``p_walked``."""
     nodes = cut_lineage(node_table(df.sparkSession, model))
-    encoded = PipelineModel(stages=model.stages[:-1]).transform(df)
+    encoded = PipelineModel(stages=model.stages[:-1]).transform(spread(df))
     reported = model.stages[-1].transform(encoded)
     both = walk(reported, nodes, key, packed_nodes=packed_nodes, max_depth=model.stages[-1].getOrDefault("maxDepth"))
     return both.select(*df.columns, vector_to_array("probability")[1].alias("p_bad"),

@@ -39,6 +39,31 @@ def test_walked_is_reported(spark, fitted, packed):
     assert len({r["p_walked"] for r in rows}) > 20
 
 
+def test_packed_trees_are_in_no_row(spark, fitted):
+    """A join would copy the whole forest into every row; the trees are a subquery's value."""
+    model, test = fitted
+    plan = FO.walked_scores(test, model, Q.KEY)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "CartesianProduct" not in plan and "Subquery" in plan
+    assert "AS _trees" not in plan  # no projection puts them out either
+
+
+def test_walked_and_fitted_in_even_parts(spark, fitted, monkeypatch):
+    from readyspark.session import spread
+    rows = spark.range(90_000).coalesce(1)
+    assert spread(rows).rdd.glom().map(len).collect() == [18_000] * 5
+    assert spread(rows, 10_000).rdd.getNumPartitions() == 9 and spread(rows.limit(20_000)).rdd.getNumPartitions() == 1
+    model, parts = fitted[0], []
+
+    class Fit:
+        def fit(self, encoded):
+            parts.append(encoded.rdd.getNumPartitions())
+            return model.stages[-1]
+
+    monkeypatch.setattr(L, "_forest", lambda *a: Fit())
+    L.forest_on([], rows, P.TARGET, SMALL)
+    assert parts == [5]
+
+
 def test_node_table(spark, fitted):
     model, test = fitted
     nodes = {}
