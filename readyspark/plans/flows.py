@@ -23,7 +23,7 @@ from readyspark.operators import rules as R
 from readyspark.operators import split as S
 from readyspark.operators import variants as V
 from readyspark.operators.score import score
-from readyspark.session import cut_lineage
+from readyspark.session import cut_lineage, spread
 from readyspark.sources import sinks
 
 
@@ -94,12 +94,13 @@ def readiness(prep: Prepared, key: str, params: dict, scorer=None) -> dict:
     left to ``sinks.publish_if_ready`` so the caller picks the paths.
     """
     model = scorer or L.fit_forest(prep.train.drop(P.SENSITIVE), P.TARGET, params, exclude=[key])
-    test = prep.test
-    scored = score(test, model)
+    # read by many jobs below: the forest scores each row once
+    test = spread(prep.test)
+    scored = cut_lineage(score(test, model))
     metrics = M.classification_metrics(scored, P.TARGET, "prediction", "p_bad")
     baseline = M.majority_baseline(prep.train, test, P.TARGET)
     variants = V.robustness_variants(key) + V.metamorphic_variants()
-    vs = V.score_variants(test, model, variants, keep=[key, P.TARGET])
+    vs = cut_lineage(V.score_variants(test, model, variants, keep=[key, P.TARGET]))
     directions = {v.name: v.direction for v in variants if v.direction}
     rows = G.report([
         prep.raw_rules, prep.prepared_rules,
