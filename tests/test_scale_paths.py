@@ -11,6 +11,8 @@ from readyspark.operators import clean as C
 from readyspark.operators import metrics as M
 from readyspark.operators import ordered as O
 from readyspark.operators.split import stratified_split
+from readyspark.plans import queries as Q
+from tests.conftest import SF0001
 
 
 def skewed(spark, n=3000, seed=3):
@@ -55,3 +57,47 @@ def test_big_rule_set_uses_semi_join(spark, monkeypatch):
     out = C.domain_filter(df, {"c": ["x", "y", "w"]})
     assert sorted(r[0] for r in out.collect()) == ["x", "y"]
     assert "LeftSemi" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prepared_rows_are_written_before_the_split(spark, monkeypatch):
+    """Each job of the split reads them: unwritten, each would join and clean the tables again."""
+    written = []
+    real = Q.S.cut_lineage
+    monkeypatch.setattr(Q.S, "cut_lineage", lambda df: written.append(df.columns) or real(df))
+    split = Q.split_written(spark, SF0001)
+    assert written[0] == [c for c in split.columns if c != "split"]
+
+
+def test_only_scored_columns_are_split(spark, monkeypatch):
+    given = []
+    real = Q.S.stratified_split
+    monkeypatch.setattr(Q.S, "stratified_split", lambda df, *a, **k: given.append(df.columns) or real(df, *a, **k))
+    scored = Q.scored_test(spark, SF0001)
+    assert "purpose" not in given[0] and {"class", "sex", "p_bad", "prediction"} <= set(scored.columns)
+    # the same rows and scores as those of the whole rows
+    from readyspark.operators.score import CREDIT_SCORECARD, score
+    whole = score(Q.test_rows(spark, SF0001), CREDIT_SCORECARD).select(*scored.columns)
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, whole.collect())) != []
+
+
+def test_merged_partitions_are_bounded(spark):
+    """Wide rows are made of a narrow shuffle's: 64 MB of it, Spark's default, are gigabytes of one task."""
+    from readyspark.session import build_session, configure
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert build_session().conf.get(name) == "8m"
+    own = spark.newSession()
+    own.conf.set(name, "32m")
+    assert configure(own).conf.get(name) == "32m"  # a user's setting wins
+
+
+def test_readiness_scores_each_row_once(spark):
+    from readyspark.operators import rules as R
+    from readyspark.operators.score import CREDIT_SCORECARD
+    from readyspark.plans import flows
+    st = Q.split_written(spark, SF0001)
+    rules = R.evaluate_rules(st, R.prepared_suite(), "data_post_processing")
+    part = lambda name: st.where(f"split = '{name}'").drop("split")
+    out = flows.readiness(flows.Prepared(rules, rules, st, part("train"), part("test")), Q.KEY, {}, CREDIT_SCORECARD)
+    for name in ("scored", "variants"):  # written: what reads them doesn't score again
+        assert out[name]._jdf.queryExecution().optimizedPlan().toString().startswith("Relation")
+    assert out["scored"].count() == part("test").count()
