@@ -13,7 +13,9 @@ Encoding is that of the tokenizers library. Byte-level BPE first cuts a text
 into pre-tokens and merges within each alone. A blank or line break after a
 character that isn't white space always starts a pre-token, so the texts are
 cut there, each distinct piece is encoded once per worker and the pieces' ids
-are strung together. Texts with other white space or special strings go to the
+are strung together. A piece of Latin letters or of digits is one pre-token,
+which the library's model merges directly; other pieces pass its pre-tokenizer
+too, many at once. Texts with other white space or special strings go to the
 library whole.
 """
 
@@ -37,6 +39,10 @@ from readyspark.llm.common import list_array, shared_path, prepare_python
 CACHE_WORDS = 700_000  # pieces whose ids a worker remembers
 MARKS = ".,;:!?#$%&*|"
 ALNUM = frozenset(string.ascii_letters + string.digits + "ßàáâäæçèéêëìíîïñòóôöùúûüœ")
+LATIN = "\u024f"  # letters up to here are letters to the library and to Python alike
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# byte-level alphabet: plain bytes stand for themselves, others for U+0100 and up
+BYTE_SIGNS = {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 LEARN_CHARS = 400_000  # of the texts whose new pieces are learned together
 EMIT_IDS = 1_000_000   # ids of one Arrow batch on the way to the writer
 
@@ -61,6 +67,29 @@ def _one_word(piece: str) -> bool:
     return bool(piece) and piece.split() == [piece[1:] if piece[0] == "\n" else piece]
 
 
+class KnownPieces(dict):
+    """Ids of pieces. A new piece of Latin letters or of digits, with marks after it or
+    none, is encoded when it is asked for; others are noted in ``asked``, without ids yet."""
+
+    def __init__(self, encoder: "ByteLevelEncoder", held=()):
+        super().__init__(held)
+        self.encoder, self.asked = encoder, []
+
+    def __missing__(self, piece: str) -> bytes | None:
+        stem = piece.rstrip(MARKS)
+        word = stem[1:] if stem[:1] in ("\0", "\n") else stem
+        if not (word.isalpha() and (word.isascii() or max(word) <= LATIN) or word.isascii() and word.isdigit()):
+            self.asked.append(piece)
+            return None
+        if (ids := self.get(stem)) is None:
+            ids = self[stem] = self.encoder.pre_token(word, word is stem)
+            if stem[0] == "\n":
+                ids = self[stem] = self.encoder.marks_ids("\n") + ids
+        if stem != piece:
+            ids = self[piece] = ids + self.encoder.marks_ids(piece[len(stem):])
+        return ids
+
+
 class ByteLevelEncoder:
     """Little-endian 32-bit ids of whole texts, as the library encodes them."""
 
@@ -80,23 +109,40 @@ class ByteLevelEncoder:
         pre = spec["pre_tokenizer"] or {}
         self.cuts = bool(plain) and (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
                                      and spec["normalizer"] is None and spec["post_processor"] is None)
-        self.known: dict[str, bytes] = {}
+        self.known = KnownPieces(self)
         self.marks: dict[str, bytes] = {}
+        self.merge = self.model.model.tokenize
 
     def whole(self, texts: list[str]) -> list[bytes]:
         done = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in done]
 
+    def pre_token(self, word: str, after_blank: bool) -> bytes:
+        """The ids of a word that is one pre-token: the model alone merges its bytes."""
+        signs = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return array("I", [t.id for t in self.merge(BYTE_SIGNS[32] + signs if after_blank else signs)]).tobytes()
+
+    def marks_ids(self, marks: str) -> bytes:
+        """The ids of marks, or of a line break, which pre-tokens around them can't join."""
+        if marks not in self.marks:
+            self.marks[marks] = self.whole([marks])[0]
+        return self.marks[marks]
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; new pieces of a batch of texts are learned at once."""
-        out, gaps, known, new = [], [], self.known.get, set()
+        if len(self.known) > CACHE_WORDS:
+            # what was met first is what is met often
+            self.known = KnownPieces(self, islice(self.known.items(), CACHE_WORDS // 2))
+            self.marks = {} if len(self.marks) > CACHE_WORDS else self.marks
+        out, gaps, known, asked, new = [], [], self.known.__getitem__, self.known.asked, set()
         for n, text in enumerate(texts):
             pieces = self._pieces(text)
             ids = list(map(known, pieces)) if pieces else None
-            if ids and None in ids:
+            if asked:
+                asked.clear()
                 at = [k for k, i in enumerate(ids) if i is None]
                 missing = [pieces[k] for k in at]
                 if all(map(_one_word, missing)):
@@ -105,10 +151,6 @@ class ByteLevelEncoder:
                 else:
                     ids = None
             out.append(ids)
-        if len(self.known) + 2 * len(new) > CACHE_WORDS:
-            # what was met first is what is met often
-            self.known = dict(islice(self.known.items(), CACHE_WORDS // 2))
-            self.marks = {} if len(self.marks) > CACHE_WORDS else self.marks
         self._learn(new)
         for n, at, missing in gaps:
             for k, piece in zip(at, missing):
@@ -137,7 +179,7 @@ class ByteLevelEncoder:
             stem = p.rstrip(MARKS)
             if stem is not p and stem and (stem[-1] in ALNUM):
                 stems[p] = stem
-        first = list(((new - stems.keys()) | set(stems.values())).difference(self.known))
+        first = [p for p in (new - stems.keys()) | set(stems.values()) if p not in self.known]
         marks = list({p[len(s):] for p, s in stems.items()}.difference(self.marks))
         if not first and not marks:
             return

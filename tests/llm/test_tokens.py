@@ -47,6 +47,17 @@ def test_byte_ids_equal_the_library(monkeypatch, memory):
             text, add_special_tokens=False).ids, text
 
 
+def test_new_words_are_merged_without_the_pre_tokenizer(monkeypatch):
+    words = ["thingea", "cióncogarr,", "ERANOU,!!", "4711.", "Ÿčßeux", "x|"]
+    texts = [" ".join(words[k:] + words[:k]) + "\n" + "\n".join(words) for k in range(len(words))] + ["", " a", "a  b\n\nc", "º² \u0250a"]
+    model, own, learned = Tokenizer.from_file(BYTES), token_store.ByteLevelEncoder(BYTES), []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda new: learned.extend(new) or learn(new))
+    want = [np.array(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode_all(texts) == want == own.encode_all(texts)
+    assert not {p.lstrip("\0\n") for p in learned} & set(words)
+
+
 ROWS = [(5, "five five\nlines"), (1, "one"), (None, "null id"), (3, None), (4, ""), (5, "five five\nlines"), (2, "x " * 30_000)]
 
 
