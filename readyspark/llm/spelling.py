@@ -16,6 +16,7 @@ partial counts per task); everything after is DataFrame code.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -32,6 +33,7 @@ LETTERS = "[a-zÀ-ÿ]+"  # runs of A-Z, a-z and U+00C0 to U+00FF, A-Z lower-case
 END = "$"  # the terminator: no letter
 HELD_WORDS = 300_000  # distinct words that a counting task holds before it emits them
 KEY_CHARS = 64  # rotations with more code points of the word are compared by 124-bit digests
+ROWS_A_FILE = 20_000  # words of a written table for each of its files
 _PRIMES = np.array([2147483647, 2147483629, 2147483587, 2147483579], np.int64)
 _BASES = np.array([1103515245, 1664525, 69069, 1812433253], np.int64)
 
@@ -179,17 +181,18 @@ def neighbours(words: DataFrame, any_long: bool = True) -> DataFrame:
          .otherwise(F.array_min(F.array_compact(F.array(replaced, shorter)))).alias("best")).where("near > 0")
 
 
-def roots(forms: DataFrame) -> DataFrame:
-    """``word, root`` of words with a form (``word, form``): the end of the chain of
-    forms, by pointer doubling. Every form is at least ``times`` as frequent as its
-    word, so chains have a few dozen links at most and few turns are needed."""
-    links = written(forms.select("word", F.col("form").alias("root")), "forms")
+def roots(forms: DataFrame, files: int) -> DataFrame:
+    """``word, root`` of words with a form (``word, form``, a written table): the end of
+    the chain of forms, by pointer doubling. Every form is at least ``times`` as frequent as
+    its word, so chains have a few dozen links at most and few turns are needed. What a
+    turn writes takes ``files`` files at most."""
+    links = forms.select("word", F.col("form").alias("root"))
     while True:
         ends = links.select(F.col("word").alias("mid"), F.col("root").alias("end"))
         links = links.join(ends, F.col("root") == F.col("mid"), "left")
         if links.where(F.col("end").isNotNull()).isEmpty():
             return links.select("word", "root")
-        links = written(links.select("word", F.coalesce("end", "root").alias("root")), "forms")
+        links = written(links.select("word", F.coalesce("end", "root").alias("root")).coalesce(files), "forms")
 
 
 def variants(docs: DataFrame, least_chars: int = 6, least_count: int = 5, times: int = 5, every: int = 199,
@@ -204,7 +207,10 @@ def variants(docs: DataFrame, least_chars: int = 6, least_count: int = 5, times:
     an empty table gives no rows. Words of any length are compared.
     """
     words = written(word_counts(docs, least_chars, every, id_col, text_col).where(F.col("n") >= least_count), "words")
-    any_long = not words.where(F.length("word") > KEY_CHARS).isEmpty()
+    size = words.agg(F.count("word").alias("rows"), F.max(F.length("word")).alias("longest")).first()
+    any_long = (size["longest"] or 0) > KEY_CHARS
+    # one row a word: as many files as these need, not one for each shuffle partition
+    files = max(1, math.ceil(size["rows"] / ROWS_A_FILE))
     words = written(with_refs(words), "words") if any_long else words.withColumn("ref", F.col("word"))
     rows = neighbours(words, any_long)
     alone = words.select(F.col("ref").alias("word"), "n", F.lit(0).cast("long").alias("near"), F.lit(None).cast(rows.schema["best"].dataType).alias("best"))
@@ -213,8 +219,8 @@ def variants(docs: DataFrame, least_chars: int = 6, least_count: int = 5, times:
     near_n = -F.col("best.minus_n")
     found = found.select("word", "n", "n_near", F.when(near_n >= times * F.col("n"), F.col("best.word")).alias("form"),
                          F.when(near_n >= times * F.col("n"), near_n).alias("form_n"))
-    found = written(found, "neighbours")
-    last = roots(found.where(F.col("form").isNotNull()))
+    found = written(found.coalesce(files), "neighbours")
+    last = roots(found.where(F.col("form").isNotNull()), files)
     found = found.join(last, "word", "left").withColumn("root", F.coalesce("root", "word"))
     if any_long:
         names = words.where(F.length("word") > KEY_CHARS).select(F.col("ref").alias("_ref"), F.col("word").alias("_word"))

@@ -71,6 +71,34 @@ def test_variants_equal_brute_force(spark):
     assert got == brute_variants(docs) and any(r[2] not in (r[0], r[1]) for r in got)
 
 
+def test_variants_are_written_in_files_by_their_rows(spark, monkeypatch):
+    # not in a file (and a task's folder) for each of many shuffle partitions
+    rng, files, write = random.Random(8), {}, spelling.written
+    words = ["chaine"] * 900 + ["chainee"] * 120 + ["chaineee"] * 15
+    words += ["".join(rng.choices("abé", k=rng.randint(6, 9))) for _ in range(80)] * 5
+    docs = [(i, " ".join(words[i::20])) for i in range(20)]
+
+    def noted(df, kind):
+        out = write(df, kind)
+        files.setdefault(kind, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(spelling, "written", noted)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert variant_rows(spark, docs) == brute_variants(docs)
+        assert files["neighbours"] == [1] and set(files["forms"]) == {1}
+        monkeypatch.setattr(spelling, "ROWS_A_FILE", 20)
+        assert variant_rows(spark, docs) == brute_variants(docs)
+        assert 1 < files["neighbours"][1] <= 5
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_variants_of_long_words(spark):
     # words about the length from which keys are digests, ties between long neighbours, one very long pair
     rng = random.Random(8)
