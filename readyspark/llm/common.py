@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import posixpath
+import sys
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +52,46 @@ def prepare_python(spark: SparkSession) -> None:
     context._readyspark_sent = True
 
 
+# what an operator remembers in a Python worker for its next tasks there
+_KEPT: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """The memory of an operator in this worker: empty at first, and again after
+    tasks of another operator ran here (:func:`tidy`)."""
+    return _KEPT.setdefault(operator, {})
+
+
+def drop_others(operator: str | None) -> None:
+    if others := [k for k in _KEPT if k != operator]:
+        for other in others:
+            del _KEPT[other]
+        gc.collect()  # an encoder and its pieces refer to each other
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that this process has freed to the system: Arrow's and, with
+    glibc, that of the C heap, which else keep it for good."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], operator: str | None = None) -> Callable:
+    """``run`` for ``mapInArrow``, in workers that Spark uses again for the tasks of
+    other operators: it begins without what those remember and leaves no freed
+    memory behind, so an executor holds one operator's at a time and not their sum.
+    ``operator``: the one whose own memory stays."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others(operator)
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 def shared_path(spark: SparkSession, kind: str) -> str:
     """A fresh folder among this run's tables below the shared checkpoint folder,
     which ``session.release_tables`` deletes with the others."""

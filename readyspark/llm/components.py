@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import prepare_python, written
+from readyspark.llm.common import prepare_python, tidy, written
 
 SMALL = 200_000  # links (a few megabytes) up to which one task does it
 
@@ -39,7 +39,7 @@ def _in_one_task(edges: DataFrame) -> DataFrame:
                                              names=["id", "component_id"])
 
     kind = edges.schema["u"].dataType.simpleString()
-    return edges.coalesce(1).mapInArrow(run, f"id {kind}, component_id {kind}")
+    return edges.coalesce(1).mapInArrow(tidy(run), f"id {kind}, component_id {kind}")
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import few, list_array, mix64, shingles, prepare_python, text_bytes, written
+from readyspark.llm.common import few, list_array, mix64, shingles, prepare_python, text_bytes, tidy, written
 from readyspark.llm.components import components
 
 SIGNATURE = 32   # minwise tokens of a document
@@ -123,7 +123,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
 
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = read.schema["id"].dataType.simpleString()
-    return read.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, sig array<int>, low binary")
+    return read.mapInArrow(tidy(run), f"id {kind}, n long, k1 long, k2 long, sig array<int>, low binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -138,7 +138,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, si
 
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = read.schema["id"].dataType.simpleString()
-    return read.join(wanted, "id", "left_semi").mapInArrow(run, f"id {kind}, k1 long, found binary")
+    return read.join(wanted, "id", "left_semi").mapInArrow(tidy(run), f"id {kind}, k1 long, found binary")
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -185,7 +185,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
     kind = joined.schema["a"].dataType.simpleString()
-    return joined.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return joined.mapInArrow(tidy(run), f"a {kind}, b {kind}").distinct()
 
 
 def branch(rows: DataFrame, level: int) -> DataFrame:
@@ -252,7 +252,7 @@ def by_node(rows: DataFrame, columns: list[str], schema: str, work) -> DataFrame
             yield batch(out)
 
     ordered = rows.select(*columns).repartition("node").sortWithinPartitions("node", "id", "k1")
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(tidy(run), schema)
 
 
 NODE_ROW = ["node", "id", "k1", "n", "comp", "sig"]
@@ -342,7 +342,7 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([c.filter(keep) for c in b.columns[:4]], names=["a", "ka", "b", "kb"])
 
     kind = joined.schema["a"].dataType.simpleString()
-    return joined.mapInArrow(run, f"a {kind}, ka long, b {kind}, kb long")
+    return joined.mapInArrow(tidy(run), f"a {kind}, ka long, b {kind}, kb long")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import list_array, shared_path, prepare_python
+from readyspark.llm.common import kept, list_array, shared_path, prepare_python, tidy
 
 CACHE_WORDS = 700_000  # pieces whose ids a worker remembers
 MARKS = ".,;:!?#$%&*|"
@@ -200,13 +200,14 @@ class ByteLevelEncoder:
         return ("\0" + text.replace("\n", " \n")).split(" ")
 
 
-_ENCODERS: dict[str, ByteLevelEncoder] = {}
+OPERATOR = "token store"
 
 
 def encoder(path: str) -> ByteLevelEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ByteLevelEncoder(path)
-    return _ENCODERS[path]
+    encoders = kept(OPERATOR)
+    if path not in encoders:
+        encoders[path] = ByteLevelEncoder(path)
+    return encoders[path]
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id",
@@ -269,7 +270,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str | None = None, i
 
     kind = read.schema["doc_id"].dataType.simpleString()
     schema = f"part int, doc_id {kind}, copy int, local_start long, n_tokens int, ids array<int>"
-    ordered.mapInArrow(encode, schema).write.options(**WRITER).parquet(f"{path}/tokens")
+    ordered.mapInArrow(tidy(encode, OPERATOR), schema).write.options(**WRITER).parquet(f"{path}/tokens")
     # lengths only: no page of ids is read. One row per part, so the window's
     # single task holds as many rows as the store has files
     parts = (spark.read.parquet(f"{path}/tokens").groupBy("part")
@@ -309,4 +310,4 @@ def digest(stored: DataFrame) -> DataFrame:
                                              names=["doc_id", "copy", "start", "n_tokens", "ids_crc32"])
 
     kind = read.schema["doc_id"].dataType.simpleString()
-    return read.mapInArrow(crc, f"doc_id {kind}, copy int, start long, n_tokens long, ids_crc32 long")
+    return read.mapInArrow(tidy(crc, OPERATOR), f"doc_id {kind}, copy int, start long, n_tokens long, ids_crc32 long")

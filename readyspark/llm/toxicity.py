@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readyspark.llm.common import crc32_of, prepare_python, strings, written
+from readyspark.llm.common import crc32_of, prepare_python, strings, tidy, written
 
 SAMPLE = 3000      # documents of each label that the fit reads at most
 MIN_DOCS = 3
@@ -152,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                          names=["word", "weight"])
 
     one = texts.select("label", "text", "id").repartition(1).sortWithinPartitions("id", "text").select("label", "text")
-    model = written(one.mapInArrow(run, "word string, weight double"), "toxicity-model")
+    model = written(one.mapInArrow(tidy(run), "word string, weight double"), "toxicity-model")
     return {BIAS: -50.0} | {r["word"]: r["weight"] for r in model.collect()}
 
 
@@ -209,7 +209,7 @@ def score(docs: DataFrame, model: dict[str, float], id_col: str = "doc_id", text
 
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = read.schema["id"].dataType.simpleString()
-    out = read.mapInArrow(run, f"id {kind}, score double, offending array<struct<start:int,stop:int,p:double>>")
+    out = read.mapInArrow(tidy(run), f"id {kind}, score double, offending array<struct<start:int,stop:int,p:double>>")
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
                       "offending")
 
@@ -227,4 +227,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
             keep = [scorer(t)[0] < THRESHOLD for t in strings(b.column(at))]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
