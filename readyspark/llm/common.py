@@ -82,12 +82,13 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], op
     """``run`` for ``mapInArrow``, in workers that Spark uses again for the tasks of
     other operators: it begins without what those remember and leaves no freed
     memory behind, so an executor holds one operator's at a time and not their sum.
-    ``operator``: the one whose own memory stays."""
+    ``operator``: the one whose own memory, and freed memory, stays for its next tasks."""
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_others(operator)
         yield from run(batches)
-        give_back()
+        if operator is None:  # else the next task of the operator takes it, or one of another gives it back
+            give_back()
 
     return tidied
 
