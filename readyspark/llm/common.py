@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readyspark.session import run_tables
+from readyspark.session import run_tables, written_to
 
 # documents of a few kilobytes: a Python worker then holds a few megabytes of
 # texts at a time, and a batch of very long ones still fits
@@ -102,9 +102,7 @@ def shared_path(spark: SparkSession, kind: str) -> str:
 def written(df: DataFrame, kind: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back: cuts
     the lineage, so a lost executor repeats no earlier stage."""
-    path = shared_path(df.sparkSession, kind)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written_to(df, shared_path(df.sparkSession, kind))
 
 
 def fresh(df: DataFrame, name: str) -> str:

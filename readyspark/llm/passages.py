@@ -25,14 +25,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readyspark.llm.common import (few, fresh, list_array, mix64, prepare_python, text_bytes, window_hashes, word_hashes, written)
+from readyspark.session import drop_tables
 
 KMER = 5
 SHARE = 0.15         # of the k-mers that are seeds
@@ -47,6 +49,8 @@ REACH = 256          # words of an end that are compared at once
 TOUCH = 5            # words between spans that are joined
 HOT = 5000           # occurrences of a seed that one task joins
 PART_WORDS = 12      # aligned words of a chain that counts towards a passage
+ALIGN_PARTS = 4      # in which texts are aligned one after the other, so that a part's words lie on disk ..
+ALIGN_PAIRS = 10_000  # .. where each has so many pairs of texts
 MIN_WORDS = 50
 MIN_SIMILARITY = 0.75
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -385,9 +389,12 @@ def word_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
     return read.select("text").mapInArrow(run, "key long, words binary")
 
 
-def aligned(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """The chains' aligned stretches of at least ``PART_WORDS`` words."""
-    own = texts.select("key", F.col("words").alias("a"))
+def aligned(found: DataFrame, texts: DataFrame, part: Column | None = None) -> DataFrame:
+    """The chains' aligned stretches of at least ``PART_WORDS`` words; of the keys
+    for which ``part`` holds."""
+    if part is not None:
+        found = found.where(part)
+    own = (texts if part is None else texts.where(part)).select("key", F.col("words").alias("a"))
     other = texts.select(F.col("key").alias("owner"), F.col("words").alias("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,8 +468,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     repeat an id are searched each, and an exact repeat of a row isn't reported.
     Other columns are ignored.
     """
+    # tables with a row for each seed, word or document are deleted once what is
+    # derived from them is written: the disk holds those of one step, not of all
     drawn = written(searched(docs, id_col, text_col), "seeds")
-    members = drawn.where(F.col("n") >= KMER).select("id", "key", "n")
+    members = written(drawn.where(F.col("n") >= KMER).select("id", "key", "n"), "members")
     classes = written(members.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"),
                                                  F.count(F.lit(1)).alias("rows")), "classes")
     # a class's seeds once: those of the rows with its smallest id (a row that is
@@ -475,22 +484,30 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                                                 F.count(F.lit(1)).alias("rows"))
                            .where("owner != top").select("seed", "owner", F.ceil(F.col("rows") / HOT).cast("int").alias("parts")), "owners")
     shared = written(spread.join(owners, "seed"), "shared")  # occurrences of seeds that two texts have
+    drop_tables(owners)
     around = F.expr(f"substring(short, pos + 1, {2 * CONTEXT + KMER})")
-    shared = written(shared.join(once.select("key", "short"), "key").select("key", "seed", "pos", "owner", "parts", around.alias("a")),
-                     "contexts")
+    contexts = written(shared.join(once.select("key", "short"), "key").select("key", "seed", "pos", "owner", "parts", around.alias("a")),
+                       "contexts")
+    drop_tables(shared, drawn)
     # a seed that very many texts have is joined in parts, dealt by the text
-    places = shared.where("key = owner").groupBy("seed", "parts").agg(F.min(F.struct("pos", "a")).alias("o"))
+    places = contexts.where("key = owner").groupBy("seed", "parts").agg(F.min(F.struct("pos", "a")).alias("o"))
     places = places.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    dealt = shared.where("key != owner").withColumn("part", F.pmod(F.xxhash64("key", "pos"), F.col("parts")).cast("int"))
+    dealt = contexts.where("key != owner").withColumn("part", F.pmod(F.xxhash64("key", "pos"), F.col("parts")).cast("int"))
     matches = dealt.join(places, ["seed", "part"]).select(
         "key", "owner", F.col("pos").alias("x"), F.col("o.pos").alias("y"), "a", F.col("o.a").alias("b"))
-    found = chained(extents(matches), min_words)
-    found = written(found, "chains")
+    found = written(chained(extents(matches), min_words), "chains")
+    drop_tables(contexts)
     wanted = found.select("key").union(found.select(F.col("owner").alias("key"))).distinct()
     ids = few(written(wanted.join(classes.select("key", "id"), "key").select("id").distinct(), "wanted"))
     texts = word_table(docs, ids, id_col, text_col).join(wanted, "key", "left_semi")
     texts = written(texts.dropDuplicates(["key"]), "words")
-    spans = joined_spans(aligned(found, texts), min_words)
+    # a pair carries the words of both texts through a shuffle, so those of all pairs at
+    # once are the most that this operator would hold on disk; a text's pairs are one part's
+    parts = min(ALIGN_PARTS, 1 + found.count() // ALIGN_PAIRS)
+    part = F.pmod(F.xxhash64("key"), F.lit(parts))
+    spans = reduce(DataFrame.unionByName, [
+        written(joined_spans(aligned(found, texts, part == i), min_words), "spans") for i in range(parts)])
+    drop_tables(found, texts)
     name = classes.select("key", "id")
     near = (spans.join(name, "key").withColumnRenamed("id", "doc_id").drop("key")
                  .join(name.select(F.col("key").alias("owner"), F.col("id").alias("owner_id")), "owner")
