@@ -116,3 +116,25 @@ def test_rows_of_a_fit_are_dealt_out_once(spark):
     assert "Exchange" not in dealt._jdf.queryExecution().executedPlan().toString()
     assert dealt.agg(F.sum("x")).first()[0] == rows.agg(F.sum("x")).first()[0]
     assert SE.spread_once(rows.limit(5)).count() == 5
+
+
+def test_large_search_holds_one_fold(spark, split, monkeypatch):
+    rows = split[0].where("split = 'train'").drop("split")
+    folds = Q.S.stratified_folds(rows, P.TARGET, Q.KEY, 3, P.SEED).drop(P.SENSITIVE)
+    cands = [{**SMALL, "n_estimators": 3, "max_depth": d} for d in (2, 3)]
+    want = L.search(folds, P.TARGET, "fold", cands, exclude=[Q.KEY]).orderBy("candidate").collect()
+    held, real = [], L.encode_for_forest
+
+    def encode(*args):
+        held.append({n for n in tables(spark) if n not in before})
+        return real(*args)
+
+    before = tables(spark)
+    monkeypatch.setattr(L, "FIT_COUNTS", 1)
+    monkeypatch.setattr(L, "encode_for_forest", encode)
+    got = L.search(folds, P.TARGET, "fold", cands, exclude=[Q.KEY]).orderBy("candidate").collect()
+    features = lambda names: [n for n in names if os.path.isdir(f"{SE.run_tables(spark).removeprefix('file:')}/{n}")
+                              and not n.startswith("search-") and "features" in spark.read.parquet(f"{SE.run_tables(spark)}/{n}").columns]
+    assert len(held) == 3 and not features(set().union(*held) | tables(spark) - before)
+    for a, b in zip(want, got):
+        assert all(a[f"mean_{m}"] == pytest.approx(b[f"mean_{m}"], abs=1e-9) for m in ("f1", "roc_auc", "mcc", "accuracy"))
